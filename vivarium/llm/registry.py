@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, html_text, mixing, pseudonyms, token_records, url_filter
+from . import context_mixing, decontamination, exact_dedup, html_text, mixing, pseudonyms, token_records, url_filter
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op8_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -39,5 +43,5 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymised(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_exact_dedup, op5_html_text, op6_token_records, op7_url_filter, op9_mixing, op10_pseudonyms)}
+QUERIES = {f.__name__: f for f in (op2_decontamination, op3_exact_dedup, op5_html_text, op6_token_records, op7_url_filter, op8_context_mixing, op9_mixing, op10_pseudonyms)}
 ORACLE_SQL = {"op2_decontamination": decontamination.SQL, "op3_exact_dedup": exact_dedup.SQL, "op7_url_filter": url_filter.SQL}

@@ -39,7 +39,7 @@ from . import common
 
 END_ID = 0
 #: About how many characters a shard has.
-SHARD_CHARS = 32_000_000
+SHARD_CHARS = 16_000_000
 _ODD_BYTES = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
@@ -156,7 +156,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
         encoder = out = None
         fs, base = pyarrow.fs.FileSystem.from_uri(folder)
         index, offset, total, first, last = [], 0, 0, None, None
-        for t in common.batches(parts):
+        for t in common.batches(parts, size=8 << 20):
             if out is None:
                 encoder = PieceEncoder(tokenizer_path)
                 fs.create_dir(base, recursive=True)
