@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import context_mixing, decontamination, exact_dedup, html_text, mixing, pseudonyms, token_records, url_filter
+from . import context_mixing, decontamination, exact_dedup, html_text, mixing, pseudonyms, token_records, toxicity, url_filter
 from .common import table
 
 
@@ -17,6 +17,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.page_texts(table(spark, sf_dir, "pages"))
 
@@ -43,5 +47,5 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymised(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_exact_dedup, op5_html_text, op6_token_records, op7_url_filter, op8_context_mixing, op9_mixing, op10_pseudonyms)}
+QUERIES = {f.__name__: f for f in (op2_decontamination, op3_exact_dedup, op4_toxicity, op5_html_text, op6_token_records, op7_url_filter, op8_context_mixing, op9_mixing, op10_pseudonyms)}
 ORACLE_SQL = {"op2_decontamination": decontamination.SQL, "op3_exact_dedup": exact_dedup.SQL, "op7_url_filter": url_filter.SQL}
