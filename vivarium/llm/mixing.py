@@ -104,7 +104,7 @@ def mix_sources(docs: DataFrame, seed: int = 17, block: int = 32, shard_slots: i
     drawn = F.floor(F.col("hi") * m + u) - F.floor(F.col("lo") * m + u)
     through = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = shard.withColumn("c", drawn).withColumn("to", F.sum("c").over(through)).withColumn("from", F.col("to") - F.col("c")).withColumn("to", F.least("to", F.col("blocks") * most))
-    ranges = counts.where("`to` > `from`").select("rank", "blocks", "shard", "from", "to").repartition("rank", "shard")
+    ranges = counts.where("`to` > `from`").select("rank", "blocks", "shard", "from", "to").repartition(max(1, slots // 250_000), "rank", "shard")
     slot = ranges.select("rank", "blocks", F.explode(F.sequence("from", F.col("to") - 1)).alias("slot"))
     slot = slot.select("rank", "blocks", F.floor(F.col("slot") / F.col("blocks")).alias("turn"), F.pmod("slot", "blocks").alias("block"))
     times = permuted(slot, "block", "blocks", [F.lit(seed), F.col("rank"), F.col("turn")]).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
@@ -113,6 +113,6 @@ def mix_sources(docs: DataFrame, seed: int = 17, block: int = 32, shard_slots: i
     some = F.col("size") > 0
     pieces = placed.where(some).select("rank", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
     overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)
-    taken = pieces.join(times, ["rank", "block"]).groupBy("rank", "start").agg(F.sum(overlap * F.col("times")).alias("taken"))
+    taken = pieces.join(times.hint("merge"), ["rank", "block"])  # both sides grow with the input.groupBy("rank", "start").agg(F.sum(overlap * F.col("times")).alias("taken"))
     out = placed.where(some).join(taken, ["rank", "start"], "left").unionByName(placed.where(~some).withColumn("taken", F.lit(0).cast("long")))
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source")
