@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -76,10 +77,21 @@ class PieceEncoder:
     """
 
     JOINED = 8192
+    #: Pieces whose ids are kept, those seen first. They stay in the Python process, which Spark uses for many tasks.
+    KEPT = 800_000
+    _of_process: dict[str, PieceEncoder] = {}
+
+    @classmethod
+    def of(cls, path: str) -> PieceEncoder:
+        if path not in cls._of_process:
+            cls._of_process[path] = cls(path)
+        return cls._of_process[path]
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        self.kept, self.kept_ids, self.kept_begin, self.kept_n = pa.array([], pa.large_string()), np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.lengths = np.zeros(max(vocab.values()) + 1, np.int64)
@@ -121,6 +133,24 @@ class PieceEncoder:
         begin[order] = np.cumsum(counts[order]) - counts[order]
         return flat[common.ragged(begin, counts)], counts
 
+    def _known(self, pieces: pa.Array, odd: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where each piece's ids begin and how many they are; pieces seen before aren't run again."""
+        found = pc.index_in(pieces, value_set=self.kept).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(found < 0)
+        missing = pieces.take(pa.array(new))
+        ids, n = self._pieces(missing, odd) if len(new) else (np.empty(0, np.uint32), np.empty(0, np.int64))
+        begin = np.cumsum(n) - n + len(self.kept_ids)
+        every_begin, every_n = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
+        old = found >= 0
+        every_begin[old], every_n[old] = self.kept_begin[found[old]], self.kept_n[found[old]]
+        every_begin[new], every_n[new] = begin, n
+        all_ids = np.concatenate((self.kept_ids, ids))
+        if room := min(self.KEPT - len(self.kept), len(new)):
+            self.kept = pa.concat_arrays([self.kept, missing[:room]])
+            self.kept_ids = all_ids[: begin[room - 1] + n[room - 1]]
+            self.kept_begin, self.kept_n = np.concatenate((self.kept_begin, begin[:room])), np.concatenate((self.kept_n, n[:room]))
+        return all_ids, every_begin, every_n
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's ids begin, with the end."""
         data, at = common.text_bytes(column)
@@ -137,8 +167,7 @@ class PieceEncoder:
         starts = np.flatnonzero(cut)
         flat = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)), pa.py_buffer(data))
         index, distinct = common.encoded(flat)
-        ids, counts = self._pieces(distinct, bool(odd))
-        begin = np.cumsum(counts) - counts
+        ids, begin, counts = self._known(distinct, bool(odd))
         length = counts[index]
         return ids[common.ragged(begin[index], length)], np.concatenate(([0], np.cumsum(length)))[np.searchsorted(starts, at)]
 
@@ -156,9 +185,9 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
         encoder = out = None
         fs, base = pyarrow.fs.FileSystem.from_uri(folder)
         index, offset, total, first, last = [], 0, 0, None, None
-        for t in common.batches(parts, size=8 << 20):
+        for t in common.batches(parts, size=6 << 20):
             if out is None:
-                encoder = PieceEncoder(tokenizer_path)
+                encoder = PieceEncoder.of(tokenizer_path)
                 fs.create_dir(base, recursive=True)
                 temporary = f"{base}/_{shard:05d}-{attempt}"
                 out = fs.open_output_stream(temporary)
