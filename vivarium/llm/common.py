@@ -98,7 +98,7 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - lengths - starts, lengths)
 
 
-def batches(parts: Iterator[pa.RecordBatch], rows: int = 20_000, size: int = 12 << 20) -> Iterator[pa.Table]:
+def batches(parts: Iterator[pa.RecordBatch], rows: int = 20_000, size: int = 8 << 20) -> Iterator[pa.Table]:
     """Joins the small batches of a task to tables of a bounded number of rows and bytes; a single larger row stands alone."""
     held: list[pa.RecordBatch] = []
     n = b = 0
