@@ -186,22 +186,32 @@ def phrase_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int =
     return out
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, keep: tuple = ()) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated; and the columns of docs named in keep.
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A document is contaminated if some word is hit and share * n_hit >= n_words.
     """
     blocks = phrase_blocks(benchmark, window)
-    own = [docs.schema[c] for c in ("doc_id", *keep)]
 
     def judged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in common.batches(parts):
             n_words, n_hit, items = _judge(common.column(t, "text"), [b.value for b in blocks])
             sha = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]
-            yield pa.RecordBatch.from_arrays([*(common.column(t, f.name) for f in own), pa.array(n_words.astype(np.int64)), pa.array(n_hit.astype(np.int64)), pa.array([len(x) for x in items], pa.int64()), pa.array(sha, pa.string()), pa.array((n_hit > 0) & (share * n_hit >= n_words))], names=[*(f.name for f in own), "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+            yield pa.RecordBatch.from_arrays([common.column(t, "doc_id"), pa.array(n_words.astype(np.int64)), pa.array(n_hit.astype(np.int64)), pa.array([len(x) for x in items], pa.int64()), pa.array(sha, pa.string()), pa.array((n_hit > 0) & (share * n_hit >= n_words))], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own), "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"])
-    return docs.select(*dict.fromkeys(["doc_id", *keep, "text"])).mapInArrow(judged, schema)
+    return docs.select("doc_id", "text").mapInArrow(judged, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
+    """The documents that aren't contaminated; all columns."""
+    blocks = phrase_blocks(benchmark, window)
+
+    def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in common.batches(parts):
+            n_words, n_hit, _ = _judge(common.column(t, "text"), [b.value for b in blocks])
+            yield from t.filter(pa.array((n_hit == 0) | (share * n_hit < n_words))).to_batches()
+
+    return docs.mapInArrow(keep, docs.schema)
 
 
 SQL = r"""

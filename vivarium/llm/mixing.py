@@ -26,6 +26,8 @@ WEIGHTS = (3, 1, 2)
 ROUNDS, WALK = 4, 256
 #: Sources up to which their table is broadcast; beyond it Spark joins by shuffling, splitting skewed keys.
 BROADCAST_SOURCES = 100_000
+#: Documents up to which the table of their copies is broadcast.
+BROADCAST_COPIES = 2_000_000
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -116,3 +118,16 @@ def mix_sources(docs: DataFrame, seed: int = 17, block: int = 32, shard_slots: i
     taken = pieces.join(times.hint("merge"), ["rank", "block"])  # both sides grow with the input.groupBy("rank", "start").agg(F.sum(overlap * F.col("times")).alias("taken"))
     out = placed.where(some).join(taken, ["rank", "start"], "left").unionByName(placed.where(~some).withColumn("taken", F.lit(0).cast("long")))
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source")
+
+
+def mixed_documents(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
+    """The documents as often as the mix takes them, whole: taken / size times, rounded up or down by a hash of the id; all columns.
+
+    Documents without words are not in the mix.
+    """
+    by_id = mix_sources(docs, seed, **options).groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("_rate"))
+    u = F.pmod(F.xxhash64(F.lit(seed), F.lit("copies"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    copies = staged(by_id.select(F.col("doc_id").alias("_doc_id"), F.floor(F.col("_rate") + u).cast("int").alias("_copies")).where("_copies > 0"), "copies")
+    side = F.broadcast(copies) if copies.count() <= BROADCAST_COPIES else copies
+    rows = docs.join(side, F.col("doc_id").eqNullSafe(F.col("_doc_id")))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[docs[c] for c in docs.columns])

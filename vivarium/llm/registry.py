@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import context_mixing, decontamination, exact_dedup, html_text, mixing, pseudonyms, token_records, toxicity, url_filter
+from . import context_mixing, decontamination, exact_dedup, html_text, jaccard_join, mixing, pseudonyms, token_records, toxicity, url_filter
 from .common import table
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,5 +50,5 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymised(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_exact_dedup, op4_toxicity, op5_html_text, op6_token_records, op7_url_filter, op8_context_mixing, op9_mixing, op10_pseudonyms)}
-ORACLE_SQL = {"op2_decontamination": decontamination.SQL, "op3_exact_dedup": exact_dedup.SQL, "op7_url_filter": url_filter.SQL}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_decontamination, op3_exact_dedup, op4_toxicity, op5_html_text, op6_token_records, op7_url_filter, op8_context_mixing, op9_mixing, op10_pseudonyms)}
+ORACLE_SQL = {"op1_jaccard_join": jaccard_join.SQL, "op2_decontamination": decontamination.SQL, "op3_exact_dedup": exact_dedup.SQL, "op7_url_filter": url_filter.SQL}

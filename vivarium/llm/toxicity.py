@@ -297,19 +297,28 @@ def train(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, max_t
     return model
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, keep: tuple = (), **sample: int) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted; and the columns of docs named in keep.
+def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, **sample: int) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted.
 
     Rows whose crc32(doc_id as text) mod `mod` is `rest` are held out from learning.
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, mod, rest, **sample))
-    own = [docs.schema[c] for c in ("doc_id", *keep)]
 
     def judge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in common.batches(parts):
             ids = common.column(t, "doc_id")
             score = model.value.score(common.column(t, "text"))
-            yield pa.RecordBatch.from_arrays([*(common.column(t, f.name) for f in own), pa.array([held_out(x, mod, rest) for x in ids.to_pylist()], pa.bool_()), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=[*(f.name for f in own), "held_out", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array([held_out(x, mod, rest) for x in ids.to_pylist()], pa.bool_()), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own), "held_out boolean, score double, predicted int"])
-    return docs.select(*dict.fromkeys(["doc_id", *keep, "text"])).mapInArrow(judge, schema)
+    return docs.select("doc_id", "text").mapInArrow(judge, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, **sample: int) -> DataFrame:
+    """The documents that score below 0.5; all columns."""
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, mod, rest, **sample))
+
+    def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in common.batches(parts):
+            yield from t.filter(pa.array(model.value.score(common.column(t, "text")) < 0.5)).to_batches()
+
+    return docs.mapInArrow(keep, docs.schema)
