@@ -115,7 +115,8 @@ def mix_sources(docs: DataFrame, seed: int = 17, block: int = 32, shard_slots: i
     some = F.col("size") > 0
     pieces = placed.where(some).select("rank", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
     overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)
-    taken = pieces.join(times.hint("merge"), ["rank", "block"])  # both sides grow with the input.groupBy("rank", "start").agg(F.sum(overlap * F.col("times")).alias("taken"))
+    drawn = times.hint("merge")  # it grows with the input, which Spark's estimate doesn't know
+    taken = pieces.join(drawn, ["rank", "block"]).groupBy("rank", "start").agg(F.sum(overlap * F.col("times")).alias("taken"))
     out = placed.where(some).join(taken, ["rank", "start"], "left").unionByName(placed.where(~some).withColumn("taken", F.lit(0).cast("long")))
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source")
 
