@@ -158,8 +158,9 @@ def map_contains_key(spark, d):
 
 @query(" SELECT c.session_id, c.seq, EXISTS (SELECT 1 FROM lm WHERE lm.line = c.k % 12) AS found FROM h c")
 def map_contains_value(spark, d):
-    lines = line_map(spark, d).groupBy("name").agg(F.max("line").alias("line")).agg(F.map_from_entries(F.collect_list(F.struct("name", "line"))).alias("lines"), F.lit(1).alias("one"))
-    return harp(spark, d).withColumn("one", F.lit(1)).join(F.broadcast(lines), "one").select("session_id", "seq", C.contains_value(F.col("lines"), F.expr("cast(k % 12 as int)")).alias("found"))
+    names = line_map(spark, d).groupBy("name").agg(F.max("line").alias("line")).collect()  # a session's line map, at most ten lines and their aliases
+    lines = F.create_map(*[F.lit(x) for r in names for x in r])
+    return harp(spark, d).select("session_id", "seq", C.contains_value(lines, F.expr("cast(k % 12 as int)")).alias("found"))
 
 
 @query(" SELECT c.session_id, c.seq, coalesce((SELECT string_agg(to_state, ',' ORDER BY place) FROM rr WHERE rr.rule = c.k % 3 AND rr.from_state = r.r_name), 'DefaultState') AS targets FROM h c JOIN region r ON r.r_regionkey = c.k % 5 WHERE c.address = 68", RULE_ROWS)
@@ -574,8 +575,9 @@ def rule_conformance_specified(spark, d):
     """, dr AS (SELECT n.session_id, n.seq, n.t_us, r.t_us AS epoch, r.rule, n.from_name, n.to_name FROM nsteps n ASOF JOIN rules r ON r.session_id = n.session_id AND n.t_us >= r.t_us WHERE r.rule = 1),
 sz AS (SELECT from_state, count(*) AS n FROM rr WHERE rule = 1 GROUP BY 1),
 bg AS (SELECT dr.*, (row_number() OVER (PARTITION BY session_id, epoch, from_name ORDER BY dr.t_us, seq) - 1) // sz.n AS bag_no FROM dr JOIN sz ON sz.from_state = dr.from_name)
-SELECT session_id, epoch AS rule_epoch, from_name AS source, bag_no, to_name AS target, count(*) AS drawn, (SELECT count(*) FROM rr WHERE rule = 1 AND from_state = from_name AND to_state = to_name) AS listed,
-  count(*) <= (SELECT count(*) FROM rr WHERE rule = 1 AND from_state = from_name AND to_state = to_name) AS ok FROM bg GROUP BY ALL""",
+SELECT g.session_id, g.rule_epoch, g.source, g.bag_no, g.target, g.drawn, coalesce(l.n, 0) AS listed, g.drawn <= coalesce(l.n, 0) AS ok
+FROM (SELECT session_id, epoch AS rule_epoch, from_name AS source, bag_no, to_name AS target, count(*) AS drawn FROM bg GROUP BY 1, 2, 3, 4, 5) g
+LEFT JOIN (SELECT from_state, to_state, count(*) AS n FROM rr WHERE rule = 1 GROUP BY 1, 2) l ON l.from_state = g.source AND l.to_state = g.target""",
     VALVES,
     REGION_STEPS,
     RULE_ROWS,
