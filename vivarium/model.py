@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
-EVENTS = T.StructType.fromDDL("session_id string, seq bigint, t_seconds double, t timestamp, address int, message_type string, payload array<double>, value bigint, chunk timestamp")
-VIDEO_CSV = T.StructType.fromDDL("Time double, hw_counter bigint, hw_timestamp double")
-ROI = T.StructType.fromDDL("session_id string, t_seconds double, region int, activity double")
-STRIPS = T.StructType.fromDDL("session_id string, t_seconds double, y int, pixels array<int>")
-RULES = T.StructType.fromDDL("session_id string, t_seconds double, rule_alias string, sample_with_replacement boolean, transitions map<string,array<string>>")
+#: Schemas of the logs, as DDL.
+EVENTS = "session_id string, seq bigint, t_seconds double, t timestamp, address int, message_type string, payload array<double>, value bigint, chunk timestamp"
+VIDEO_CSV = "Time double, hw_counter bigint, hw_timestamp double"
+ROI = "session_id string, t_seconds double, region int, activity double"
+STRIPS = "session_id string, t_seconds double, y int, pixels array<int>"
+RULES = "session_id string, t_seconds double, rule_alias string, sample_with_replacement boolean, transitions map<string,array<string>>"
 
 #: Defaults of session settings, in the units of the settings file.
 SESSION_DEFAULTS = {
