@@ -142,11 +142,11 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(a * best[:, 0] + b * best[:, 1] + c, -30, 30)))
 
 
-def _features(strings: list[str], ids: np.ndarray) -> np.ndarray:
-    """The normalised weights of the given three characters in each string (its first window)."""
-    out = np.zeros((len(strings), len(ids)), np.float32)
-    for i in range(0, len(strings), 2000):
-        part = [s[:WINDOW] for s in strings[i : i + 2000]]
+def _features(strings: list[str], ids: np.ndarray, space: np.ndarray | None = None) -> np.ndarray:
+    """The normalised weights of the given three characters in each string (its first window), or their image in a space."""
+    out = np.zeros((len(strings), len(ids) if space is None else space.shape[1]), np.float32)
+    for i in range(0, len(strings), 500):
+        part = [s[:WINDOW] for s in strings[i : i + 500]]
         classes, at, _ = _coded(part)
         row = np.repeat(np.arange(len(part)), np.diff(at))
         cells, weights = [], []
@@ -156,7 +156,8 @@ def _features(strings: list[str], ids: np.ndarray) -> np.ndarray:
             cells.append(row[fits[hit]] * len(ids) + col[hit])
             weights.append(np.full(len(cells[-1]), weight))
         total = np.bincount(np.concatenate(cells), weights=np.concatenate(weights), minlength=len(part) * len(ids))
-        out[i : i + 2000] = total.reshape(len(part), -1) / _norm(np.diff(at))[:, None]
+        rows = total.reshape(len(part), -1) / _norm(np.diff(at))[:, None]
+        out[i : i + 500] = rows if space is None else rows @ space
     return out
 
 
@@ -221,7 +222,7 @@ def learn(bags: list[list[str]], clean: list[str], rounds: int = 6, landmarks: i
         space = base.T @ (vector[:, good] / np.sqrt(value[good]))  # three characters to the span of the landmarks
         found = [candidates[i] for i in chosen]
         variants = [] if score is None else [_inserted(c) for c in found]  # the same with one more character inside
-        x = np.vstack([_features(part, ids) @ space for part in (found, variants, list(negatives)) if part])
+        x = np.vstack([_features(part, ids, space) for part in (found, variants, list(negatives)) if part])
         y = np.concatenate((np.ones(len(found) + len(variants)), -np.ones(len(negatives))))
         w = _machine(x, y, np.concatenate((share[chosen], 0.3 * share[chosen][: len(variants)], np.ones(len(negatives)))))
         weights, bias = np.zeros(_ALPHABET**3), float(w[-1])
