@@ -108,8 +108,10 @@ class Model:
     constant: float
 
     def chunk_scores(self, strings: list[str]) -> np.ndarray:
-        if not strings:
-            return np.empty(0)
+        parts = [self._scores(strings[i : i + 20_000]) for i in range(0, len(strings), 20_000)]
+        return np.concatenate(parts) if parts else np.empty(0)
+
+    def _scores(self, strings: list[str]) -> np.ndarray:
         classes, at, owner = _coded(strings)
         value = np.zeros(len(classes))
         for weight, fits, which in _triples(classes, at):
