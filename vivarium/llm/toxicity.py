@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from . import common
 
 MAX_TOXIC, MAX_CLEAN = 1500, 3000
+#: How much the variants of toxic documents with inserted characters count in the calibration.
+VARIANT_WEIGHT = 0.25
 SPAN, DECAY, LANDMARKS, WINDOW = 7, 0.6, 128, 24
 _ALPHABET = 64
 _BEGIN, _END = 62, 63
@@ -226,18 +228,17 @@ def learn(bags: list[list[str]], clean: list[str], rounds: int = 6, landmarks: i
         variants = [] if score is None else [_inserted(c) for c in found]  # the same with one more character inside
         x = np.vstack([_features(part, ids, space) for part in (found, variants, list(negatives)) if part])
         y = np.concatenate((np.ones(len(found) + len(variants)), -np.ones(len(negatives))))
-        w = _machine(x, y, np.concatenate((share[chosen], 0.3 * share[chosen][: len(variants)], np.ones(len(negatives)))))
+        w = _machine(x, y, np.concatenate((share[chosen], share[chosen][: len(variants)], np.ones(len(negatives)))))
         weights, bias = np.zeros(_ALPHABET**3), float(w[-1])
         weights[ids] = space @ w[:-1]
         score = Model(weights, bias, None, 0.0).chunk_scores(candidates)
     return weights, bias
 
 
-def _calibrated(best: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
+def _calibrated(best: np.ndarray, toxic: np.ndarray, mass: np.ndarray) -> tuple[float, float, float]:
     """Logistic regression on the two best chunks, by Newton's method."""
     x = np.hstack((best, np.ones((len(best), 1))))
     w = np.zeros(3)
-    mass = np.ones(len(toxic))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         grad = x.T @ (mass * (p - toxic)) + 0.1 * w * (1, 1, 0)
@@ -295,8 +296,12 @@ def train(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, max_t
             two = shared.value.best_two(common.column(t, "text"))
             yield pa.RecordBatch.from_arrays([common.column(t, "toxic"), pa.array(two[:, 0]), pa.array(two[:, 1])], names=["toxic", "first", "second"])
 
+    # Of each toxic document also what it would score with a character inserted into its two best chunks.
+    top = [[bag[i] for i in np.argsort(-model.chunk_scores(bag), kind="stable")[:2]] for bag in bags.values()]
+    varied = np.array([np.sort(np.append(model.chunk_scores([_inserted(c) for c in pair]), [-2.0] * (2 - len(pair))))[::-1] for pair in top])
     scored = sample.mapInArrow(best, "toxic int, first double, second double").orderBy("toxic", "first", "second").toPandas()
-    model.calibration = _calibrated(scored[["first", "second"]].to_numpy(), scored["toxic"].to_numpy(float))
+    rows = np.vstack((scored[["first", "second"]].to_numpy(), np.clip(varied, -2, 3)))
+    model.calibration = _calibrated(rows, np.concatenate((scored["toxic"].to_numpy(float), np.ones(len(varied)))), np.concatenate((np.ones(len(scored)), np.full(len(varied), VARIANT_WEIGHT))))
     return model
 
 
