@@ -146,7 +146,7 @@ def test_toxicity_held_out(spark):
 
 def test_toxicity_tolerates_gaps_and_edges(spark):
     insults = ["zblork", "quxnard"]
-    texts = [words(i, 30) + (f". you {insults[i % 2]} {insults[(i // 2) % 2]} now" if i % 3 == 0 else ".") for i in range(400)]
+    texts = [words(i, 30) + (f". you {insults[i % 2]} {insults[(i // 2) % 2]} now" if i % 3 == 0 else ". you now") for i in range(400)]
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)] + [(None, 1), (5, None)], "doc_id long, toxic int")
     model = toxicity.train(docs(spark, texts), labels)
     new = [words(1001, 20) + " you z.b.l.o.r.k", "q u x n a r d you", words(1002, 20) + " zblxork quxnarrd", words(1003, 4000), "", None]

@@ -126,7 +126,7 @@ def mixed_documents(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
 
     Documents without words are not in the mix.
     """
-    by_id = mix_sources(docs, seed, **options).groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("_rate"))
+    by_id = mix_sources(docs, seed, **options).groupBy("doc_id").agg(F.try_divide(F.sum("taken"), F.sum("size")).alias("_rate"))
     u = F.pmod(F.xxhash64(F.lit(seed), F.lit("copies"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     copies = staged(by_id.select(F.col("doc_id").alias("_doc_id"), F.floor(F.col("_rate") + u).cast("int").alias("_copies")).where("_copies > 0"), "copies")
     side = F.broadcast(copies) if copies.count() <= BROADCAST_COPIES else copies
