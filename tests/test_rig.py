@@ -114,6 +114,18 @@ def test_rule_dialects(spark):
     assert got == {"r1": {"A": ["B", "C"]}, "r2": {"A": ["B"]}, "r3": {"A": ["B", "C"]}}
 
 
+def test_two_step_rules_are_contracted(spark):
+    rows = spark.createDataFrame([("r", "A", 0, "DefaultState"), ("r", "DefaultState", 0, "A"), ("r", "DefaultState", 1, "B"), ("r", "B", 0, "A")], "rule_alias string, from_state string, place int, to_state string")
+    assert sorted((r.from_state, r.to_state) for r in rig.contracted(rows).collect()) == [("A", "A"), ("A", "B"), ("B", "A")]
+
+
+def test_switch_audit(spark):
+    changes = rig.line_changes(rig.line_states(events(spark, [(0, 35, 65), (1, 36, 1), (1.01, 36, 64), (1.04, 35, 128)])))
+    role = F.when(F.col("line") == 0, "port").otherwise("odor")
+    rows = rig.switch_audit(changes, {"port 0>odor 0": 10_000, "odor 0>odor 1": 20_000}, 5_000, role).orderBy("t_us").collect()
+    assert [(r.step, r.gap_us, r.ok) for r in rows] == [("port 0>odor 0", 10_000, True), ("odor 0>odor 1", 30_000, False)]
+
+
 def test_rule_map_with_a_state_twice(spark):
     rows = spark.createDataFrame([("r", "A", ["B"]), ("r", "A", ["C"])], "rule_alias string, s string, l array<string>")
     with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):

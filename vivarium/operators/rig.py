@@ -196,12 +196,6 @@ def session_end(events: DataFrame) -> DataFrame:
     return register(events, SESSION_END).groupBy("session_id").agg(F.max("t_us").alias("end_us"))
 
 
-def switch_steps(changes: DataFrame) -> DataFrame:
-    """Changes of lines with the change before them in the session: the gaps of a switch."""
-    w = by_time()
-    return changes.withColumns({"before_line": F.lag("line").over(w), "before_state": F.lag("state").over(w), "gap_us": F.col("t_us") - F.lag("t_us").over(w)})
-
-
 def switch_audit(changes: DataFrame, expected: dict[str, int], tolerance: int, role: Column) -> DataFrame:
     """Gaps between the steps of a switch against the configured times.
 
