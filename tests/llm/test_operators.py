@@ -160,7 +160,7 @@ def test_toxicity_tolerates_gaps_and_edges(spark):
 
 
 def test_page_text(spark):
-    page = '<html><head><title>T</title></head><body><header>Top</header><nav><ul><li>Home</li></ul></nav><div class="ad box">Buy</div><article><h1>A &amp; B</h1><p>One<br>two <b>bold</b>\n x<p>Three&lt;<script>if (a < b) "</p>"</script></p><form>mail</form><section id="comments"><p>first!</p></section></article><aside>side</aside><footer>&copy;</footer>'
+    page = '<html><head><title>T</title></head><body><header>Top</header><nav><ul><li>Home</li></ul></nav><div class="ad box">Buy</div><article><h1>A &amp; B</h1><p>One<br>two <b>bold</b>\n x<p>Three&lt;<script>if (a < b) "</p>"</script></p><form>mail</form><section id="comments"><p>first!</p></section><article class="comment">me too</article><p style="display: none">hid</p></article><aside>side</aside><footer>&copy;</footer>'
     plain = "<html><body><div><p>Same menu</p></div><p>Only {}</p><div>Same foot</div></body></html>"
     rows = [(0, "http://h/1", page), (1, None, None), (2, "x", ""), (3, "http://h/2", "no markup < here")] + [(10 + i, f"http://site/{i}", plain.format(i)) for i in range(8)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")

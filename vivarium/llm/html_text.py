@@ -34,7 +34,7 @@ MIN_PAGES, MIN_SHARE = 5, 0.2
 BROADCAST_HASHES = 4_000_000
 
 _TOKEN = re.compile(r"""<!--(?:.*?-->|.*)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[/a-zA-Z][^>]*+>?|([^<]++|<)""", re.S)
-_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""", re.I)
+_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|style|hidden|aria-hidden)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
 _RAW = frozenset("script style title textarea iframe xmp noembed noframes noscript template svg".split())
@@ -54,9 +54,9 @@ def _drops(tag: str, attributes: str, inside: bool) -> bool:
         return True
     for name, value in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in _ROLES:
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in _ROLES or name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main") and not _NAMES.isdisjoint(re.split("[^a-z0-9]+", value)):
+        if name in ("class", "id") and tag not in ("body", "html", "main") and (tag != "article" or inside) and not _NAMES.isdisjoint(re.split("[^a-z0-9]+", value)):
             return True
     return False
 
