@@ -299,7 +299,7 @@ def train(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, max_t
     # Of each toxic document also what it would score with a character inserted into its two best chunks.
     top = [[bag[i] for i in np.argsort(-model.chunk_scores(bag), kind="stable")[:2]] for bag in bags.values()]
     varied = np.array([np.sort(np.append(model.chunk_scores([_inserted(c) for c in pair]), [-2.0] * (2 - len(pair))))[::-1] for pair in top])
-    scored = sample.mapInArrow(best, "toxic int, first double, second double").orderBy("toxic", "first", "second").toPandas()
+    scored = sample.mapInArrow(best, "toxic int, first double, second double").toPandas().sort_values(["toxic", "first", "second"])
     rows = np.vstack((scored[["first", "second"]].to_numpy(), np.clip(varied, -2, 3)))
     model.calibration = _calibrated(rows, np.concatenate((scored["toxic"].to_numpy(float), np.ones(len(varied)))), np.concatenate((np.ones(len(scored)), np.full(len(varied), VARIANT_WEIGHT))))
     return model
@@ -313,7 +313,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, **
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, mod, rest, **sample))
 
     def judge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in common.batches(parts):
+        for t in common.batches(parts, size=4 << 20):
             ids = common.column(t, "doc_id")
             score = model.value.score(common.column(t, "text"))
             yield pa.RecordBatch.from_arrays([ids, pa.array([held_out(x, mod, rest) for x in ids.to_pylist()], pa.bool_()), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
@@ -326,7 +326,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int =
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, mod, rest, **sample))
 
     def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in common.batches(parts):
+        for t in common.batches(parts, size=4 << 20):
             yield from t.filter(pa.array(model.value.score(common.column(t, "text")) < 0.5)).to_batches()
 
     return docs.mapInArrow(keep, docs.schema)
