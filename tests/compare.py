@@ -5,6 +5,7 @@ import glob
 import os
 
 import duckdb
+import numpy as np
 import pandas as pd
 
 
@@ -20,6 +21,8 @@ def rows(df: pd.DataFrame) -> list[tuple]:
     def text(v):
         if v is None or v is pd.NA or v is pd.NaT or isinstance(v, float) and v != v:
             return "~"
-        return f"{float(v):.9g}" if isinstance(v, (float, int, decimal.Decimal)) and not isinstance(v, bool) else str(v)
+        if isinstance(v, (bool, np.bool_)) or not isinstance(v, (int, float, decimal.Decimal, np.number)):
+            return str(v)
+        return str(int(v)) if v == int(v) else f"{float(v):.9g}"
 
     return sorted(tuple(text(v) for v in r) for r in df[sorted(df.columns)].itertuples(index=False))
