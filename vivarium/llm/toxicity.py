@@ -149,8 +149,8 @@ class Model:
 def _features(strings: list[str], ids: np.ndarray, space: np.ndarray | None = None) -> np.ndarray:
     """The normalised weights of the given three characters in each string (its first window), or their image in a space."""
     out = np.zeros((len(strings), len(ids) if space is None else space.shape[1]), np.float32)
-    for i in range(0, len(strings), 500):
-        part = [s[:WINDOW] for s in strings[i : i + 500]]
+    for i in range(0, len(strings), 250):
+        part = [s[:WINDOW] for s in strings[i : i + 250]]
         classes, at, _ = _coded(part)
         row = np.repeat(np.arange(len(part)), np.diff(at))
         cells, weights = [], []
@@ -161,7 +161,7 @@ def _features(strings: list[str], ids: np.ndarray, space: np.ndarray | None = No
             weights.append(np.full(len(cells[-1]), weight))
         total = np.bincount(np.concatenate(cells), weights=np.concatenate(weights), minlength=len(part) * len(ids))
         rows = total.reshape(len(part), -1) / _norm(np.diff(at))[:, None]
-        out[i : i + 500] = rows if space is None else rows @ space
+        out[i : i + 250] = rows if space is None else rows @ space
     return out
 
 
@@ -190,8 +190,8 @@ def _inserted(chunk: str) -> str:
     return chunk[:at] + "abcdefghijklmnopqrstuvwxyz0123456789"[(h >> 8) % 36] + chunk[at:]
 
 
-def learn(bags: list[list[str]], clean: list[str], rounds: int = 6, landmarks: int = LANDMARKS, hard: int = 3000) -> tuple[np.ndarray, float]:
-    """bags: the candidate chunks of each toxic document. clean: all chunks of clean sentences, frequent ones first.
+def learn(bags: list[list[str]], clean: list[str], rounds: int = 6, landmarks: int = LANDMARKS, hard: int = 3000, first_round: int = 6000) -> tuple[np.ndarray, float]:
+    """bags: the candidate chunks of each toxic document. clean: all chunks of clean sentences, frequent ones first. first_round: about half as many candidates as the first round takes.
 
     Each round after the first adds the `hard` clean chunks that the machine scores highest to its negatives. Returns the
     folded weights and the bias.
@@ -208,7 +208,7 @@ def learn(bags: list[list[str]], clean: list[str], rounds: int = 6, landmarks: i
     for _ in range(rounds):
         if score is None:
             share = np.bincount(np.concatenate(members), weights=np.concatenate([np.full(len(m), 1 / len(m)) for m in members]), minlength=len(candidates))
-            chosen = np.arange(len(candidates))
+            chosen = np.unique(np.concatenate((rank[:first_round], rank[first_round :: max(1, len(rank) // first_round)])))
         else:  # landmarks move to the chunks that stand for toxic sentences, and to the clean ones nearest to them
             share = np.bincount(np.concatenate([m[np.argsort(-score[m], kind="stable")[:2]] for m in members]), minlength=len(candidates)).astype(float)
             chosen = np.flatnonzero(share)
