@@ -70,6 +70,22 @@ def test_jaccard_against_brute_force(spark, seed):
     assert got == brute_components(texts)
 
 
+def test_jaccard_isolated_pairs(spark):
+    """Pairs of texts that share no frequent shingle, with words appended, inserted or changed: sets of 10 to 300 shingles around the threshold."""
+    texts = []
+    for k, (n, edits) in enumerate((n, e) for n in (10, 11, 20, 29, 30, 50, 77, 120, 200, 300) for e in range(6)):
+        r = random.Random(k)
+        w = [f"p{k}v{i}" for i in range(n + 4)]
+        v = w[:]
+        for e in range(max(1, edits - 2)):
+            at = (len(v), 0, r.randrange(len(v)))[min(edits, 2)]
+            v[at : at + (edits > 3)] = [f"p{k}e{e}"]
+        texts += [" ".join(w), " ".join(v)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs(spark, texts)).collect())
+    want = brute_components(texts)
+    assert got == want and 30 < sum(i != c for i, _, c in want) < 60
+
+
 def test_jaccard_repeats_nulls_and_empty(spark):
     d = docs(spark, ["a b c d e f", "a b c d e f", "z"])
     both = d.unionByName(d).unionByName(d.limit(1).selectExpr("cast(null as long) as doc_id", *d.columns[1:]))

@@ -4,8 +4,8 @@ Sets of equal shingles are one set. Shingles are ordered: those held by over FRE
 similarity 0.8 share one of the first n - ceil(0.8 n) + 1 of each (prefix filter). A set's prefix is indexed.
 
 Skipping by position: an index list is sorted by set size, so that for each set the block of partners of a fitting size is found by
-binary search and the rest of the list is skipped; entries whose positions leave too few shingles are skipped too. Pairs are
-counted over all lists, and what they can still share after their prefixes bounds their overlap.
+binary search and the rest of the list is skipped; entries are skipped too if the shingles before and after them are too few for
+any link. Pairs are counted over all lists, and what they can still share after the last shared shingle of their prefixes bounds their overlap.
 
 Skipping by answers: in the list of a frequent shingle no pairs are made; each set is only compared with a few leaders of the list.
 What is still open after that are pairs of different components; their answers are derived from the answers of a
@@ -160,11 +160,14 @@ def _list_pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in blocks:
         x = np.repeat(part, count[part])
         y = common.ragged(part + 1, count[part])
-        enough = 9 * (1 + np.minimum(n[x] - pos[x] - 1, n[y] - pos[y] - 1)) >= 4 * (n[x] + n[y])
-        x, y = x[enough], y[enough]
+        left = np.minimum(n[x] - pos[x], n[y] - pos[y]) - 1
+        # No more than min(pos) shingles are shared before this one: whatever fails here is no link, so each link keeps its full count.
+        enough = 9 * (np.minimum(pos[x], pos[y]) + 1 + left) >= 4 * (n[x] + n[y])
+        x, y, left = x[enough], y[enough], left[enough]
         swap = doc[x] > doc[y]
         a, b = np.where(swap, y, x), np.where(swap, x, y)
-        rest = np.maximum(need(n[a]), need(n[b])) - 1 + np.minimum(hot[a], hot[b])
+        # All that a pair shares and isn't counted comes after the last shingle that is, and is in a suffix or frequent.
+        rest = np.minimum(left, np.maximum(need(n[a]), need(n[b])) - 1 + np.minimum(hot[a], hot[b]))
         yield pa.RecordBatch.from_arrays([pa.array(doc[a]), pa.array(doc[b]), pa.array((-(-4 * (n[a] + n[b]) // 9) - rest).astype(np.int64))], names=["a", "b", "least"])
 
 
@@ -172,7 +175,7 @@ def cold_pairs(single: DataFrame, tasks: int) -> DataFrame:
     """a, b: pairs that share enough rare shingles of their prefixes to be similar, perhaps with their frequent ones."""
     rows = single.select("doc_id", "n", "hot", F.posexplode("prefix").alias("pos", "h"), F.size("prefix").alias("size")).where(F.col("pos") < F.col("size") - F.col("hot"))
     lists = rows.select("h", F.col("doc_id").alias("doc"), "n", "pos", "hot").repartition(tasks, "h")
-    return lists.mapInArrow(_list_pairs, "a long, b long, least long").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("least").alias("least")).where("c >= least").select("a", "b")
+    return lists.mapInArrow(_list_pairs, "a long, b long, least long").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.max("least").alias("least")).where("c >= least").select("a", "b")
 
 
 def hot_postings(single: DataFrame) -> DataFrame:
