@@ -355,6 +355,22 @@ def test_pseudonyms(spark):
     assert pseudonyms.pseudonymised(d.limit(0)).count() == 0
 
 
+def test_pseudonyms_beside_digits(spark):
+    card, token = "4111 1111 1111 1111", "0123456789ABCDEF" * 2 + "01234567"
+    cases = [
+        (f"{card} 123", card, "card"), ("4111111111111111 12/27", "4111111111111111", "card"), ("12345 123-45-6789", "123-45-6789", "ssn"), ("123 2020-05-06 14:00", "2020-05-06", "date"),
+        (f"1234 {card} x", card, "card"), (f"12345678 {card}", card, "card"), ("4111111111111111 31.12.1999", "31.12.1999", "card,date"), (f"{card} 5500 0000 0000 0004", "5500 0000 0000 0004", "card,card"),
+        ("order 77 378282246310005 9", "378282246310005", "card"), (f"TOKEN {token}", token, "secret"), ("call (017) 555-7713", "555-7713", "phone"), ("call 017-555-7713.", "017-555-7713", "phone"),
+        ("4111 1111 1111 1112 123", "none", ""), ("1 2 " * 4000 + "x", "none", ""),
+    ]
+    got = {r.doc_id: r for r in pseudonyms.pseudonymised(docs(spark, [t for t, _, _ in cases]), "k").collect()}
+    for i, (text, value, kinds) in enumerate(cases):
+        assert value not in got[i].text and len(got[i].text) == len(text)
+        if i < 13:
+            assert got[i].kinds == kinds
+    assert got[12].text == cases[12][0] and re.fullmatch("TOKEN [0-9A-F]{40}", got[9].text)
+
+
 def test_permutations_of_formats(spark):
     from pyspark.sql import functions as F
 

@@ -18,14 +18,20 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
-SECRET = r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])"
+SECRET = r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])"
 IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![0-9A-Za-z])"
 PHONE = r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+NATIONAL = r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\) ?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9-])"
 IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
 DATE = r"(?<![0-9])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./](?:19|20)[0-9]{2})(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-ANY = "|".join((EMAIL, SECRET, IBAN, PHONE, IPV4, DATE, SSN, CARD))
+#: Cards as they are usually written: in one piece, 4-4-4-4, 4-6-5, 4-6-4; and with a last group of one to three digits.
+SHAPED = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9])"
+LONG = r"(?<![0-9])[0-9]{4}(?:[ -][0-9]{4}){2,3}[ -][0-9]{1,3}(?![0-9])"
+#: A run of numbers of any length, up to a dotted date or address; cards, and what stands beside them, are looked for inside.
+RUN = r"(?<![0-9])[0-9][0-9 -]{11,}[0-9](?![0-9]|[./][0-9]{1,3}[./][0-9])"
+ANY = "|".join((EMAIL, SECRET, IBAN, PHONE, NATIONAL, IPV4, DATE, SSN, RUN))
 KINDS = ("email", "secret", "iban", "phone", "ipv4", "date", "ssn", "card")
 _DAYS = 73049  # 1900-01-01 .. 2099-12-31
 _HEX = "0123456789abcdef"
@@ -111,11 +117,11 @@ def kind_of(m: Column) -> Column:
         F.when(m.contains("@"), "email")
         .when(m.rlike(f"^{SECRET}$"), "secret")
         .when(m.rlike("^[A-Z]"), F.when(iban, "iban"))
-        .when(m.startswith("+"), "phone")
+        .when(m.startswith("+") | m.rlike(f"^{NATIONAL}$"), "phone")
         .when(m.rlike(f"^{IPV4}$"), F.when(ip, "ipv4"))
         .when(m.rlike(f"^{DATE}$"), F.when(_day(m).isNotNull(), "date"))
         .when(m.rlike(f"^{SSN}$"), F.when(ssn, "ssn"))
-        .when(_luhn_digit(F.substring(_digits(m), F.lit(1), F.length(_digits(m)) - 1)) == F.right(_digits(m), F.lit(1)), "card")
+        .when(F.length(_digits(m)).between(13, 19) & (_luhn_digit(F.substring(_digits(m), F.lit(1), F.length(_digits(m)) - 1)) == F.right(_digits(m), F.lit(1))), "card")
     )
 
 
@@ -142,13 +148,14 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     date = F.when(m.rlike("^[0-9]{4}-"), F.date_format(day, "yyyy-MM-dd")).otherwise(F.concat_ws("", pad(F.dayofmonth(day), parts[0]), sep, pad(F.month(day), parts[1]), sep, F.year(day).cast("string")))
     valid = lambda s: ~s.rlike("^(000|666|9)|^...00|0000$")
     ssn = F.aggregate(F.sequence(F.lit(1), F.lit(64)), permuted_text(_digits(m), key, "ssn"), lambda s, _: F.when(valid(s), s).otherwise(permuted_text(s, key, "ssn")))
+    secret = permuted_text(F.lower(m), key, "secret", hexadecimal=True)
     digits = _digits(m)
     body = permuted_text(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card")
     country = F.regexp_extract(m, r"^\+[0-9]{1,3}?(?=[ .(-])", 0)
     rest = F.substring(m, F.length(country) + 1, F.length(m))
     return (
         F.when(kind == "email", F.concat(permuted_text(local, key, "email"), F.substring(m, at, F.length(m))))
-        .when(kind == "secret", permuted_text(m, key, "secret", hexadecimal=True))
+        .when(kind == "secret", F.when(m.rlike("[A-F]") & ~m.rlike("[a-f]"), F.upper(secret)).otherwise(secret))
         .when(kind == "iban", refilled(m, F.concat(F.substring(compact, F.lit(1), F.lit(2)), check, bban), "[0-9A-Z]"))
         .when(kind == "phone", F.concat(country, refilled(rest, permuted_text(_digits(rest), key, "phone"))))
         .when(kind == "ipv4", F.concat_ws(".", *(F.pmod(F.shiftright(ip, s), F.lit(256)).cast("string") for s in (24, 16, 8, 0))))
@@ -158,17 +165,43 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     )
 
 
+def values_in(m: Column) -> Column:
+    """The values of a run of numbers, likely forms first: dates, SSNs and phones, cards of the usual shapes from every number on, any others."""
+    at = lambda p: F.regexp_extract_all(m, F.lit(f"(?=({p}))"), 1)
+    inside = F.concat(at(f"{DATE}|{SSN}|{NATIONAL}"), at(SHAPED), at(LONG), F.regexp_extract_all(m, F.lit(CARD), 0))
+    whole = m.rlike(f"^(?:{SHAPED}|{LONG})$") & kind_of(m).isNotNull()
+    return F.when(whole, F.array(m)).otherwise(F.filter(F.array_distinct(inside), lambda v: kind_of(v).isNotNull()))
+
+
+def _mark(i: Column) -> Column:
+    return F.concat(F.lit("<"), F.translate(i.cast("string"), "0123456789", "abcdefghij"), F.lit(">"))
+
+
+def treated(m: Column, key: str) -> Column:
+    """A find as kinds, in order, and new: with each of its valid values replaced. A run of numbers may have several."""
+    kind = kind_of(m)
+    one = F.struct(F.when(kind.isNull(), F.array().cast("array<string>")).otherwise(F.array(kind)).alias("kinds"), F.when(kind.isNull(), m).otherwise(pseudonym(m, kind, key)).alias("new"))
+    # Values are marked first, so that none is replaced twice.
+    seen = F.transform(F.array(values_in(m)), lambda v: F.struct(v.alias("v"), F.aggregate(F.sequence(F.lit(0), F.size(v)), m, lambda s, i: F.when(i < F.size(v), F.replace(s, F.get(v, i), _mark(i))).otherwise(s)).alias("s")))
+    split = F.transform(seen, lambda x: F.struct(x["v"].alias("v"), x["s"].alias("s"), F.regexp_extract_all(x["s"], F.lit("<[a-j]+>"), 0).alias("marks")))
+
+    def put(x: Column) -> Column:
+        held = F.transform(x["marks"], lambda k: F.get(x["v"], F.translate(F.translate(k, "<>", ""), "abcdefghij", "0123456789").cast("int")))
+        new = F.transform(held, lambda v: pseudonym(v, kind_of(v), key))
+        return F.struct(F.transform(held, lambda v: kind_of(v)).alias("kinds"), F.array_join(F.zip_with(F.split(x["s"], "<[a-j]+>", -1), new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "").alias("new"))
+
+    return F.when(m.rlike(f"^{RUN}$") & ~m.rlike(f"^(?:{SECRET}|{DATE}|{SSN}|{NATIONAL})$"), F.get(F.transform(split, put), F.lit(0))).otherwise(one)
+
+
 def pseudonymised(docs: DataFrame, key: str = "change-this-key") -> DataFrame:
     """One row per document: doc_id, n_private, kinds (the kind of each find, in order), text.
 
-    The distinct finds of the text are permuted once; the text is split at its finds and joined again.
+    The text is split at its finds and joined again.
     """
     found = F.regexp_extract_all("text", F.lit(ANY), 0)
     rows = docs.select("doc_id", "text", F.coalesce(found, F.array().cast("array<string>")).alias("found"))
-    rows = rows.withColumn("kind", F.transform("found", lambda m: kind_of(m)))
-    new = F.transform(F.arrays_zip("found", "kind"), lambda x: F.when(x["kind"].isNull(), x["found"]).otherwise(pseudonym(x["found"], x["kind"], key)))
-    rows = rows.withColumn("new", new)
-    joined = F.array_join(F.zip_with(F.split("text", ANY, -1), F.col("new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    rows = rows.withColumn("done", F.transform("found", lambda m: treated(m, key)))
+    joined = F.array_join(F.zip_with(F.split("text", ANY, -1), F.col("done.new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     text = F.when(F.size("found") == 0, F.col("text")).otherwise(joined)
-    kinds = F.filter("kind", lambda k: k.isNotNull())
+    kinds = F.flatten("done.kinds")
     return rows.select("doc_id", F.size(kinds).cast("long").alias("n_private"), F.array_join(kinds, ",").alias("kinds"), text.alias("text"))
