@@ -286,6 +286,19 @@ def test_scores_edges(spark):
     assert context_mixing.score_texts(d.limit(0)).count() == 0
 
 
+def _scores_with(monkeypatch, spark, limit, value):
+    d = docs(spark, [words(i, 60) for i in range(30)])
+    read = lambda: [r.score for r in context_mixing.score_texts(d).orderBy("doc_id").collect()]
+    want = read()
+    monkeypatch.setattr(context_mixing, limit, value, raising=False)
+    return read(), want
+
+
+def test_long_contexts_count_all_pairs(spark, monkeypatch):
+    got, want = _scores_with(monkeypatch, spark, "LONG_PAIRS", 10)
+    assert got == pytest.approx(want, rel=1e-4)
+
+
 def test_bits_are_code_lengths():
     """Over all bytes that can follow a prefix, the chances add to one."""
     model = context_mixing.learn(np.zeros((context_mixing.SLOTS, 2), np.float32), np.zeros(2, np.int64), pa.array(["ab ", "ac "], pa.large_string()), np.ones(2), np.ones(2))

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -41,8 +41,6 @@ SLOT_BITS = (9, 14, 16, 18, 18)
 CLASSES = 16
 #: Tokens whose counts are broadcast for the base score; pairs from which the weights are learned.
 HEAVY, MIX_PAIRS = 200_000, 120_000
-#: About how many pairs, the most frequent, are counted in the slots of the two longest contexts.
-LONG_PAIRS = 400_000
 _K = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.concatenate(([0], np.cumsum([16 << b for b in SLOT_BITS]))).astype(np.int64)
 SLOTS = int(_BASE[-1])
@@ -182,11 +180,11 @@ def _odds(ones: np.ndarray, both: np.ndarray) -> np.ndarray:
     return np.log((ones + np.float32(0.3)) / (both - ones + np.float32(0.3)))
 
 
-def learn(counts: np.ndarray, classes: np.ndarray, strings: pa.Array, n: np.ndarray, weight: np.ndarray, least: int = 1, seed: int = 5) -> Model:
+def learn(counts: np.ndarray, classes: np.ndarray, strings: pa.Array, n: np.ndarray, weight: np.ndarray, seed: int = 5) -> Model:
     """Weights and map, online over the pairs in a pseudorandom order.
 
-    counts: zeros and ones of each slot. n: a pair's count, weight: how much it stands for. Pairs of at least `least`
-    are in the counts of the two longest contexts, and one of each pair is left out of them while it is predicted.
+    counts: zeros and ones of each slot. n: a pair's count, weight: how much it stands for. One of each pair is left out
+    of the counts while it is predicted.
     """
     ones, both = counts[:, 1], counts[:, 0] + counts[:, 1]
     inputs = len(SLOT_BITS) + 1
@@ -200,10 +198,8 @@ def learn(counts: np.ndarray, classes: np.ndarray, strings: pa.Array, n: np.ndar
             continue
         nodes = Nodes(classes[part], strings.take(pa.array(part)))
         mass = nodes.mass(weight[part])
-        counted = nodes.mass((n[part] >= least).astype(float)) > 0
         for slots, bit in nodes.decisions():
-            own = [np.ones(len(bit), bool)] * 3 + [counted] * 2
-            left = [(np.maximum(ones[x] - bit * o, 0), np.maximum(both[x] - o, 0)) for x, o in zip(slots, own, strict=True)]
+            left = [(np.maximum(ones[x] - bit, 0), np.maximum(both[x] - 1, 0)) for x in slots]
             left = [(np.minimum(a, b), b) for a, b in left]
             gate = gates(_level(left[3][1]), _level(left[4][1]))
             x = np.stack([*(_odds(a, b) for a, b in left), np.ones(len(bit))], axis=1)
@@ -239,18 +235,18 @@ def pair_counts(docs: DataFrame, mod: int = 7, rest: int = 2) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(count, "token string, before int, n long").groupBy("token", "before").agg(F.sum("n").alias("n"))
 
 
-def slot_counts(pair: DataFrame, least: int = 1) -> np.ndarray:
-    """The zeros and ones of every slot, added over all pairs; a table of fixed size. Pairs of fewer than `least` are left to the shorter contexts."""
+def slot_counts(pair: DataFrame) -> np.ndarray:
+    """The zeros and ones of every slot, added over all pairs; a table of fixed size."""
 
     def gather(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS * 2, np.float32)
         for t in common.batches(parts, rows=25_000, size=1 << 20):
             n = t.column("n").to_numpy().astype(np.float64)
             nodes = Nodes(t.column("before").to_numpy(), common.column(t, "token").cast(pa.large_string()))
-            mass, frequent = (nodes.mass(x).astype(np.float32) for x in (n, n * (n >= least)))
+            mass = nodes.mass(n).astype(np.float32)
             for slots, bit in nodes.decisions():
-                for i, x in enumerate(slots):
-                    np.add.at(total, x * 2 + bit, mass if i < 3 else frequent)
+                for x in slots:
+                    np.add.at(total, x * 2 + bit, mass)
         rows = total.reshape(-1, BLOCK * 2)
         some = np.flatnonzero(rows.any(axis=1))
         for part in np.array_split(some, max(1, len(some) // 64)):
@@ -283,14 +279,13 @@ def score_texts(docs: DataFrame, mod: int = 7, rest: int = 2, rows_per_task: int
     total, size = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
 
     # The model: slot counts from all pairs; weights from the most frequent pairs and a sample of the others.
-    least = 1 + (pair.groupBy("n").agg(F.count(F.lit(1)).alias("k")).where(F.col("n") < 64).withColumn("more", F.sum("k").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow))).where(F.col("more") > LONG_PAIRS).agg(F.max("n")).first()[0] or 0)
-    counts = slot_counts(pair.coalesce(max(2, -(-n_pairs // rows_per_task))), least)
+    counts = slot_counts(pair.coalesce(max(2, -(-n_pairs // rows_per_task))))
     top = pair.orderBy(F.desc("n"), "token", "before").limit(MIX_PAIRS // 3)
     part = min(1.0, MIX_PAIRS / 3 / max(1, n_pairs))
     line = top.agg(F.min("n")).first()[0] or 0
     drawn = pair.where(F.pmod(F.xxhash64("token", "before"), F.lit(1 << 20)) < int(part * (1 << 20)) + 1).where(F.col("n") < line)
     chosen = top.withColumn("weight", F.col("n").cast("double")).unionByName(drawn.withColumn("weight", F.col("n") / F.lit(part))).toPandas()
-    learned = learn(counts, chosen["before"].to_numpy(np.int64), pa.array(chosen["token"], pa.large_string()), chosen["n"].to_numpy(), chosen["weight"].to_numpy(), least)
+    learned = learn(counts, chosen["before"].to_numpy(np.int64), pa.array(chosen["token"], pa.large_string()), chosen["n"].to_numpy(), chosen["weight"].to_numpy())
     once = vocabulary.where("c = 1").count()
     learned.escape = min(0.5, max(once, 1) / max(1.0, float(total)))
     model = spark.sparkContext.broadcast(learned)
