@@ -299,6 +299,11 @@ def test_long_contexts_count_all_pairs(spark, monkeypatch):
     assert got == pytest.approx(want, rel=1e-4)
 
 
+def test_weights_are_learned_from_all_pairs(spark, monkeypatch):
+    got, want = _scores_with(monkeypatch, spark, "MIX_PAIRS", 30)
+    assert got == pytest.approx(want, rel=1e-4)
+
+
 def test_bits_are_code_lengths():
     """Over all bytes that can follow a prefix, the chances add to one."""
     model = context_mixing.learn(np.zeros((context_mixing.SLOTS, 2), np.float32), np.zeros(2, np.int64), pa.array(["ab ", "ac "], pa.large_string()), np.ones(2), np.ones(2))

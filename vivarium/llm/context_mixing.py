@@ -5,8 +5,8 @@ and each byte as eight binary decisions. Each decision is predicted from five ha
 bytes of the token, the whole token so far, and that together with a class of the token before). A context's
 slot holds how often a 1 and a 0 followed in the training tokens; its prediction is stretched (log odds), the
 stretched predictions are added with weights from the set that a gate selects (how well the two longest contexts are known),
-and the sum is refined by an adaptive probability map over gate and sum. The weights and the map are learned online, in one pass
-over a sample of training pairs, each left out of its own counts. 
+and the sum is refined by an adaptive probability map over gate and sum. The weights and the map are learned online by tasks, in one
+pass over all training pairs, each left out of its own counts, and merged.
 bits_per_byte is the rate of this code over the whole text. score has the events of the base score, the known tokens and one for
 all unknown words: a token that some training document holds costs its bits and that it is known, any other only that it is
 unknown, whose chance is the share of training tokens that occur once (Good and Turing's estimate).
@@ -39,8 +39,8 @@ from . import common
 SLOT_BITS = (9, 14, 16, 18, 18)
 #: Classes of the token before: a hash of its last two bytes, 0 at the start.
 CLASSES = 16
-#: Tokens whose counts are broadcast for the base score; pairs from which the weights are learned.
-HEAVY, MIX_PAIRS = 200_000, 120_000
+#: Tokens whose counts are broadcast for the base score.
+HEAVY = 200_000
 _K = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.concatenate(([0], np.cumsum([16 << b for b in SLOT_BITS]))).astype(np.int64)
 SLOTS = int(_BASE[-1])
@@ -180,43 +180,80 @@ def _odds(ones: np.ndarray, both: np.ndarray) -> np.ndarray:
     return np.log((ones + np.float32(0.3)) / (both - ones + np.float32(0.3)))
 
 
-def learn(counts: np.ndarray, classes: np.ndarray, strings: pa.Array, n: np.ndarray, weight: np.ndarray, seed: int = 5) -> Model:
-    """Weights and map, online over the pairs in a pseudorandom order.
+def fitted(counts: np.ndarray, parts, seed: int = 5):
+    """What one task learns, online over its pairs in a pseudorandom order: weights, mass of each gate, and hits and mass of each cell of the map.
 
-    counts: zeros and ones of each slot. n: a pair's count, weight: how much it stands for. One of each pair is left out
-    of the counts while it is predicted.
+    counts: zeros and ones of each slot. parts: classes, strings and weight (how much a pair stands for) of some pairs each. One of
+    each pair is left out of the counts while it is predicted.
     """
-    ones, both = counts[:, 1], counts[:, 0] + counts[:, 1]
     inputs = len(SLOT_BITS) + 1
     w = np.full((GATES, inputs), 0.25)
     w[:, -1] = 0
     grown = np.full_like(w, 1e-3)
-    hits, seen = np.zeros(GATES * _MAP), np.zeros(GATES * _MAP)
-    order = np.random.default_rng(seed).permutation(len(n))
-    for part in np.array_split(order, max(1, len(order) // 1000)):
-        if not len(part):
-            continue
-        nodes = Nodes(classes[part], strings.take(pa.array(part)))
-        mass = nodes.mass(weight[part])
-        for slots, bit in nodes.decisions():
-            left = [(np.maximum(ones[x] - bit, 0), np.maximum(both[x] - 1, 0)) for x in slots]
-            left = [(np.minimum(a, b), b) for a, b in left]
-            gate = gates(_level(left[3][1]), _level(left[4][1]))
-            x = np.stack([*(_odds(a, b) for a, b in left), np.ones(len(bit))], axis=1)
-            s = (w[gate] * x).sum(axis=1)
-            error = (bit - _squash(s)) * mass
-            step = np.stack([np.bincount(gate, weights=error * x[:, i], minlength=GATES) for i in range(inputs)], axis=1) / max(mass.sum(), 1e-9)
-            grown += step**2
-            w += 0.05 * step / np.sqrt(grown)
-            cell = gate * _MAP + _cell(s)
-            hits += np.bincount(cell, weights=mass * bit, minlength=len(hits))
-            seen += np.bincount(cell, weights=mass, minlength=len(hits))
+    gated, hits, seen = np.zeros(GATES), np.zeros(GATES * _MAP), np.zeros(GATES * _MAP)
+    random, done, total = np.random.default_rng(seed), 0, 0.0
+    for classes, strings, weight in parts:
+        total += float(weight.sum())
+        order = random.permutation(len(weight))
+        # Steps grow with what is known, so that later pairs cost less.
+        for part in np.array_split(order, max(1, len(order) // max(1000, min(8000, done // 20)))):
+            done += len(part)
+            if not len(part):
+                continue
+            nodes = Nodes(classes[part], strings.take(pa.array(part)))
+            mass = nodes.mass(weight[part])
+            for slots, bit in nodes.decisions():
+                left = [(np.maximum(counts[x, 1] - bit, 0), np.maximum(counts[x, 0] + counts[x, 1] - 1, 0)) for x in slots]
+                left = [(np.minimum(a, b), b) for a, b in left]
+                gate = gates(_level(left[3][1]), _level(left[4][1]))
+                x = np.stack([*(_odds(a, b) for a, b in left), np.ones(len(bit))], axis=1)
+                s = (w[gate] * x).sum(axis=1)
+                error = (bit - _squash(s)) * mass
+                step = np.stack([np.bincount(gate, weights=error * x[:, i], minlength=GATES) for i in range(inputs)], axis=1) / max(mass.sum(), 1e-9)
+                grown += step**2
+                w += 0.05 * step / np.sqrt(grown)
+                cell = gate * _MAP + _cell(s)
+                gated += np.bincount(gate, weights=mass, minlength=GATES)
+                hits += np.bincount(cell, weights=mass * bit, minlength=len(hits))
+                seen += np.bincount(cell, weights=mass, minlength=len(hits))
+    return w, gated, hits, seen, total
+
+
+def merged(counts: np.ndarray, learned) -> Model:
+    """The model of what tasks learned: each gate's weights are their mean by the gate's mass, the map is added."""
+    w, gated, hits, seen, total = np.zeros((GATES, len(SLOT_BITS) + 1)), np.zeros(GATES), np.zeros(GATES * _MAP), np.zeros(GATES * _MAP), 0.0
+    for v, g, h, m, t in learned:
+        w, gated, hits, seen, total = w + v * (g[:, None] + 1e-9), gated + g + 1e-9, hits + h, seen + m, total + t
+    w /= np.maximum(gated, 1e-12)[:, None]
     prior = np.tile(_squash(np.linspace(-8, 8, _MAP)), GATES)
-    strength = max(float(weight.sum()) * 1e-6, 1e-6)
+    strength = max(total * 1e-6, 1e-6)
     refine = np.clip((hits + prior * strength) / (seen + strength), 1e-6, 1 - 1e-6)
+    ones, both = counts[:, 1], counts[:, 0] + counts[:, 1]
     return Model(_odds(ones, both).astype(np.float16), _level(both), [x.astype(np.float32) for x in w.T], refine.astype(np.float32))
 
 
+def learn(counts: np.ndarray, classes: np.ndarray, strings: pa.Array, n: np.ndarray, weight: np.ndarray, seed: int = 5) -> Model:
+    """The model of some pairs, learned in one place."""
+    return merged(counts, [fitted(counts, [(classes, strings, weight)], seed)])
+
+
+def learned_from(pair: DataFrame, counts: np.ndarray, tasks: int) -> Model:
+    """The model of all pairs: each task learns from its pairs, in the order of a hash; a row of fixed size a task is merged."""
+    shared = pair.sparkSession.sparkContext.broadcast(counts)
+
+    def fit(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((t.column("before").to_numpy().astype(np.int64), common.column(t, "token").cast(pa.large_string()), t.column("n").to_numpy().astype(np.float64)) for t in common.batches(parts, rows=25_000, size=1 << 20))
+        w, gated, hits, seen, total = fitted(shared.value, rows)
+        yield pa.RecordBatch.from_pydict({"learned": pa.array([np.concatenate((w.ravel(), gated, hits, seen, [total])).tobytes()], pa.binary())})
+
+    rows = pair.select("token", "before", "n").repartition(tasks, "token", "before").sortWithinPartitions(F.xxhash64("token", "before"), "token", "before")
+    ends = np.cumsum([GATES * (len(SLOT_BITS) + 1), GATES, GATES * _MAP, GATES * _MAP])
+    split = (np.split(np.frombuffer(r[0], np.float64), ends) for r in common.staged(rows.mapInArrow(fit, "learned binary"), "learned").toLocalIterator())
+    model = merged(counts, ((v.reshape(GATES, -1), g, h, m, float(t[0])) for v, g, h, m, t in split))
+    shared.destroy()
+    return model
+
+
 def _held(doc_id, mod: int, rest: int) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % mod == rest
 
@@ -278,14 +315,9 @@ def score_texts(docs: DataFrame, mod: int = 7, rest: int = 2, rows_per_task: int
     n_pairs = pair.count()
     total, size = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
 
-    # The model: slot counts from all pairs; weights from the most frequent pairs and a sample of the others.
+    # The model: slot counts from all pairs; weights and map from all pairs too.
     counts = slot_counts(pair.coalesce(max(2, -(-n_pairs // rows_per_task))))
-    top = pair.orderBy(F.desc("n"), "token", "before").limit(MIX_PAIRS // 3)
-    part = min(1.0, MIX_PAIRS / 3 / max(1, n_pairs))
-    line = top.agg(F.min("n")).first()[0] or 0
-    drawn = pair.where(F.pmod(F.xxhash64("token", "before"), F.lit(1 << 20)) < int(part * (1 << 20)) + 1).where(F.col("n") < line)
-    chosen = top.withColumn("weight", F.col("n").cast("double")).unionByName(drawn.withColumn("weight", F.col("n") / F.lit(part))).toPandas()
-    learned = learn(counts, chosen["before"].to_numpy(np.int64), pa.array(chosen["token"], pa.large_string()), chosen["n"].to_numpy(), chosen["weight"].to_numpy())
+    learned = learned_from(pair, counts, max(2, -(-n_pairs // rows_per_task)))
     once = vocabulary.where("c = 1").count()
     learned.escape = min(0.5, max(once, 1) / max(1.0, float(total)))
     model = spark.sparkContext.broadcast(learned)
