@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -10,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +50,24 @@ def drop_staged(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+#: Bytes of the batches that Spark hands to Python; by default they have 10000 rows, however long these are.
+ARROW_BYTES = 1 << 20
+
+
+def mapped(df: DataFrame, f, schema: str | StructType) -> DataFrame:
+    """mapInArrow over batches of about ARROW_BYTES. The size is a setting of the session, and stays set, as Spark reads it when the plan runs."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    return df.mapInArrow(f, schema)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: Spark uses a Python worker for many tasks, of other stages too."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_C, "malloc_trim"):
+        _C.malloc_trim(0)
+
+
+_C = ctypes.CDLL(None)
 #: Byte maps. LOWER lower-cases A-Z. ALNUM also makes a space of every ASCII byte that is no letter or digit.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 ALNUM = bytes(LOWER[b] if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -98,10 +118,10 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - lengths - starts, lengths)
 
 
-def batches(parts: Iterator[pa.RecordBatch], rows: int = 20_000, size: int = 8 << 20) -> Iterator[pa.Table]:
+def batches(parts: Iterator[pa.RecordBatch], rows: int = 20_000, size: int = 2 << 20) -> Iterator[pa.Table]:
     """Joins the small batches of a task to tables of a bounded number of rows and bytes; a single larger row stands alone."""
     held: list[pa.RecordBatch] = []
-    n = b = 0
+    n = b = made = 0
     for part in parts:
         step = max(1, int(part.num_rows * size / max(part.nbytes, 1)))
         for i in range(0, part.num_rows, step):
@@ -111,8 +131,12 @@ def batches(parts: Iterator[pa.RecordBatch], rows: int = 20_000, size: int = 8 <
             if n >= rows or b >= size:
                 yield pa.Table.from_batches(held)
                 held, n, b = [], 0, 0
+                if (made := made + 1) % 8 == 0:
+                    give_back()
     if held:
         yield pa.Table.from_batches(held)
+    held.clear()
+    give_back()
 
 
 def column(t: pa.Table, name: str) -> pa.Array:

@@ -24,6 +24,8 @@ a frame each. An empty table gives no shards and an empty result. Other columns
 
 from __future__ import annotations
 
+import functools
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -68,6 +70,22 @@ def frames(data: bytes) -> Iterator[tuple[int, bytes]]:
         at += 16 + n
 
 
+@functools.lru_cache(maxsize=1)
+def _tokenizer(path: str):
+    """The tokenizer, and how many bytes each id stands for. A task has one core, so it starts no threads."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    vocab = tokenizer.get_vocab(with_added_tokens=True)
+    lengths = np.zeros(max(vocab.values()) + 1, np.int64)
+    for token, i in vocab.items():  # byte-level: one character of a token is one byte
+        lengths[i] = len(token)
+    for i, token in tokenizer.get_added_tokens_decoder().items():
+        lengths[i] = len(token.content.encode())
+    return tokenizer, lengths
+
+
 class PieceEncoder:
     """Encodes batches of texts through their distinct pieces.
 
@@ -77,28 +95,12 @@ class PieceEncoder:
     """
 
     JOINED = 8192
-    #: Pieces whose ids are kept, those seen first. They stay in the Python process, which Spark uses for many tasks.
-    KEPT = 800_000
-    _of_process: dict[str, PieceEncoder] = {}
-
-    @classmethod
-    def of(cls, path: str) -> PieceEncoder:
-        if path not in cls._of_process:
-            cls._of_process[path] = cls(path)
-        return cls._of_process[path]
+    #: Pieces whose ids an encoder keeps, those seen first; it lives as long as its task.
+    KEPT = 50_000
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         self.kept, self.kept_ids, self.kept_begin, self.kept_n = pa.array([], pa.large_string()), np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
-
-        self.tokenizer = Tokenizer.from_file(path)
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.lengths = np.zeros(max(vocab.values()) + 1, np.int64)
-        for token, i in vocab.items():  # byte-level: one character of a token is one byte
-            self.lengths[i] = len(token)
-        for i, token in self.tokenizer.get_added_tokens_decoder().items():
-            self.lengths[i] = len(token.content.encode())
+        self.tokenizer, self.lengths = _tokenizer(path)
         self.dtype = np.uint16 if len(self.lengths) <= 1 << 16 else np.uint32
 
     def _run(self, texts: list[str]) -> list[np.ndarray]:
@@ -185,9 +187,9 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
         encoder = out = None
         fs, base = pyarrow.fs.FileSystem.from_uri(folder)
         index, offset, total, first, last = [], 0, 0, None, None
-        for t in common.batches(parts, size=6 << 20):
+        for t in common.batches(parts):
             if out is None:
-                encoder = PieceEncoder.of(tokenizer_path)
+                encoder = PieceEncoder(tokenizer_path)
                 fs.create_dir(base, recursive=True)
                 temporary = f"{base}/_{shard:05d}-{attempt}"
                 out = fs.open_output_stream(temporary)
@@ -210,7 +212,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
             fs.move(temporary + ".idx", f"{base}/{shard:05d}.idx")
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "records": pa.array([len(index)], pa.int64()), "ids": pa.array([total], pa.int64()), "first_id": pa.array([first], pa.int64()), "last_id": pa.array([last], pa.int64())})
 
-    return common.staged(rows.mapInArrow(write, "shard int, records long, ids long, first_id long, last_id long"), "shards")
+    return common.staged(common.mapped(rows, write, "shard int, records long, ids long, first_id long, last_id long"), "shards")
 
 
 def read_records(docs_or_spark, folder: str) -> DataFrame:
@@ -232,7 +234,7 @@ def read_records(docs_or_spark, folder: str) -> DataFrame:
                     where.append(offset)
                 yield pa.RecordBatch.from_pydict({"shard": pa.array([shard] * len(n), pa.int32()), "n_th": pa.array(range(len(n)), pa.int64()), "doc_id": pa.array(doc, pa.int64()), "n_tokens": pa.array(n, pa.int64()), "ids_crc32": pa.array(crc, pa.int64()), "offset": pa.array(where, pa.int64())})
 
-    return files.mapInArrow(read, "shard int, n_th long, doc_id long, n_tokens long, ids_crc32 long, offset long")
+    return common.mapped(files, read, "shard int, n_th long, doc_id long, n_tokens long, ids_crc32 long, offset long")
 
 
 def token_records(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, folder: str | None = None) -> DataFrame:
