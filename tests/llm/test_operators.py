@@ -86,6 +86,66 @@ def test_jaccard_isolated_pairs(spark):
     assert got == want and 30 < sum(i != c for i, _, c in want) < 60
 
 
+def edited(seed, n, edits):
+    """n words of their own, with some of them changed."""
+    r = random.Random(seed)
+    w = [f"q{seed}v{i}" for i in range(n)]
+    for at in r.sample(range(n), edits):
+        w[at] = f"q{seed}e{r.randrange(10**9)}"
+    return w
+
+
+def test_jaccard_rare_groups(spark):
+    """Groups of 2 to 16 texts of 30 to 300 words, each with random changes, so that most pairs lie between 0.7 and 1: no link is lost."""
+    texts = []
+    for k, (n, size) in enumerate((n, size) for n in (30, 54, 104, 204, 300) for size in (2, 2, 2, 2, 3, 6, 16)):
+        base = edited(k, n, 0)
+        for j in range(size):
+            r, w = random.Random(1000 * k + j), base[:]
+            for at in r.sample(range(n), max(1, n // (60 if j % 3 == 2 else 95)) if j else 0):
+                w[at] = f"q{k}e{j}x{at}"
+            texts.append(" ".join(w))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs(spark, texts)).collect())
+    want = brute_components(texts)
+    assert got == want and len(texts) // 4 < sum(i != c for i, _, c in want) < len(texts) * 3 // 4
+
+
+def large_group(seed, n=90):
+    """Copies of one text: some close to it, some too far from it, and copies of those."""
+    r = random.Random(seed)
+    base = words(seed, 146).split()
+    far = []
+    for j in range(n):
+        w = base[:]
+        for e in range(r.choice((0, 1, 2, 3, 5, 7, 9))):
+            w[r.randrange(len(w))] = f"x{r.randrange(99)}"
+        del w[r.randrange(140) :][: r.choice((0, 0, 0, 5, 20))]
+        far.append(w)
+        for _ in range(r.choice((0, 0, 1, 25 if j % 30 == 7 else 0))):
+            v = w[:]
+            v[r.randrange(len(v))] = f"z{r.randrange(10**9)}"
+            far.append(v)
+    return [" ".join(w) for w in far]
+
+
+@pytest.mark.parametrize("most", [jaccard_join.MAX_FREQUENT, 20, 0])
+def test_jaccard_large_groups(spark, monkeypatch, most):
+    """However few shingles are told as frequent, all links of large groups are found."""
+    every = jaccard_join.frequent_shingles
+    monkeypatch.setattr(jaccard_join, "frequent_shingles", lambda d: every(d, most=most))
+    texts = [*large_group(3), *large_group(4, 40), *near_copies(5)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs(spark, texts)).collect())
+    want = brute_components(texts)
+    assert got == want and len({c for _, _, c in want}) > 20
+
+
+def test_jaccard_ids_with_two_texts(spark):
+    d = docs(spark, ["a b c d e f", "a b c d e f", "q r s t u v w"])
+    both = d.unionByName(d.withColumn("doc_id", d.doc_id * 0).withColumn("text", d.text.substr(3, 99)))
+    runs = {tuple(sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(both.repartition(k)).collect())) for k in (1, 2, 5)}
+    assert len(runs) == 1 and len(next(iter(runs))) == 6
+
+
 def test_jaccard_repeats_nulls_and_empty(spark):
     d = docs(spark, ["a b c d e f", "a b c d e f", "z"])
     both = d.unionByName(d).unionByName(d.limit(1).selectExpr("cast(null as long) as doc_id", *d.columns[1:]))

@@ -1,21 +1,24 @@
 """Exact similarity join on sets of five-word shingles, with set-relation skipping, and the components of its links.
 
-Sets of equal shingles are one set. Shingles are ordered: those held by over FREQUENT documents last, then by hash; two sets of
-similarity 0.8 share one of the first n - ceil(0.8 n) + 1 of each (prefix filter). A set's prefix is indexed.
+Sets of equal shingles are one set. Shingles are ordered: rare ones first, then those held by over FREQUENT documents by the magnitude of
+that number, each by hash; two sets of similarity 0.8 share one of the first n - ceil(0.8 n) + 1 of each (prefix filter). A set's
+prefix is indexed.
 
 Skipping by position: an index list is sorted by set size, so that for each set the block of partners of a fitting size is found by
-binary search and the rest of the list is skipped; entries are skipped too if the shingles before and after them are too few for
-any link. Pairs are counted over all lists, and what they can still share after the last shared shingle of their prefixes bounds their overlap.
+binary search and the rest of the list is skipped. An entry at position p tells that n - p shingles are left from there on: in the list of
+the first shingle that two similar sets share, both have enough left for the overlap that a link needs. This shortens the block of partners
+of an entry that comes late in its set: a member of a group of near copies that differs much has many rare shingles first, and meets
+few others in the group's long lists. In the short lists all shared shingles of a pair are counted over all lists, and what they can still
+share after the last shared shingle of their prefixes bounds their overlap.
 
-Skipping by answers: in the list of a frequent shingle no pairs are made; each set is only compared with a few leaders of the list.
+Skipping by answers: in a long list no pairs are made; each set is only compared with a few leaders of the list.
 What is still open after that are pairs of different components; their answers are derived from the answers of a
 shared leader where its distances decide (Jaccard distance is a metric), and only the others are verified. So a group of n near copies
 costs some multiple of n comparisons, and no link between different components is lost.
 
 Edge cases: a null or empty text has the empty set and is linked with nothing; texts of one to four words have one shingle, the whole
-sequence. Rows that repeat a doc_id get a row each,
-and are taken to have the same text. A row without doc_id is linked with nothing and has no component. Empty tables
-give empty tables. Other columns are ignored.
+sequence. Rows that repeat a doc_id get a row each; if their texts differ, the set of least digest stands for the id in links. A row without
+doc_id is linked with nothing and has no component. A very long text is one set, whole. Empty tables give empty tables. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,15 +35,18 @@ from . import common
 from .components import components
 
 SHINGLE = 5
-#: A shingle is frequent if more documents hold it; at most MAX_FREQUENT, those held most, are told to all tasks.
+#: A shingle is frequent if more documents hold it; at most MAX_FREQUENT, those held most, are told to all tasks and come last in the
+#: order. A list of more than FREQUENT sets is long, whatever its shingle.
 FREQUENT, MAX_FREQUENT = 16, 2_000_000
 LEADERS = 4
-#: Ids up to which a table of ids is broadcast; beyond it Spark shuffles.
-BROADCAST_IDS = 4_000_000
+#: Ids, and rows of lists, up to which a table is broadcast; beyond it Spark shuffles.
+BROADCAST_IDS, BROADCAST_ROWS = 4_000_000, 100_000
 #: Postings that one task sorts.
 TASK_POSTINGS = 500_000
 #: Characters of text whose shingles one range of hashes counts, about; bytes of text in a task's batch.
 RANGE_CHARS, BATCH = 20_000_000, 2 << 20
+#: Set sizes within a factor of so much are joined together.
+SIZE_STEP = 1.04
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -80,8 +86,8 @@ def need(n):
     return (4 * n + 4) // 5
 
 
-def frequent_shingles(docs: DataFrame, over: int = FREQUENT, most: int = MAX_FREQUENT) -> np.ndarray:
-    """The upper 32 bits of shingles that occur more often, in order. Which are told is a matter of speed only: any set gives a valid order.
+def frequent_shingles(docs: DataFrame, over: int = FREQUENT, most: int = MAX_FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """The upper 32 bits of shingles that occur more often, in order, and the magnitudes of their numbers. Which are told is a matter of speed only: any order is valid.
 
     Hashes are counted by ranges: each batch sends one packed row to each range, with repeats inside the batch as counts.
     """
@@ -109,18 +115,22 @@ def frequent_shingles(docs: DataFrame, over: int = FREQUENT, most: int = MAX_FRE
             np.add.at(n, np.searchsorted(value, more[0]), more[1])
             yield pa.RecordBatch.from_pydict({"h": pa.array(value[n > over].view(np.int32)), "n": pa.array(n[n > over].astype(np.int64))})
 
-    packed = docs.select("text").mapInArrow(pack, "range int, values binary, again binary")
-    hot = common.staged(packed.repartition(ranges, "range").mapInArrow(count, "h int, n long"), "frequent")
+    packed = common.mapped(docs.select("text"), pack, "range int, values binary, again binary")
+    hot = common.staged(common.mapped(packed.repartition(ranges, "range"), count, "h int, n long"), "frequent")
     if hot.count() > most:
         hot = hot.orderBy(F.desc("n"), "h").limit(most)
-    return np.sort(hot.select("h").toArrow().column("h").to_numpy().astype(np.int32).view(np.uint32))
+    t = hot.toArrow()
+    h, n = t.column("h").to_numpy().astype(np.int32).view(np.uint32), t.column("n").to_numpy().astype(np.float64)
+    order = np.argsort(h)
+    return h[order], np.log2(n[order]).astype(np.uint8)
 
 
-def prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """doc_id, n, digest (null for the empty set), prefix, hot: how many at its end are frequent."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def make(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told, level = shared.value
         for t in common.batches(parts, size=BATCH):
             h, at = shingle_hashes(common.column(t, "text"))
             n, digest, prefix, hots = [], [], [], []
@@ -130,20 +140,20 @@ def prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 p = len(s) - need(len(s)) + 1 if len(s) else 0
                 top = (s >> np.uint64(32)).astype(np.uint32)
-                f = np.searchsorted(shared.value, top)
-                is_hot = shared.value[np.minimum(f, len(shared.value) - 1)] == top if len(shared.value) else np.zeros(len(s), bool)
+                f = np.minimum(np.searchsorted(told, top), len(told) - 1)
+                is_hot = told[f] == top if len(told) else np.zeros(len(s), bool)
                 cold = s[~is_hot][:p]
-                hot = s[is_hot][: p - len(cold)]
+                hot = s[is_hot][np.argsort(level[f[is_hot]], kind="stable")][: p - len(cold)]
                 prefix.append(np.concatenate((cold, hot)).view(np.int64))
                 hots.append(len(hot))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int32)), pa.array(np.concatenate(prefix) if prefix else np.empty(0, np.int64)))
             yield pa.RecordBatch.from_arrays([common.column(t, "doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), lists, pa.array(hots, pa.int32())], names=["doc_id", "n", "digest", "prefix", "hot"])
 
-    return common.staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(make, "doc_id long, n long, digest binary, prefix array<long>, hot int"), "prefixes")
+    return common.staged(common.mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, "doc_id long, n long, digest binary, prefix array<long>, hot int"), "prefixes")
 
 
 def _list_pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of the lists of one partition whose sizes and positions fit."""
+    """a, b, least: pairs of the short lists of one partition whose sizes and positions fit; doc, n, pos, h: entries of the long ones."""
     t = pa.Table.from_batches(list(parts)) if (parts := [p for p in parts if p.num_rows]) else None
     if t is None:
         return
@@ -151,6 +161,13 @@ def _list_pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order = np.lexsort((n, h))
     h, doc, n, pos, hot = (x[order] for x in (h, doc, n, pos, hot))
     number = np.cumsum(np.concatenate(([0], h[1:] != h[:-1])))
+    long = np.bincount(number)[number] > FREQUENT
+    none = lambda k, kind: pa.nulls(k, kind)
+    if k := int(long.sum()):
+        yield pa.RecordBatch.from_arrays([none(k, pa.int64())] * 3 + [pa.array(x[long]) for x in (doc, n, pos, h)], names=["a", "b", "least", "doc", "n", "pos", "h"])
+        h, doc, n, pos, hot, number = (x[~long] for x in (h, doc, n, pos, hot, number))
+    if not len(h):
+        return
     wide = int(n.max()) + 1
     place = number * wide + n
     i = np.arange(len(h))
@@ -166,33 +183,58 @@ def _list_pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, y, left = x[enough], y[enough], left[enough]
         swap = doc[x] > doc[y]
         a, b = np.where(swap, y, x), np.where(swap, x, y)
-        # All that a pair shares and isn't counted comes after the last shingle that is, and is in a suffix or frequent.
+        # All that a pair shares and isn't counted comes after the last shingle that is, and is in a suffix or frequent; or it is in a long list.
         rest = np.minimum(left, np.maximum(need(n[a]), need(n[b])) - 1 + np.minimum(hot[a], hot[b]))
-        yield pa.RecordBatch.from_arrays([pa.array(doc[a]), pa.array(doc[b]), pa.array((-(-4 * (n[a] + n[b]) // 9) - rest).astype(np.int64))], names=["a", "b", "least"])
+        k = len(a)
+        yield pa.RecordBatch.from_arrays([pa.array(doc[a]), pa.array(doc[b]), pa.array((-(-4 * (n[a] + n[b]) // 9) - rest).astype(np.int64)), none(k, pa.int64()), none(k, pa.int64()), none(k, pa.int32()), none(k, pa.int64())], names=["a", "b", "least", "doc", "n", "pos", "h"])
 
 
-def cold_pairs(single: DataFrame, tasks: int) -> DataFrame:
-    """a, b: pairs that share enough rare shingles of their prefixes to be similar, perhaps with their frequent ones."""
+def short_lists(single: DataFrame, tasks: int) -> tuple[DataFrame, DataFrame]:
+    """a, b: pairs that share enough rare shingles of their prefixes to be similar, perhaps with their frequent ones. And h, doc, n, pos of
+    the lists that are long though their shingle isn't told as frequent.
+    """
     rows = single.select("doc_id", "n", "hot", F.posexplode("prefix").alias("pos", "h"), F.size("prefix").alias("size")).where(F.col("pos") < F.col("size") - F.col("hot"))
     lists = rows.select("h", F.col("doc_id").alias("doc"), "n", "pos", "hot").repartition(tasks, "h")
-    return lists.mapInArrow(_list_pairs, "a long, b long, least long").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.max("least").alias("least")).where("c >= least").select("a", "b")
+    found = common.staged(common.mapped(lists, _list_pairs, "a long, b long, least long, doc long, n long, pos int, h long"), "lists")
+    long = found.where("h is not null").select("h", "doc", "n", "pos")
+    counted = found.where("h is null").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.max("least").alias("least"))
+    if not long.head(1):
+        return counted.where("c >= least").select("a", "b"), long
+    # A pair may share as many shingles of long lists as either has there.
+    more = long.groupBy("doc").agg(F.count(F.lit(1)).alias("k"))
+    both = counted.join(more.select(F.col("doc").alias("a"), F.col("k").alias("ka")), "a", "left").join(more.select(F.col("doc").alias("b"), F.col("k").alias("kb")), "b", "left")
+    return both.where(F.col("c") + F.least(F.coalesce("ka", F.lit(0)), F.coalesce("kb", F.lit(0))) >= F.col("least")).select("a", "b"), long
 
 
 def hot_postings(single: DataFrame) -> DataFrame:
-    return single.where("hot > 0").select(F.col("doc_id").alias("doc"), "n", F.explode(F.slice("prefix", F.size("prefix") - F.col("hot") + 1, F.col("hot"))).alias("h"))
+    """h, doc, n, pos of the frequent shingles in the prefixes."""
+    rows = single.where("hot > 0").select(F.col("doc_id").alias("doc"), "n", "hot", F.size("prefix").alias("size"), F.posexplode("prefix").alias("pos", "h"))
+    return rows.where(F.col("pos") >= F.col("size") - F.col("hot")).select("h", "doc", "n", "pos")
 
 
 def fits(n: Column, m: Column) -> Column:
     return (n * 5 >= m * 4) & (m * 5 >= n * 4)
 
 
+def ahead(n: Column, p: Column, m: Column, q: Column) -> Column:
+    """Whether sets of n and m shingles that first meet at positions p and q have enough left for a link."""
+    return 9 * F.least(n - p, m - q) >= 4 * (n + m)
+
+
 def leader_pairs(hot: DataFrame, leaders: int = LEADERS) -> DataFrame:
-    """a, b: each set of a frequent list with the list's leaders, the sets of least hash under each of a few hashes."""
-    lead = hot.groupBy("h").agg(*[F.min_by(F.struct("doc", "n"), F.xxhash64("doc", F.lit(r))).alias(f"l{r}") for r in range(leaders)]).select("h", F.array_distinct(F.array(*[f"l{r}" for r in range(leaders)])).alias("leaders"))
-    pairs = hot.join(lead, "h").select("doc", "n", F.explode("leaders").alias("l")).where(F.col("doc") != F.col("l.doc")).where(fits(F.col("n"), F.col("l.n")))
+    """a, b: each set of a long list with the list's leaders, the sets of least hash under each of a few hashes."""
+    lead = hot.groupBy("h").agg(*[F.min_by(F.struct("doc", "n", "pos"), F.xxhash64("doc", F.lit(r))).alias(f"l{r}") for r in range(leaders)]).select("h", F.array_distinct(F.array(*[f"l{r}" for r in range(leaders)])).alias("leaders"))
+    pairs = hot.join(small(lead, "leaders"), "h").select("doc", "n", "pos", F.explode("leaders").alias("l")).where(F.col("doc") != F.col("l.doc"))
+    pairs = pairs.where(fits(F.col("n"), F.col("l.n")) & ahead(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos")))
     return pairs.select(F.least("doc", "l.doc").alias("a"), F.greatest("doc", "l.doc").alias("b")).distinct()
 
 
+def small(df: DataFrame, name: str) -> DataFrame:
+    """The table, staged, to be broadcast if it has few rows."""
+    df = common.staged(df, name)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def semi(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Rows of df whose doc_id is (left_semi) or isn't (left_anti) among the ids; the ids are broadcast if they are few."""
     ids = common.staged(ids.distinct(), "ids")
@@ -205,11 +247,15 @@ def set_table(docs: DataFrame, ids: DataFrame, repeats: bool = False) -> DataFra
     def make(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in common.batches(parts, size=BATCH):
             h, at = shingle_hashes(common.column(t, "text"))
-            yield pa.RecordBatch.from_arrays([common.column(t, "doc_id"), pa.array([np.unique(h[at[d] : at[d + 1]]).tobytes() for d in range(len(t))], pa.binary())], names=["doc_id", "hashes"])
+            found = [np.unique(h[at[d] : at[d + 1]]).tobytes() for d in range(len(t))]
+            digest = [xxhash.xxh3_128_digest(x) if x else None for x in found]
+            yield pa.RecordBatch.from_arrays([common.column(t, "doc_id"), pa.array(digest, pa.binary()), pa.array(found, pa.binary())], names=["doc_id", "digest", "hashes"])
 
     rows = semi(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids, "left_semi")
-    found = rows.mapInArrow(make, "doc_id long, hashes binary")
-    return common.staged(found.dropDuplicates(["doc_id"]) if repeats else found, "sets")
+    found = common.mapped(rows, make, "doc_id long, digest binary, hashes binary")
+    if repeats:
+        found = found.groupBy("doc_id").agg(F.min_by("hashes", "digest").alias("hashes"))
+    return common.staged(found.select("doc_id", "hashes"), "sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -229,7 +275,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([t.column("a"), t.column("b"), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())], names=["a", "b", "distance", "linked"])
 
     rows = pairs.select("a", "b").join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")), "b")
-    return common.staged(rows.mapInArrow(compare, "a long, b long, distance double, linked boolean"), "verified")
+    return common.staged(common.mapped(rows, compare, "a long, b long, distance double, linked boolean"), "verified")
 
 
 def open_pairs(pairs: DataFrame, parts: DataFrame, done: DataFrame) -> DataFrame:
@@ -252,27 +298,23 @@ def derived(pairs: DataFrame, answers: DataFrame) -> tuple[DataFrame, DataFrame]
     return linked, undecided
 
 
-def cross_pairs(hot: DataFrame, parts: DataFrame, answers: DataFrame) -> DataFrame:
-    """Pairs of different components that frequent lists may hold: each set outside of a list's main component with every set of
-    that component, once however many lists they share, and with the others outside.
+def _step(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / float(np.log(SIZE_STEP))).cast("int")
 
-    Pairs of sets with one leader whose distances from it differ by over 0.2 aren't made.
-    """
-    rows = common.staged(hot.join(parts.select(F.col("node").alias("doc"), "component"), "doc", "left").select("h", "doc", "n", F.coalesce("component", "doc").alias("component")), "hot")
+
+def cross_pairs(hot: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs of different components that may first meet in a long list: each set outside of a list's main component with the block of sets whose sizes and positions fit."""
+    rows = common.staged(hot.join(parts.select(F.col("node").alias("doc"), "component"), "doc", "left").select("h", "doc", "n", "pos", F.coalesce("component", "doc").alias("component")), "hot")
     sizes = rows.groupBy("h", "component").agg(F.count(F.lit(1)).alias("k"))
-    main = sizes.groupBy("h").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    minor = common.staged(rows.join(main, "h").where("component != main").select("h", "doc", "n", "component", "main"), "minor")
-    known = answers.select(F.col("node").alias("doc"), "leader", "distance")
-    members = rows.select("component", "doc", "n").distinct().join(known, "doc", "left").select(F.col("component").alias("main"), F.col("doc").alias("e"), F.col("n").alias("m"), F.col("leader").alias("le"), F.col("distance").alias("de"))
-    outside = minor.select("doc", "n", "main").distinct().join(known, "doc", "left")
-    near = F.coalesce((F.col("leader") != F.col("le")) | (F.abs(F.col("distance") - F.col("de")) <= 0.2 + 1e-9), F.lit(True))
-    with_main = outside.alias("o").join(members.alias("i"), (F.col("o.main") == F.col("i.main")) & fits(F.col("n"), F.col("m")) & near).select("doc", "e")
-    # Lists with the same sets outside are alike: one of them stands for all.
-    alike = minor.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("mark")).where("k > 1").groupBy("k", "mark").agg(F.min("h").alias("h"))
-    few = minor.join(alike.select("h"), "h", "left_semi").select("h", "doc", "n", "component")
-    other = few.select("h", F.col("doc").alias("e"), F.col("n").alias("m"), F.col("component").alias("c"))
-    among = few.join(other, ["h"]).where((F.col("doc") < F.col("e")) & (F.col("c") != F.col("component")) & fits(F.col("n"), F.col("m"))).select("doc", "e")
-    return with_main.unionByName(among).select(F.least("doc", "e").alias("a"), F.greatest("doc", "e").alias("b")).distinct()
+    main = small(sizes.groupBy("h").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("h", "main"), "main")
+    mixed = rows.join(main, "h")
+    # The positions bound the partner's size: 4 (n + m) <= 9 (n - pos).
+    n, most = F.col("n"), F.floor((F.col("n") - F.col("pos")) * 9 / 4).cast("long") - F.col("n")
+    outside = mixed.where("component != main").withColumns({"low": F.ceil(n * 4 / 5).cast("long"), "high": F.least(F.floor(n * 5 / 4).cast("long"), most)}).where("low <= high")
+    outside = small(outside.select("h", F.explode(F.sequence(_step(F.col("low")), _step(F.col("high")))).alias("step"), F.col("doc").alias("e"), F.col("n").alias("m"), F.col("pos").alias("q"), F.col("component").alias("c")), "outside")
+    block = mixed.select("h", _step(n).alias("step"), "doc", "n", "pos", "component")
+    met = block.join(outside, ["h", "step"]).where((F.col("component") != F.col("c")) & fits(n, F.col("m")) & ahead(n, F.col("pos"), F.col("m"), F.col("q")))
+    return met.select(F.least("doc", "e").alias("a"), F.greatest("doc", "e").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -282,10 +324,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     single_ids = common.staged(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "singles")
     copies = known.select("doc_id").join(single_ids.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
     single, repeats = semi(known, copies, "left_anti"), known.count() != known.select("doc_id").distinct().count()
-    single = single.dropDuplicates(["doc_id"]) if repeats else single
+    if repeats:
+        single = single.join(known.groupBy("doc_id").agg(F.min("digest").alias("digest")), ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"])
     postings = single.agg(F.sum(F.size("prefix"))).first()[0] or 0
-    hot = common.staged(hot_postings(single), "hot")
-    candidates = common.staged(cold_pairs(single, max(1, -(-postings // TASK_POSTINGS))).unionByName(leader_pairs(hot)).distinct(), "candidates")
+    met, long = short_lists(single, max(1, -(-postings // TASK_POSTINGS)))
+    hot = common.staged(hot_postings(single).unionByName(long), "hot")
+    candidates = common.staged(met.unionByName(leader_pairs(hot)).distinct(), "candidates")
     ends = candidates.select(F.col("a").alias("doc_id")).unionByName(candidates.select(F.col("b").alias("doc_id"))).unionByName(hot.select(F.col("doc").alias("doc_id")))
     sets = set_table(docs, ends, repeats)
 
@@ -297,7 +341,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links = done.where("linked").select("a", "b")
     parts = components(links)
     for more in (candidates, None):
-        pairs = open_pairs(cross_pairs(hot, parts, answers) if more is None else more, parts, done)
+        pairs = open_pairs(cross_pairs(hot, parts) if more is None else more, parts, done)
         linked, undecided = derived(pairs, answers)
         seen = verified(undecided, sets)
         links = links.unionByName(linked).unionByName(seen.where("linked").select("a", "b"))
