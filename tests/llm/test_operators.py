@@ -407,6 +407,30 @@ def test_mixing(spark):
     assert [r.taken for r in mixing.mix_sources(docs(spark, ["", None])).collect()] == [0, 0]
 
 
+def test_shard_counts_are_multinomial(spark):
+    """Counts by shard vary as a multinomial's; each source's total is what it should be."""
+    shares, shards, size = [0.5, 0.3, 0.15, 0.05, 0.0], 400, 64
+    edges = np.concatenate(([0.0], np.cumsum(shares)))
+    want = [round(s * shards * size) for s in shares]
+    part = spark.createDataFrame([(i, float(edges[i]), float(edges[i + 1]), want[i]) for i in range(5)], "rank int, lo double, hi double, want long")
+    rows = mixing.shard_counts(spark, part, shards * size, size, 5, lambda df: df).collect()
+    got = np.zeros((5, shards))
+    for r in rows:
+        got[r["rank"], r["shard"]] = r["c"]
+    assert got.sum(axis=1).tolist() == want
+    for i, s in enumerate(shares[:4]):
+        assert 0.8 < got[i].var() / (size * s * (1 - s)) < 1.25
+    assert -0.95 < np.corrcoef(got[0], got[1])[0, 1] < -0.4
+
+
+def test_many_sources(spark):
+    d = docs(spark, [words(i, 40 + i % 90) for i in range(1500)], lambda i: f"s{i % 700:03d}")
+    size, taken, target = {}, {}, {}
+    for r in mixing.mix_sources(d, block=4, shard_slots=512).collect():
+        size[r.source], taken[r.source], target[r.source] = r.source_size, taken.get(r.source, 0) + r.taken, r.target
+    assert all(abs(taken[s] - target[s]) <= 12 for s in size) and abs(sum(taken.values()) - 1.5 * sum(size.values())) < 0.02 * sum(size.values())
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 1000])
 def test_permutations(spark, n):
     from pyspark.sql import functions as F

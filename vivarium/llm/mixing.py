@@ -1,21 +1,21 @@
 """Mixes sources to target weights by blocks.
 
 The words of each source form one stream that is cut into blocks of a fixed length. Each output shard has a fixed
-number of slots; its multinomial counts of the sources are drawn from one pseudorandom uniform for the shard
-(systematic resampling: the k-th slot lies at (k + u) / slots of the cumulative weights), which keeps the drawn
-counts within one slot of their expectation. The slots of a source are numbered through all shards, mapped
-to its blocks through a pseudorandom permutation of the block indices (a Feistel network with cycle walking, once
-for each pass over the source) and joined with the blocks by index.
+number of slots; each slot draws its source by a hashed uniform number against the cumulative weights, so that the counts of the sources
+in a shard are multinomial. Over all shards these counts miss a source's target by about the square root of it; sources with too many
+slots give the surplus, spread evenly, to those with too few, so that each source's total is its target. The slots of a source are numbered
+through all shards, mapped to its blocks through a pseudorandom permutation of the block indices (a Feistel network with cycle
+walking, once for each pass over the source) and joined with the blocks by index.
 
 Edge cases: a null text has size 0 and nothing is taken from it; a null source comes last in the order of
-sources. Repeated rows are documents of their own. A source of no words has target 0. Empty tables give
-empty tables. The last block of a source may be short, so that a source's words miss its target by up to about
-two blocks and one block for each shard. Everything is drawn by hashing: reruns agree.
+sources. Repeated rows are documents of their own. A very long text is many blocks. A source of no words has target 0. Empty tables
+give empty tables. The last block of a source may be short, so that a source's words miss its target by up to about
+two blocks. Everything is drawn by hashing: reruns agree.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -26,6 +26,8 @@ WEIGHTS = (3, 1, 2)
 ROUNDS, WALK = 4, 256
 #: Sources up to which their table is broadcast; beyond it Spark joins by shuffling, splitting skewed keys.
 BROADCAST_SOURCES = 100_000
+#: Parts of the unit interval by which a slot finds its source; numbers that one window of a running sum spans.
+PARTS, CHUNK = 4096, 1024
 #: Documents up to which the table of their copies is broadcast.
 BROADCAST_COPIES = 2_000_000
 
@@ -73,7 +75,52 @@ def permuted(df: DataFrame, x: str, n: str, key: list) -> DataFrame:
     return df.withColumn(x, F.when(F.col("_v") < F.col(n), F.col("_v")).otherwise(F.raise_error(F.lit("cycle walking did not end")).cast("long"))).drop("_a", "_v")
 
 
-def mix_sources(docs: DataFrame, seed: int = 17, block: int = 32, shard_slots: int = 1 << 16, share: float = 1.5, most: int = 2, weights: tuple = WEIGHTS) -> DataFrame:
+def running(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """Adds "to", the sum of value over the key's rows up to this one: inside chunks of CHUNK numbers of the order, and over the chunks."""
+    rows = rows.withColumn("_chunk", F.floor(F.col(order) / CHUNK))
+    inside = Window.partitionBy(key, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    base = rows.groupBy(key, "_chunk").agg(F.sum(value).alias("_sum")).select(key, "_chunk", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    return rows.withColumn("to", F.sum(value).over(inside)).join(base, [key, "_chunk"]).withColumn("to", F.col("to") + F.col("_base")).drop("_chunk", "_base")
+
+
+def placed_in(points: DataFrame, u: str, ranges: DataFrame) -> DataFrame:
+    """The points with the rank of the range lo <= u < hi, inside 0 .. 1, that holds them. Each of PARTS parts has the ranges that reach into it."""
+    part = lambda c: F.least(F.floor(c * PARTS).cast("int"), F.lit(PARTS - 1))
+    index = ranges.where("hi > lo").select("rank", "lo", "hi", F.explode(F.sequence(part(F.col("lo")), part(F.col("hi")))).alias("_part"))
+    return points.withColumn("_part", part(F.col(u))).join(index, "_part").where(F.col(u).between(F.col("lo"), F.col("hi")) & (F.col(u) < F.col("hi"))).drop("_part", "lo", "hi")
+
+
+def uniform(*key) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*key), 11) / float(1 << 53)
+
+
+def shard_counts(spark: SparkSession, part: DataFrame, slots: int, shard_slots: int, seed: int, small) -> DataFrame:
+    """rank, shard, c: the multinomial counts of the sources in each shard, with each source's total brought to its share of the slots.
+
+    part: rank, lo, hi (its range of the cumulative weights), want (its slots).
+    """
+    slot = spark.range(0, slots, 1, max(1, slots // 250_000)).select(F.floor(F.col("id") / shard_slots).alias("shard"), uniform(F.lit(seed), F.lit("slot"), "id").alias("u"))
+    drawn = staged(placed_in(slot, "u", small(part.select("rank", "lo", "hi"))).groupBy("rank", "shard").agg(F.count(F.lit(1)).alias("c")), "drawn")
+    total = staged(part.select("rank", "want").join(drawn.groupBy("rank").agg(F.sum("c").alias("all")), "rank", "left").fillna(0, ["all"]), "totals")
+    # A source with too many keeps those where its scaled number steps.
+    at = running(drawn, "rank", "shard", "c").join(small(total), "rank")
+    step = lambda x: F.floor(x * F.col("want") / F.col("all"))
+    kept = staged(at.withColumn("kept", F.when(F.col("all") > F.col("want"), step(F.col("to")) - step(F.col("to") - F.col("c"))).otherwise(F.col("c"))).select("rank", "shard", "c", "kept"), "kept")
+    freed = kept.where("c > kept").groupBy("shard").agg(F.sum(F.col("c") - F.col("kept")).alias("free")).withColumn("one", F.lit(1))
+    n = freed.agg(F.sum("free")).first()[0] or 0
+    counts = kept.select("rank", "shard", F.col("kept").alias("c"))
+    if n:
+        free = running(freed, "one", "shard", "free").select("shard", F.explode(F.sequence(F.col("to") - F.col("free"), F.col("to") - 1)).alias("j"), F.lit(n).alias("n"))
+        up_to = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        lacks = total.where("want > all").select("rank", (F.col("want") - F.col("all")).alias("lack")).withColumn("hi", F.sum("lack").over(up_to))
+        ranges = lacks.select("rank", ((F.col("hi") - F.col("lack")) / n).alias("lo"), (F.col("hi") / n).alias("hi"))
+        points = permuted(free, "j", "n", [F.lit(seed), F.lit("free")]).select("shard", ((F.col("j") + 0.5) / n).alias("u"))
+        counts = counts.unionByName(placed_in(points, "u", small(ranges)).select("rank", "shard", F.lit(1).cast("long").alias("c")))
+    return counts.groupBy("rank", "shard").agg(F.sum("c").alias("c"))
+
+
+def mix_sources(docs: DataFrame, seed: int = 17, block: int = 32, shard_slots: int = 1 << 13, share: float = 1.5, most: int = 2, weights: tuple = WEIGHTS) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, and source.
 
     seed: of all draws. block: words in a block. shard_slots: blocks in an output shard. share: words of the mix
@@ -86,27 +133,24 @@ def mix_sources(docs: DataFrame, seed: int = 17, block: int = 32, shard_slots: i
     n_sources, totals = source.agg(F.count(F.lit(1)), F.sum("target")).first()
     small = F.broadcast if n_sources <= BROADCAST_SOURCES else (lambda df: df)
     slots, totals = int(round((totals or 0.0) / block)), totals or 1.0
-    shards = max(1, -(-slots // shard_slots))
 
     # Each document's place in its source's stream: sums inside buckets, then over the buckets of a source.
     by_rank = small(source.select(F.col("source").alias("_s"), "rank", "source_size", "target"))
     rows = rows.join(by_rank, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(max(8, n_docs // 2048))))
     inside = Window.partitionBy("rank", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = rows.groupBy("rank", "bucket").agg(F.sum("size").alias("words")).select("rank", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
+    sums = running(rows.groupBy("rank", "bucket").agg(F.sum("size").alias("words")), "rank", "bucket", "words").select("rank", "bucket", (F.col("to") - F.col("words")).alias("base"))
     placed = rows.withColumn("inner", F.sum("size").over(inside) - F.col("size")).join(sums, ["rank", "bucket"]).withColumn("start", F.col("base") + F.col("inner"))
     placed = staged(placed.select("rank", "start", "doc_id", "size", "source_size", "target", "source"), "placed")
 
     # Slots: counts by source and shard, numbered through the shards.
     up_to = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     part = source.withColumn("hi", F.sum("target").over(up_to) / totals).withColumn("lo", F.col("hi") - F.col("target") / totals).withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long"))
-    shard = part.select("rank", "lo", "hi", "blocks", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    m, u = F.least(F.lit(shard_slots), F.lit(slots) - F.col("shard") * shard_slots), F.pmod(F.xxhash64(F.lit(seed), F.lit("shard"), "shard"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = F.floor(F.col("hi") * m + u) - F.floor(F.col("lo") * m + u)
-    through = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = shard.withColumn("c", drawn).withColumn("to", F.sum("c").over(through)).withColumn("from", F.col("to") - F.col("c")).withColumn("to", F.least("to", F.col("blocks") * most))
-    ranges = counts.where("`to` > `from`").select("rank", "blocks", "shard", "from", "to").repartition(max(1, slots // 250_000), "rank", "shard")
+    near = lambda c: F.floor(F.col(c) * slots + 0.5).cast("long")
+    part = staged(part.select("rank", "lo", F.when(F.col("hi") > 1 - 1e-9, 1.0).otherwise(F.col("hi")).alias("hi"), "blocks", F.least(near("hi") - near("lo"), F.col("blocks") * most).alias("want")), "parts")
+    counts = shard_counts(spark, part, slots, shard_slots, seed, small)
+    ranges = running(counts, "rank", "shard", "c").join(small(part.select("rank", "blocks")), "rank").withColumn("from", F.col("to") - F.col("c")).withColumn("to", F.least("to", F.col("blocks") * most))
+    ranges = ranges.where("`to` > `from`").select("rank", "blocks", "shard", "from", "to").repartition(max(1, slots // 250_000), "rank", "shard")
     slot = ranges.select("rank", "blocks", F.explode(F.sequence("from", F.col("to") - 1)).alias("slot"))
     slot = slot.select("rank", "blocks", F.floor(F.col("slot") / F.col("blocks")).alias("turn"), F.pmod("slot", "blocks").alias("block"))
     times = permuted(slot, "block", "blocks", [F.lit(seed), F.col("rank"), F.col("turn")]).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
