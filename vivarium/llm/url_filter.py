@@ -6,7 +6,7 @@ tokens. Each pattern is indexed by the one of its tokens that the fewest urls ho
 candidate patterns through a hash join, and only those run. A pattern that matches blocks the url.
 
 Edge cases: a null url, or one without "://", has an empty host and path, fits no rule and is allowed (no pattern
-is run on a null). Repeated rows give repeated rows. An empty table gives an empty table. Other columns of the
+is run on a null). A very long url is judged whole. Repeated rows give repeated rows. An empty table gives an empty table. Other columns of the
 table are ignored, also when they are called host, path, rule or verdict.
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 #: host, path, action
 HOST_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 #: Regular expressions over the whole url. Each holds at least one literal token, a run of ASCII letters and digits that a match always holds as a whole token.
+#: They are matched with the url's host in lower case.
 PATTERNS = (
     r"://([^/?#]*\.)?casino-win\.",
     r"://([^/?#]*\.)?cheap-pills\.",
@@ -48,6 +49,13 @@ def literal_tokens(pattern: str) -> list[str]:
     return sorted({m[1].lower() for m in re.finditer(r"(?<![A-Za-z0-9])(?:(?<=[^\w])|(?<=\0))([A-Za-z0-9]+)(?=[^\w*+?{\0])", plain)})
 
 
+def host_lowered(url: Column) -> Column:
+    """The url with its host, if it has one, in lower case."""
+    host, _ = host_path(url)
+    before = F.regexp_extract(url, r"(?s)^.*?://", 0)
+    return F.when(url.contains("://"), F.concat(before, host, F.substring(url, F.length(before) + F.length(host) + 1, F.length(url)))).otherwise(url)
+
+
 def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.split(F.lower(url), "[^a-z0-9]+"))
 
@@ -76,12 +84,12 @@ def blocked_urls(urls: DataFrame, patterns: tuple = PATTERNS) -> DataFrame:
 def judge_urls(pages: DataFrame, host_rules: tuple = HOST_RULES, patterns: tuple = PATTERNS) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict."""
     host, path = host_path(F.col("url"))
-    judged = pages.select("page_id", "url").withColumns({"host": host, "path": path})
+    judged = pages.select("page_id", "url").withColumns({"host": host, "path": path, "url": host_lowered(F.col("url"))})
     fits = []
     for h, p, action in sorted(host_rules, key=lambda r: (-len(r[0] + r[1]), r)):
         hit = ((F.col("host") == h) | F.col("host").endswith("." + h)) & F.col("path").startswith(p)
         fits.append(F.when(hit, F.struct(F.lit(h + p).alias("rule"), F.lit(action).alias("action"))))
-    judged = judged.withColumn("fit", F.coalesce(*fits))
+    judged = judged.withColumn("fit", F.coalesce(*fits, F.lit(None).cast("struct<rule: string, action: string>")))
     open_urls = judged.where("fit is null and url is not null").select("url").distinct()
     blocked = blocked_urls(open_urls, patterns).select(F.col("url").alias("_blocked"))
     judged = judged.join(blocked, F.col("url") == F.col("_blocked"), "left")
@@ -89,16 +97,16 @@ def judge_urls(pages: DataFrame, host_rules: tuple = HOST_RULES, patterns: tuple
     return judged.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), verdict.alias("verdict"))
 
 
-_PATTERN_SQL = " OR ".join(f"regexp_matches(url, '{p}')" for p in PATTERNS)
+_PATTERN_SQL = " OR ".join(f"regexp_matches(lowered, '{p}')" for p in PATTERNS)
 SQL = rf"""
 WITH u AS (
   SELECT page_id, url, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), p AS (
-  SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  SELECT page_id, url, rest, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
   FROM u
 ), r AS (
-  SELECT *, CASE
+  SELECT *, CASE WHEN url LIKE '%://%' THEN substr(url, 1, strpos(url, '://') + 2) || host || substr(rest, length(host) + 1) ELSE url END AS lowered, CASE
     WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
     WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
     WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
