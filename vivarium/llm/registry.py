@@ -46,8 +46,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+#: The session's setting for the key of the pseudonyms, and the key where it is unset: one for public test tables, no secret.
+KEY_SETTING, TEST_KEY = "spark.vivarium.pseudonym.key", "key of the public test tables"
+
+
 def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonyms.pseudonymised(table(spark, sf_dir, "documents"))
+    return pseudonyms.pseudonymised(table(spark, sf_dir, "documents"), spark.conf.get(KEY_SETTING, TEST_KEY))
 
 
 QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_decontamination, op3_exact_dedup, op4_toxicity, op5_html_text, op6_token_records, op7_url_filter, op8_context_mixing, op9_mixing, op10_pseudonyms)}
