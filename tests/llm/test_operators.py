@@ -297,17 +297,33 @@ def test_token_records(spark, tmp_path):
 
 
 def test_url_rules(spark):
-    urls = [None, "", "nourl", "http://net/", "https://A.b.NET/x?q", "http://example.net/en/1", "http://m.example.net/fr", "http://example.com/de/x", "http://x.org/fr/", "http://x.org/en/", "http://blog.casino-win.example.com/en", "http://xcasino-win.example.com/", "http://a.net?x", "http://a.net", "ftp://h#f"]
+    urls = [None, "", "nourl", "http://net/", "https://A.b.NET/x?q", "http://example.net/en/1", "http://m.example.net/fr", "http://example.com/de/x", "http://x.org/fr/", "http://x.org/en/", "http://blog.casino-win.example.com/en", "http://xcasino-win.example.com/", "http://a.net?x", "http://a.net", "ftp://h#f", "http://WWW.CASINO-WIN.com/x", "x" * 100_000 + "://a.net/" + "y" * 100_000]
     d = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge_urls(d.unionByName(d)).collect()}
     assert got[0] == got[1] == got[2] == ("", "", None, "allow")
     assert got[3] == ("net", "/", "net/", "block") and got[4] == ("a.b.net", "/x", "net/", "block")
     assert got[5][2:] == ("example.net/en/", "allow") and got[6][2:] == ("net/", "block") and got[7][2:] == ("example.com/de/", "block")
     assert got[8][2:] == ("org/fr/", "allow") and got[9][2:] == (None, "allow") and got[10][2:] == (None, "block") and got[11][2:] == (None, "allow")
+    assert got[15][2:] == (None, "block") and got[16][2:] == ("net/", "block")
     assert got[12] == ("a.net", "", None, "allow") and got[13] == ("a.net", "", None, "allow") and got[14] == ("h", "", None, "allow")
     assert url_filter.judge_urls(d.limit(0)).count() == 0
 
 
+def test_many_url_patterns(spark):
+    """Hundreds of patterns, hosts in either case: the index finds what all patterns find."""
+    r = random.Random(4)
+    names = [f"{r.choice('abcdefgh')}{i}x-{r.choice(['shop', 'win', 'track'])}" for i in range(300)]
+    patterns = (*(rf"://([^/?#]*\.)?{n}\." for n in names), r"/banner/[0-9]+\.gif", r"[?&]promo=")
+    urls = [f"http://{r.choice(['', 'www.', 'WWW.'])}{r.choice((n, n.upper(), n + 'y', 'z' + n))}.com/{r.choice(['a', 'banner/12.gif', 'b?promo=3'])}" for n in names for _ in range(4)]
+    d = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(d, (), patterns).collect()}
+    for i, u in enumerate(urls):
+        scheme, rest = u.split("://")
+        host, path = rest.split("/", 1)
+        assert (got[i] == "block") == any(re.search(p, f"{scheme}://{host.lower()}/{path}") for p in patterns)
+    assert 0 < sum(v == "block" for v in got.values()) < len(urls)
+
+
 def test_url_index_equals_all_patterns(spark):
     d = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
     got = {r.url for r in url_filter.blocked_urls(d).collect()}
@@ -454,7 +470,7 @@ def test_pseudonyms(spark):
     again = {r.doc_id: r for r in pseudonyms.pseudonymised(pseudonyms.pseudonymised(d, "k").select("doc_id", "text"), "k").collect()}
     assert all(again[i].kinds == got[i].kinds for i in got)
     assert pseudonyms.pseudonymised(d, "other").where("doc_id = 0").first().text != got[0].text
-    assert pseudonyms.pseudonymised(d.limit(0)).count() == 0
+    assert pseudonyms.pseudonymised(d.limit(0), "k").count() == 0
 
 
 def test_pseudonyms_beside_digits(spark):
@@ -473,6 +489,57 @@ def test_pseudonyms_beside_digits(spark):
     assert got[12].text == cases[12][0] and re.fullmatch("TOKEN [0-9A-F]{40}", got[9].text)
 
 
+def test_pseudonyms_very_long(spark):
+    """Texts of up to 100 000 labels, digits or letters: no pattern recurses."""
+    texts = ["x@" + "a." * 100_000 + "com", "1." * 100_000, "4" * 100_000, "a" * 20_000 + "@b.c", "12-" * 10_000, "AB12 " * 5_000]
+    got = {r.doc_id: r for r in pseudonyms.pseudonymised(docs(spark, texts), "k").collect()}
+    assert got[0].kinds == "email" and got[0].text.endswith("@" + texts[0][2:]) and got[3].kinds == "email" and all(len(got[i].text) == len(t) for i, t in enumerate(texts))
+
+
+def test_pseudonyms_in_a_row(spark):
+    text = "(555) 123-4567 555-123-4567 7/4/1999"
+    r = pseudonyms.pseudonymised(docs(spark, [text]), "k").first()
+    assert r.kinds == "phone,phone,date" and re.fullmatch(r"\(\d{3}\) \d{3}-\d{4} \d{3}-\d{3}-\d{4} \d{1,2}/\d{1,2}/\d{4}", r.text) and not set(text.split()[1:]) & set(r.text.split()[1:])
+
+
+def brute_values(text):
+    """The valid values of a text by kind, without the operator's expressions."""
+    import datetime
+
+    found = {}
+    put = lambda kind, values: found.setdefault(kind, []).extend(values)
+    put("email", re.findall(r"(?<![\w.%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", text, re.ASCII))
+    put("secret", [v for v in re.findall(r"[0-9A-Za-z]+", text) if 32 <= len(v) <= 64 and re.fullmatch("[0-9A-Fa-f]+", v)])
+    put("ssn", [v for v in re.findall(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", text) if v[:3] not in ("000", "666") and v[0] != "9" and v[4:6] != "00" and v[7:] != "0000"])
+    put("ipv4", [v for v in re.findall(r"(?<![0-9.])[0-9.]+(?![0-9])", text) if re.fullmatch(r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}", v.rstrip(".")) and all(int(x) < 256 for x in v.rstrip(".").split("."))])
+    days = []
+    for v in re.findall(r"(?<![0-9])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9])", text):
+        try:
+            days.append(datetime.date.fromisoformat(v))
+        except ValueError:
+            pass
+    put("iso", days)
+    return found
+
+
+def test_pseudonyms_against_brute_force(spark):
+    """What is found in the table's documents, and a permutation without collisions."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r for r in pseudonyms.pseudonymised(d, "k").collect()}
+    pairs, some = {}, 0
+    for doc_id, text in ((r.doc_id, r.text) for r in d.collect()):
+        want, new = brute_values(text or ""), brute_values(got[doc_id].text or "")
+        kinds = got[doc_id].kinds.split(",")
+        for kind in ("email", "secret", "ssn", "ipv4"):
+            assert kinds.count(kind) == len(want[kind]) == len(new[kind]), (doc_id, kind)
+        for kind in want:
+            assert len(want[kind]) == len(new[kind])
+            for a, b in zip(want[kind], new[kind], strict=True):
+                assert pairs.setdefault((kind, a), b) == b
+                some += 1
+    assert some > 100 and len({(k, b) for (k, _), b in pairs.items()}) == len(pairs)
+
+
 def test_permutations_of_formats(spark):
     from pyspark.sql import functions as F
 
