@@ -88,15 +88,25 @@ def port_deliveries(intervals: DataFrame, port: int, vacuum: int) -> DataFrame:
     return rows.where("v_t_us is null or v_until <= t_us").select("session_id", "line", "seq", "start_us", "end_us")
 
 
+def map_keys(line_map: DataFrame) -> list[str]:
+    """What a line is looked up by: also by session if the map has one for each."""
+    return [c for c in ("session_id", "line") if c in line_map.columns]
+
+
+def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Joins a line map's table. One map for all sessions has a row for each of a board's few lines, and is broadcast; maps by session are as many as the sessions."""
+    return rows.join(table if "session_id" in keys else F.broadcast(table), keys, how)
+
+
 def aliases(line_map: DataFrame) -> DataFrame:
-    return line_map.where("role = 'odor'").groupBy("line").agg(F.array_sort(F.collect_set("name")).alias("candidates"))
+    return line_map.where("role = 'odor'").groupBy(*map_keys(line_map)).agg(F.array_sort(F.collect_set("name")).alias("candidates"))
 
 
 def state_sequence(intervals: DataFrame, line_map: DataFrame, odors: tuple[int, ...]) -> DataFrame:
-    """Inferred states: odor openings in order, with the names that their line may stand for."""
+    """Inferred states: odor openings in order, with the names that their line may stand for in their session (or in all, if the map has no session_id)."""
     rows = intervals.where(F.col("line").isin(*odors)).withColumn("t_us", F.col("start_us"))
     rows = numbered(rows, S, "state_no")
-    return rows.join(F.broadcast(aliases(line_map)), "line", "left").select("session_id", "seq", "t_us", "state_no", "line", "candidates", "end_us")
+    return looked_up(rows, aliases(line_map), map_keys(line_map), "left").select("session_id", "seq", "t_us", "state_no", "line", "candidates", "end_us")
 
 
 def transitions(sequence: DataFrame) -> DataFrame:
@@ -163,6 +173,35 @@ def roi_gated(onsets: DataFrame, flags: DataFrame) -> DataFrame:
     return asof(onsets, flags.select("session_id", "t_us", "seq", "flag"), S, "roi_").where("roi_flag").drop("roi_flag", "roi_t_us", "roi_seq")
 
 
+def gate_share(onsets: DataFrame, flags: DataFrame) -> DataFrame:
+    """By session: onsets, and how many and which share of them the camera's gate drops."""
+    kept = roi_gated(onsets.select("session_id", "t_us", "seq"), flags).groupBy("session_id").agg(F.count(F.lit(1)).alias("_kept"))
+    rows = onsets.groupBy("session_id").agg(F.count(F.lit(1)).alias("onsets")).join(kept, "session_id", "left")
+    return rows.withColumn("dropped", F.col("onsets") - F.coalesce("_kept", F.lit(0))).select("session_id", "onsets", "dropped", (F.col("dropped") / F.col("onsets")).alias("share"))
+
+
+def port_waits(ports: DataFrame) -> DataFrame:
+    """Each opening of the port but the first with the time since it closed before."""
+    w = Window.partitionBy("session_id").orderBy("start_us", "seq")
+    return ports.withColumn("wait_us", F.col("start_us") - F.lag("end_us").over(w)).where("wait_us is not null").select("session_id", "seq", "start_us", "wait_us")
+
+
+def annotated_frames(frames: DataFrame, pokes: DataFrame, ports: DataFrame) -> DataFrame:
+    """Frames (session_id, seq, t_us) with what the last beam break at or before them has in the poke table: its number and stimulus, the frame's time since
+    it, and whether the beam and the port are open then. segment: the break's number and, if it was served, the stimulus number.
+    """
+    table = pokes.select("session_id", F.col("start_us").alias("t_us"), F.col("break_no").alias("seq"), "break_no", "end_us", "rule_alias", "stimulus", F.when(F.col("port_open_us").isNotNull(), F.col("stimulus_no")).alias("stimulus_no"))
+    rows = asof(frames, table, S, "b_", "left")
+    rows = asof(rows, ports.select("session_id", F.col("start_us").alias("t_us"), "seq", "end_us"), S, "p_", "left")
+    broken = F.col("b_t_us").isNotNull() & (F.col("b_end_us").isNull() | (F.col("b_end_us") > F.col("t_us")))
+    port = F.col("p_t_us").isNotNull() & (F.col("p_end_us").isNull() | (F.col("p_end_us") > F.col("t_us")))
+    segment = F.concat_ws("_", F.col("b_break_no").cast("string"), F.col("b_stimulus_no").cast("string"))
+    return rows.select(
+        "session_id", "seq", "t_us", F.col("b_break_no").alias("break_no"), F.col("b_stimulus_no").alias("stimulus_no"), (F.col("t_us") - F.col("b_t_us")).alias("since_break_us"), F.col("b_rule_alias").alias("rule_alias"),
+        F.col("b_stimulus").alias("stimulus"), broken.alias("beam"), port.alias("port"), segment.alias("segment"),
+    )
+
+
 def wait_elapsed(triggers: DataFrame, ticks: DataFrame, due: int) -> DataFrame:
     """When a wait on the board's clock ends: the first tick at least due after the first tick after the trigger."""
     clock = ticks.select("session_id", "t_us", "seq")
@@ -173,13 +212,24 @@ def wait_elapsed(triggers: DataFrame, ticks: DataFrame, due: int) -> DataFrame:
 
 
 def video_windows(messages: DataFrame, pre: int, post: int, mode: str = "onset") -> DataFrame:
-    """Merged recording windows. mode: "onset" extends windows by onset messages only, "offset" also by offset messages."""
-    return merged_windows(messages.where("level") if mode == "onset" else messages, S, pre, post)
+    """Merged recording windows. mode: "onset" has windows around onset messages, "offset" around whole beam breaks, from pre before the start to post after the end.
+
+    A window of a break that lasts has no end.
+    """
+    if mode == "onset":
+        return merged_windows(messages.where("level"), S, pre, post)
+    w = Window.partitionBy("session_id").orderBy("start_us", "seq")
+    new = F.coalesce(F.col("start_us") - F.lag("end_us").over(w) > pre + post, F.lit(True)).cast("int")
+    islands = beam_breaks(beam_edges(messages)).withColumn("_new", new).withColumn("window_no", F.sum("_new").over(w))
+    ended = F.count("end_us") == F.count(F.lit(1))
+    return islands.groupBy("session_id", "window_no").agg((F.min("start_us") - pre).alias("start_us"), F.when(ended, F.max("end_us") + post).alias("end_us"), F.count(F.lit(1)).alias("onsets"), F.min("start_us").alias("first_us"))
 
 
 def frames_in_windows(frames: DataFrame, windows: DataFrame) -> DataFrame:
-    rows = interval_join(frames, windows, S, "start_us", "end_us")
-    return rows.withColumn("frame_us", F.col("t_us") - F.col("start_us"))
+    """Frames of each window, with their time from its first onset, the beam break (frame_us, below 0 before it)."""
+    rows = asof(frames, windows.select("session_id", F.col("start_us").alias("t_us"), F.col("window_no").alias("seq"), "window_no", "end_us", "first_us"), S, "w_")
+    rows = rows.where("w_end_us is null or t_us < w_end_us")
+    return rows.select(*frames.columns, F.col("w_window_no").alias("window_no"), (F.col("t_us") - F.col("w_first_us")).alias("frame_us"))
 
 
 def dropped_frames(frames: DataFrame, counter: str = "hw_counter") -> DataFrame:
@@ -232,7 +282,8 @@ def poke_table(events: DataFrame, line_map: DataFrame, rules: DataFrame, port: i
     rows = rows.withColumn("odor_line", F.when(still, F.col("odor_line")))
     running = Window.partitionBy("session_id").orderBy("t_us", "seq")
     rows = rows.withColumn("stimulus_no", F.sum(F.when(F.col("port_open_us").isNotNull(), 1).otherwise(0)).over(running))
-    rows = rows.join(F.broadcast(aliases(line_map)).withColumnRenamed("line", "odor_line"), "odor_line", "left")
+    keys = ["odor_line" if c == "line" else c for c in map_keys(line_map)]
+    rows = looked_up(rows, aliases(line_map).withColumnRenamed("line", "odor_line"), keys, "left")
     return rows.select(
         "session_id", "break_no", "start_us", "end_us", F.col("rule_rule_alias").alias("rule_alias"), F.array_join("candidates", ",").alias("stimulus"), "odor_line", "stimulus_no", "port_open_us", "port_close_us",
         F.when(still, F.col("odor_t_us")).alias("odor_open_us"), F.when(still, F.col("odor_close_us")).alias("odor_close_us"), F.col("next_odor_t_us").alias("next_odor_open_us"),

@@ -60,10 +60,15 @@ def zip_ordinal(a: DataFrame, b: DataFrame, by: list[str], prefix: str = "b_") -
     return numbered(a, by).join(right.select(*by, "n", *[F.col(c).alias(prefix + c) for c in b.columns if c not in by]), [*by, "n"])
 
 
-def after_first(source: DataFrame, trigger: DataFrame, by: list[str], time: str = "t_us") -> DataFrame:
-    """Rows of the source at or after the first trigger of their keys."""
+def after_first(source: DataFrame, trigger: DataFrame, by: list[str], time: str = "t_us", seq: str = "seq", replay: bool = False) -> DataFrame:
+    """Rows of the source at or after the first trigger of their keys. replay: also the last row before it, at the trigger's time, as of a source that repeats its latest value."""
     first = trigger.groupBy(*by).agg(F.min(time).alias("_first"))
-    return source.join(first, by).where(F.col(time) >= F.col("_first")).drop("_first")
+    rows = source.join(first, by)
+    after = rows.where(F.col(time) >= F.col("_first")).drop("_first")
+    if not replay:
+        return after
+    last = rows.where(F.col(time) < F.col("_first")).groupBy(*by).agg(F.max_by(F.struct(*source.columns), F.struct(time, seq)).alias("_x"), F.min("_first").alias("_first"))
+    return after.unionByName(last.select(*[(F.col("_first") if c == time else F.col(f"_x.{c}")).alias(c) for c in source.columns]))
 
 
 def interval_join(points: DataFrame, spans: DataFrame, by: list[str], start: str, end: str, time: str = "t_us", bucket: int = 24 * HOUR) -> DataFrame:
@@ -79,11 +84,11 @@ def current_value(df: DataFrame, by: list[str], value: Column, name: str, time:
 
 
 def merged_windows(onsets: DataFrame, by: list[str], pre: int, post: int, time: str = "t_us") -> DataFrame:
-    """Windows [first - pre, last + post) of onsets that are no further apart than pre + post, numbered in order."""
+    """Windows [first - pre, last + post) of onsets that are no further apart than pre + post, numbered in order; first_us: the first onset."""
     w = Window.partitionBy(*by).orderBy(time)
     new = F.coalesce(F.col(time) - F.lag(time).over(w) > pre + post, F.lit(True)).cast("int")
     islands = onsets.withColumn("_new", new).withColumn("window_no", F.sum("_new").over(w))
-    return islands.groupBy(*by, "window_no").agg((F.min(time) - pre).alias("start_us"), (F.max(time) + post).alias("end_us"), F.count(F.lit(1)).alias("onsets"))
+    return islands.groupBy(*by, "window_no").agg((F.min(time) - pre).alias("start_us"), (F.max(time) + post).alias("end_us"), F.count(F.lit(1)).alias("onsets"), F.min(time).alias("first_us"))
 
 
 def with_chunk(df: DataFrame, t0: Column, t1: Column, time: str = "t", chunk: str = "chunk") -> DataFrame:

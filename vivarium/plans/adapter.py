@@ -52,6 +52,16 @@ def odor_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return region.select(F.col("r_name").alias("name"), (F.col("r_regionkey") + 5).cast("int").alias("line"), F.lit("odor").alias("role"))
 
 
+def session_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """session_id, name, line, role: the odors by session, whose wiring differs: region r is on line 5 + (r + session) % 5, nations are aliases."""
+    region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
+    names = region.select(F.col("r_name").alias("name"), F.col("r_regionkey").alias("no")).unionByName(nation.select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("no")))
+    every = names.agg(F.collect_list(F.struct("name", "no")).alias("names")).withColumn("one", F.lit(1))  # of the board's few lines
+    sessions = table(spark, sf_dir, "events").select(F.col("user_id").alias("session_id")).distinct().withColumn("one", F.lit(1))
+    rows = sessions.join(F.broadcast(every), "one").select("session_id", F.explode("names").alias("x"))
+    return rows.select("session_id", "x.name", F.expr("cast(5 + (x.no + session_id) % 5 as int)").alias("line"), F.lit("odor").alias("role"))
+
+
 def rule_rows(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, *r) for i, r in enumerate(RULES)], "rule int, rule_alias string, sample_with_replacement boolean, transitions string")
 
@@ -91,6 +101,12 @@ ports AS (
   SELECT p.session_id, p.line, p.seq, p.start_us, p.end_us FROM (SELECT * FROM valves WHERE line = 0) p ASOF LEFT JOIN vac v ON p.session_id = v.session_id AND p.start_us >= v.start_us
   WHERE v.start_us IS NULL OR v.end_us <= p.start_us
 )"""
+#: The odors by session.
+SESSION_LINES = """
+slm AS (
+  SELECT s.session_id, n.name, (5 + (n.no + s.session_id) % 5)::INT AS line
+  FROM (SELECT DISTINCT user_id AS session_id FROM events) s, (SELECT r_name AS name, r_regionkey AS no FROM region UNION ALL SELECT n_name, n_regionkey FROM nation) n
+), sal AS (SELECT session_id, line, string_agg(DISTINCT name, ',' ORDER BY name) AS candidates FROM slm GROUP BY 1, 2)"""
 #: The rules as rows: rule, from, place, to.
 RULE_ROWS = """
 rr(rule, rule_alias, from_state, place, to_state) AS (VALUES

@@ -13,7 +13,7 @@ from ..operators import rig, timeops
 from ..operators.rig import S
 from ..operators.timeops import HOUR
 from . import adapter as A
-from .adapter import BEAM, HARP, RULE_ROWS, VALVES, harp, line_map, odor_map, table
+from .adapter import BEAM, HARP, RULE_ROWS, SESSION_LINES, VALVES, harp, line_map, odor_map, session_lines, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -158,9 +158,9 @@ def map_contains_key(spark, d):
 
 @query(" SELECT c.session_id, c.seq, EXISTS (SELECT 1 FROM lm WHERE lm.line = c.k % 12) AS found FROM h c")
 def map_contains_value(spark, d):
-    names = line_map(spark, d).groupBy("name").agg(F.max("line").alias("line")).collect()  # a session's line map, at most ten lines and their aliases
-    lines = F.create_map(*[F.lit(x) for r in names for x in r])
-    return harp(spark, d).select("session_id", "seq", C.contains_value(lines, F.expr("cast(k % 12 as int)")).alias("found"))
+    names = line_map(spark, d).groupBy("name").agg(F.max("line").alias("line"))
+    lines = names.agg(F.map_from_entries(F.collect_list(F.struct("name", "line"))).alias("lines")).withColumn("one", F.lit(1))  # one row
+    return harp(spark, d).withColumn("one", F.lit(1)).join(F.broadcast(lines), "one").select("session_id", "seq", C.contains_value(F.col("lines"), F.expr("cast(k % 12 as int)")).alias("found"))
 
 
 @query(" SELECT c.session_id, c.seq, coalesce((SELECT string_agg(to_state, ',' ORDER BY place) FROM rr WHERE rr.rule = c.k % 3 AND rr.from_state = r.r_name), 'DefaultState') AS targets FROM h c JOIN region r ON r.r_regionkey = c.k % 5 WHERE c.address = 68", RULE_ROWS)
@@ -189,6 +189,34 @@ def uniform_draw(spark, d):
     return harp(spark, d).select("session_id", "seq", C.uniform_draw(F.array(*[F.lit(x) for x in "aabc"]), F.col("seq")).alias("drawn"))
 
 
+@query(" SELECT session_id, seq, CASE WHEN kind = 'view' THEN 'On' ELSE 'Off' END AS label, CASE WHEN (value >> (k % 10)) & 1 = 1 THEN 'clear' ELSE 'set' END AS choice FROM h WHERE address IS NOT NULL")
+def control_labels(spark, d):
+    rows = harp(spark, d).where("address is not null")
+    return rows.select("session_id", "seq", C.on_off(F.col("kind") == "view").alias("label"), C.line_choice(F.col("value"), F.expr("k % 10")).alias("choice"))
+
+
+@query(" SELECT r.session_id, r.seq, (SELECT string_agg(to_state, ',' ORDER BY place) FROM rr WHERE rr.rule = r.rule AND rr.from_state = 'AFRICA') AS targets FROM rules r", RULE_ROWS)
+def strict_lookup(spark, d):
+    return rule_changes(spark, d).select("session_id", "seq", F.array_join(C.strict_get(F.col("transitions"), F.lit("AFRICA")), ",").alias("targets"))
+
+
+@query(" SELECT session_id, seq, t_us // 1000 * 1000 - 1000000000000000 AS board_us FROM h")
+def board_time(spark, d):
+    seconds = F.expr("t_us div 1000") / 1000.0
+    return harp(spark, d).select("session_id", "seq", F.unix_micros(C.board_time(seconds, 1_000_000_000)).alias("board_us"))
+
+
+@query(
+    """, n AS (SELECT page_id, url, string_split(url, '/') AS parts FROM pages WHERE url IS NOT NULL)
+SELECT page_id, regexp_replace(url, '[.][a-z]+$', '.avi') AS video, CASE WHEN len(parts) >= 3 THEN parts[-3] END AS log FROM n"""
+)
+def path_pieces(spark, d):
+    rows = table(spark, d, "pages").where("url is not null and size(split(url, '/')) >= 3")
+    short = table(spark, d, "pages").where("url is not null and size(split(url, '/')) < 3").withColumn("log", F.lit(None).cast("string"))
+    both = rows.withColumn("log", C.log_number(F.col("url"))).unionByName(short)
+    return both.select("page_id", F.regexp_replace("url", "[.][a-z]+$", ".avi").alias("video"), "log")
+
+
 @query(" SELECT session_id, strftime(make_timestamp(min(t_us)), '%Y-%m-%dT%H-%M-%S') AS stamp FROM h GROUP BY session_id")
 def session_stamp(spark, d):
     first = harp(spark, d).groupBy("session_id").agg(F.min("t_us").alias("t_us"))
@@ -241,6 +269,16 @@ def after_first_trigger(spark, d):
     return timeops.after_first(beam(spark, d).select("session_id", "seq", "t_us"), rig.register(harp(spark, d), model.PWM_RISE), S)
 
 
+@query(
+    """, f AS (SELECT session_id, min(t_us) AS f FROM rules GROUP BY 1)
+SELECT b.session_id, b.seq, b.t_us FROM beam b JOIN f ON f.session_id = b.session_id AND b.t_us >= f.f
+UNION ALL SELECT session_id, seq, f FROM (SELECT b.session_id, b.seq, f.f, row_number() OVER (PARTITION BY b.session_id ORDER BY b.t_us DESC, b.seq DESC) AS n FROM beam b JOIN f ON f.session_id = b.session_id AND b.t_us < f.f) WHERE n = 1""",
+    BEAM,
+)
+def after_first_replayed(spark, d):
+    return timeops.after_first(beam(spark, d).select("session_id", "seq", "t_us"), rig.register(harp(spark, d), model.PWM_RISE), S, replay=True)
+
+
 @query(" SELECT session_id, seq, t_us, armed_us, off_us FROM pokes", BEAM)
 def sustained_pokes(spark, d):
     return rig.sustained(beam(spark, d), A.MIN_POKE)
@@ -259,16 +297,40 @@ def line_aliases(spark, d):
     return opened.join(F.broadcast(rig.aliases(line_map(spark, d))), "line").select("session_id", "seq", "line", F.array_join("candidates", ",").alias("candidates"))
 
 
+@query(" SELECT h.session_id, h.seq, l.name, l.line FROM h JOIN region r ON r.r_regionkey = h.k % 5 JOIN slm l ON l.name = r.r_name AND l.session_id = h.session_id WHERE h.address = 35", SESSION_LINES)
+def line_lookup_by_session(spark, d):
+    names = table(spark, d, "region").select(F.col("r_regionkey").alias("region_no"), F.col("r_name").alias("name"))
+    commands = rig.register(harp(spark, d), model.OUT_SET).select("session_id", "seq", F.expr("cast(k % 5 as bigint)").alias("region_no")).join(F.broadcast(names), "region_no")
+    return commands.join(session_lines(spark, d), ["session_id", "name"]).select("session_id", "seq", "name", "line")
+
+
+@query(" SELECT o.session_id, o.seq, o.line, a.candidates FROM odor o JOIN sal a ON a.line = o.line AND a.session_id = o.session_id", VALVES, SESSION_LINES)
+def line_aliases_by_session(spark, d):
+    opened = valves(spark, d).where(F.col("line").isin(*A.ODORS))
+    return opened.join(rig.aliases(session_lines(spark, d)), ["session_id", "line"]).select("session_id", "seq", "line", F.array_join("candidates", ",").alias("candidates"))
+
+
+@query(
+    """ SELECT o.session_id, o.seq, o.start_us AS t_us, row_number() OVER (PARTITION BY o.session_id ORDER BY o.start_us, o.seq) AS state_no, o.line, a.candidates
+FROM odor o LEFT JOIN sal a ON a.line = o.line AND a.session_id = o.session_id""",
+    VALVES,
+    SESSION_LINES,
+)
+def state_sequence_by_session(spark, d):
+    rows = rig.state_sequence(valves(spark, d), session_lines(spark, d), A.ODORS)
+    return rows.select("session_id", "seq", "t_us", "state_no", "line", F.array_join("candidates", ",").alias("candidates"))
+
+
 WINDOWS = """
 win AS (
-  SELECT session_id, window_no, min(t_us) - 43200000000 AS start_us, max(t_us) + 86400000000 AS end_us, count(*) AS onsets FROM (
+  SELECT session_id, window_no, min(t_us) - 43200000000 AS start_us, max(t_us) + 86400000000 AS end_us, count(*) AS onsets, min(t_us) AS first_us FROM (
     SELECT *, sum(n) OVER (PARTITION BY session_id ORDER BY t_us, seq) AS window_no FROM (
       SELECT *, CASE WHEN t_us - lag(t_us) OVER (PARTITION BY session_id ORDER BY t_us, seq) <= 129600000000 THEN 0 ELSE 1 END AS n FROM beam WHERE level))
   GROUP BY session_id, window_no
 )"""
 
 
-@query(" SELECT f.session_id, f.seq, w.window_no::BIGINT AS window_no, f.t_us - w.start_us AS frame_us FROM h f JOIN win w ON w.session_id = f.session_id AND f.t_us >= w.start_us AND f.t_us < w.end_us WHERE f.address = 68", BEAM, WINDOWS)
+@query(" SELECT f.session_id, f.seq, w.window_no::BIGINT AS window_no, f.t_us - (w.start_us + 43200000000) AS frame_us FROM h f JOIN win w ON w.session_id = f.session_id AND f.t_us >= w.start_us AND f.t_us < w.end_us WHERE f.address = 68", BEAM, WINDOWS)
 def frames_in_windows(spark, d):
     frames = rig.register(harp(spark, d), model.PWM_RISE).select("session_id", "seq", "t_us")
     return rig.frames_in_windows(frames, rig.video_windows(beam(spark, d), A.PRE, A.POST)).select("session_id", "seq", "window_no", "frame_us")
@@ -295,6 +357,16 @@ def roi_gated_onsets(spark, d):
     return rig.roi_gated(beam(spark, d).where("level").select("session_id", "seq", "t_us"), flags)
 
 
+@query(
+    """, g AS (SELECT b.session_id, coalesce(f.flag, false) AS kept FROM beam b ASOF LEFT JOIN (SELECT session_id, t_us, amount > 20 AS flag FROM h WHERE address = 68) f ON f.session_id = b.session_id AND b.t_us >= f.t_us WHERE b.level)
+SELECT session_id, count(*) AS onsets, count(*) FILTER (NOT kept) AS dropped, (count(*) FILTER (NOT kept)) / count(*) AS share FROM g GROUP BY 1""",
+    BEAM,
+)
+def roi_gate_share(spark, d):
+    flags = rig.register(harp(spark, d), model.PWM_RISE).withColumn("flag", F.col("amount") > 20)
+    return rig.gate_share(beam(spark, d).where("level").select("session_id", "seq", "t_us"), flags)
+
+
 # Aggregates
 
 
@@ -348,12 +420,19 @@ steps AS (
 ), nsteps AS (SELECT s.*, a.r_name AS from_name, b.r_name AS to_name FROM steps s JOIN region a ON a.r_regionkey + 5 = s.line JOIN region b ON b.r_regionkey + 5 = s.to_line)"""
 
 
-@query(" SELECT from_name AS from_state, " + ", ".join(f"count(*) FILTER (to_name = '{r}') AS \"{r.lower().replace(' ', '_')}\"" for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")) + " FROM nsteps GROUP BY 1", VALVES, REGION_STEPS)
+_STATES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+
+
+@query(
+    " SELECT r.rule_alias, n.from_name AS from_state, " + ", ".join(f"count(*) FILTER (n.to_name = '{x}') AS \"{x.lower().replace(' ', '_')}\"" for x in _STATES) + " FROM nsteps n ASOF LEFT JOIN rules r ON r.session_id = n.session_id AND n.t_us >= r.t_us GROUP BY 1, 2",
+    VALVES,
+    REGION_STEPS,
+)
 def transition_matrix(spark, d):
-    names = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-    rows = rig.transitions(sequence(spark, d)).select(F.col("candidates")[0].alias("from_state"), F.col("to_candidates")[0].alias("to_state"))
-    counted = rows.groupBy("from_state").pivot("to_state", list(names)).count().fillna(0)
-    return counted.select("from_state", *[F.col(n).alias(n.lower().replace(" ", "_")) for n in names])
+    rules = rule_changes(spark, d).select("session_id", "t_us", "seq", "rule_alias")
+    rows = timeops.asof(rig.transitions(sequence(spark, d)), rules, S, "rule_", "left").select(F.col("rule_rule_alias").alias("rule_alias"), F.col("candidates")[0].alias("from_state"), F.col("to_candidates")[0].alias("to_state"))
+    counted = rows.groupBy("rule_alias", "from_state").pivot("to_state", list(_STATES)).count().fillna(0)
+    return counted.select("rule_alias", "from_state", *[F.col(n).alias(n.lower().replace(" ", "_")) for n in _STATES])
 
 
 # Windows
@@ -436,11 +515,21 @@ def digi_events(spark, d):
 # Windows and waits of the streams
 
 
-@query(" SELECT session_id, window_no::BIGINT AS window_no, start_us, end_us, onsets FROM win", BEAM, WINDOWS)
+@query(" SELECT session_id, window_no::BIGINT AS window_no, start_us, end_us, onsets, first_us FROM win", BEAM, WINDOWS)
 def video_windows(spark, d):
     return rig.video_windows(beam(spark, d), A.PRE, A.POST)
 
 
+@query(
+    """, o AS (SELECT session_id, start_us, end_us, max(coalesce(end_us, 4611686018427387904)) OVER (PARTITION BY session_id ORDER BY start_us, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_us, seq FROM breaks),
+g AS (SELECT *, sum(CASE WHEN start_us - 43200000000 <= last_us + 86400000000 THEN 0 ELSE 1 END) OVER (PARTITION BY session_id ORDER BY start_us, seq) AS window_no FROM o)
+SELECT session_id, window_no::BIGINT AS window_no, min(start_us) - 43200000000 AS start_us, CASE WHEN bool_and(end_us IS NOT NULL) THEN max(end_us) + 86400000000 END AS end_us, count(*) AS onsets, min(start_us) AS first_us FROM g GROUP BY 1, 2""",
+    BEAM,
+)
+def video_windows_offset(spark, d):
+    return rig.video_windows(beam(spark, d), A.PRE, A.POST, "offset")
+
+
 @query(
     """, c AS (SELECT session_id, t_us FROM h WHERE address = 68),
 f AS (SELECT b.session_id, b.seq, b.t_us AS trigger_us, c.t_us AS first_us FROM (SELECT * FROM beam WHERE level) b ASOF JOIN c ON c.session_id = b.session_id AND b.t_us < c.t_us)
@@ -477,19 +566,21 @@ def session_end(spark, d):
 # Jobs
 
 
-@query(
-    """, b AS (SELECT b.*, r.rule_alias FROM breaks b ASOF LEFT JOIN rules r ON r.session_id = b.session_id AND b.start_us >= r.t_us),
-p AS (SELECT b.*, CASE WHEN p.start_us < coalesce(b.end_us, 4611686018427387904) THEN p.start_us END AS port_open_us, CASE WHEN p.start_us < coalesce(b.end_us, 4611686018427387904) THEN p.end_us END AS port_close_us
-  FROM b ASOF LEFT JOIN ports p ON p.session_id = b.session_id AND b.start_us < p.start_us),
-o AS (SELECT p.*, o.line, o.start_us AS o_us, o.end_us AS o_end, coalesce(o.end_us IS NULL OR o.end_us > p.start_us, false) AND o.line IS NOT NULL AS still FROM p ASOF LEFT JOIN odor o ON o.session_id = p.session_id AND p.start_us >= o.start_us),
-n AS (SELECT o.*, q.start_us AS next_odor_open_us FROM o ASOF LEFT JOIN odor q ON q.session_id = o.session_id AND o.start_us < q.start_us)
-SELECT session_id, break_no, start_us, end_us, rule_alias, a.candidates AS stimulus, CASE WHEN still THEN n.line END AS odor_line,
-  sum(CASE WHEN port_open_us IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY start_us, seq)::BIGINT AS stimulus_no, port_open_us, port_close_us,
-  CASE WHEN still THEN o_us END AS odor_open_us, CASE WHEN still THEN o_end END AS odor_close_us, next_odor_open_us
-FROM n LEFT JOIN (SELECT line, string_agg(DISTINCT name, ',' ORDER BY name) AS candidates FROM lm WHERE role = 'odor' GROUP BY line) a ON a.line = n.line AND still""",
-    BEAM,
-    VALVES,
-)
+POKES = """
+pb AS (SELECT b.*, r.rule_alias FROM breaks b ASOF LEFT JOIN rules r ON r.session_id = b.session_id AND b.start_us >= r.t_us),
+pp AS (SELECT b.*, CASE WHEN p.start_us < coalesce(b.end_us, 4611686018427387904) THEN p.start_us END AS port_open_us, CASE WHEN p.start_us < coalesce(b.end_us, 4611686018427387904) THEN p.end_us END AS port_close_us
+  FROM pb b ASOF LEFT JOIN ports p ON p.session_id = b.session_id AND b.start_us < p.start_us),
+po AS (SELECT p.*, o.line, o.start_us AS o_us, o.end_us AS o_end, coalesce(o.end_us IS NULL OR o.end_us > p.start_us, false) AND o.line IS NOT NULL AS still FROM pp p ASOF LEFT JOIN odor o ON o.session_id = p.session_id AND p.start_us >= o.start_us),
+pn AS (SELECT o.*, q.start_us AS next_odor_open_us FROM po o ASOF LEFT JOIN odor q ON q.session_id = o.session_id AND o.start_us < q.start_us),
+poke AS (
+  SELECT session_id, break_no, start_us, end_us, rule_alias, a.candidates AS stimulus, CASE WHEN still THEN n.line END AS odor_line,
+    sum(CASE WHEN port_open_us IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY start_us, seq)::BIGINT AS stimulus_no, port_open_us, port_close_us,
+    CASE WHEN still THEN o_us END AS odor_open_us, CASE WHEN still THEN o_end END AS odor_close_us, next_odor_open_us
+  FROM pn n LEFT JOIN (SELECT line, string_agg(DISTINCT name, ',' ORDER BY name) AS candidates FROM lm WHERE role = 'odor' GROUP BY line) a ON a.line = n.line AND still
+)"""
+
+
+@query(" SELECT * FROM poke", BEAM, VALVES, POKES)
 def poke_table(spark, d):
     rules = rule_changes(spark, d).select("session_id", "t_us", "seq", "rule_alias")
     return rig.poke_table(harp(spark, d), line_map(spark, d), rules, A.PORT, A.VACUUM, A.ODORS)
@@ -519,8 +610,10 @@ def switch_audit(spark, d):
 @query(
     """ SELECT session_id, seq, 'poke' AS kind, end_us - start_us AS length_us FROM breaks WHERE end_us - start_us > 72000000000
 UNION ALL SELECT session_id, seq, 'delivery', end_us - start_us FROM deliv WHERE end_us - start_us > 54000000000
-UNION ALL SELECT session_id, window_no::BIGINT, 'video', end_us - start_us FROM win WHERE end_us - start_us > 259200000000""",
+UNION ALL SELECT session_id, window_no::BIGINT, 'video', end_us - start_us FROM win WHERE end_us - start_us > 259200000000
+UNION ALL SELECT session_id, seq, 'wait', wait_us FROM (SELECT session_id, seq, start_us - lag(end_us) OVER (PARTITION BY session_id ORDER BY start_us, seq) AS wait_us FROM ports) WHERE wait_us < 1296000000000""",
     BEAM,
+    VALVES,
     DELIVERIES,
     WINDOWS,
 )
@@ -530,24 +623,23 @@ def limit_violations(spark, d):
     over = lambda df, kind, key, limit: df.select("session_id", F.col(key).alias("seq"), F.lit(kind).alias("kind"), length).where(F.col("length_us") > limit)
     pokes = over(rig.beam_breaks(rig.beam_edges(messages)), "poke", "seq", 20 * HOUR)
     given = over(rig.deliveries(messages, rig.sustained(messages, A.MIN_POKE), A.MIN_DELIVERY, A.MAX_DELIVERY), "delivery", "seq", 15 * HOUR)
-    return pokes.unionByName(given).unionByName(over(rig.video_windows(messages, A.PRE, A.POST), "video", "window_no", 72 * HOUR))
+    waits = rig.port_waits(rig.port_deliveries(valves(spark, d), A.PORT, A.VACUUM)).where(F.col("wait_us") < 360 * HOUR).select("session_id", "seq", F.lit("wait").alias("kind"), F.col("wait_us").alias("length_us"))
+    return pokes.unionByName(given).unionByName(over(rig.video_windows(messages, A.PRE, A.POST), "video", "window_no", 72 * HOUR)).unionByName(waits)
 
 
 @query(
-    """ SELECT f.session_id, f.seq, f.t_us, b.break_no, f.t_us - b.start_us AS since_break_us, m.level AS beam, r.rule_alias, format('{}_{}', coalesce(b.break_no, 0), f.seq) AS segment
-FROM (SELECT * FROM h WHERE address = 68 AND value = 1) f ASOF LEFT JOIN breaks b ON b.session_id = f.session_id AND f.t_us >= b.start_us
-ASOF LEFT JOIN beam m ON m.session_id = f.session_id AND f.t_us >= m.t_us ASOF LEFT JOIN rules r ON r.session_id = f.session_id AND f.t_us >= r.t_us""",
+    """, fr AS (SELECT session_id, seq, t_us FROM h WHERE address = 68 AND value = 1)
+SELECT f.session_id, f.seq, f.t_us, b.break_no, CASE WHEN b.port_open_us IS NOT NULL THEN b.stimulus_no END AS stimulus_no, f.t_us - b.start_us AS since_break_us, b.rule_alias, b.stimulus,
+  b.start_us IS NOT NULL AND (b.end_us IS NULL OR b.end_us > f.t_us) AS beam, p.start_us IS NOT NULL AND (p.end_us IS NULL OR p.end_us > f.t_us) AS port,
+  concat_ws('_', b.break_no, CASE WHEN b.port_open_us IS NOT NULL THEN b.stimulus_no END) AS segment
+FROM fr f ASOF LEFT JOIN poke b ON b.session_id = f.session_id AND f.t_us >= b.start_us ASOF LEFT JOIN (SELECT * FROM valves WHERE line = 0) p ON p.session_id = f.session_id AND f.t_us >= p.start_us""",
     BEAM,
+    VALVES,
+    POKES,
 )
 def frame_annotation(spark, d):
-    messages = beam(spark, d)
     frames = rig.camera_triggers(harp(spark, d)).select("session_id", "seq", "t_us")
-    breaks = rig.beam_breaks(rig.beam_edges(messages)).select("session_id", F.col("start_us").alias("t_us"), "seq", "break_no")
-    rows = timeops.asof(frames, breaks, S, "b_", "left")
-    rows = timeops.asof(rows, messages.select("session_id", "t_us", "seq", "level"), S, "m_", "left")
-    rows = timeops.asof(rows, rule_changes(spark, d).select("session_id", "t_us", "seq", "rule_alias"), S, "r_", "left")
-    segment = F.format_string("%d_%d", F.coalesce("b_break_no", F.lit(0)), F.col("seq"))
-    return rows.select("session_id", "seq", "t_us", F.col("b_break_no").alias("break_no"), (F.col("t_us") - F.col("b_t_us")).alias("since_break_us"), F.col("m_level").alias("beam"), F.col("r_rule_alias").alias("rule_alias"), segment.alias("segment"))
+    return rig.annotated_frames(frames, poke_table(spark, d), valves(spark, d).where(F.col("line") == A.PORT))
 
 
 @query(" SELECT s.session_id, s.seq, s.start_us AS t_us, s.state_no, s.line, r.r_name AS candidates FROM seqn s JOIN region r ON r.r_regionkey + 5 = s.line", VALVES, REGION_STEPS)
