@@ -1,11 +1,12 @@
 """Benchmark decontamination with an FM-index per training shard.
 
-A shard is what one task holds of the documents, in pieces of a bounded size. Words that no benchmark item has
+A shard is a bounded piece of what one task holds of the documents. Words that no benchmark item has
 can't be part of an occurrence, so a shard's index is built over the runs of benchmark words that are as long as
-the shortest window, joined by separators. All distinct windows are searched backwards together through the ranks
+the shortest window, joined by separators. All windows whose words the shard has are searched backwards together through the ranks
 of a wavelet tree over the Burrows-Wheeler transform; occurrences are located by walking to sampled suffix positions,
-and the spans are merged. The documents are never shuffled. The windows are broadcast in blocks of a bounded
-number of words, and each block is one pass whose spans are added up.
+and the spans are merged. The windows are broadcast in blocks of a bounded number of words. A benchmark of one block is one map over the documents, without
+a shuffle; with more blocks each is one pass, made one after the other, that stages the spans and items of the texts that it hits, and these
+are merged by the text's digest. The driver and the workers hold one block at a time.
 
 Edge cases: a null or empty text has no words and no hits, and a null or empty item has no window. Repeated rows of
 documents are judged row by row; item ids are compared as strings, and rows that repeat an item_id count as one item. A
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from . import common
 
 WINDOW = 13
-#: Words of benchmark items in one broadcast block.
-BLOCK_WORDS = 4_000_000
+#: Words of benchmark items in one broadcast block; an item of more is a block alone.
+BLOCK_WORDS = 1_000_000
 #: Every how many positions a suffix position is kept.
 SAMPLE = 8
 
@@ -117,101 +118,162 @@ class FMIndex:
 
 
 class Phrases:
-    """Distinct windows of a block of items, by length, as ids of the block's words."""
+    """The windows of a block of items: the items' words one after another, as ids of the block's distinct words, and where windows of each length begin."""
 
     def __init__(self, item_ids: list[str], texts: list[str], window: int):
         flat, at = common.words(pa.array(texts, pa.string()), common.ALNUM)
         ids, self.words = common.encoded(flat)
-        found: dict[int, dict[bytes, tuple[np.ndarray, set[int]]]] = {}
-        names = sorted(set(item_ids))
-        number = {x: i for i, x in enumerate(names)}
-        for k, name in enumerate(item_ids):
-            seq = ids[at[k] : at[k + 1]] + 2  # 0 ends the text, 1 separates runs
-            n = min(window, len(seq))
-            for j in range(len(seq) - n + 1 if n else 0):
-                found.setdefault(n, {}).setdefault((w := seq[j : j + n]).tobytes(), (w, set()))[1].add(number[name])
-        self.names = names
-        self.by_length = {n: (np.array([w for w, _ in ws.values()]), [sorted(s) for _, s in ws.values()]) for n, ws in sorted(found.items())}
-
-
-def _judge(texts: pa.Array, phrases: list[Phrases]) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
+        self.seq = (ids + 2).astype(np.int32)  # 0 ends the text, 1 separates runs
+        self.names, self.at, n = item_ids, at, np.diff(at)
+        size = np.minimum(n, window)
+        self.by_length = {int(k): common.ragged(at[:-1][size == k], (n - size + 1)[size == k]).astype(np.int32) for k in np.unique(size[size > 0])}
+
+    def items(self, begin: np.ndarray) -> np.ndarray:
+        """The items of windows."""
+        return np.searchsorted(self.at, begin, "right") - 1
+
+
+def _found(ids: np.ndarray, distinct: pa.Array, at: np.ndarray, block: Phrases) -> tuple[np.ndarray, list[set[str]]]:
+    """How many occurrences begin less end at each word of a batch of texts, and the items of each text."""
+    edges, items = np.zeros(len(ids) + 1, np.int32), [set() for _ in range(len(at) - 1)]
+    if not block.by_length or not len(ids):
+        return edges, items
+    known = pa.compute.index_in(distinct, value_set=block.words.cast(distinct.type)).fill_null(-2).to_numpy(zero_copy_only=False).astype(np.int32)
+    symbol = known[ids] + 2
+    # Runs of known words inside a document, at least as long as the shortest window.
+    doc = np.repeat(np.arange(len(at) - 1, dtype=np.int32), np.diff(at))
+    edge = np.flatnonzero(np.concatenate(([True], (symbol[1:] > 0) != (symbol[:-1] > 0))) | np.concatenate(([True], doc[1:] != doc[:-1])))
+    length = np.diff(np.append(edge, len(symbol)))
+    use = (symbol[edge] > 0) & (length >= min(block.by_length))
+    starts, length = edge[use], length[use]
+    if not len(starts):
+        return edges, items
+    where = common.ragged(starts, length + 1)
+    seq = symbol[np.minimum(where, len(symbol) - 1)]
+    seq[np.cumsum(length + 1) - 1] = 1
+    here = np.zeros(len(block.words) + 2, bool)
+    here[seq] = True
+    lacking = np.concatenate(([0], np.cumsum(~here[block.seq], dtype=np.int32)))
+    index = FMIndex(seq, len(block.words) + 1)
+    for n, every in block.by_length.items():
+        begins = every[lacking[every + n] == lacking[every]]
+        for some in np.array_split(begins, max(1, -(-len(begins) // 200_000))):
+            lo, hi = index.search(block.seq[some[:, None] + np.arange(n)].astype(np.int64))
+            hits = np.flatnonzero(hi > lo)
+            for part in np.array_split(hits, max(1, int((hi - lo)[hits].sum() // 500_000))):
+                spots = where[index.locate(common.ragged(lo[part], (hi - lo)[part]))]
+                np.add.at(edges, spots, 1)
+                np.add.at(edges, spots + n, -1)
+                owner = block.items(np.repeat(some[part], (hi - lo)[part]))
+                for o, d in np.unique(np.stack((owner, doc[spots])), axis=1).T:
+                    items[d].add(block.names[o])
+    return edges, items
+
+
+def _judge(texts: pa.Array, block: Phrases) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
     """Words, hit words and items of each text."""
     flat, at = common.words(texts, common.ALNUM)
     ids, distinct = common.encoded(flat)
-    hit = np.zeros(len(ids) + 1, np.int64)
-    items: list[set[str]] = [set() for _ in range(len(texts))]
-    for block in phrases:
-        if not block.by_length or not len(ids):
-            continue
-        known = pa.compute.index_in(distinct, value_set=block.words.cast(distinct.type)).to_numpy(zero_copy_only=False)
-        symbol = (np.where(np.isnan(known), -2, known) if known.dtype.kind == "f" else known).astype(np.int64)[ids] + 2
-        # Runs of known words inside a document, at least as long as the shortest window.
-        doc = np.repeat(np.arange(len(texts)), np.diff(at))
-        edge = np.flatnonzero(np.concatenate(([True], (symbol[1:] > 0) != (symbol[:-1] > 0))) | np.concatenate(([True], doc[1:] != doc[:-1])))
-        length = np.diff(np.append(edge, len(symbol)))
-        use = (symbol[edge] > 0) & (length >= min(block.by_length))
-        starts, length = edge[use], length[use]
-        if not len(starts):
-            continue
-        where = common.ragged(starts, length + 1)
-        last = np.cumsum(length + 1) - 1
-        seq = symbol[np.minimum(where, len(symbol) - 1)]
-        seq[last] = 1
-        index = FMIndex(seq, len(block.words) + 1)
-        for n, (patterns, owners) in block.by_length.items():
-            lo, hi = index.search(patterns)
-            some = np.flatnonzero(hi > lo)
-            for part in np.array_split(some, max(1, int((hi - lo)[some].sum() // 2_000_000))):
-                spots = where[index.locate(common.ragged(lo[part], (hi - lo)[part]))]
-                np.add.at(hit, spots, 1)
-                np.add.at(hit, spots + n, -1)
-                pairs = np.unique(np.stack((np.repeat(part, (hi - lo)[part]), doc[spots])), axis=1)
-                for p, d in pairs.T:
-                    items[d].update(block.names[x] for x in owners[p])
-    covered = np.concatenate(([0], np.cumsum(np.cumsum(hit[:-1]) > 0)))
+    edges, items = _found(ids, distinct, at, block)
+    covered = np.concatenate(([0], np.cumsum(np.cumsum(edges[:-1]) > 0)))
     return np.diff(at), covered[at[1:]] - covered[at[:-1]], items
 
 
-def phrase_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list:
-    """The windows of the benchmark, as broadcast blocks of items; one item is never split."""
-    spark = benchmark.sparkSession
-    size = F.length("text")
-    rows = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
-    total = rows.agg(F.sum(size)).first()[0] or 0
-    n = int(total // (block_words * 4)) + 1
-    out = []
-    for k in range(n):
-        part = rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).orderBy("item_id", "text").collect()
-        out.append(spark.sparkContext.broadcast(Phrases([r[0] for r in part], [r[1] for r in part], window)))
-    return out
+class Blocks:
+    """The benchmark by blocks of items, collected one at a time; one item is never split."""
+
+    def __init__(self, benchmark: DataFrame, window: int, block_words: int):
+        self.window = window
+        self.rows = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
+        spaces = F.regexp_count("text", F.lit("[^A-Za-z0-9]+")) + 1  # words at most, but for words that no ASCII byte divides
+        self.n = int((self.rows.agg(F.sum(spaces)).first()[0] or 0) // block_words) + 1
+
+    def broadcast(self, k: int):
+        rows = self.rows.where(F.pmod(F.xxhash64("item_id"), F.lit(self.n)) == k).orderBy("item_id", "text").toLocalIterator() if self.n > 1 else self.rows.orderBy("item_id", "text").toLocalIterator()
+        ids, texts = zip(*((r[0], r[1]) for r in rows), strict=True) if (rows := list(rows)) else ((), ())
+        return self.rows.sparkSession.sparkContext.broadcast(Phrases(list(ids), list(texts), self.window))
+
+
+def _sha(items: set[str]) -> str:
+    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
+def _key():
+    return F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+
+
+def _by_passes(docs: DataFrame, blocks: Blocks, share: int) -> DataFrame:
+    """key (a text's digest), n_words, n_hit, n_items, items_sha256, contaminated of each distinct text that some block hits."""
+    texts, passes = docs.where("text is not null").select("text", _key().alias("key")), []
+    for k in range(blocks.n):
+        block = blocks.broadcast(k)
+
+        def hits(parts: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            for t in common.batches(parts):
+                flat, at = common.words(common.column(t, "text"), common.ALNUM)
+                ids, distinct = common.encoded(flat)
+                edges, items = _found(ids, distinct, at, block.value)
+                on = np.concatenate(([False], np.cumsum(edges[:-1]) > 0, [False]))
+                some = [d for d, x in enumerate(items) if x]
+                spans = []
+                for d in some:
+                    turn = np.flatnonzero(np.diff(np.concatenate(([False], on[1 + at[d] : 1 + at[d + 1]], [False])).astype(np.int8)))
+                    spans.append([{"a": a, "b": b} for a, b in turn.reshape(-1, 2).tolist()])
+                schema = pa.schema([("key", pa.string()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), ("items", pa.list_(pa.string()))])
+                yield pa.RecordBatch.from_pydict({"key": common.column(t, "key").take(pa.array(some, pa.int64())), "n_words": np.diff(at)[some].astype(np.int64), "spans": spans, "items": [sorted(items[d]) for d in some]}, schema)
+
+        passes.append(common.staged(common.mapped(texts, hits, "key string, n_words long, spans array<struct<a: long, b: long>>, items array<string>").dropDuplicates(["key"]), "hits"))
+        block.destroy()
+    every = passes[0]
+    for more in passes[1:]:
+        every = every.unionByName(more)
+    rows = every.groupBy("key").agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    step = lambda s, x: F.struct((s["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(x["a"], s["end"]))).alias("n"), F.greatest(s["end"], x["b"]).alias("end"))
+    zero = F.lit(0).cast("long")
+    n_hit = F.aggregate("spans", F.struct(zero.alias("n"), zero.alias("end")), step, lambda s: s["n"])
+    return rows.select("key", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256")).withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A document is contaminated if some word is hit and share * n_hit >= n_words.
     """
-    blocks = phrase_blocks(benchmark, window)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    blocks = Blocks(benchmark, window, block_words)
+    if blocks.n == 1:
+        block = blocks.broadcast(0)
+
+        def judged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for t in common.batches(parts):
+                n_words, n_hit, items = _judge(common.column(t, "text"), block.value)
+                yield pa.RecordBatch.from_arrays([common.column(t, "doc_id"), pa.array(n_words.astype(np.int64)), pa.array(n_hit.astype(np.int64)), pa.array([len(x) for x in items], pa.int64()), pa.array([_sha(x) for x in items], pa.string()), pa.array((n_hit > 0) & (share * n_hit >= n_words))], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+
+        return common.mapped(docs.select("doc_id", "text"), judged, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
-    def judged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in common.batches(parts):
-            n_words, n_hit, items = _judge(common.column(t, "text"), [b.value for b in blocks])
-            sha = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]
-            yield pa.RecordBatch.from_arrays([common.column(t, "doc_id"), pa.array(n_words.astype(np.int64)), pa.array(n_hit.astype(np.int64)), pa.array([len(x) for x in items], pa.int64()), pa.array(sha, pa.string()), pa.array((n_hit > 0) & (share * n_hit >= n_words))], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+            yield pa.RecordBatch.from_arrays([common.column(t, "doc_id"), common.column(t, "key"), pa.array(np.diff(common.words(common.column(t, "text"), common.ALNUM)[1]))], names=["doc_id", "key", "n"])
 
-    return docs.select("doc_id", "text").mapInArrow(judged, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    rows = common.mapped(docs.select("doc_id", _key().alias("key"), "text"), counted, f"doc_id {kind}, key string, n long")
+    zero = F.lit(0).cast("long")
+    return rows.join(_by_passes(docs, blocks, share), "key", "left").select("doc_id", F.col("n").alias("n_words"), F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"), F.coalesce("items_sha256", F.lit(_sha(set()))).alias("items_sha256"), F.coalesce("contaminated", F.lit(False)).alias("contaminated"))
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents that aren't contaminated; all columns."""
-    blocks = phrase_blocks(benchmark, window)
+    blocks = Blocks(benchmark, window, block_words)
+    if blocks.n > 1:
+        gone = _by_passes(docs, blocks, share).where("contaminated").select(F.col("key").alias("_key"))
+        return docs.join(gone, _key() == F.col("_key"), "left_anti")
+    block = blocks.broadcast(0)
 
     def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in common.batches(parts):
-            n_words, n_hit, _ = _judge(common.column(t, "text"), [b.value for b in blocks])
+            n_words, n_hit, _ = _judge(common.column(t, "text"), block.value)
             yield from t.filter(pa.array((n_hit == 0) | (share * n_hit < n_words))).to_batches()
 
-    return docs.mapInArrow(keep, docs.schema)
+    return common.mapped(docs, keep, docs.schema)
 
 
 SQL = r"""
