@@ -178,6 +178,19 @@ def test_decontamination_cases(spark):
     assert sorted(r.doc_id for r in decontamination.without_contaminated(d, b).collect()) == [0, 1, 4, 6, 7, 8]
 
 
+def test_decontamination_by_blocks(spark):
+    """A benchmark of many blocks gives what one block gives; spans of different blocks are merged."""
+    a, c = words(1, 30), words(3, 40)
+    d = docs(spark, [a + " " + c, None, words(2, 60) + " " + c, " ".join(a.split()[:20]) + " " + words(2, 15), "q " * 50 + a, a + " " + c, "", "tiny"])
+    b = bench(spark, [(i, " ".join(a.split()[i : i + 14])) for i in range(8)] + [(20 + i, " ".join((a + " " + c).split()[3 * i : 3 * i + 15])) for i in range(9)] + [(50, "tiny")])
+    both = d.unionByName(d)
+    want = sorted(tuple(r) for r in decontamination.contamination(both, b).collect())
+    got = sorted(tuple(r) for r in decontamination.contamination(both, b, block_words=70).collect())
+    assert got == want and len({r[4] for r in want}) > 3
+    keep = lambda **x: sorted(r.doc_id for r in decontamination.without_contaminated(both, b, **x).collect())
+    assert keep() == keep(block_words=70) and len(keep()) < 16
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_fm_index(seed):
     r = np.random.default_rng(seed)
