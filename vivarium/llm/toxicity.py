@@ -255,7 +255,7 @@ def held_out(doc_id, mod: int = 5, rest: int = 0) -> bool:
 
 def _sentence_chunks(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc, toxic, chunk, n: in how many sentences of the document a chunk stands."""
-    for t in common.batches(parts, size=4 << 20):
+    for t in common.batches(parts):
         text = pc.split_pattern_regex(common.column(t, "text").fill_null(""), _SENTENCE)
         index, distinct, at = chunks(text.flatten())
         sentence = np.repeat(np.arange(len(at) - 1), np.diff(at))
@@ -272,7 +272,7 @@ def train(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, max_t
     counts = dict(drawn.groupBy("toxic").count().collect())
     constant = (counts.get(1, 0) + 1) / (counts.get(0, 0) + counts.get(1, 0) + 2)
     sample = common.staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(drawn), "doc_id"), "labelled")
-    spoken = common.staged(sample.mapInArrow(_sentence_chunks, "doc long, toxic int, chunk string, n long"), "chunks")
+    spoken = common.staged(common.mapped(sample, _sentence_chunks, "doc long, toxic int, chunk string, n long"), "chunks")
     clean = common.staged(spoken.where("toxic = 0").groupBy("chunk").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("docs")), "clean")
     n_toxic, n_clean = (spoken.where(F.col("toxic") == k).agg(F.countDistinct("doc")).first()[0] for k in (1, 0))
     if not n_toxic or not n_clean:
@@ -292,14 +292,14 @@ def train(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, max_t
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def best(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in common.batches(parts, size=4 << 20):
+        for t in common.batches(parts):
             two = shared.value.best_two(common.column(t, "text"))
             yield pa.RecordBatch.from_arrays([common.column(t, "toxic"), pa.array(two[:, 0]), pa.array(two[:, 1])], names=["toxic", "first", "second"])
 
     # Of each toxic document also what it would score with a character inserted into its two best chunks.
     top = [[bag[i] for i in np.argsort(-model.chunk_scores(bag), kind="stable")[:2]] for bag in bags.values()]
     varied = np.array([np.sort(np.append(model.chunk_scores([_inserted(c) for c in pair]), [-2.0] * (2 - len(pair))))[::-1] for pair in top])
-    scored = sample.mapInArrow(best, "toxic int, first double, second double").toPandas().sort_values(["toxic", "first", "second"])
+    scored = common.mapped(sample, best, "toxic int, first double, second double").toPandas().sort_values(["toxic", "first", "second"])
     rows = np.vstack((scored[["first", "second"]].to_numpy(), np.clip(varied, -2, 3)))
     model.calibration = _calibrated(rows, np.concatenate((scored["toxic"].to_numpy(float), np.ones(len(varied)))), np.concatenate((np.ones(len(scored)), np.full(len(varied), VARIANT_WEIGHT))))
     return model
@@ -313,12 +313,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, **
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, mod, rest, **sample))
 
     def judge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in common.batches(parts, size=4 << 20):
+        for t in common.batches(parts):
             ids = common.column(t, "doc_id")
             score = model.value.score(common.column(t, "text"))
             yield pa.RecordBatch.from_arrays([ids, pa.array([held_out(x, mod, rest) for x in ids.to_pylist()], pa.bool_()), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    return docs.select("doc_id", "text").mapInArrow(judge, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")
+    return common.mapped(docs.select("doc_id", "text"), judge, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, **sample: int) -> DataFrame:
@@ -326,7 +326,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int =
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, mod, rest, **sample))
 
     def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in common.batches(parts, size=4 << 20):
+        for t in common.batches(parts):
             yield from t.filter(pa.array(model.value.score(common.column(t, "text")) < 0.5)).to_batches()
 
-    return docs.mapInArrow(keep, docs.schema)
+    return common.mapped(docs, keep, docs.schema)
