@@ -222,8 +222,11 @@ def ahead(n: Column, p: Column, m: Column, q: Column) -> Column:
 
 
 def leader_pairs(hot: DataFrame, leaders: int = LEADERS) -> DataFrame:
-    """a, b: each set of a long list with the list's leaders, the sets of least hash under each of a few hashes."""
-    lead = hot.groupBy("h").agg(*[F.min_by(F.struct("doc", "n", "pos"), F.xxhash64("doc", F.lit(r))).alias(f"l{r}") for r in range(leaders)]).select("h", F.array_distinct(F.array(*[f"l{r}" for r in range(leaders)])).alias("leaders"))
+    """a, b: each set of a long list with the list's leaders. Half of these are sets where the list's shingle comes earliest: they have few rare
+    shingles, and are near the middle of a group of near copies; the others have the least hash. Ties go by a hash.
+    """
+    by = lambda r: F.struct("pos", F.xxhash64("doc", F.lit(r))) if r % 2 == 0 else F.xxhash64("doc", F.lit(r))
+    lead = hot.groupBy("h").agg(*[F.min_by(F.struct("doc", "n", "pos"), by(r)).alias(f"l{r}") for r in range(leaders)]).select("h", F.array_distinct(F.array(*[f"l{r}" for r in range(leaders)])).alias("leaders"))
     pairs = hot.join(small(lead, "leaders"), "h").select("doc", "n", "pos", F.explode("leaders").alias("l")).where(F.col("doc") != F.col("l.doc"))
     pairs = pairs.where(fits(F.col("n"), F.col("l.n")) & ahead(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos")))
     return pairs.select(F.least("doc", "l.doc").alias("a"), F.greatest("doc", "l.doc").alias("b")).distinct()
