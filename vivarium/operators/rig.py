@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import has_line, mask_lines
 from ..model import AUX_IN, DEFAULT_STATE, OUT_CLEAR, OUT_SET, OUT_STATE, OUT_TOGGLE, PWM_RISE, SESSION_END
-from .timeops import asof, interval_join, merged_windows, next_after, numbered
+from .timeops import HOUR, asof, merged_windows, next_after, numbered
 
 S = ["session_id"]
 
@@ -186,13 +186,13 @@ def port_waits(ports: DataFrame) -> DataFrame:
     return ports.withColumn("wait_us", F.col("start_us") - F.lag("end_us").over(w)).where("wait_us is not null").select("session_id", "seq", "start_us", "wait_us")
 
 
-def annotated_frames(frames: DataFrame, pokes: DataFrame, ports: DataFrame) -> DataFrame:
+def annotated_frames(frames: DataFrame, pokes: DataFrame, ports: DataFrame, chunk: int | None = HOUR) -> DataFrame:
     """Frames (session_id, seq, t_us) with what the last beam break at or before them has in the poke table: its number and stimulus, the frame's time since
     it, and whether the beam and the port are open then. segment: the break's number and, if it was served, the stimulus number.
     """
     table = pokes.select("session_id", F.col("start_us").alias("t_us"), F.col("break_no").alias("seq"), "break_no", "end_us", "rule_alias", "stimulus", F.when(F.col("port_open_us").isNotNull(), F.col("stimulus_no")).alias("stimulus_no"))
-    rows = asof(frames, table, S, "b_", "left")
-    rows = asof(rows, ports.select("session_id", F.col("start_us").alias("t_us"), "seq", "end_us"), S, "p_", "left")
+    rows = asof(frames, table, S, "b_", "left", chunk=chunk)
+    rows = asof(rows, ports.select("session_id", F.col("start_us").alias("t_us"), "seq", "end_us"), S, "p_", "left", chunk=chunk)
     broken = F.col("b_t_us").isNotNull() & (F.col("b_end_us").isNull() | (F.col("b_end_us") > F.col("t_us")))
     port = F.col("p_t_us").isNotNull() & (F.col("p_end_us").isNull() | (F.col("p_end_us") > F.col("t_us")))
     segment = F.concat_ws("_", F.col("b_break_no").cast("string"), F.col("b_stimulus_no").cast("string"))
@@ -202,13 +202,13 @@ def annotated_frames(frames: DataFrame, pokes: DataFrame, ports: DataFrame) -> D
     )
 
 
-def wait_elapsed(triggers: DataFrame, ticks: DataFrame, due: int) -> DataFrame:
+def wait_elapsed(triggers: DataFrame, ticks: DataFrame, due: int, chunk: int | None = HOUR) -> DataFrame:
     """When a wait on the board's clock ends: the first tick at least due after the first tick after the trigger."""
     clock = ticks.select("session_id", "t_us", "seq")
-    first = next_after(triggers.select("session_id", "seq", F.col("t_us").alias("trigger_us"), "t_us"), clock, S).select("session_id", "seq", "trigger_us", F.col("n_t_us").alias("first_us"))
+    first = next_after(triggers.select("session_id", "seq", F.col("t_us").alias("trigger_us"), "t_us"), clock, S, chunk=chunk).select("session_id", "seq", "trigger_us", F.col("n_t_us").alias("first_us"))
     # At least due after: the next tick after one microsecond less.
     probe = first.withColumn("t_us", F.col("first_us") + due - 1).where("first_us is not null")
-    return next_after(probe, clock, S).select("session_id", "seq", "trigger_us", "first_us", F.col("n_t_us").alias("fired_us"))
+    return next_after(probe, clock, S, chunk=chunk).select("session_id", "seq", "trigger_us", "first_us", F.col("n_t_us").alias("fired_us"))
 
 
 def video_windows(messages: DataFrame, pre: int, post: int, mode: str = "onset") -> DataFrame:
@@ -225,9 +225,9 @@ def video_windows(messages: DataFrame, pre: int, post: int, mode: str = "onset")
     return islands.groupBy("session_id", "window_no").agg((F.min("start_us") - pre).alias("start_us"), F.when(ended, F.max("end_us") + post).alias("end_us"), F.count(F.lit(1)).alias("onsets"), F.min("start_us").alias("first_us"))
 
 
-def frames_in_windows(frames: DataFrame, windows: DataFrame) -> DataFrame:
+def frames_in_windows(frames: DataFrame, windows: DataFrame, chunk: int | None = HOUR) -> DataFrame:
     """Frames of each window, with their time from its first onset, the beam break (frame_us, below 0 before it)."""
-    rows = asof(frames, windows.select("session_id", F.col("start_us").alias("t_us"), F.col("window_no").alias("seq"), "window_no", "end_us", "first_us"), S, "w_")
+    rows = asof(frames, windows.select("session_id", F.col("start_us").alias("t_us"), F.col("window_no").alias("seq"), "window_no", "end_us", "first_us"), S, "w_", chunk=chunk)
     rows = rows.where("w_end_us is null or t_us < w_end_us")
     return rows.select(*frames.columns, F.col("w_window_no").alias("window_no"), (F.col("t_us") - F.col("w_first_us")).alias("frame_us"))
 

@@ -1,7 +1,8 @@
 """Joins by time or order. Rows are ordered by (time, seq) inside the keys.
 
-All of these shuffle once on the keys and sort there. Keys such as a session may hold weeks of rows: filter to low-rate
-registers first, or use a key of (session, chunk).
+All of these shuffle on the keys and sort there. A key such as a session may hold weeks of rows of a fast register: with a chunk (of
+microseconds), rows are dealt and sorted by key and chunk of time, and what each chunk leaves to the next is carried over a table of
+the chunks, which is small. Without one, a key is one window: for registers of low rate.
 """
 
 from __future__ import annotations
@@ -28,18 +29,31 @@ def _joined(rows: DataFrame, right: DataFrame, by: list[str], prefix: str, how:
     return rows.select("_l.*", *[F.col(f"_r.{c}").alias(prefix + c) for c in right.columns if c not in by])
 
 
-def asof(left: DataFrame, right: DataFrame, by: list[str], prefix: str = "r_", how: str = "inner", time: str = "t_us", seq: str = "seq") -> DataFrame:
+def _filled(rows: DataFrame, by: list[str], column: str, time: str, seq: str, order: list, chunk: int | None, backwards: bool = False) -> DataFrame:
+    """Fills a column with its last value that isn't null, in the order."""
+    if chunk is None:
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return rows.withColumn(column, F.last(column, ignorenulls=True).over(w))
+    rows = rows.withColumn("_chunk", F.floor(F.col(time) / chunk))
+    inside = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = F.when(F.col(column).isNotNull(), F.struct(time, seq))
+    left = rows.groupBy(*by, "_chunk").agg((F.min_by if backwards else F.max_by)(column, at).alias("_end"))
+    before = Window.partitionBy(*by).orderBy(F.desc("_chunk") if backwards else "_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = left.select(*by, "_chunk", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    rows = rows.withColumn(column, F.last(column, ignorenulls=True).over(inside)).join(carried, [*by, "_chunk"])
+    return rows.withColumn(column, F.coalesce(column, "_carried")).drop("_chunk", "_carried")
+
+
+def asof(left: DataFrame, right: DataFrame, by: list[str], prefix: str = "r_", how: str = "inner", time: str = "t_us", seq: str = "seq", chunk: int | None = None) -> DataFrame:
     """Each left row with the last right row at or before it. how="inner" drops left rows before the first right row, "left" keeps them."""
     rows = _sided(left, right, by, time, seq, 0)
-    w = Window.partitionBy(*by).orderBy(time, "_side", seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return _joined(rows.withColumn("_r", F.last("_r", ignorenulls=True).over(w)), right, by, prefix, how)
+    return _joined(_filled(rows, by, "_r", time, seq, [time, "_side", seq], chunk), right, by, prefix, how)
 
 
-def next_after(left: DataFrame, right: DataFrame, by: list[str], prefix: str = "n_", how: str = "left", time: str = "t_us", seq: str = "seq") -> DataFrame:
+def next_after(left: DataFrame, right: DataFrame, by: list[str], prefix: str = "n_", how: str = "left", time: str = "t_us", seq: str = "seq", chunk: int | None = None) -> DataFrame:
     """Each left row with the first right row after it. The window runs backwards in time, so that its frame only grows."""
     rows = _sided(left, right, by, time, seq, 1)
-    w = Window.partitionBy(*by).orderBy(F.desc(time), "_side", F.desc(seq)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return _joined(rows.withColumn("_r", F.last("_r", ignorenulls=True).over(w)), right, by, prefix, how)
+    return _joined(_filled(rows, by, "_r", time, seq, [F.desc(time), "_side", F.desc(seq)], chunk, backwards=True), right, by, prefix, how)
 
 
 def combine_latest(a: DataFrame, b: DataFrame, by: list[str], value_a: str, value_b: str, time: str = "t_us", seq: str = "seq") -> DataFrame:
@@ -71,16 +85,15 @@ def after_first(source: DataFrame, trigger: DataFrame, by: list[str], time: str
     return after.unionByName(last.select(*[(F.col("_first") if c == time else F.col(f"_x.{c}")).alias(c) for c in source.columns]))
 
 
-def interval_join(points: DataFrame, spans: DataFrame, by: list[str], start: str, end: str, time: str = "t_us", bucket: int = 24 * HOUR) -> DataFrame:
+def interval_join(points: DataFrame, spans: DataFrame, by: list[str], start: str, end: str, time: str = "t_us", bucket: int = HOUR) -> DataFrame:
     """Points inside spans [start, end). Spans are spread over the buckets they touch, so the join has an equality on keys and bucket."""
     spread = spans.where(F.col(end) > F.col(start)).withColumn("_b", F.explode(F.sequence(F.floor(F.col(start) / bucket), F.floor((F.col(end) - 1) / bucket))))
     return points.withColumn("_b", F.floor(F.col(time) / bucket)).join(spread, [*by, "_b"]).where((F.col(time) >= F.col(start)) & (F.col(time) < F.col(end))).drop("_b")
 
 
-def current_value(df: DataFrame, by: list[str], value: Column, name: str, time: str = "t_us", seq: str = "seq") -> DataFrame:
+def current_value(df: DataFrame, by: list[str], value: Column, name: str, time: str = "t_us", seq: str = "seq", chunk: int | None = None) -> DataFrame:
     """The last value that isn't null, at each row."""
-    w = Window.partitionBy(*by).orderBy(time, seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(name, F.last(value, ignorenulls=True).over(w))
+    return _filled(df.withColumn(name, value), by, name, time, seq, [time, seq], chunk)
 
 
 def merged_windows(onsets: DataFrame, by: list[str], pre: int, post: int, time: str = "t_us") -> DataFrame:

@@ -15,6 +15,8 @@ from ..operators.timeops import HOUR
 PORT, VACUUM, ODORS = 0, 2, (5, 6, 7, 8, 9)
 #: Hours: minimum poke, minimum and maximum delivery, recording before and after an onset.
 MIN_POKE, MIN_DELIVERY, MAX_DELIVERY, PRE, POST = (h * HOUR for h in (2, 3, 24, 12, 24))
+#: The table's sessions are sparse: some events a day.
+CHUNK = 30 * 24 * HOUR
 #: Transitions by rule, as JSON in the three dialects.
 RULES = (
     ("cycle", True, '{"AFRICA":["AMERICA"],"AMERICA":["ASIA"],"ASIA":["EUROPE"],"EUROPE":["MIDDLE EAST"],"MIDDLE EAST":["AFRICA"]}'),

@@ -252,7 +252,7 @@ def combine_latest(spark, d):
 @query(" SELECT r.session_id, r.seq, r.rule_alias, e.t_us AS stamp_us FROM rules r ASOF JOIN (SELECT session_id, t_us, seq FROM h WHERE address <> 68) e ON r.session_id = e.session_id AND r.t_us >= e.t_us")
 def settings_stamped(spark, d):
     log = harp(spark, d).where(F.col("address") != model.PWM_RISE).select("session_id", "t_us", "seq")
-    return timeops.asof(rule_changes(spark, d).select("session_id", "t_us", "seq", "rule_alias"), log, S, "e_").select("session_id", "seq", "rule_alias", F.col("e_t_us").alias("stamp_us"))
+    return timeops.asof(rule_changes(spark, d).select("session_id", "t_us", "seq", "rule_alias"), log, S, "e_", chunk=A.CHUNK).select("session_id", "seq", "rule_alias", F.col("e_t_us").alias("stamp_us"))
 
 
 _NTH = "row_number() OVER (PARTITION BY session_id ORDER BY t_us, seq) AS n"
@@ -333,14 +333,15 @@ win AS (
 @query(" SELECT f.session_id, f.seq, w.window_no::BIGINT AS window_no, f.t_us - (w.start_us + 43200000000) AS frame_us FROM h f JOIN win w ON w.session_id = f.session_id AND f.t_us >= w.start_us AND f.t_us < w.end_us WHERE f.address = 68", BEAM, WINDOWS)
 def frames_in_windows(spark, d):
     frames = rig.register(harp(spark, d), model.PWM_RISE).select("session_id", "seq", "t_us")
-    return rig.frames_in_windows(frames, rig.video_windows(beam(spark, d), A.PRE, A.POST)).select("session_id", "seq", "window_no", "frame_us")
+    return rig.frames_in_windows(frames, rig.video_windows(beam(spark, d), A.PRE, A.POST), A.CHUNK).select("session_id", "seq", "window_no", "frame_us")
 
 
 @query(" SELECT session_id, break_no, start_us FROM breaks b WHERE NOT EXISTS (SELECT 1 FROM ports p WHERE p.session_id = b.session_id AND p.start_us >= b.start_us AND p.start_us < b.end_us)", BEAM, VALVES)
 def undelivered_breaks(spark, d):
     breaks = rig.beam_breaks(rig.beam_edges(beam(spark, d)))
-    ports = rig.port_deliveries(valves(spark, d), A.PORT, A.VACUUM).select("session_id", F.col("start_us").alias("t_us"))
-    served = timeops.interval_join(ports, breaks.where("end_us is not null"), S, "start_us", "end_us").select("session_id", "break_no").distinct()
+    ports = rig.port_deliveries(valves(spark, d), A.PORT, A.VACUUM).select("session_id", "seq", F.col("start_us").alias("t_us"))
+    spans = breaks.where("end_us is not null").select("session_id", "seq", F.col("start_us").alias("t_us"), "break_no", "end_us")
+    served = timeops.asof(ports, spans, S, "b_", chunk=A.CHUNK).where("t_us < b_end_us").select("session_id", F.col("b_break_no").alias("break_no")).distinct()
     return breaks.join(served, ["session_id", "break_no"], "left_anti").select("session_id", "break_no", "start_us")
 
 
@@ -441,7 +442,7 @@ def transition_matrix(spark, d):
 @query(" SELECT session_id, seq, t_us, last_value(CASE WHEN address = 68 THEN k % 3 END IGNORE NULLS) OVER (PARTITION BY session_id ORDER BY t_us, seq ROWS UNBOUNDED PRECEDING) AS rule FROM h")
 def state_fill(spark, d):
     rule = F.when(F.col("address") == model.PWM_RISE, F.expr("k % 3"))
-    return timeops.current_value(harp(spark, d), S, rule, "rule").select("session_id", "seq", "t_us", "rule")
+    return timeops.current_value(harp(spark, d), S, rule, "rule", chunk=A.CHUNK).select("session_id", "seq", "t_us", "rule")
 
 
 @query(" SELECT session_id, seq, t_us, level FROM edges", BEAM)
@@ -538,7 +539,7 @@ SELECT f.session_id, f.seq, f.trigger_us, f.first_us, c.t_us AS fired_us FROM (S
 )
 def wait_elapsed(spark, d):
     e = harp(spark, d)
-    return rig.wait_elapsed(rig.beam(e).where("level"), rig.register(e, model.PWM_RISE), 24 * HOUR)
+    return rig.wait_elapsed(rig.beam(e).where("level"), rig.register(e, model.PWM_RISE), 24 * HOUR, A.CHUNK)
 
 
 DELIVERIES = """
@@ -639,7 +640,7 @@ FROM fr f ASOF LEFT JOIN poke b ON b.session_id = f.session_id AND f.t_us >= b.s
 )
 def frame_annotation(spark, d):
     frames = rig.camera_triggers(harp(spark, d)).select("session_id", "seq", "t_us")
-    return rig.annotated_frames(frames, poke_table(spark, d), valves(spark, d).where(F.col("line") == A.PORT))
+    return rig.annotated_frames(frames, poke_table(spark, d), valves(spark, d).where(F.col("line") == A.PORT), A.CHUNK)
 
 
 @query(" SELECT s.session_id, s.seq, s.start_us AS t_us, s.state_no, s.line, r.r_name AS candidates FROM seqn s JOIN region r ON r.r_regionkey + 5 = s.line", VALVES, REGION_STEPS)
@@ -686,5 +687,5 @@ def bag_conformance(spark, d):
 def trigger_reconcile(spark, d):
     e = harp(spark, d)
     windows = rig.video_windows(rig.beam(e), A.PRE, A.POST)
-    inside = rig.frames_in_windows(rig.register(e, model.PWM_RISE).select("session_id", "seq", "t_us", "value"), windows).groupBy("session_id", "window_no").agg(F.count(F.lit(1)).alias("frames"), F.count_if(F.col("value") == 1).alias("triggers"))
+    inside = rig.frames_in_windows(rig.register(e, model.PWM_RISE).select("session_id", "seq", "t_us", "value"), windows, A.CHUNK).groupBy("session_id", "window_no").agg(F.count(F.lit(1)).alias("frames"), F.count_if(F.col("value") == 1).alias("triggers"))
     return windows.select("session_id", "window_no").join(inside, ["session_id", "window_no"], "left").fillna(0, ["frames", "triggers"])
