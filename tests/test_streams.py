@@ -59,4 +59,23 @@ def test_latest(spark, tmp_path):
         spark.createDataFrame([("a", k, T0 + dt.timedelta(seconds=k), 32 + k % 2, k)], schema).coalesce(1).write.mode("append").parquet(folder)
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
     streams.latest_values(source, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
-    assert sorted((r.address, r.value) for r in spark.read.parquet(str(tmp_path / "out") + "/batch=2").collect()) == [(32, 2), (33, 1)]
+    assert sorted((r.address, r.value) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(32, 2), (33, 1)]
+
+
+def test_session_end_settles_pokes(spark, tmp_path):
+    """Of two onsets that wait when the session ends, the one that has lasted long enough is emitted."""
+    got = run(streams.sustained_pokes(stream(spark, tmp_path, [(0, True), (15, True), (20, None)], 3), 10), "ended", tmp_path)
+    assert [(r.t - T0).total_seconds() for r in got.collect()] == [0]
+
+
+def test_current_values(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    schema = "session_id string, seq long, t timestamp, address int, value long, rule string"
+    batches = [[("a", 0, 32, 1, None), ("a", 1, 35, 1 << 6, "cycle"), ("b", 2, 32, 1, None)], [("a", 3, 35, 1, None), ("a", 4, 32, 0, None), ("a", 5, 32, 1, "bag")], [("b", 6, 88, 0, None)], [("b", 7, 32, 1, None)]]
+    for rows in batches:
+        spark.createDataFrame([(x[0], x[1], T0 + dt.timedelta(seconds=x[1]), *x[2:]) for x in rows], schema).coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    q = streams.current_values(source, 0, (5, 6, 7)).writeStream.format("memory").queryName("now").outputMode("update").option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted(((r.t - T0).total_seconds(), r.session_id, r.pokes, r.stimuli, r.rule, r.state, r.ended) for r in spark.table("now").collect())
+    assert got == [(1, "a", 1, 0, "cycle", 6, False), (2, "b", 1, 0, None, None, False), (5, "a", 2, 1, "bag", 6, False), (6, "b", 1, 0, None, None, True), (7, "b", 1, 0, None, None, False)]

@@ -1,4 +1,4 @@
-"""Streams with watermarks: recording windows, hourly counts, sustained pokes with timers, and current values.
+"""Streams with watermarks: recording windows, hourly counts, sustained pokes with timers, and current values of sessions until they end.
 
 Rows later than the watermark are dropped; the delay is a parameter.
 """
@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from ..model import AUX_IN, OUT_SET, SESSION_END
+
 #: How late rows may be.
 DELAY = "10 minutes"
 
@@ -33,7 +35,7 @@ class SustainedPokes(StatefulProcessor):
     """Emits an onset once no offset has come within the least time, by event-time timers.
 
     Input: session_id, t, level. Rows of a batch are taken in order of time; an onset waits in the session's state until a later row or
-    its timer settles it.
+    its timer settles it. A row without level ends the session: onsets that have lasted long enough by then are emitted, others are dropped.
     """
 
     def __init__(self, least_s: float):
@@ -61,10 +63,10 @@ class SustainedPokes(StatefulProcessor):
         batch = pd.concat(list(rows)).sort_values("t")
         for t, level in zip(batch["t"], batch["level"], strict=True):
             t = pd.Timestamp(t)
-            if level:
+            if level is not None and level == 1:
                 held.append(t)
                 self.handle.registerTimer(int((t + least).timestamp() * 1000))
-            else:
+            else:  # an offset, or the end
                 done += [x for x in held if t - x >= least]
                 held = []
         self._keep(held)
@@ -86,15 +88,67 @@ def sustained_pokes(messages: DataFrame, least_s: float, delay: str = DELAY) ->
     return rows.transformWithStateInPandas(SustainedPokes(least_s), "session_id string, t timestamp, armed timestamp", "Append", "EventTime")
 
 
-def latest_values(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keeps a table of each session's and register's last value: each batch is merged into it, under the batch's number."""
+class CurrentValues(StatefulProcessor):
+    """The current values of each running session, emitted when a batch has rows of it; the end marker emits the last ones and drops the state.
+
+    Input: session_id, t, seq, address, value, and rule (null but for changes of the rule). pokes counts onset messages, stimuli openings of
+    the port; rule and state (the odor line opened last) are the latest.
+    """
+
+    def __init__(self, port: int, odors: tuple[int, ...], aux_line: int = 0):
+        self.port, self.odors, self.aux_line = port, odors, aux_line
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.values = handle.getValueState("values", "pokes long, stimuli long, rule string, state int, t timestamp")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pokes, stimuli, rule, state, last = self.values.get() if self.values.exists() else (0, 0, None, None, None)
+        batch = pd.concat(list(rows)).sort_values(["t", "seq"])
+        bit = lambda line: (batch["value"].fillna(0).astype("int64") // 2**line) % 2 == 1
+        pokes += int(((batch["address"] == AUX_IN) & bit(self.aux_line)).sum())
+        stimuli += int(((batch["address"] == OUT_SET) & bit(self.port)).sum())
+        named = batch["rule"].dropna()
+        rule = str(named.iloc[-1]) if len(named) else rule
+        for value in batch["value"][batch["address"] == OUT_SET]:
+            state = next((line for line in self.odors if int(value) >> line & 1), state)
+        last = max(x for x in (last, batch["t"].max().to_pydatetime()) if x is not None)
+        ended = bool((batch["address"] == SESSION_END).any())
+        if ended:
+            self.values.clear()
+        else:
+            self.values.update((pokes, stimuli, rule, state, last))
+        yield pd.DataFrame({"session_id": [key[0]], "t": [last], "pokes": [pokes], "stimuli": [stimuli], "rule": pd.Series([rule], dtype=object), "state": pd.Series([state], dtype="Int32"), "ended": [ended]})
+
+    def close(self) -> None:
+        pass
+
+
+def current_values(events: DataFrame, port: int, odors: tuple[int, ...], aux_line: int = 0) -> DataFrame:
+    """session_id, t, pokes, stimuli, rule, state, ended of each session that a batch has rows of, in update mode. Needs the RocksDB state store."""
+    kind = events.schema["session_id"].dataType.simpleString()
+    return events.groupBy("session_id").transformWithStateInPandas(CurrentValues(port, odors, aux_line), f"session_id {kind}, t timestamp, pokes long, stimuli long, rule string, state int, ended boolean", "Update", "None")
+
+
+#: Parts of the table of latest values; a batch rewrites those that it has rows of.
+PARTS = 64
+
+
+def latest_values(events: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Keeps a table of each session's and register's last value, in parts by session: a batch is merged into the parts that it touches.
+
+    trigger: as of DataStreamWriter.trigger, such as processingTime="5 seconds" for a table that stays current; once over what is there by default.
+    """
+    keys, last = ["part", "session_id", "address"], F.max_by(F.struct("t", "seq", "value"), F.struct("t", "seq")).alias("x")
+    latest = lambda df: df.groupBy(*keys).agg(last).select("session_id", "address", "x.t", "x.seq", "x.value", "part")
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        new = batch.groupBy("session_id", "address").agg(F.max_by(F.struct("t", "seq", "value"), F.struct("t", "seq")).alias("x")).select("session_id", "address", "x.t", "x.seq", "x.value")
-        if number:
-            new = new.unionByName(spark.read.schema(new.schema).parquet(f"{path}/batch={number - 1}"))
-            new = new.groupBy("session_id", "address").agg(F.max_by(F.struct("t", "seq", "value"), F.struct("t", "seq")).alias("x")).select("session_id", "address", "x.t", "x.seq", "x.value")
-        new.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        new = latest(batch.withColumn("part", F.pmod(F.xxhash64("session_id"), F.lit(PARTS)).cast("int"))).persist()
+        parts = [r[0] for r in new.select("part").distinct().collect()]  # at most PARTS
+        rows = new
+        if parts and number:
+            rows = latest(new.unionByName(spark.read.schema(new.schema).parquet(path).where(F.col("part").isin(parts))))
+        rows.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+        new.unpersist()
+
+    return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
