@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import running, staged
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -26,8 +26,8 @@ WEIGHTS = (3, 1, 2)
 ROUNDS, WALK = 4, 256
 #: Sources up to which their table is broadcast; beyond it Spark joins by shuffling, splitting skewed keys.
 BROADCAST_SOURCES = 100_000
-#: Parts of the unit interval by which a slot finds its source; numbers that one window of a running sum spans.
-PARTS, CHUNK = 4096, 1024
+#: Parts of the unit interval by which a slot finds its source.
+PARTS = 4096
 #: Documents up to which the table of their copies is broadcast.
 BROADCAST_COPIES = 2_000_000
 
@@ -75,15 +75,6 @@ def permuted(df: DataFrame, x: str, n: str, key: list) -> DataFrame:
     return df.withColumn(x, F.when(F.col("_v") < F.col(n), F.col("_v")).otherwise(F.raise_error(F.lit("cycle walking did not end")).cast("long"))).drop("_a", "_v")
 
 
-def running(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """Adds "to", the sum of value over the key's rows up to this one: inside chunks of CHUNK numbers of the order, and over the chunks."""
-    rows = rows.withColumn("_chunk", F.floor(F.col(order) / CHUNK))
-    inside = Window.partitionBy(key, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    base = rows.groupBy(key, "_chunk").agg(F.sum(value).alias("_sum")).select(key, "_chunk", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    return rows.withColumn("to", F.sum(value).over(inside)).join(base, [key, "_chunk"]).withColumn("to", F.col("to") + F.col("_base")).drop("_chunk", "_base")
-
-
 def placed_in(points: DataFrame, u: str, ranges: DataFrame) -> DataFrame:
     """The points with the rank of the range lo <= u < hi, inside 0 .. 1, that holds them. Each of PARTS parts has the ranges that reach into it."""
     part = lambda c: F.least(F.floor(c * PARTS).cast("int"), F.lit(PARTS - 1))

@@ -10,7 +10,7 @@ File format, all integers little-endian. A shard is two files. NNNNN.rec holds o
 masked(c) = ((c >> 15 | c << 17) + 0xA282EAD8) mod 2**32, and CRC-32 is zlib's (not CRC-32C). NNNNN.idx holds
 for each frame a uint64 offset and a uint32 number of ids, so that single sequences can be read in any order.
 
-Documents are range-partitioned by doc_id: shards, and frames in a shard, ascend. Each task writes a temporary
+Documents are range-partitioned by doc_id (and text): shards, and frames in a shard, ascend. Each task writes a temporary
 name and renames it, so a task that runs again replaces its own shard. Shards go to a folder URI through
 pyarrow's file systems, and are read back by Spark's binaryFile source.
 
@@ -18,8 +18,8 @@ A text is cut where one white-space byte (space or line feed) stands between two
 the byte-level pre-tokenizer always ends a token there. Only distinct pieces of a batch are run
 through the tokenizer. Texts that hold other Unicode white space are encoded whole.
 
-Edge cases: a null or empty text has only the end id. Null doc_ids come first. Repeated doc_ids are ordered by text and get
-a frame each. An empty table gives no shards and an empty result. Other columns are not stored.
+Edge cases: a null or empty text has only the end id. Null doc_ids come first. Repeated doc_ids are ordered by a hash of the text and get
+a frame each, in one shard or more. A very long text is one frame. An empty table gives no shards and an empty result. Other columns are not stored.
 """
 
 from __future__ import annotations
@@ -96,7 +96,7 @@ class PieceEncoder:
 
     JOINED = 8192
     #: Pieces whose ids an encoder keeps, those seen first; it lives as long as its task.
-    KEPT = 50_000
+    KEPT = 200_000
 
     def __init__(self, path: str):
         self.kept, self.kept_ids, self.kept_begin, self.kept_n = pa.array([], pa.large_string()), np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
@@ -174,20 +174,28 @@ class PieceEncoder:
         return ids[common.ragged(begin[index], length)], np.concatenate(([0], np.cumsum(length)))[np.searchsorted(starts, at)]
 
 
+_INDEX = np.dtype([("offset", "<u8"), ("n", "<u4")])
+
+
+def _index(fs, path: str) -> np.ndarray:
+    with fs.open_input_stream(path) as f:
+        return np.frombuffer(f.read(), _INDEX)
+
+
 def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID, shards: int | None = None) -> DataFrame:
     """Writes the shards below a folder URI; returns shard, records, ids, doc_id of its first and last record."""
     if shards is None:
         chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
         shards = int(chars // SHARD_CHARS) + 1
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = rows.withColumn("_h", F.xxhash64("text")).repartitionByRange(shards, "doc_id", "_h").sortWithinPartitions("doc_id", "_h", "text").drop("_h")
 
     def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         encoder = out = None
         fs, base = pyarrow.fs.FileSystem.from_uri(folder)
         index, offset, total, first, last = [], 0, 0, None, None
-        for t in common.batches(parts):
+        for t in common.batches(parts, size=4 << 20):
             if out is None:
                 encoder = PieceEncoder(tokenizer_path)
                 fs.create_dir(base, recursive=True)
@@ -207,7 +215,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
         if out is not None:
             out.close()
             with fs.open_output_stream(temporary + ".idx") as f:
-                f.write(np.array(index, np.dtype([("offset", "<u8"), ("n", "<u4")])).tobytes())
+                f.write(np.array(index, _INDEX).tobytes())
             fs.move(temporary, f"{base}/{shard:05d}.rec")
             fs.move(temporary + ".idx", f"{base}/{shard:05d}.idx")
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "records": pa.array([len(index)], pa.int64()), "ids": pa.array([total], pa.int64()), "first_id": pa.array([first], pa.int64()), "last_id": pa.array([last], pa.int64())})
@@ -216,7 +224,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
 
 
 def read_records(docs_or_spark, folder: str) -> DataFrame:
-    """shard, n_th, doc_id, n_tokens, ids_crc32 (of the ids as uint32) of every frame, checked against its checksums and the offset index."""
+    """shard, n_th, doc_id, n_tokens, ids_crc32 (of the ids as uint32), offset of every frame. Raises ValueError where a frame doesn't fit its checksums, or the offset index the frames."""
     spark = getattr(docs_or_spark, "sparkSession", docs_or_spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.rec").option("recursiveFileLookup", "true").load(folder).select("path", "content")
 
@@ -225,6 +233,8 @@ def read_records(docs_or_spark, folder: str) -> DataFrame:
             for path, content in zip(part.column("path"), part.column("content"), strict=True):
                 shard = int(path.as_py().rsplit("/", 1)[1].split(".")[0])
                 data = content.as_buffer().to_pybytes()
+                fs, base = pyarrow.fs.FileSystem.from_uri(folder)
+                index = _index(fs, f"{base}/{shard:05d}.idx")
                 doc, n, crc, where = [], [], [], []
                 for offset, payload in frames(data):
                     ids = np.frombuffer(payload, {2: "<u2", 4: "<u4"}[payload[9]], offset=10)
@@ -232,11 +242,35 @@ def read_records(docs_or_spark, folder: str) -> DataFrame:
                     n.append(len(ids))
                     crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
                     where.append(offset)
+                if index["offset"].tolist() != where or index["n"].tolist() != n:
+                    raise ValueError(f"the offset index of shard {shard} doesn't fit its frames")
                 yield pa.RecordBatch.from_pydict({"shard": pa.array([shard] * len(n), pa.int32()), "n_th": pa.array(range(len(n)), pa.int64()), "doc_id": pa.array(doc, pa.int64()), "n_tokens": pa.array(n, pa.int64()), "ids_crc32": pa.array(crc, pa.int64()), "offset": pa.array(where, pa.int64())})
 
     return common.mapped(files, read, "shard int, n_th long, doc_id long, n_tokens long, ids_crc32 long, offset long")
 
 
+def fetch_records(wanted: DataFrame, folder: str) -> DataFrame:
+    """shard, n_th, doc_id, ids of the sequences asked for (shard, n_th), in any order: each is read alone, at the place that the offset index gives."""
+
+    def fetch(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = pyarrow.fs.FileSystem.from_uri(folder)
+        held, index, file = None, None, None
+        for t in common.batches(parts):
+            doc, ids = [], []
+            for shard, n_th in zip(t.column("shard").to_pylist(), t.column("n_th").to_pylist(), strict=True):
+                if shard != held:
+                    held, index, file = shard, _index(fs, f"{base}/{shard:05d}.idx"), fs.open_input_file(f"{base}/{shard:05d}.rec")
+                file.seek(int(index["offset"][n_th]))
+                head = file.read(12)
+                (_, payload), = frames(head + file.read(int.from_bytes(head[:8], "little") + 4))
+                doc.append(None if payload[8] else int.from_bytes(payload[:8], "little", signed=True))
+                ids.append(np.frombuffer(payload, {2: "<u2", 4: "<u4"}[payload[9]], offset=10).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([common.column(t, "shard"), common.column(t, "n_th"), pa.array(doc, pa.int64()), pa.array(ids, pa.list_(pa.int32()))], names=["shard", "n_th", "doc_id", "ids"])
+
+    rows = wanted.select(F.col("shard").cast("int").alias("shard"), F.col("n_th").cast("long").alias("n_th")).repartition("shard").sortWithinPartitions("shard", "n_th")
+    return common.mapped(rows, fetch, "shard int, n_th long, doc_id long, ids array<int>")
+
+
 def token_records(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, folder: str | None = None) -> DataFrame:
     """Writes the records and returns, from the files, one row per document: doc_id, start, n_tokens, ids_crc32, shard, offset.
 
@@ -247,8 +281,7 @@ def token_records(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, fo
     shards = write_records(docs, folder, tokenizer_path, end_id)
     if not shards.head(1):
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long, shard int, offset long")
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    base = shards.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
+    base = common.running(shards.select("shard", "ids", F.lit(1).alias("one")), "one", "shard", "ids").select("shard", (F.col("to") - F.col("ids")).alias("base"))
     inside = Window.partitionBy("shard").orderBy("n_th").rowsBetween(Window.unboundedPreceding, -1)
     rows = read_records(spark, folder).withColumn("inner", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     return rows.join(base, "shard").select("doc_id", (F.col("base") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32", "shard", "offset")
