@@ -346,6 +346,15 @@ def test_token_records(spark, tmp_path):
     assert len(list(token_records.frames(data[at:]))) == 1 and index["n"].sum() == start
     with pytest.raises(ValueError):
         list(token_records.frames(data[:-5] + bytes([data[-5] ^ 1]) + data[-4:]))
+    wanted = spark.createDataFrame([(0, len(want) - 1), (0, 0), (0, 5)], "shard int, n_th long")
+    fetched = {r.n_th: r for r in token_records.fetch_records(wanted, folder).collect()}
+    for k, r in fetched.items():
+        assert r.doc_id == want[k][0] and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == want[k][3]
+    assert len(fetched) == 3
+    index["offset"][3] += 1
+    index.tofile(tmp_path / "records" / "00000.idx")
+    with pytest.raises(Exception, match="offset index"):
+        token_records.read_records(spark, folder).collect()
 
 
 # 7
@@ -417,22 +426,29 @@ def test_scores_edges(spark):
     assert context_mixing.score_texts(d.limit(0)).count() == 0
 
 
-def _scores_with(monkeypatch, spark, limit, value):
-    d = docs(spark, [words(i, 60) for i in range(30)])
-    read = lambda: [r.score for r in context_mixing.score_texts(d).orderBy("doc_id").collect()]
-    want = read()
-    monkeypatch.setattr(context_mixing, limit, value, raising=False)
-    return read(), want
-
-
-def test_long_contexts_count_all_pairs(spark, monkeypatch):
-    got, want = _scores_with(monkeypatch, spark, "LONG_PAIRS", 10)
-    assert got == pytest.approx(want, rel=1e-4)
-
-
-def test_weights_are_learned_from_all_pairs(spark, monkeypatch):
-    got, want = _scores_with(monkeypatch, spark, "MIX_PAIRS", 30)
-    assert got == pytest.approx(want, rel=1e-4)
+def test_slot_counts_hold_all_pairs(spark):
+    """Slots hold every training token, also those seen once, in every context: against a sum pair by pair."""
+    d = docs(spark, [words(i, 40, 10**6) for i in range(12)])
+    pair = context_mixing.pair_counts(d)
+    got = context_mixing.slot_counts(pair)
+    want, tokens = np.zeros_like(got), 0
+    for r in pair.collect():
+        tokens += r.n
+        node = context_mixing.Nodes(np.array([r.before]), pa.array([r.token], pa.large_string()))
+        for slots, bit in node.decisions():
+            for x in slots:
+                np.add.at(want, (x, bit), r.n)
+    assert (got == want).all() and tokens == sum(41 for i in range(12) if zlib.crc32(str(i).encode()) % 7 != 2)
+
+
+def test_kept_lengths_are_those_worked_out():
+    r = np.random.default_rng(2)
+    model = context_mixing.learn(r.integers(0, 9, (context_mixing.SLOTS, 2)).astype(np.float32), np.zeros(2, np.int64), pa.array(["ab ", "ac "], pa.large_string()), np.ones(2), np.ones(2))
+    for k in range(4):
+        strings = pa.array(sorted({f"w{x}" for x in r.integers(0, 60 + k, 50)}), pa.large_string())
+        classes = r.integers(0, 3, len(strings))
+        assert np.allclose(model.lengths(classes, strings), model.bits(classes, strings), rtol=1e-5)
+    assert (np.diff(model.kept[0].astype(object)) > 0).all()
 
 
 def test_bits_are_code_lengths():
