@@ -32,7 +32,11 @@ from pyspark.sql import functions as F
 
 from . import common
 
+#: Learning is from at most so many toxic and clean labelled documents, whole.
 MAX_TOXIC, MAX_CLEAN = 1500, 3000
+#: Of these documents' chunks: candidates of the first round, clean chunks that are negatives from the start (each the most frequent ones and about as many
+#: spread over the others), and clean chunks that each later round adds, those that score highest.
+FIRST_ROUND, NEGATIVES, HARD = 6000, 4000, 3000
 #: How much the variants of toxic documents with inserted characters count in the calibration.
 VARIANT_WEIGHT = 0.25
 SPAN, DECAY, LANDMARKS, WINDOW = 7, 0.6, 128, 24
@@ -69,17 +73,23 @@ def chunks(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return index, distinct, np.searchsorted(keep, at)
 
 
-def _coded(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of the characters of all windows with their marks, where each window begins, with the end, and each window's string."""
+def windows(strings: list[str]) -> tuple[list[str], np.ndarray]:
+    """The overlapping windows of each string (itself, if it is no longer than one), and whose they are."""
     pieces, owner = [], []
     for i, s in enumerate(strings):
         for k in range(0, max(1, len(s) - WINDOW // 2), WINDOW // 2) if len(s) > WINDOW else (0,):
             pieces.append(s[k : k + WINDOW])
             owner.append(i)
+    return pieces, np.array(owner, np.int64)
+
+
+def _coded(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes of the characters of all windows with their marks, where each window begins, with the end, and each window's string."""
+    pieces, owner = windows(strings)
     code = np.frombuffer("".join(f"\x01{p}\x02" for p in pieces).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     classes = np.where(code < 128, _CLASS[np.minimum(code, 127)], 37 + code % 25)
     classes = np.where(code == 1, _BEGIN, np.where(code == 2, _END, classes))
-    return classes, np.concatenate(([0], np.cumsum([len(p) + 2 for p in pieces]))).astype(np.int64), np.array(owner, np.int64)
+    return classes, np.concatenate(([0], np.cumsum([len(p) + 2 for p in pieces]))).astype(np.int64), owner
 
 
 def _norm(n: np.ndarray) -> np.ndarray:
@@ -147,10 +157,10 @@ class Model:
 
 
 def _features(strings: list[str], ids: np.ndarray, space: np.ndarray | None = None) -> np.ndarray:
-    """The normalised weights of the given three characters in each string (its first window), or their image in a space."""
+    """The normalised weights of the given three characters in each string, of one window, or their image in a space."""
     out = np.zeros((len(strings), len(ids) if space is None else space.shape[1]), np.float32)
     for i in range(0, len(strings), 250):
-        part = [s[:WINDOW] for s in strings[i : i + 250]]
+        part = strings[i : i + 250]
         classes, at, _ = _coded(part)
         row = np.repeat(np.arange(len(part)), np.diff(at))
         cells, weights = [], []
@@ -184,13 +194,13 @@ def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 20.
 
 
 def _inserted(chunk: str) -> str:
-    """The chunk with a letter or digit put in at a place that its checksum tells."""
+    """The chunk with a letter or digit put in at a place that its checksum tells; of one window still."""
     h = zlib.crc32(chunk.encode("utf-8", "surrogatepass"))
     at = 1 + h % max(1, len(chunk) - 1)
-    return chunk[:at] + "abcdefghijklmnopqrstuvwxyz0123456789"[(h >> 8) % 36] + chunk[at:]
+    return chunk[:at] + "abcdefghijklmnopqrstuvwxyz0123456789"[(h >> 8) % 36] + chunk[at : WINDOW - 1]
 
 
-def learn(bags: list[list[str]], clean: list[str], rounds: int = 6, landmarks: int = LANDMARKS, hard: int = 3000, first_round: int = 6000) -> tuple[np.ndarray, float]:
+def learn(bags: list[list[str]], clean: list[str], rounds: int = 6, landmarks: int = LANDMARKS, hard: int = HARD, first_round: int = FIRST_ROUND) -> tuple[np.ndarray, float]:
     """bags: the candidate chunks of each toxic document. clean: all chunks of clean sentences, frequent ones first. first_round: about half as many candidates as the first round takes.
 
     Each round after the first adds the `hard` clean chunks that the machine scores highest to its negatives. Returns the
@@ -203,7 +213,7 @@ def learn(bags: list[list[str]], clean: list[str], rounds: int = 6, landmarks: i
     rank = np.argsort(-seen, kind="stable")
     spread = rank[len(rank) // 50 :: max(1, len(rank) // (landmarks // 4))][: landmarks // 4]
     toxic_marks = [candidates[i] for i in (*rank[: landmarks // 2], *spread)]
-    negatives = dict.fromkeys([*clean[:4000], *clean[4000 :: max(1, len(clean) // 4000)]])
+    negatives = dict.fromkeys([*clean[:NEGATIVES], *clean[NEGATIVES :: max(1, len(clean) // NEGATIVES)]])
     score, weights, bias, hardest = None, None, 0.0, clean
     for _ in range(rounds):
         if score is None:
@@ -218,7 +228,7 @@ def learn(bags: list[list[str]], clean: list[str], rounds: int = 6, landmarks: i
             hardest = [clean[i] for i in np.argsort(-clean_scores, kind="stable")[:hard]]
             negatives |= dict.fromkeys(hardest)
         marks = list(dict.fromkeys([*toxic_marks, *hardest[: landmarks // 2]]))
-        classes, at, _ = _coded([m[:WINDOW] for m in marks])
+        classes, at, _ = _coded(marks)
         ids = np.unique(np.concatenate([which for _, _, which in _triples(classes, at)]))
         base = _features(marks, ids)
         value, vector = np.linalg.eigh(base @ base.T)
@@ -254,12 +264,18 @@ def held_out(doc_id, mod: int = 5, rest: int = 0) -> bool:
 
 
 def _sentence_chunks(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc, toxic, chunk, n: in how many sentences of the document a chunk stands."""
+    """doc, toxic, chunk, n: in how many sentences of the document a chunk (each window of a long one) stands."""
     for t in common.batches(parts):
         text = pc.split_pattern_regex(common.column(t, "text").fill_null(""), _SENTENCE)
         index, distinct, at = chunks(text.flatten())
         sentence = np.repeat(np.arange(len(at) - 1), np.diff(at))
         doc = np.repeat(np.arange(len(t)), np.diff(text.offsets.to_numpy()))
+        pieces, owner = windows(distinct.to_pylist())
+        if len(pieces) > len(distinct):
+            place, distinct = common.encoded(pa.array(pieces, pa.large_string()))
+            count = np.bincount(owner, minlength=int(owner[-1]) + 1)
+            sentence = np.repeat(sentence, count[index])
+            index = place[common.ragged((np.cumsum(count) - count)[index], count[index])]
         key = np.unique(sentence * max(1, len(distinct)) + index)
         key, n = np.unique(doc[key // max(1, len(distinct))] * len(distinct) + key % max(1, len(distinct)), return_counts=True)
         row = pa.array(key // max(1, len(distinct)))
