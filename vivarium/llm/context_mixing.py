@@ -46,6 +46,8 @@ _BASE = np.concatenate(([0], np.cumsum([16 << b for b in SLOT_BITS]))).astype(np
 SLOTS = int(_BASE[-1])
 #: Slots in a row of the table of counts.
 BLOCK = 4096
+#: (class, token) pairs whose code lengths a worker keeps while it scores.
+KEPT_PAIRS = 1_500_000
 _LEVELS = np.array([1, 2, 4, 16, 128])
 GATES = (len(_LEVELS) + 1) ** 2
 _MAP = 33
@@ -131,12 +133,27 @@ class Nodes:
         return np.bincount(self.places, weights=np.repeat(weight, np.diff(self.starts)), minlength=len(self.byte))
 
 
+def pair_keys(classes: np.ndarray, strings: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each (class, token) pair."""
+    data, at = common.text_bytes(strings)
+    n = np.diff(at)
+    pos = np.arange(len(data)) - np.repeat(at[:-1], n)
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(int(n.max()) if len(n) else 0, _K))), dtype=np.uint64)
+        summed = np.concatenate(([np.uint64(0)], np.cumsum((np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)) * power[pos], dtype=np.uint64)))
+        return _mixed(_mixed(summed[at[1:]] - summed[at[:-1]]) + classes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def gates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.astype(np.int64) * (len(_LEVELS) + 1) + b
 
 
 def _level(n: np.ndarray) -> np.ndarray:
-    return np.searchsorted(_LEVELS, n, "right").astype(np.uint8)
+    """How many of _LEVELS n has reached."""
+    out = np.zeros(len(n), np.uint8)
+    for least in _LEVELS:
+        out += n >= least
+    return out
 
 
 @dataclass
@@ -148,16 +165,38 @@ class Model:
     weights: np.ndarray
     refine: np.ndarray
     escape: float = 0.5
+    #: The log odds with 32 bits, made where they are first used.
+    wide: np.ndarray | None = None
+    #: Keys of pairs, in order, and their code lengths: those scored first.
+    kept: tuple[np.ndarray, np.ndarray] = (np.empty(0, np.uint64), np.empty(0, np.float32))
+
+    def lengths(self, classes: np.ndarray, strings: pa.Array) -> np.ndarray:
+        """As bits, by slices; pairs that are kept aren't worked out again."""
+        key, (keys, known) = pair_keys(classes, strings), self.kept
+        at = np.searchsorted(keys, key)
+        hit = keys[np.minimum(at, len(keys) - 1)] == key if len(keys) else np.zeros(len(key), bool)
+        out = np.empty(len(key), np.float32)
+        out[hit] = known[at[hit]]
+        new = np.flatnonzero(~hit)
+        for part in np.array_split(new, max(1, -(-len(new) // 25_000))):
+            out[part] = self.bits(classes[part], strings.take(pa.array(part)))
+        if room := min(len(new), KEPT_PAIRS - len(keys)):
+            new = new[:room]
+            new = new[np.argsort(key[new])]
+            self.kept = np.insert(keys, at[new], key[new]), np.insert(known, at[new], out[new])
+        return out
 
     def bits(self, classes: np.ndarray, strings: pa.Array) -> np.ndarray:
         """The code length of each token, in bits."""
         nodes = Nodes(classes, strings)
+        if self.wide is None:
+            self.wide = self.stretch.astype(np.float32)
         total = np.zeros(len(nodes.byte), np.float32)
         for slots, bit in nodes.decisions():
-            gate = gates(self.level[slots[3]], self.level[slots[4]])
-            s = self.weights[-1][gate]
+            gate = gates(self.level.take(slots[3]), self.level.take(slots[4]))
+            s = self.weights[-1].take(gate)
             for w, x in zip(self.weights, slots, strict=False):
-                s += w[gate] * self.stretch[x]
+                s += w.take(gate) * self.wide.take(x)
             total -= np.log2(_chance(s, gate, bit, self.refine))
         summed = np.concatenate(([0.0], np.cumsum(total[nodes.places], dtype=np.float64)))
         return summed[nodes.starts[1:]] - summed[nodes.starts[:-1]]
@@ -172,7 +211,7 @@ def _cell(s: np.ndarray) -> np.ndarray:
 
 
 def _chance(s: np.ndarray, gate: np.ndarray, bit: np.ndarray, refine: np.ndarray) -> np.ndarray:
-    p = (_squash(s) * 2 + refine[gate * _MAP + _cell(s)]) / 3
+    p = (_squash(s) * 2 + refine.take(gate * _MAP + _cell(s))) / 3
     return np.where(bit == 1, p, 1 - p)
 
 
@@ -192,6 +231,7 @@ def fitted(counts: np.ndarray, parts, seed: int = 5):
     grown = np.full_like(w, 1e-3)
     gated, hits, seen = np.zeros(GATES), np.zeros(GATES * _MAP), np.zeros(GATES * _MAP)
     random, done, total = np.random.default_rng(seed), 0, 0.0
+    both = np.ascontiguousarray(counts, np.float32).view(np.uint64).ravel()  # zeros and ones of a slot are read together
     for classes, strings, weight in parts:
         total += float(weight.sum())
         order = random.permutation(len(weight))
@@ -203,13 +243,14 @@ def fitted(counts: np.ndarray, parts, seed: int = 5):
             nodes = Nodes(classes[part], strings.take(pa.array(part)))
             mass = nodes.mass(weight[part])
             for slots, bit in nodes.decisions():
-                left = [(np.maximum(counts[x, 1] - bit, 0), np.maximum(counts[x, 0] + counts[x, 1] - 1, 0)) for x in slots]
-                left = [(np.minimum(a, b), b) for a, b in left]
-                gate = gates(_level(left[3][1]), _level(left[4][1]))
-                x = np.stack([*(_odds(a, b) for a, b in left), np.ones(len(bit))], axis=1)
-                s = (w[gate] * x).sum(axis=1)
+                known = np.stack([both.take(x).view(np.float32).reshape(-1, 2) for x in slots])
+                left = np.maximum(known[:, :, 0] + known[:, :, 1] - 1, 0)
+                ones = np.minimum(np.maximum(known[:, :, 1] - bit, 0), left)
+                gate = gates(_level(left[3]), _level(left[4]))
+                x = np.concatenate((_odds(ones, left), np.ones((1, len(bit)), np.float32)))
+                s = np.einsum("ij,ij->j", w.T.astype(np.float32).take(gate, axis=1), x)
                 error = (bit - _squash(s)) * mass
-                step = np.stack([np.bincount(gate, weights=error * x[:, i], minlength=GATES) for i in range(inputs)], axis=1) / max(mass.sum(), 1e-9)
+                step = np.stack([np.bincount(gate, weights=error * row, minlength=GATES) for row in x], axis=1) / max(mass.sum(), 1e-9)
                 grown += step**2
                 w += 0.05 * step / np.sqrt(grown)
                 cell = gate * _MAP + _cell(s)
@@ -248,7 +289,7 @@ def learned_from(pair: DataFrame, counts: np.ndarray, tasks: int) -> Model:
 
     rows = pair.select("token", "before", "n").repartition(tasks, "token", "before").sortWithinPartitions(F.xxhash64("token", "before"), "token", "before")
     ends = np.cumsum([GATES * (len(SLOT_BITS) + 1), GATES, GATES * _MAP, GATES * _MAP])
-    split = (np.split(np.frombuffer(r[0], np.float64), ends) for r in common.staged(rows.mapInArrow(fit, "learned binary"), "learned").toLocalIterator())
+    split = (np.split(np.frombuffer(r[0], np.float64), ends) for r in common.staged(common.mapped(rows, fit, "learned binary"), "learned").toLocalIterator())
     model = merged(counts, ((v.reshape(GATES, -1), g, h, m, float(t[0])) for v, g, h, m, t in split))
     shared.destroy()
     return model
@@ -269,7 +310,7 @@ def pair_counts(docs: DataFrame, mod: int = 7, rest: int = 2) -> DataFrame:
                 before, index, distinct, inverse, _, _ = pairs(column)
                 yield pa.RecordBatch.from_pydict({"token": distinct.take(pa.array(index)).cast(pa.string()), "before": pa.array(before.astype(np.int32)), "n": pa.array(np.bincount(inverse, minlength=len(before)).astype(np.int64))})
 
-    return docs.select("doc_id", "text").mapInArrow(count, "token string, before int, n long").groupBy("token", "before").agg(F.sum("n").alias("n"))
+    return common.mapped(docs.select("doc_id", "text"), count, "token string, before int, n long").groupBy("token", "before").agg(F.sum("n").alias("n"))
 
 
 def slot_counts(pair: DataFrame) -> np.ndarray:
@@ -297,7 +338,7 @@ def slot_counts(pair: DataFrame) -> np.ndarray:
                 sums[b] = sums[b] + x if b in sums else x
         yield pa.RecordBatch.from_pydict({"block": pa.array(list(sums), pa.int32()), "counts": pa.array([zlib.compress(x.astype(np.float32).tobytes(), 1) for x in sums.values()], pa.binary())})
 
-    rows = pair.mapInArrow(gather, "block int, counts binary").repartition("block").mapInArrow(add, "block int, counts binary")
+    rows = common.mapped(common.mapped(pair, gather, "block int, counts binary").repartition("block"), add, "block int, counts binary")
     out = np.zeros((SLOTS // BLOCK, BLOCK, 2), np.float32)
     for r in common.staged(rows, "slots").toLocalIterator():
         out[r[0]] = np.frombuffer(zlib.decompress(r[1]), np.float32).reshape(BLOCK, 2)
@@ -328,12 +369,10 @@ def score_texts(docs: DataFrame, mod: int = 7, rest: int = 2, rows_per_task: int
         row = TaskContext.get().partitionId() << 40
         names, c = known.value
         logs = np.log10(np.append(c, 0) + 1.0)
-        for t in common.batches(parts, size=8 << 20):
+        for t in common.batches(parts):
             column = common.column(t, "text")
             before, index, distinct, inverse, flat, at = pairs(column)
-            bits = np.empty(len(before))
-            for i in range(0, len(before), 25_000):
-                bits[i : i + 25_000] = model.value.bits(before[i : i + 25_000], distinct.take(pa.array(index[i : i + 25_000])))
+            bits = model.value.lengths(before, distinct.take(pa.array(index))).astype(np.float64)
             found = pc.index_in(distinct, value_set=names).fill_null(-1).to_numpy(zero_copy_only=False)
             where = found[flat]
             light = where < 0
@@ -353,7 +392,7 @@ def score_texts(docs: DataFrame, mod: int = 7, rest: int = 2, rows_per_task: int
             row += len(ids)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = common.staged(docs.select("doc_id", "text").mapInArrow(score, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_heavy long, base_heavy double, bits double, all_bits double, bytes long, light array<struct<token: string, bits: float>>"), "scored")
+    scored = common.staged(common.mapped(docs.select("doc_id", "text"), score, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_heavy long, base_heavy double, bits double, all_bits double, bytes long, light array<struct<token: string, bits: float>>"), "scored")
     words = scored.select("row", F.explode("light").alias("x")).select("row", "x.token", "x.bits")
     light = words.join(vocabulary, "token").groupBy("row").agg(F.count(F.lit(1)).alias("n_light"), F.sum(F.log10(F.col("c") + 1)).alias("base_light"), F.sum("bits").alias("bits_light"))
     rows = scored.drop("light").join(light, "row", "left").fillna(0, ["n_light", "base_light", "bits_light"])
