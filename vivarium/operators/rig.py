@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import has_line, mask_lines
 from ..model import AUX_IN, DEFAULT_STATE, OUT_CLEAR, OUT_SET, OUT_STATE, OUT_TOGGLE, PWM_RISE, SESSION_END
-from .timeops import HOUR, asof, merged_windows, next_after, numbered
+from .timeops import HOUR, asof, filled, merged_windows, next_after, numbered
 
 S = ["session_id"]
 
@@ -16,6 +18,12 @@ def by_time(*more: str) -> Window:
     return Window.partitionBy("session_id", *more).orderBy("t_us", "seq")
 
 
+def sides(*named: tuple[str, DataFrame, int]) -> DataFrame:
+    """One table of all sides by session, time and order (_side: lower comes first at equal times), each side's rows as a struct of its name."""
+    rows = [df.select("session_id", "t_us", "seq", F.lit(k).alias("_side"), F.struct("*").alias(name)) for name, df, k in named]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+
+
 def register(events: DataFrame, *addresses: int) -> DataFrame:
     return events.where(F.col("address").isin(*addresses))
 
@@ -191,8 +199,9 @@ def annotated_frames(frames: DataFrame, pokes: DataFrame, ports: DataFrame, chun
     it, and whether the beam and the port are open then. segment: the break's number and, if it was served, the stimulus number.
     """
     table = pokes.select("session_id", F.col("start_us").alias("t_us"), F.col("break_no").alias("seq"), "break_no", "end_us", "rule_alias", "stimulus", F.when(F.col("port_open_us").isNotNull(), F.col("stimulus_no")).alias("stimulus_no"))
-    rows = asof(frames, table, S, "b_", "left", chunk=chunk)
-    rows = asof(rows, ports.select("session_id", F.col("start_us").alias("t_us"), "seq", "end_us"), S, "p_", "left", chunk=chunk)
+    opened = ports.select("session_id", F.col("start_us").alias("t_us"), "seq", "end_us")
+    rows = filled(sides(("_f", frames, 1), ("_b", table, 0), ("_p", opened, 0)), S, ["_b", "_p"], "t_us", "seq", ["t_us", "_side", "seq"], chunk).where("_f is not null")
+    rows = rows.select("_f.*", *[F.col(f"_b.{c}").alias(f"b_{c}") for c in ("t_us", "break_no", "end_us", "rule_alias", "stimulus", "stimulus_no")], F.col("_p.t_us").alias("p_t_us"), F.col("_p.end_us").alias("p_end_us"))
     broken = F.col("b_t_us").isNotNull() & (F.col("b_end_us").isNull() | (F.col("b_end_us") > F.col("t_us")))
     port = F.col("p_t_us").isNotNull() & (F.col("p_end_us").isNull() | (F.col("p_end_us") > F.col("t_us")))
     segment = F.concat_ws("_", F.col("b_break_no").cast("string"), F.col("b_stimulus_no").cast("string"))
@@ -272,12 +281,15 @@ def poke_table(events: DataFrame, line_map: DataFrame, rules: DataFrame, port: i
     valves = valve_intervals(line_changes(line_states(events)))
     ports = port_deliveries(valves, port, vacuum).select("session_id", F.col("start_us").alias("t_us"), "seq", F.col("end_us").alias("close_us"))
     odor = valves.where(F.col("line").isin(*odors)).select("session_id", F.col("start_us").alias("t_us"), "seq", "line", F.col("end_us").alias("close_us"))
-    rows = asof(breaks, rules.select("session_id", "t_us", "seq", "rule_alias"), S, "rule_", "left")
-    rows = next_after(rows, ports, S, "port_")
+    # One shuffle: all sides by session, what is looked up before the breaks at equal times.
+    rows = sides(("_b", breaks, 1), ("_rule", rules.select("session_id", "t_us", "seq", "rule_alias"), 0), ("_port", ports, 0), ("_odor", odor, 0))
+    before = Window.partitionBy("session_id").orderBy("t_us", "_side", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = Window.partitionBy("session_id").orderBy(F.desc("t_us"), F.desc("_side"), F.desc("seq")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    latest = lambda c, w: F.last(c, ignorenulls=True).over(w)
+    rows = rows.withColumns({"rule": latest("_rule", before), "odor": latest("_odor", before), "port": latest("_port", after), "next": latest("_odor", after)}).where("_b is not null")
+    rows = rows.select("_b.*", F.col("rule.rule_alias").alias("rule_rule_alias"), F.col("odor.line").alias("odor_line"), F.col("odor.t_us").alias("odor_t_us"), F.col("odor.close_us").alias("odor_close_us"), F.col("port.t_us").alias("port_t_us"), F.col("port.close_us").alias("port_close_us"), F.col("next.t_us").alias("next_odor_t_us"))
     inside = F.coalesce(F.col("port_t_us") < F.coalesce("end_us", F.lit(2**62)), F.lit(False))
     rows = rows.withColumns({"port_open_us": F.when(inside, F.col("port_t_us")), "port_close_us": F.when(inside, F.col("port_close_us"))})
-    rows = asof(rows, odor, S, "odor_", "left")
-    rows = next_after(rows, odor.select("session_id", "t_us", "seq"), S, "next_odor_")
     still = F.coalesce(F.col("odor_close_us").isNull() | (F.col("odor_close_us") > F.col("t_us")), F.lit(False)) & F.col("odor_line").isNotNull()
     rows = rows.withColumn("odor_line", F.when(still, F.col("odor_line")))
     running = Window.partitionBy("session_id").orderBy("t_us", "seq")

@@ -14,12 +14,8 @@ HOUR = 3_600_000_000  # microseconds
 
 
 def _sided(left: DataFrame, right: DataFrame, by: list[str], time: str, seq: str, right_first: int) -> DataFrame:
-    def side(df: DataFrame, own: str, k: int) -> DataFrame:
-        other = "_r" if own == "_l" else "_l"
-        kind = (right if own == "_l" else left).select(F.struct("*").alias("x")).schema["x"].dataType
-        return df.select(*by, time, seq, F.lit(k).alias("_side"), F.struct("*").alias(own), F.lit(None).cast(kind).alias(other))
-
-    return side(left, "_l", 1 - right_first).unionByName(side(right, "_r", right_first))
+    side = lambda df, own, k: df.select(*by, time, seq, F.lit(k).alias("_side"), F.struct("*").alias(own))
+    return side(left, "_l", 1 - right_first).unionByName(side(right, "_r", right_first), allowMissingColumns=True)
 
 
 def _joined(rows: DataFrame, right: DataFrame, by: list[str], prefix: str, how: str) -> DataFrame:
@@ -29,31 +25,31 @@ def _joined(rows: DataFrame, right: DataFrame, by: list[str], prefix: str, how:
     return rows.select("_l.*", *[F.col(f"_r.{c}").alias(prefix + c) for c in right.columns if c not in by])
 
 
-def _filled(rows: DataFrame, by: list[str], column: str, time: str, seq: str, order: list, chunk: int | None, backwards: bool = False) -> DataFrame:
-    """Fills a column with its last value that isn't null, in the order."""
+def filled(rows: DataFrame, by: list[str], columns: list[str], time: str, seq: str, order: list, chunk: int | None, backwards: bool = False) -> DataFrame:
+    """Fills columns with their last values that aren't null, in the order."""
+    latest = lambda w: {c: F.last(c, ignorenulls=True).over(w) for c in columns}
     if chunk is None:
-        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return rows.withColumn(column, F.last(column, ignorenulls=True).over(w))
+        return rows.withColumns(latest(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     rows = rows.withColumn("_chunk", F.floor(F.col(time) / chunk))
     inside = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at = F.when(F.col(column).isNotNull(), F.struct(time, seq))
-    left = rows.groupBy(*by, "_chunk").agg((F.min_by if backwards else F.max_by)(column, at).alias("_end"))
+    end = F.min_by if backwards else F.max_by
+    left = rows.groupBy(*by, "_chunk").agg(*[end(c, F.when(F.col(c).isNotNull(), F.struct(time, seq))).alias(f"_end{c}") for c in columns])
     before = Window.partitionBy(*by).orderBy(F.desc("_chunk") if backwards else "_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = left.select(*by, "_chunk", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
-    rows = rows.withColumn(column, F.last(column, ignorenulls=True).over(inside)).join(carried, [*by, "_chunk"])
-    return rows.withColumn(column, F.coalesce(column, "_carried")).drop("_chunk", "_carried")
+    carried = left.select(*by, "_chunk", *[F.last(f"_end{c}", ignorenulls=True).over(before).alias(f"_carried{c}") for c in columns])
+    rows = rows.withColumns(latest(inside)).join(carried, [*by, "_chunk"])
+    return rows.withColumns({c: F.coalesce(c, f"_carried{c}") for c in columns}).drop("_chunk", *[f"_carried{c}" for c in columns])
 
 
 def asof(left: DataFrame, right: DataFrame, by: list[str], prefix: str = "r_", how: str = "inner", time: str = "t_us", seq: str = "seq", chunk: int | None = None) -> DataFrame:
     """Each left row with the last right row at or before it. how="inner" drops left rows before the first right row, "left" keeps them."""
     rows = _sided(left, right, by, time, seq, 0)
-    return _joined(_filled(rows, by, "_r", time, seq, [time, "_side", seq], chunk), right, by, prefix, how)
+    return _joined(filled(rows, by, ["_r"], time, seq, [time, "_side", seq], chunk), right, by, prefix, how)
 
 
 def next_after(left: DataFrame, right: DataFrame, by: list[str], prefix: str = "n_", how: str = "left", time: str = "t_us", seq: str = "seq", chunk: int | None = None) -> DataFrame:
     """Each left row with the first right row after it. The window runs backwards in time, so that its frame only grows."""
     rows = _sided(left, right, by, time, seq, 1)
-    return _joined(_filled(rows, by, "_r", time, seq, [F.desc(time), "_side", F.desc(seq)], chunk, backwards=True), right, by, prefix, how)
+    return _joined(filled(rows, by, ["_r"], time, seq, [F.desc(time), "_side", F.desc(seq)], chunk, backwards=True), right, by, prefix, how)
 
 
 def combine_latest(a: DataFrame, b: DataFrame, by: list[str], value_a: str, value_b: str, time: str = "t_us", seq: str = "seq") -> DataFrame:
@@ -93,7 +89,7 @@ def interval_join(points: DataFrame, spans: DataFrame, by: list[str], start: str
 
 def current_value(df: DataFrame, by: list[str], value: Column, name: str, time: str = "t_us", seq: str = "seq", chunk: int | None = None) -> DataFrame:
     """The last value that isn't null, at each row."""
-    return _filled(df.withColumn(name, value), by, name, time, seq, [time, seq], chunk)
+    return filled(df.withColumn(name, value), by, [name], time, seq, [time, seq], chunk)
 
 
 def merged_windows(onsets: DataFrame, by: list[str], pre: int, post: int, time: str = "t_us") -> DataFrame:

@@ -7,6 +7,8 @@ as aliases. Times are microseconds.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +27,9 @@ RULES = (
 )
 
 
+@functools.lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, which doesn't change: its files are listed and its schema is read once a session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
