@@ -128,7 +128,7 @@ def large_group(seed, n=90):
     return [" ".join(w) for w in far]
 
 
-@pytest.mark.parametrize("most", [jaccard_join.MAX_FREQUENT, 20, 0])
+@pytest.mark.parametrize("most", [jaccard_join.MAX_FREQUENT, 20])
 def test_jaccard_large_groups(spark, monkeypatch, most):
     """However few shingles are told as frequent, all links of large groups are found."""
     every = jaccard_join.frequent_shingles
