@@ -200,15 +200,12 @@ def _inserted(chunk: str) -> str:
     return chunk[:at] + "abcdefghijklmnopqrstuvwxyz0123456789"[(h >> 8) % 36] + chunk[at : WINDOW - 1]
 
 
-def learn(bags: list[list[str]], clean: list[str], rounds: int = 6, landmarks: int = LANDMARKS, hard: int = HARD, first_round: int = FIRST_ROUND) -> tuple[np.ndarray, float]:
-    """bags: the candidate chunks of each toxic document. clean: all chunks of clean sentences, frequent ones first. first_round: about half as many candidates as the first round takes.
+def learn(candidates: list[str], members: list[np.ndarray], clean: list[str], rounds: int = 6, landmarks: int = LANDMARKS, hard: int = HARD, first_round: int = FIRST_ROUND) -> tuple[np.ndarray, float]:
+    """candidates: distinct chunks that may stand for a toxic sentence, in order. members: which of them each toxic document has. clean: all chunks of clean sentences, frequent ones first. first_round: about half as many candidates as the first round takes.
 
     Each round after the first adds the `hard` clean chunks that the machine scores highest to its negatives. Returns the
     folded weights and the bias.
     """
-    candidates = sorted({c for b in bags for c in b})
-    number = {c: i for i, c in enumerate(candidates)}
-    members = [np.array([number[c] for c in b]) for b in bags]
     seen = np.bincount(np.concatenate(members), minlength=len(candidates))
     rank = np.argsort(-seen, kind="stable")
     spread = rank[len(rank) // 50 :: max(1, len(rank) // (landmarks // 4))][: landmarks // 4]
@@ -297,13 +294,16 @@ def train(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, max_t
     toxic = spoken.where("toxic = 1")
     often = toxic.groupBy("chunk").agg(F.count(F.lit(1)).alias("k"))
     rare = toxic.join(often, "chunk").join(clean.select("chunk", F.col("docs")), "chunk", "left").fillna(0, ["docs"]).where(F.col("docs") / n_clean <= 0.1 * F.col("k") / n_toxic)
-    bags: dict = {}
-    for r in rare.select("doc", "chunk").orderBy("doc", "chunk").toLocalIterator():
-        bags.setdefault(r[0], []).append(r[1])
-    if not bags:
+    found = rare.select("doc", "chunk").orderBy("doc", "chunk").toArrow()  # of at most max_toxic documents
+    if not found.num_rows:
         return Model(np.zeros(1), 0.0, None, constant)
-    negative = clean.orderBy(F.desc("n"), "chunk").select("chunk").toPandas()  # of at most max_clean documents
-    weights, bias = learn(list(bags.values()), list(negative["chunk"]))
+    index, distinct = common.encoded(common.column(found, "chunk"))
+    order = pc.array_sort_indices(distinct).to_numpy()
+    candidates, doc = distinct.take(pa.array(order)).to_pylist(), common.column(found, "doc").to_numpy()
+    members = np.split(np.argsort(order)[index], np.flatnonzero(np.diff(doc)) + 1)
+    negative = clean.orderBy(F.desc("n"), "chunk").select("chunk").toArrow().column("chunk").to_pylist()  # of at most max_clean documents
+    weights, bias = learn(candidates, members, negative)
+    del found, index, distinct, negative
     model = Model(weights, bias, None, constant)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -313,11 +313,16 @@ def train(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, max_t
             yield pa.RecordBatch.from_arrays([common.column(t, "toxic"), pa.array(two[:, 0]), pa.array(two[:, 1])], names=["toxic", "first", "second"])
 
     # Of each toxic document also what it would score with a character inserted into its two best chunks.
-    top = [[bag[i] for i in np.argsort(-model.chunk_scores(bag), kind="stable")[:2]] for bag in bags.values()]
-    varied = np.array([np.sort(np.append(model.chunk_scores([_inserted(c) for c in pair]), [-2.0] * (2 - len(pair))))[::-1] for pair in top])
-    scored = common.mapped(sample, best, "toxic int, first double, second double").toPandas().sort_values(["toxic", "first", "second"])
-    rows = np.vstack((scored[["first", "second"]].to_numpy(), np.clip(varied, -2, 3)))
-    model.calibration = _calibrated(rows, np.concatenate((scored["toxic"].to_numpy(float), np.ones(len(varied)))), np.concatenate((np.ones(len(scored)), np.full(len(varied), VARIANT_WEIGHT))))
+    score = model.chunk_scores(candidates)
+    top = [m[np.argsort(-score[m], kind="stable")[:2]] for m in members]
+    varied = np.array([np.sort(np.append(model.chunk_scores([_inserted(candidates[i]) for i in pair]), [-2.0] * (2 - len(pair))))[::-1] for pair in top])
+    scored = common.mapped(sample, best, "toxic int, first double, second double").orderBy("toxic", "first", "second").toArrow()
+    toxic, both = scored.column("toxic").to_numpy().astype(float), np.stack([scored.column(c).to_numpy() for c in ("first", "second")], axis=1)
+    rows = np.vstack((both, np.clip(varied, -2, 3)))
+    model.calibration = _calibrated(rows, np.concatenate((toxic, np.ones(len(varied)))), np.concatenate((np.ones(len(toxic)), np.full(len(varied), VARIANT_WEIGHT))))
+    shared.destroy()
+    del candidates, members, score, scored
+    common.give_back()
     return model
 
 
