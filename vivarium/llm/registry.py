@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import context_mixing, decontamination, exact_dedup, html_text, jaccard_join, mixing, pseudonyms, token_records, toxicity, url_filter
+from . import context_mixing, decontamination, exact_dedup, html_text, jaccard_join, mixing, pseudonyms, secret_links, token_alignment, token_records, toxicity, url_filter, vector_codes
 from .common import table
 
 
@@ -54,5 +54,19 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymised(table(spark, sf_dir, "documents"), spark.conf.get(KEY_SETTING, TEST_KEY))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_decontamination, op3_exact_dedup, op4_toxicity, op5_html_text, op6_token_records, op7_url_filter, op8_context_mixing, op9_mixing, op10_pseudonyms)}
-ORACLE_SQL = {"op1_jaccard_join": jaccard_join.SQL, "op2_decontamination": decontamination.SQL, "op3_exact_dedup": exact_dedup.SQL, "op7_url_filter": url_filter.SQL}
+def op11_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_links.secret_spans(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_alignment.token_alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_decontamination, op3_exact_dedup, op4_toxicity, op5_html_text, op6_token_records, op7_url_filter, op8_context_mixing, op9_mixing, op10_pseudonyms, op11_secret_links, op12_vector_codes, op13_token_alignment)}
+ORACLE_SQL = {"op1_jaccard_join": jaccard_join.SQL, "op2_decontamination": decontamination.SQL, "op3_exact_dedup": exact_dedup.SQL, "op7_url_filter": url_filter.SQL, "op11_secret_links": secret_links.SQL, "op12_vector_codes": vector_codes.SQL}
