@@ -30,6 +30,6 @@ def test_partitioning_does_not_matter(spark):
     from vivarium.plans.adapter import harp
 
     events = harp(spark, SF)
-    want = rows(rig.valve_intervals(rig.line_changes(rig.line_states(events))).toPandas())
+    want = rows(rig.valve_intervals(events).toPandas())
     for n in (1, 16):
-        assert rows(rig.valve_intervals(rig.line_changes(rig.line_states(events.repartition(n)))).toPandas()) == want
+        assert rows(rig.valve_intervals(events.repartition(n)).toPandas()) == want

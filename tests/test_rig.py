@@ -44,7 +44,7 @@ def test_delivery(spark, rows, end):
 
 def test_flush_is_no_delivery(spark):
     e = events(spark, [(5, 35, 4), (5.025, 35, 1), (5.05, 36, 1), (5.12, 36, 4), (6, 35, 1), (7, 36, 1)])
-    v = rig.valve_intervals(rig.line_changes(rig.line_states(e)))
+    v = rig.valve_intervals(e)
     assert v.where("line = 0").count() == 2
     assert seconds(rig.port_deliveries(v, 0, 2), "start_us", "end_us") == [(6, 7)]
 
@@ -166,5 +166,5 @@ def test_wait(spark):
 
 def test_empty(spark):
     e = events(spark, [(0, 32, 1)]).limit(0)
-    assert rig.beam_breaks(rig.beam_edges(rig.beam(e))).count() == 0
-    assert rig.valve_intervals(rig.line_changes(rig.line_states(e))).count() == 0
+    assert rig.beam_breaks(rig.beam(e)).count() == 0
+    assert rig.valve_intervals(e).count() == 0

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import has_line, mask_lines
 from ..model import AUX_IN, DEFAULT_STATE, OUT_CLEAR, OUT_SET, OUT_STATE, OUT_TOGGLE, PWM_RISE, SESSION_END
-from .timeops import HOUR, asof, filled, merged_windows, next_after, numbered
+from .scans import filled, neighbours, numbered, summed, switch_spans, switched
+from .timeops import HOUR, asof, merged_windows, next_after
 
 S = ["session_id"]
+LINE = ["session_id", "line"]
 
 
 def by_time(*more: str) -> Window:
@@ -33,16 +35,16 @@ def beam(events: DataFrame, aux_line: int = 0) -> DataFrame:
     return register(events, AUX_IN).withColumn("level", has_line(F.col("value"), F.lit(aux_line)))
 
 
-def beam_edges(messages: DataFrame) -> DataFrame:
+def beam_edges(messages: DataFrame, chunk: int | None = None) -> DataFrame:
     """Messages that change the level; the level before the first is low."""
-    before = F.coalesce(F.lag("level").over(by_time()), F.lit(False))
-    return messages.withColumn("_before", before).where("level != _before").drop("_before")
+    rows = neighbours(messages.select("session_id", "seq", "t_us", "level"), S, {"_before": "level"}, chunk=chunk)
+    return rows.where(F.col("level") != F.coalesce("_before", F.lit(False))).drop("_before")
 
 
-def beam_breaks(edges: DataFrame) -> DataFrame:
-    """One row per beam break: number, start and end; end is null while it lasts."""
-    w = by_time()
-    return edges.withColumn("end_us", F.lead("t_us").over(w)).where("level").withColumn("break_no", F.row_number().over(w)).select("session_id", "seq", "break_no", F.col("t_us").alias("start_us"), "end_us")
+def beam_breaks(messages: DataFrame, chunk: int | None = None) -> DataFrame:
+    """One row per beam break, of messages or edges: number, start and end; end is null while it lasts."""
+    rows = switch_spans(messages.withColumn("_on", F.col("level").cast("int")), S, "_on", chunk=chunk)
+    return rows.select("session_id", "seq", F.col("n").alias("break_no"), "start_us", "end_us")
 
 
 def sustained(messages: DataFrame, least: int) -> DataFrame:
@@ -63,37 +65,37 @@ def deliveries(messages: DataFrame, pokes: DataFrame, least: int, most: int) ->
     return rows.select("session_id", "seq", "onset_us", F.col("armed_us").alias("start_us"), end.alias("end_us"))
 
 
-def line_states(events: DataFrame, lines: int = 10) -> DataFrame:
-    """State of each line after each message that touches it: set, clear, toggle or write of all lines."""
+def line_commands(events: DataFrame, lines: int = 10) -> DataFrame:
+    """What each message does to each line that it touches: _level (0 or 1) or _toggle (1). Messages set, clear, toggle or write all lines."""
     out = register(events, OUT_SET, OUT_CLEAR, OUT_TOGGLE, OUT_STATE)
     touched = F.when(F.col("address") == OUT_STATE, F.sequence(F.lit(0), F.lit(lines - 1))).otherwise(mask_lines(F.col("value"), lines))
     rows = out.withColumn("line", F.explode(touched))
     level = F.when(F.col("address") == OUT_SET, 1).when(F.col("address") == OUT_CLEAR, 0).when(F.col("address") == OUT_STATE, F.bit_get(F.col("value").cast("long"), F.col("line")).cast("int"))
-    w = by_time("line")
-    rows = rows.withColumn("_level", level).withColumn("_segment", F.count("_level").over(w))
-    seg = by_time("line", "_segment")
-    start = F.coalesce(F.first("_level").over(seg), F.lit(0))
-    flips = F.sum(F.when(F.col("address") == OUT_TOGGLE, 1).otherwise(0)).over(seg)
-    return rows.withColumn("state", F.pmod(start + flips, F.lit(2)).cast("int")).drop("_level", "_segment")
+    return rows.select("session_id", "seq", "t_us", "line", level.alias("_level"), F.when(F.col("address") == OUT_TOGGLE, 1).alias("_toggle"))
+
+
+def line_states(events: DataFrame, lines: int = 10, chunk: int | None = None) -> DataFrame:
+    """State of each line after each message that touches it."""
+    return switched(line_commands(events, lines), LINE, "_level", "_toggle", "state", chunk=chunk).drop("_toggle")
 
 
-def line_changes(states: DataFrame) -> DataFrame:
+def line_changes(states: DataFrame, chunk: int | None = None) -> DataFrame:
     """Messages that change a line; lines are closed before the first."""
-    w = by_time("line")
-    return states.withColumn("_before", F.coalesce(F.lag("state").over(w), F.lit(0))).where("state != _before").drop("_before")
+    rows = neighbours(states, LINE, {"_before": "state"}, chunk=chunk)
+    return rows.where(F.col("state") != F.coalesce("_before", F.lit(0))).drop("_before")
 
 
-def valve_intervals(changes: DataFrame) -> DataFrame:
-    """Open intervals of each line; end is null while open."""
-    return changes.withColumn("end_us", F.lead("t_us").over(by_time("line"))).where("state = 1").select("session_id", "line", "seq", F.col("t_us").alias("start_us"), "end_us")
+def valve_intervals(events: DataFrame, lines: int = 10, chunk: int | None = None) -> DataFrame:
+    """Open intervals of each line; end is null while open. Lines are closed before the first message."""
+    return switch_spans(line_commands(events, lines), LINE, "_level", "_toggle", chunk=chunk).select("session_id", "line", "seq", "start_us", "end_us")
 
 
 def port_deliveries(intervals: DataFrame, port: int, vacuum: int) -> DataFrame:
     """Openings of the port valve that don't begin while the vacuum line is open: the others flush it."""
-    ports = intervals.where(F.col("line") == port).withColumn("t_us", F.col("start_us"))
-    vacuums = intervals.where(F.col("line") == vacuum).select("session_id", "seq", F.col("start_us").alias("t_us"), F.col("end_us").alias("until"))
-    rows = asof(ports, vacuums, S, "v_", "left")
-    return rows.where("v_t_us is null or v_until <= t_us").select("session_id", "line", "seq", "start_us", "end_us")
+    lines = {"_p": intervals.where(F.col("line") == port), "_v": intervals.where(F.col("line") == vacuum)}
+    rows = sides(*[(n, df.withColumn("t_us", F.col("start_us")), int(n == "_p")) for n, df in lines.items()])
+    rows = filled(rows, S, ["_v"], "t_us", "seq", ["t_us", "_side", "seq"], None).where("_p is not null")
+    return rows.where("_v is null or _v.end_us <= t_us").select("_p.session_id", "_p.line", "_p.seq", "_p.start_us", "_p.end_us")
 
 
 def map_keys(line_map: DataFrame) -> list[str]:
@@ -124,17 +126,33 @@ def transitions(sequence: DataFrame) -> DataFrame:
     return sequence.withColumns(nxt).where("to_line is not null")
 
 
-def rule_conformance(steps: DataFrame, rules: DataFrame, mode: str = "as_implemented") -> DataFrame:
-    """Whether each observed transition is allowed by the rule.
+def next_odors(transitions: Column, state: Column) -> Column:
+    """The odor states that a rule allows after a state: its targets, with the default state, which opens no line, replaced by where that leads. A state that the rule lacks leads to the default state."""
+    default = F.array(F.lit(DEFAULT_STATE))
+    through = F.coalesce(F.try_element_at(transitions, F.lit(DEFAULT_STATE)), default)
+    targets = F.coalesce(F.try_element_at(transitions, state), default)
+    every = F.flatten(F.transform(targets, lambda x: F.when(x == DEFAULT_STATE, through).otherwise(F.array(x))))
+    return F.array_remove(F.array_distinct(every), DEFAULT_STATE)
+
+
+#: Rules up to which their maps are broadcast.
+BROADCAST_RULES = 10_000
+
+
+def rule_conformance(steps: DataFrame, rules: DataFrame, mode: str = "as_implemented", maps: DataFrame | None = None) -> DataFrame:
+    """Whether each observed transition is allowed by the rule, through the default state where the rule leads there.
 
     mode: the rule in force when the source state opened, as a switch acts only once the armed state completes ("as_implemented"),
     or the rule in force when the target opened ("as_specified"). A source that the rule lacks leads to the default state only.
-    rules: session_id, t_us, seq, rule_alias, transitions.
+    rules: session_id, t_us, seq, rule_alias, and transitions, or rule, the key of maps (rule, transitions), which are looked up after the join by time.
     """
     at = F.col("t_us") if mode == "as_implemented" else F.col("to_t_us")
     probes = steps.withColumn("_from_us", F.col("t_us")).withColumn("t_us", at)
     rows = asof(probes, rules, S, "rule_", "left").withColumn("t_us", F.col("_from_us"))
-    allowed = F.array_distinct(F.flatten(F.transform("candidates", lambda c: F.coalesce(F.try_element_at("rule_transitions", c), F.array(F.lit(DEFAULT_STATE))))))
+    if maps is not None:
+        table = maps.select(F.col("rule").alias("rule_rule"), F.col("transitions").alias("rule_transitions"))
+        rows = rows.join(F.broadcast(table) if maps.count() <= BROADCAST_RULES else table, "rule_rule", "left")
+    allowed = F.flatten(F.transform("candidates", lambda c: next_odors(F.col("rule_transitions"), c)))
     verdict = F.when(F.col("rule_transitions").isNull(), "no rule").when(F.arrays_overlap(allowed, "to_candidates"), "ok").otherwise("violation")
     return rows.select("session_id", "seq", "t_us", "line", "to_line", "to_t_us", F.col("rule_rule_alias").alias("rule_alias"), verdict.alias("verdict"))
 
@@ -176,16 +194,16 @@ def contracted(rows: DataFrame) -> DataFrame:
     return direct.unionByName(two).distinct()
 
 
-def roi_gated(onsets: DataFrame, flags: DataFrame) -> DataFrame:
+def roi_gated(onsets: DataFrame, flags: DataFrame, chunk: int | None = None) -> DataFrame:
     """Onsets at which the last flag of the camera's region is true; before the first flag none is."""
-    return asof(onsets, flags.select("session_id", "t_us", "seq", "flag"), S, "roi_").where("roi_flag").drop("roi_flag", "roi_t_us", "roi_seq")
+    return asof(onsets, flags.select("session_id", "t_us", "seq", "flag"), S, "roi_", chunk=chunk).where("roi_flag").drop("roi_flag", "roi_t_us", "roi_seq")
 
 
-def gate_share(onsets: DataFrame, flags: DataFrame) -> DataFrame:
+def gate_share(onsets: DataFrame, flags: DataFrame, chunk: int | None = None) -> DataFrame:
     """By session: onsets, and how many and which share of them the camera's gate drops."""
-    kept = roi_gated(onsets.select("session_id", "t_us", "seq"), flags).groupBy("session_id").agg(F.count(F.lit(1)).alias("_kept"))
-    rows = onsets.groupBy("session_id").agg(F.count(F.lit(1)).alias("onsets")).join(kept, "session_id", "left")
-    return rows.withColumn("dropped", F.col("onsets") - F.coalesce("_kept", F.lit(0))).select("session_id", "onsets", "dropped", (F.col("dropped") / F.col("onsets")).alias("share"))
+    rows = asof(onsets.select("session_id", "t_us", "seq"), flags.select("session_id", "t_us", "seq", "flag"), S, "roi_", "left", chunk=chunk)
+    counted = rows.groupBy("session_id").agg(F.count(F.lit(1)).alias("onsets"), F.count_if(~F.coalesce("roi_flag", F.lit(False))).alias("dropped"))
+    return counted.select("session_id", "onsets", "dropped", (F.col("dropped") / F.col("onsets")).alias("share"))
 
 
 def port_waits(ports: DataFrame) -> DataFrame:
@@ -198,9 +216,13 @@ def annotated_frames(frames: DataFrame, pokes: DataFrame, ports: DataFrame, chun
     """Frames (session_id, seq, t_us) with what the last beam break at or before them has in the poke table: its number and stimulus, the frame's time since
     it, and whether the beam and the port are open then. segment: the break's number and, if it was served, the stimulus number.
     """
-    table = pokes.select("session_id", F.col("start_us").alias("t_us"), F.col("break_no").alias("seq"), "break_no", "end_us", "rule_alias", "stimulus", F.when(F.col("port_open_us").isNotNull(), F.col("stimulus_no")).alias("stimulus_no"))
-    opened = ports.select("session_id", F.col("start_us").alias("t_us"), "seq", "end_us")
-    rows = filled(sides(("_f", frames, 1), ("_b", table, 0), ("_p", opened, 0)), S, ["_b", "_p"], "t_us", "seq", ["t_us", "_side", "seq"], chunk).where("_f is not null")
+    at = lambda df, time, seq, side, **own: df.select("session_id", F.col(time).alias("t_us"), F.col(seq).alias("seq"), F.lit(side).alias("_side"), *[v.alias(k) for k, v in own.items()])
+    served = F.when(F.col("port_open_us").isNotNull(), F.col("stimulus_no")).alias("stimulus_no")
+    table = at(pokes, "start_us", "break_no", 0, _b=F.struct(F.col("start_us").alias("t_us"), "break_no", "end_us", "rule_alias", "stimulus", served))
+    rows = at(frames, "t_us", "seq", 1, _f=F.struct("session_id", "seq", "t_us"))
+    for side in (table, at(ports, "start_us", "seq", 0, _p=F.struct(F.col("start_us").alias("t_us"), "end_us"))):
+        rows = rows.unionByName(side, allowMissingColumns=True)
+    rows = filled(rows, S, ["_b", "_p"], "t_us", "seq", ["t_us", "_side", "seq"], chunk).where("_f is not null")
     rows = rows.select("_f.*", *[F.col(f"_b.{c}").alias(f"b_{c}") for c in ("t_us", "break_no", "end_us", "rule_alias", "stimulus", "stimulus_no")], F.col("_p.t_us").alias("p_t_us"), F.col("_p.end_us").alias("p_end_us"))
     broken = F.col("b_t_us").isNotNull() & (F.col("b_end_us").isNull() | (F.col("b_end_us") > F.col("t_us")))
     port = F.col("p_t_us").isNotNull() & (F.col("p_end_us").isNull() | (F.col("p_end_us") > F.col("t_us")))
@@ -214,10 +236,11 @@ def annotated_frames(frames: DataFrame, pokes: DataFrame, ports: DataFrame, chun
 def wait_elapsed(triggers: DataFrame, ticks: DataFrame, due: int, chunk: int | None = HOUR) -> DataFrame:
     """When a wait on the board's clock ends: the first tick at least due after the first tick after the trigger."""
     clock = ticks.select("session_id", "t_us", "seq")
-    first = next_after(triggers.select("session_id", "seq", F.col("t_us").alias("trigger_us"), "t_us"), clock, S, chunk=chunk).select("session_id", "seq", "trigger_us", F.col("n_t_us").alias("first_us"))
+    after = lambda rows, name: next_after(rows, clock, S, chunk=chunk, take=["t_us"], hold=[c for c in rows.columns if c != "t_us"]).withColumnRenamed("n_t_us", name)
+    first = after(triggers.select("session_id", "seq", F.col("t_us").alias("trigger_us"), "t_us"), "first_us")
     # At least due after: the next tick after one microsecond less.
     probe = first.withColumn("t_us", F.col("first_us") + due - 1).where("first_us is not null")
-    return next_after(probe, clock, S, chunk=chunk).select("session_id", "seq", "trigger_us", "first_us", F.col("n_t_us").alias("fired_us"))
+    return after(probe, "fired_us").select("session_id", "seq", "trigger_us", "first_us", "fired_us")
 
 
 def video_windows(messages: DataFrame, pre: int, post: int, mode: str = "onset") -> DataFrame:
@@ -229,20 +252,22 @@ def video_windows(messages: DataFrame, pre: int, post: int, mode: str = "onset")
         return merged_windows(messages.where("level"), S, pre, post)
     w = Window.partitionBy("session_id").orderBy("start_us", "seq")
     new = F.coalesce(F.col("start_us") - F.lag("end_us").over(w) > pre + post, F.lit(True)).cast("int")
-    islands = beam_breaks(beam_edges(messages)).withColumn("_new", new).withColumn("window_no", F.sum("_new").over(w))
+    islands = beam_breaks(messages).withColumn("_new", new).withColumn("window_no", F.sum("_new").over(w))
     ended = F.count("end_us") == F.count(F.lit(1))
     return islands.groupBy("session_id", "window_no").agg((F.min("start_us") - pre).alias("start_us"), F.when(ended, F.max("end_us") + post).alias("end_us"), F.count(F.lit(1)).alias("onsets"), F.min("start_us").alias("first_us"))
 
 
 def frames_in_windows(frames: DataFrame, windows: DataFrame, chunk: int | None = HOUR) -> DataFrame:
     """Frames of each window, with their time from its first onset, the beam break (frame_us, below 0 before it)."""
-    rows = asof(frames, windows.select("session_id", F.col("start_us").alias("t_us"), F.col("window_no").alias("seq"), "window_no", "end_us", "first_us"), S, "w_", chunk=chunk)
+    rows = asof(frames, windows.select("session_id", F.col("start_us").alias("t_us"), F.col("window_no").alias("seq"), "window_no", "end_us", "first_us"), S, "w_", chunk=chunk, take=["window_no", "end_us", "first_us"])
     rows = rows.where("w_end_us is null or t_us < w_end_us")
     return rows.select(*frames.columns, F.col("w_window_no").alias("window_no"), (F.col("t_us") - F.col("w_first_us")).alias("frame_us"))
 
 
-def dropped_frames(frames: DataFrame, counter: str = "hw_counter") -> DataFrame:
-    return frames.withColumn("dropped", F.col(counter) - F.lag(counter).over(by_time()) - 1)
+def dropped_frames(frames: DataFrame, counter: str = "hw_counter", chunk: int | None = None) -> DataFrame:
+    """Frames with how many were dropped before each: the gap of the camera's counter; null for the first."""
+    rows = neighbours(frames, S, {"_before": counter}, chunk=chunk)
+    return rows.withColumn("dropped", F.col(counter) - F.col("_before") - 1).drop("_before")
 
 
 def camera_triggers(events: DataFrame, mode: str = "equal") -> DataFrame:
@@ -275,28 +300,32 @@ def roi_sum(strips: DataFrame, x0: int, x1: int, y0: int, y1: int, threshold: in
     return strips.where(F.col("y").between(y0, y1)).withColumn("_a", total).groupBy("session_id", "t_us").agg(F.sum("_a").alias("activity"))
 
 
-def poke_table(events: DataFrame, line_map: DataFrame, rules: DataFrame, port: int, vacuum: int, odors: tuple[int, ...]) -> DataFrame:
-    """One row per beam break with its rule, the delivery inside, and the odor line open then."""
-    breaks = beam_breaks(beam_edges(beam(events))).withColumn("t_us", F.col("start_us"))
-    valves = valve_intervals(line_changes(line_states(events)))
-    ports = port_deliveries(valves, port, vacuum).select("session_id", F.col("start_us").alias("t_us"), "seq", F.col("end_us").alias("close_us"))
-    odor = valves.where(F.col("line").isin(*odors)).select("session_id", F.col("start_us").alias("t_us"), "seq", "line", F.col("end_us").alias("close_us"))
-    # One shuffle: all sides by session, what is looked up before the breaks at equal times.
-    rows = sides(("_b", breaks, 1), ("_rule", rules.select("session_id", "t_us", "seq", "rule_alias"), 0), ("_port", ports, 0), ("_odor", odor, 0))
-    before = Window.partitionBy("session_id").orderBy("t_us", "_side", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = Window.partitionBy("session_id").orderBy(F.desc("t_us"), F.desc("_side"), F.desc("seq")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    latest = lambda c, w: F.last(c, ignorenulls=True).over(w)
-    rows = rows.withColumns({"rule": latest("_rule", before), "odor": latest("_odor", before), "port": latest("_port", after), "next": latest("_odor", after)}).where("_b is not null")
-    rows = rows.select("_b.*", F.col("rule.rule_alias").alias("rule_rule_alias"), F.col("odor.line").alias("odor_line"), F.col("odor.t_us").alias("odor_t_us"), F.col("odor.close_us").alias("odor_close_us"), F.col("port.t_us").alias("port_t_us"), F.col("port.close_us").alias("port_close_us"), F.col("next.t_us").alias("next_odor_t_us"))
-    inside = F.coalesce(F.col("port_t_us") < F.coalesce("end_us", F.lit(2**62)), F.lit(False))
-    rows = rows.withColumns({"port_open_us": F.when(inside, F.col("port_t_us")), "port_close_us": F.when(inside, F.col("port_close_us"))})
+def poke_table(events: DataFrame, line_map: DataFrame, rules: DataFrame, port: int, vacuum: int, odors: tuple[int, ...], chunk: int | None = None) -> DataFrame:
+    """One row per beam break with its rule, the delivery inside, and the odor line open then.
+
+    Breaks, rules and valves are one table by session and time, in one shuffle: one pass in the order of time carries rule, odor and vacuum to the rows after them, one
+    against it the deliveries and odors to the rows before. At equal times what is looked up comes before what looks it up.
+    """
+    breaks = beam_breaks(beam(events), chunk).withColumn("t_us", F.col("start_us"))
+    valves = valve_intervals(events, chunk=chunk).where(F.col("line").isin(port, vacuum, *odors))
+    valves = valves.select("session_id", F.col("start_us").alias("t_us"), "seq", "line", F.col("end_us").alias("close_us")).withColumn("_late", (F.col("line") == port).cast("int"))
+    rows = sides(("_b", breaks, 2), ("_rule", rules.select("session_id", "t_us", "seq", "rule_alias"), 0), ("_v", valves, 0)).withColumn("_side", F.coalesce("_v._late", "_side"))
+    of = lambda *lines: F.when(F.col("_v.line").isin(*lines), F.col("_v"))
+    rows = rows.withColumns({"_odor": of(*odors), "_next": of(*odors), "_vacuum": of(vacuum)})
+    rows = filled(rows, S, ["_rule", "_odor", "_vacuum"], "t_us", "seq", ["t_us", "_side", "seq"], chunk)
+    flushed = F.coalesce(F.col("_vacuum.close_us").isNull() & F.col("_vacuum").isNotNull() | (F.col("_vacuum.close_us") > F.col("t_us")), F.lit(False))
+    rows = rows.withColumn("_port", F.when(~flushed, of(port)))
+    rows = rows.select("session_id", "t_us", "seq", "_side", "_b", "_port", "_next", F.col("_rule.rule_alias").alias("rule_alias"), F.col("_odor.line").alias("odor_line"), F.col("_odor.t_us").alias("odor_t_us"), F.col("_odor.close_us").alias("odor_close_us"))
+    rows = filled(rows, S, ["_port", "_next"], "t_us", "seq", [F.desc("t_us"), F.desc("_side"), F.desc("seq")], chunk, backwards=True).where("_b is not null")
+    inside = F.coalesce(F.col("_port.t_us") < F.coalesce("_b.end_us", F.lit(2**62)), F.lit(False))
     still = F.coalesce(F.col("odor_close_us").isNull() | (F.col("odor_close_us") > F.col("t_us")), F.lit(False)) & F.col("odor_line").isNotNull()
-    rows = rows.withColumn("odor_line", F.when(still, F.col("odor_line")))
-    running = Window.partitionBy("session_id").orderBy("t_us", "seq")
-    rows = rows.withColumn("stimulus_no", F.sum(F.when(F.col("port_open_us").isNotNull(), 1).otherwise(0)).over(running))
+    rows = rows.select(
+        "_b.*", "rule_alias", F.when(inside, F.col("_port.t_us")).alias("port_open_us"), F.when(inside, F.col("_port.close_us")).alias("port_close_us"), F.when(still, F.col("odor_line")).alias("odor_line"),
+        F.when(still, F.col("odor_t_us")).alias("odor_open_us"), F.when(still, F.col("odor_close_us")).alias("odor_close_us"), F.col("_next.t_us").alias("next_odor_open_us"),
+    )
+    rows = summed(rows, S, F.col("port_open_us").isNotNull().cast("long"), "stimulus_no", chunk=chunk)
     keys = ["odor_line" if c == "line" else c for c in map_keys(line_map)]
     rows = looked_up(rows, aliases(line_map).withColumnRenamed("line", "odor_line"), keys, "left")
     return rows.select(
-        "session_id", "break_no", "start_us", "end_us", F.col("rule_rule_alias").alias("rule_alias"), F.array_join("candidates", ",").alias("stimulus"), "odor_line", "stimulus_no", "port_open_us", "port_close_us",
-        F.when(still, F.col("odor_t_us")).alias("odor_open_us"), F.when(still, F.col("odor_close_us")).alias("odor_close_us"), F.col("next_odor_t_us").alias("next_odor_open_us"),
+        "session_id", "break_no", "start_us", "end_us", "rule_alias", F.array_join("candidates", ",").alias("stimulus"), "odor_line", "stimulus_no", "port_open_us", "port_close_us", "odor_open_us", "odor_close_us", "next_odor_open_us",
     )

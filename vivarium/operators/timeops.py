@@ -1,73 +1,68 @@
-"""Joins by time or order. Rows are ordered by (time, seq) inside the keys.
+"""Joins by time or order. Rows are ordered by (time, seq) inside the keys, which may be null and then belong together.
 
 All of these shuffle on the keys and sort there. A key such as a session may hold weeks of rows of a fast register: with a chunk (of
-microseconds), rows are dealt and sorted by key and chunk of time, and what each chunk leaves to the next is carried over a table of
-the chunks, which is small. Without one, a key is one window: for registers of low rate.
+microseconds), rows are dealt and sorted by key and chunk of time, and what each chunk leaves to the next is carried over the table of
+chunks (scans.py). Without one, a key is one window: for registers of low rate.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scans import filled, numbered
+
 HOUR = 3_600_000_000  # microseconds
 
 
-def _sided(left: DataFrame, right: DataFrame, by: list[str], time: str, seq: str, right_first: int) -> DataFrame:
-    side = lambda df, own, k: df.select(*by, time, seq, F.lit(k).alias("_side"), F.struct("*").alias(own))
-    return side(left, "_l", 1 - right_first).unionByName(side(right, "_r", right_first), allowMissingColumns=True)
+def _sided(left: DataFrame, right: DataFrame, by: list[str], time: str, seq: str, right_first: int, take: list[str] | None, hold: list[str] | None) -> DataFrame:
+    taken = take or [c for c in right.columns if c not in by]
+    side = lambda df, own, k, columns: df.select(*by, time, seq, F.lit(k).alias("_side"), F.struct(*columns).alias(own))
+    return side(left, "_l", 1 - right_first, hold or left.columns).unionByName(side(right, "_r", right_first, taken), allowMissingColumns=True)
 
 
-def _joined(rows: DataFrame, right: DataFrame, by: list[str], prefix: str, how: str) -> DataFrame:
+def _joined(rows: DataFrame, prefix: str, how: str) -> DataFrame:
     rows = rows.where("_l is not null")
     if how == "inner":
         rows = rows.where("_r is not null")
-    return rows.select("_l.*", *[F.col(f"_r.{c}").alias(prefix + c) for c in right.columns if c not in by])
-
+    return rows.select("_l.*", *[F.col(f"_r.{c}").alias(prefix + c) for c in rows.schema["_r"].dataType.names])
 
-def filled(rows: DataFrame, by: list[str], columns: list[str], time: str, seq: str, order: list, chunk: int | None, backwards: bool = False) -> DataFrame:
-    """Fills columns with their last values that aren't null, in the order."""
-    latest = lambda w: {c: F.last(c, ignorenulls=True).over(w) for c in columns}
-    if chunk is None:
-        return rows.withColumns(latest(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    rows = rows.withColumn("_chunk", F.floor(F.col(time) / chunk))
-    inside = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.min_by if backwards else F.max_by
-    left = rows.groupBy(*by, "_chunk").agg(*[end(c, F.when(F.col(c).isNotNull(), F.struct(time, seq))).alias(f"_end{c}") for c in columns])
-    before = Window.partitionBy(*by).orderBy(F.desc("_chunk") if backwards else "_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = left.select(*by, "_chunk", *[F.last(f"_end{c}", ignorenulls=True).over(before).alias(f"_carried{c}") for c in columns])
-    rows = rows.withColumns(latest(inside)).join(carried, [*by, "_chunk"])
-    return rows.withColumns({c: F.coalesce(c, f"_carried{c}") for c in columns}).drop("_chunk", *[f"_carried{c}" for c in columns])
 
+def asof(left: DataFrame, right: DataFrame, by: list[str], prefix: str = "r_", how: str = "inner", time: str = "t_us", seq: str = "seq", chunk: int | None = None, take: list[str] | None = None, hold: list[str] | None = None) -> DataFrame:
+    """Each left row with the last right row at or before it. how="inner" drops left rows before the first right row, "left" keeps them.
 
-def asof(left: DataFrame, right: DataFrame, by: list[str], prefix: str = "r_", how: str = "inner", time: str = "t_us", seq: str = "seq", chunk: int | None = None) -> DataFrame:
-    """Each left row with the last right row at or before it. how="inner" drops left rows before the first right row, "left" keeps them."""
-    rows = _sided(left, right, by, time, seq, 0)
-    return _joined(filled(rows, by, ["_r"], time, seq, [time, "_side", seq], chunk), right, by, prefix, how)
+    take: columns of the right side, all but the keys by default; hold: of the left side, all by default. With a chunk, both passes read the same exchange only if
+    all that is taken and held is used.
+    """
+    rows = _sided(left, right, by, time, seq, 0, take, hold)
+    return _joined(filled(rows, by, ["_r"], time, seq, [time, "_side", seq], chunk), prefix, how)
 
 
-def next_after(left: DataFrame, right: DataFrame, by: list[str], prefix: str = "n_", how: str = "left", time: str = "t_us", seq: str = "seq", chunk: int | None = None) -> DataFrame:
-    """Each left row with the first right row after it. The window runs backwards in time, so that its frame only grows."""
-    rows = _sided(left, right, by, time, seq, 1)
-    return _joined(filled(rows, by, ["_r"], time, seq, [F.desc(time), "_side", F.desc(seq)], chunk, backwards=True), right, by, prefix, how)
+def next_after(left: DataFrame, right: DataFrame, by: list[str], prefix: str = "n_", how: str = "left", time: str = "t_us", seq: str = "seq", chunk: int | None = None, take: list[str] | None = None, hold: list[str] | None = None) -> DataFrame:
+    """Each left row with the first right row after it. The window runs backwards in time, so that its frame only grows. take and hold: as in asof."""
+    rows = _sided(left, right, by, time, seq, 1, take, hold)
+    return _joined(filled(rows, by, ["_r"], time, seq, [F.desc(time), "_side", F.desc(seq)], chunk, backwards=True), prefix, how)
 
 
-def combine_latest(a: DataFrame, b: DataFrame, by: list[str], value_a: str, value_b: str, time: str = "t_us", seq: str = "seq") -> DataFrame:
+def combine_latest(a: DataFrame, b: DataFrame, by: list[str], value_a: str, value_b: str, time: str = "t_us", seq: str = "seq", chunk: int | None = None) -> DataFrame:
     """A row at each change of either side, once both have a value: keys, time, seq, a, b."""
-    kind_a, kind_b = a.schema[value_a].dataType, b.schema[value_b].dataType
-    rows = a.select(*by, time, seq, F.col(value_a).alias("a"), F.lit(None).cast(kind_b).alias("b")).unionByName(b.select(*by, time, seq, F.lit(None).cast(kind_a).alias("a"), F.col(value_b).alias("b")))
-    w = Window.partitionBy(*by).orderBy(time, seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in ("a", "b")}).where("a is not null and b is not null")
+    return combine_all({"a": (a, value_a), "b": (b, value_b)}, by, time, seq, chunk)
 
 
-def numbered(df: DataFrame, by: list[str], name: str = "n", time: str = "t_us", seq: str = "seq") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(time, seq)))
+def combine_all(sides: dict[str, tuple[DataFrame, str]], by: list[str], time: str = "t_us", seq: str = "seq", chunk: int | None = None) -> DataFrame:
+    """A row at each change of any side, once all have a value: keys, time, seq, and each side's last value under its name. One shuffle for all sides."""
+    kinds = {n: df.schema[v].dataType for n, (df, v) in sides.items()}
+    each = [df.select(*by, time, seq, *[(F.col(v) if m == n else F.lit(None).cast(kinds[m])).alias(m) for m in sides]) for n, (df, v) in sides.items()]
+    rows = filled(reduce(DataFrame.unionByName, each), by, list(sides), time, seq, [time, seq], chunk)
+    return rows.where(reduce(lambda x, y: x & y, [F.col(n).isNotNull() for n in sides]))
 
 
-def zip_ordinal(a: DataFrame, b: DataFrame, by: list[str], prefix: str = "b_") -> DataFrame:
-    """The n-th row of one side with the n-th of the other, inside the keys."""
-    right = numbered(b, by)
-    return numbered(a, by).join(right.select(*by, "n", *[F.col(c).alias(prefix + c) for c in b.columns if c not in by]), [*by, "n"])
+def zip_ordinal(a: DataFrame, b: DataFrame, by: list[str], prefix: str = "b_", chunk: int | None = None) -> DataFrame:
+    """The n-th row of one side with the n-th of the other, inside the keys; rows with a null key have no partner."""
+    right = numbered(b, by, chunk=chunk)
+    return numbered(a, by, chunk=chunk).join(right.select(*by, "n", *[F.col(c).alias(prefix + c) for c in b.columns if c not in by]), [*by, "n"])
 
 
 def after_first(source: DataFrame, trigger: DataFrame, by: list[str], time: str = "t_us", seq: str = "seq", replay: bool = False) -> DataFrame:

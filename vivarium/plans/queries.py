@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import model
 from ..functions import columns as C
-from ..operators import rig, timeops
+from ..operators import rig, scans, timeops
 from ..operators.rig import S
 from ..operators.timeops import HOUR
 from . import adapter as A
@@ -36,14 +36,23 @@ def beam(spark, d):
 
 
 def valves(spark, d):
-    return rig.valve_intervals(rig.line_changes(rig.line_states(harp(spark, d))))
+    return rig.valve_intervals(harp(spark, d))
+
+
+def rule_maps(spark):
+    """rule, rule_alias, sample_with_replacement, transitions (a map)."""
+    return rig.rule_map(rig.rule_rows(A.rule_rows(spark)), ["rule", "rule_alias", "sample_with_replacement"])
+
+
+def rule_names(spark, d):
+    """session_id, t_us, seq, rule, rule_alias, sample_with_replacement at each change, without the maps."""
+    fixed = A.rule_rows(spark).drop("transitions")
+    return rig.register(harp(spark, d), model.PWM_RISE).select("session_id", "t_us", "seq", F.expr("k % 3").cast("int").alias("rule")).join(F.broadcast(fixed), "rule")
 
 
 def rule_changes(spark, d):
     """session_id, t_us, seq, rule, rule_alias, sample_with_replacement, transitions (a map)."""
-    rules = A.rule_rows(spark)
-    maps = rig.rule_map(rig.rule_rows(rules), ["rule", "rule_alias", "sample_with_replacement"])
-    return rig.register(harp(spark, d), model.PWM_RISE).select("session_id", "t_us", "seq", F.expr("k % 3").cast("int").alias("rule")).join(F.broadcast(maps), "rule")
+    return rule_names(spark, d).join(F.broadcast(rule_maps(spark).select("rule", "transitions")), "rule")
 
 
 def sequence(spark, d):
@@ -129,7 +138,7 @@ def video_frames(spark, d):
 
 @query(" SELECT session_id, seq, t_us, rule_alias, lead(t_us) OVER (PARTITION BY session_id ORDER BY t_us, seq) AS until_us FROM rules")
 def rule_history(spark, d):
-    return rule_changes(spark, d).select("session_id", "seq", "t_us", "rule_alias", F.lead("t_us").over(rig.by_time()).alias("until_us"))
+    return rule_names(spark, d).select("session_id", "seq", "t_us", "rule_alias", F.lead("t_us").over(rig.by_time()).alias("until_us"))
 
 
 # Scalar functions
@@ -235,7 +244,7 @@ def line_labels(spark, d):
 
 @query(" SELECT b.session_id, b.seq, b.t_us, r.t_us AS r_t_us, r.rule_alias FROM beam b ASOF JOIN rules r ON b.session_id = r.session_id AND b.t_us >= r.t_us", BEAM)
 def asof_latest(spark, d):
-    rules = rule_changes(spark, d).select("session_id", "t_us", "seq", "rule_alias")
+    rules = rule_names(spark, d).select("session_id", "t_us", "seq", "rule_alias")
     return timeops.asof(beam(spark, d).select("session_id", "seq", "t_us"), rules, S).select("session_id", "seq", "t_us", "r_t_us", F.col("r_rule_alias").alias("rule_alias"))
 
 
@@ -246,13 +255,13 @@ SELECT * FROM (SELECT session_id, seq, t_us, last_value(a IGNORE NULLS) OVER w A
 )
 def combine_latest(spark, d):
     rules = rig.register(harp(spark, d), model.PWM_RISE).select("session_id", "t_us", "seq", F.expr("k % 3").alias("rule"))
-    return timeops.combine_latest(beam(spark, d), rules, S, "value", "rule").select("session_id", "seq", "t_us", "a", "b")
+    return timeops.combine_latest(beam(spark, d), rules, S, "value", "rule", chunk=A.CHUNK).select("session_id", "seq", "t_us", "a", "b")
 
 
 @query(" SELECT r.session_id, r.seq, r.rule_alias, e.t_us AS stamp_us FROM rules r ASOF JOIN (SELECT session_id, t_us, seq FROM h WHERE address <> 68) e ON r.session_id = e.session_id AND r.t_us >= e.t_us")
 def settings_stamped(spark, d):
     log = harp(spark, d).where(F.col("address") != model.PWM_RISE).select("session_id", "t_us", "seq")
-    return timeops.asof(rule_changes(spark, d).select("session_id", "t_us", "seq", "rule_alias"), log, S, "e_", chunk=A.CHUNK).select("session_id", "seq", "rule_alias", F.col("e_t_us").alias("stamp_us"))
+    return timeops.asof(rule_names(spark, d).select("session_id", "t_us", "seq", "rule_alias"), log, S, "e_", chunk=A.CHUNK, take=["t_us"]).select("session_id", "seq", "rule_alias", F.col("e_t_us").alias("stamp_us"))
 
 
 _NTH = "row_number() OVER (PARTITION BY session_id ORDER BY t_us, seq) AS n"
@@ -261,7 +270,7 @@ _NTH = "row_number() OVER (PARTITION BY session_id ORDER BY t_us, seq) AS n"
 @query(f" SELECT a.session_id, a.n, a.seq, b.seq AS b_seq FROM (SELECT *, {_NTH} FROM beam WHERE level) a JOIN (SELECT *, {_NTH} FROM h WHERE address = 35) b USING (session_id, n)", BEAM)
 def zip_ordinal(spark, d):
     sets = rig.register(harp(spark, d), model.OUT_SET).select("session_id", "seq", "t_us")
-    return timeops.zip_ordinal(beam(spark, d).where("level").select("session_id", "seq", "t_us"), sets, S).select("session_id", "n", "seq", "b_seq")
+    return timeops.zip_ordinal(beam(spark, d).where("level").select("session_id", "seq", "t_us"), sets, S, chunk=A.CHUNK).select("session_id", "n", "seq", "b_seq")
 
 
 @query(" SELECT b.session_id, b.seq, b.t_us FROM beam b JOIN (SELECT session_id, min(t_us) AS f FROM rules GROUP BY 1) r ON r.session_id = b.session_id AND b.t_us >= r.f", BEAM)
@@ -338,16 +347,16 @@ def frames_in_windows(spark, d):
 
 @query(" SELECT session_id, break_no, start_us FROM breaks b WHERE NOT EXISTS (SELECT 1 FROM ports p WHERE p.session_id = b.session_id AND p.start_us >= b.start_us AND p.start_us < b.end_us)", BEAM, VALVES)
 def undelivered_breaks(spark, d):
-    breaks = rig.beam_breaks(rig.beam_edges(beam(spark, d)))
+    breaks = rig.beam_breaks(beam(spark, d))
     ports = rig.port_deliveries(valves(spark, d), A.PORT, A.VACUUM).select("session_id", "seq", F.col("start_us").alias("t_us"))
     spans = breaks.where("end_us is not null").select("session_id", "seq", F.col("start_us").alias("t_us"), "break_no", "end_us")
-    served = timeops.asof(ports, spans, S, "b_", chunk=A.CHUNK).where("t_us < b_end_us").select("session_id", F.col("b_break_no").alias("break_no")).distinct()
+    served = timeops.asof(ports, spans, S, "b_", chunk=A.CHUNK, take=["break_no", "end_us"]).where("t_us < b_end_us").select("session_id", F.col("b_break_no").alias("break_no")).distinct()
     return breaks.join(served, ["session_id", "break_no"], "left_anti").select("session_id", "break_no", "start_us")
 
 
 @query(" SELECT b.session_id, b.seq, r.rule_alias, r.rule <> 1 AS sample_with_replacement FROM beam b ASOF JOIN rules r ON b.session_id = r.session_id AND b.t_us >= r.t_us WHERE b.level", BEAM)
 def rule_at_poke(spark, d):
-    rules = rule_changes(spark, d).select("session_id", "t_us", "seq", "rule_alias", "sample_with_replacement")
+    rules = rule_names(spark, d).select("session_id", "t_us", "seq", "rule_alias", "sample_with_replacement")
     rows = timeops.asof(beam(spark, d).where("level").select("session_id", "seq", "t_us"), rules, S)
     return rows.select("session_id", "seq", F.col("r_rule_alias").alias("rule_alias"), F.col("r_sample_with_replacement").alias("sample_with_replacement"))
 
@@ -355,7 +364,7 @@ def rule_at_poke(spark, d):
 @query(" SELECT b.session_id, b.seq, b.t_us FROM beam b ASOF JOIN (SELECT session_id, t_us, amount > 20 AS flag FROM h WHERE address = 68) f ON f.session_id = b.session_id AND b.t_us >= f.t_us WHERE b.level AND f.flag", BEAM)
 def roi_gated_onsets(spark, d):
     flags = rig.register(harp(spark, d), model.PWM_RISE).withColumn("flag", F.col("amount") > 20)
-    return rig.roi_gated(beam(spark, d).where("level").select("session_id", "seq", "t_us"), flags)
+    return rig.roi_gated(beam(spark, d).where("level").select("session_id", "seq", "t_us"), flags, A.CHUNK)
 
 
 @query(
@@ -365,7 +374,7 @@ SELECT session_id, count(*) AS onsets, count(*) FILTER (NOT kept) AS dropped, (c
 )
 def roi_gate_share(spark, d):
     flags = rig.register(harp(spark, d), model.PWM_RISE).withColumn("flag", F.col("amount") > 20)
-    return rig.gate_share(beam(spark, d).where("level").select("session_id", "seq", "t_us"), flags)
+    return rig.gate_share(beam(spark, d).where("level").select("session_id", "seq", "t_us"), flags, A.CHUNK)
 
 
 # Aggregates
@@ -373,13 +382,13 @@ def roi_gate_share(spark, d):
 
 @query(" SELECT session_id, seq, t_us, row_number() OVER (PARTITION BY session_id ORDER BY t_us, seq) AS pokes FROM beam WHERE level", BEAM)
 def poke_counts(spark, d):
-    return timeops.numbered(beam(spark, d).where("level").select("session_id", "seq", "t_us"), S, "pokes")
+    return scans.numbered(beam(spark, d).where("level").select("session_id", "seq", "t_us"), S, "pokes", chunk=A.CHUNK)
 
 
 @query(" SELECT session_id, seq, start_us, row_number() OVER (PARTITION BY session_id ORDER BY start_us, seq) AS deliveries FROM ports", VALVES)
 def delivery_counts(spark, d):
     ports = rig.port_deliveries(valves(spark, d), A.PORT, A.VACUUM)
-    return timeops.numbered(ports, S, "deliveries", "start_us").select("session_id", "seq", "start_us", "deliveries")
+    return scans.numbered(ports, S, "deliveries", "start_us").select("session_id", "seq", "start_us", "deliveries")
 
 
 @query(" SELECT r.session_id, r.seq, r.rule_alias, (SELECT count(DISTINCT from_state) FROM rr WHERE rr.rule = r.rule) AS states, (SELECT count(*) FROM rr WHERE rr.rule = r.rule) AS targets FROM rules r", RULE_ROWS)
@@ -396,7 +405,7 @@ LEFT JOIN (SELECT session_id, count(*) AS sustained FROM pokes GROUP BY 1) p USI
 )
 def session_summary(spark, d):
     messages = beam(spark, d)
-    breaks = rig.beam_breaks(rig.beam_edges(messages)).groupBy("session_id").agg(F.count(F.lit(1)).alias("breaks"), F.count_if(F.col("end_us").isNull()).alias("open_breaks"), F.coalesce(F.sum(F.col("end_us") - F.col("start_us")), F.lit(0)).alias("broken_us"))
+    breaks = rig.beam_breaks(messages).groupBy("session_id").agg(F.count(F.lit(1)).alias("breaks"), F.count_if(F.col("end_us").isNull()).alias("open_breaks"), F.coalesce(F.sum(F.col("end_us") - F.col("start_us")), F.lit(0)).alias("broken_us"))
     pokes = rig.sustained(messages, A.MIN_POKE).groupBy("session_id").agg(F.count(F.lit(1)).alias("sustained"))
     return breaks.join(pokes, "session_id", "left").fillna(0, ["sustained"])
 
@@ -430,7 +439,7 @@ _STATES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
     REGION_STEPS,
 )
 def transition_matrix(spark, d):
-    rules = rule_changes(spark, d).select("session_id", "t_us", "seq", "rule_alias")
+    rules = rule_names(spark, d).select("session_id", "t_us", "seq", "rule_alias")
     rows = timeops.asof(rig.transitions(sequence(spark, d)), rules, S, "rule_", "left").select(F.col("rule_rule_alias").alias("rule_alias"), F.col("candidates")[0].alias("from_state"), F.col("to_candidates")[0].alias("to_state"))
     counted = rows.groupBy("rule_alias", "from_state").pivot("to_state", list(_STATES)).count().fillna(0)
     return counted.select("rule_alias", "from_state", *[F.col(n).alias(n.lower().replace(" ", "_")) for n in _STATES])
@@ -447,29 +456,29 @@ def state_fill(spark, d):
 
 @query(" SELECT session_id, seq, t_us, level FROM edges", BEAM)
 def beam_edges(spark, d):
-    return rig.beam_edges(beam(spark, d)).select("session_id", "seq", "t_us", "level")
+    return rig.beam_edges(beam(spark, d), A.CHUNK).select("session_id", "seq", "t_us", "level")
 
 
 @query(" SELECT session_id, seq, break_no, start_us, end_us FROM breaks", BEAM)
 def poke_numbers(spark, d):
-    return rig.beam_breaks(rig.beam_edges(beam(spark, d)))
+    return rig.beam_breaks(beam(spark, d), A.CHUNK)
 
 
 @query(" SELECT b.session_id, b.break_no, o.start_us AS next_us, o.line FROM breaks b ASOF LEFT JOIN odor o ON o.session_id = b.session_id AND b.start_us < o.start_us", BEAM, VALVES)
 def next_stimulus(spark, d):
-    breaks = rig.beam_breaks(rig.beam_edges(beam(spark, d))).withColumn("t_us", F.col("start_us"))
+    breaks = rig.beam_breaks(beam(spark, d)).withColumn("t_us", F.col("start_us"))
     odor = valves(spark, d).where(F.col("line").isin(*A.ODORS)).select("session_id", F.col("start_us").alias("t_us"), "seq", "line")
     return timeops.next_after(breaks, odor, S).select("session_id", "break_no", F.col("n_t_us").alias("next_us"), F.col("n_line").alias("line"))
 
 
 @query(" SELECT session_id, seq, t_us, seq - lag(seq) OVER (PARTITION BY session_id ORDER BY t_us, seq) - 1 AS dropped FROM h WHERE address = 68")
 def dropped_frames(spark, d):
-    return rig.dropped_frames(rig.register(harp(spark, d), model.PWM_RISE), "seq").select("session_id", "seq", "t_us", "dropped")
+    return rig.dropped_frames(rig.register(harp(spark, d), model.PWM_RISE).select("session_id", "seq", "t_us"), "seq", A.CHUNK).select("session_id", "seq", "t_us", "dropped")
 
 
 @query(" SELECT session_id, seq, t_us, line, state FROM states", VALVES)
 def output_state(spark, d):
-    return rig.line_states(harp(spark, d)).select("session_id", "seq", "t_us", "line", "state")
+    return rig.line_states(harp(spark, d), chunk=A.CHUNK).select("session_id", "seq", "t_us", "line", "state")
 
 
 # Sorts, limits, sets
@@ -477,13 +486,13 @@ def output_state(spark, d):
 
 @query(" SELECT session_id, seq, rule_alias FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY t_us, seq) AS n FROM rules) WHERE n = 1")
 def first_settings(spark, d):
-    rows = rule_changes(spark, d).groupBy("session_id").agg(F.min_by(F.struct("seq", "rule_alias"), F.struct("t_us", "seq")).alias("x"))
+    rows = rule_names(spark, d).groupBy("session_id").agg(F.min_by(F.struct("seq", "rule_alias"), F.struct("t_us", "seq")).alias("x"))
     return rows.select("session_id", "x.seq", "x.rule_alias")
 
 
 @query(" SELECT session_id, seq, n FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY t_us, seq) AS n FROM beam) WHERE n <= session_id % 5 + 1", BEAM)
 def take_n(spark, d):
-    return timeops.numbered(beam(spark, d), S).where(F.col("n") <= F.expr("session_id % 5 + 1")).select("session_id", "seq", "n")
+    return scans.numbered(beam(spark, d).select("session_id", "seq", "t_us"), S, chunk=A.CHUNK).where(F.col("n") <= F.expr("session_id % 5 + 1")).select("session_id", "seq", "n")
 
 
 @query(" SELECT session_id, seq, t_us, 'on' AS source FROM beam WHERE level UNION ALL SELECT session_id, seq, t_us, 'off' FROM beam WHERE NOT level", BEAM)
@@ -583,13 +592,13 @@ poke AS (
 
 @query(" SELECT * FROM poke", BEAM, VALVES, POKES)
 def poke_table(spark, d):
-    rules = rule_changes(spark, d).select("session_id", "t_us", "seq", "rule_alias")
+    rules = rule_names(spark, d).select("session_id", "t_us", "seq", "rule_alias")
     return rig.poke_table(harp(spark, d), line_map(spark, d), rules, A.PORT, A.VACUUM, A.ODORS)
 
 
 @query(" SELECT session_id, line, seq, start_us, end_us FROM valves", VALVES)
 def valve_intervals(spark, d):
-    return valves(spark, d)
+    return rig.valve_intervals(harp(spark, d), chunk=A.CHUNK)
 
 
 _ROLE = "CASE WHEN line = 0 THEN 'port' WHEN line = 2 THEN 'vacuum' WHEN line >= 5 THEN 'odor' ELSE 'other' END"
@@ -622,7 +631,7 @@ def limit_violations(spark, d):
     messages = beam(spark, d)
     length = (F.col("end_us") - F.col("start_us")).alias("length_us")
     over = lambda df, kind, key, limit: df.select("session_id", F.col(key).alias("seq"), F.lit(kind).alias("kind"), length).where(F.col("length_us") > limit)
-    pokes = over(rig.beam_breaks(rig.beam_edges(messages)), "poke", "seq", 20 * HOUR)
+    pokes = over(rig.beam_breaks(messages), "poke", "seq", 20 * HOUR)
     given = over(rig.deliveries(messages, rig.sustained(messages, A.MIN_POKE), A.MIN_DELIVERY, A.MAX_DELIVERY), "delivery", "seq", 15 * HOUR)
     waits = rig.port_waits(rig.port_deliveries(valves(spark, d), A.PORT, A.VACUUM)).where(F.col("wait_us") < 360 * HOUR).select("session_id", "seq", F.lit("wait").alias("kind"), F.col("wait_us").alias("length_us"))
     return pokes.unionByName(given).unionByName(over(rig.video_windows(messages, A.PRE, A.POST), "video", "window_no", 72 * HOUR)).unionByName(waits)
@@ -656,12 +665,12 @@ FROM nsteps n ASOF LEFT JOIN rules r ON r.session_id = n.session_id AND n.{at} >
 
 @query(_conformance_sql("t_us"), VALVES, REGION_STEPS, RULE_ROWS)
 def rule_conformance(spark, d):
-    return rig.rule_conformance(rig.transitions(sequence(spark, d)), rule_changes(spark, d).select("session_id", "t_us", "seq", "rule_alias", "transitions"))
+    return rig.rule_conformance(rig.transitions(sequence(spark, d)), rule_names(spark, d).select("session_id", "t_us", "seq", "rule", "rule_alias"), maps=rule_maps(spark))
 
 
 @query(_conformance_sql("to_t_us"), VALVES, REGION_STEPS, RULE_ROWS)
 def rule_conformance_specified(spark, d):
-    return rig.rule_conformance(rig.transitions(sequence(spark, d)), rule_changes(spark, d).select("session_id", "t_us", "seq", "rule_alias", "transitions"), "as_specified")
+    return rig.rule_conformance(rig.transitions(sequence(spark, d)), rule_names(spark, d).select("session_id", "t_us", "seq", "rule", "rule_alias"), "as_specified", rule_maps(spark))
 
 
 @query(
@@ -676,8 +685,9 @@ LEFT JOIN (SELECT from_state, to_state, count(*) AS n FROM rr WHERE rule = 1 GRO
     RULE_ROWS,
 )
 def bag_conformance(spark, d):
-    rules = rule_changes(spark, d).select("session_id", "t_us", "seq", "transitions", "sample_with_replacement")
+    rules = rule_names(spark, d).select("session_id", "t_us", "seq", "rule", "sample_with_replacement")
     rows = timeops.asof(rig.transitions(sequence(spark, d)), rules, S).where(~F.col("r_sample_with_replacement"))
+    rows = rows.join(F.broadcast(rule_maps(spark).select(F.col("rule").alias("r_rule"), F.col("transitions").alias("r_transitions"))), "r_rule")  # three rules
     source = F.col("candidates")[0]
     draws = rows.select("session_id", "seq", "t_us", F.col("r_t_us").alias("rule_epoch"), source.alias("source"), F.col("to_candidates")[0].alias("target"), F.try_element_at("r_transitions", source).alias("options"))
     return rig.bag_conformance(draws.where("options is not null"))
