@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import has_line, mask_lines
 from ..model import AUX_IN, DEFAULT_STATE, OUT_CLEAR, OUT_SET, OUT_STATE, OUT_TOGGLE, PWM_RISE, SESSION_END
-from .scans import filled, neighbours, numbered, summed, switch_spans, switched
+from .scans import automaton, filled, neighbours, numbered, summed, switch_spans, switched
 from .timeops import HOUR, asof, merged_windows, next_after
 
 S = ["session_id"]
@@ -185,12 +185,12 @@ def rule_map(rows: DataFrame, by: list[str]) -> DataFrame:
     return lists.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("from_state", F.transform("_l", lambda x: x["to_state"])))).alias("transitions"))
 
 
-def contracted(rows: DataFrame) -> DataFrame:
-    """Transitions from odor to odor: those to the default state, which opens no line, are replaced by where it leads."""
-    through = rows.where(F.col("from_state") == DEFAULT_STATE).select(F.col("rule_alias"), F.col("to_state").alias("_next"))
+def contracted(rows: DataFrame, by: tuple[str, ...] = ("rule_alias",)) -> DataFrame:
+    """Transitions from odor to odor: those to the default state, which opens no line, are replaced by where it leads. by: what names a rule."""
+    through = rows.where(F.col("from_state") == DEFAULT_STATE).select(*by, F.col("to_state").alias("_next"))
     rows = rows.where(F.col("from_state") != DEFAULT_STATE)
-    direct = rows.where(F.col("to_state") != DEFAULT_STATE).select("rule_alias", "from_state", "to_state")
-    two = rows.where(F.col("to_state") == DEFAULT_STATE).join(through, "rule_alias").select("rule_alias", "from_state", F.col("_next").alias("to_state"))
+    direct = rows.where(F.col("to_state") != DEFAULT_STATE).select(*by, "from_state", "to_state")
+    two = rows.where(F.col("to_state") == DEFAULT_STATE).join(through, [*by]).select(*by, "from_state", F.col("_next").alias("to_state"))
     return direct.unionByName(two).distinct()
 
 
@@ -293,6 +293,58 @@ def switch_audit(changes: DataFrame, expected: dict[str, int], tolerance: int, r
     return rows.select("session_id", "seq", "t_us", "step", "gap_us", "expected_us", (F.abs(F.col("gap_us") - F.col("expected_us")) <= tolerance).alias("ok"))
 
 
+#: What valves do in a switch, and how far it has come. A switch begins when the port closes. Normal: odor closes, next odor opens. With vacuum: odor closes, vacuum opens,
+#: port opens and closes, next odor opens (with the port's closing, in either order), vacuum closes.
+SYMBOLS = ("port 0", "port 1", "odor 0", "odor 1", "vacuum 1", "vacuum 0")
+IDLE, PORT_CLOSED, ODOR_CLOSED, VACUUM_OPEN, FLUSHING, ODOR_FIRST, FLUSHED, CHARGING, NORMAL_DONE, VACUUM_DONE, MISSING, DISORDERED = range(12)
+#: The right next steps; then steps that come too early, as what lies between is missing. Any other step is out of order.
+STEPS = {
+    (PORT_CLOSED, "odor 0"): ODOR_CLOSED, (ODOR_CLOSED, "odor 1"): NORMAL_DONE, (ODOR_CLOSED, "vacuum 1"): VACUUM_OPEN, (VACUUM_OPEN, "port 1"): FLUSHING, (FLUSHING, "port 0"): FLUSHED,
+    (FLUSHING, "odor 1"): ODOR_FIRST, (ODOR_FIRST, "port 0"): CHARGING, (FLUSHED, "odor 1"): CHARGING, (CHARGING, "vacuum 0"): VACUUM_DONE,
+}
+SKIPPED = {(PORT_CLOSED, "odor 1"), (PORT_CLOSED, "vacuum 1"), (VACUUM_OPEN, "port 0"), (VACUUM_OPEN, "odor 1"), (VACUUM_OPEN, "vacuum 0"), (FLUSHING, "vacuum 0"), (ODOR_FIRST, "vacuum 0"), (FLUSHED, "vacuum 0")}
+
+
+def switch_table() -> list[list[int]]:
+    """The next state by symbol and state. A port that closes outside of a flush begins a new switch."""
+
+    def after(q: int, symbol: str) -> int:
+        if (q, symbol) in STEPS:
+            return STEPS[q, symbol]
+        if (q, symbol) in SKIPPED:
+            return MISSING
+        if symbol == "port 0":
+            return PORT_CLOSED
+        return q if q in (IDLE, NORMAL_DONE, VACUUM_DONE, MISSING, DISORDERED) else DISORDERED
+
+    return [[after(q, symbol) for q in range(12)] for symbol in SYMBOLS]
+
+
+def switch_patterns(changes: DataFrame, role: Column, expected: dict[int, int], tolerance: int, chunk: int = HOUR) -> DataFrame:
+    """One row per switch: switch_no, start_us, mode (normal or vacuum, as far as it is known), steps (that came in order), verdict.
+
+    verdict: complete; late, if complete but a step's time since the one before differs from the expected by more than the tolerance; step missing; out of order; unfinished.
+    expected: time by the state that a step leads to (for ODOR_FIRST and CHARGING, since the step before). Changes of other lines are no steps. Rows are
+    cut into chunks of time, and where the cuts fall changes nothing.
+    """
+    symbol = F.array_position(F.array(*map(F.lit, SYMBOLS)), F.concat_ws(" ", role, F.col("state").cast("string"))) - 1
+    rows = changes.select("session_id", "t_us", "seq", symbol.cast("int").alias("symbol")).where("symbol >= 0")
+    rows = automaton(rows, S, "symbol", switch_table(), "q", chunk=chunk)
+    rows = neighbours(rows, S, {"_last_us": "t_us"}, chunk=chunk)
+    # In the port's closing, a switch may begin anew from the state that a switch begins with.
+    begins = (F.col("symbol") == 0) & (F.col("q") == PORT_CLOSED)
+    rows = summed(rows, S, begins.cast("long"), "switch_no", chunk=chunk).where("switch_no > 0")
+    due = F.try_element_at(F.create_map(*[F.lit(x) for k, v in expected.items() for x in (k, v)]), F.col("q")).cast("long")
+    steps = F.array(*map(F.lit, (ODOR_CLOSED, VACUUM_OPEN, FLUSHING, ODOR_FIRST, FLUSHED, CHARGING, NORMAL_DONE, VACUUM_DONE)))
+    moved = (F.col("q") != F.col("q_before")) & F.array_contains(steps, F.col("q"))
+    late = moved & (F.abs(F.col("t_us") - F.col("_last_us") - due) > tolerance)
+    last = F.max_by("q", F.struct("t_us", "seq"))
+    table = rows.groupBy("session_id", "switch_no").agg(F.min("t_us").alias("start_us"), F.count_if(moved).alias("steps"), F.count_if(late).alias("_late"), last.alias("_q"), F.max(F.col("q").between(VACUUM_OPEN, CHARGING) | (F.col("q") == VACUUM_DONE)).alias("_vacuum"), F.max(F.col("q") == NORMAL_DONE).alias("_normal"))
+    done = F.col("_q").isin(NORMAL_DONE, VACUUM_DONE)
+    verdict = F.when(done & (F.col("_late") > 0), "late").when(done, "complete").when(F.col("_q") == MISSING, "step missing").when(F.col("_q") == DISORDERED, "out of order").otherwise("unfinished")
+    return table.select("session_id", "switch_no", "start_us", F.when(F.col("_vacuum"), "vacuum").when(F.col("_normal"), "normal").alias("mode"), "steps", verdict.alias("verdict"))
+
+
 def roi_sum(strips: DataFrame, x0: int, x1: int, y0: int, y1: int, threshold: int = 59, high: int = 255) -> DataFrame:
     """Activity of a region by frame: the sum of an inverse threshold (over it 0, else high) over columns x0 .. x1 and rows y0 .. y1."""
     part = F.slice("pixels", x0 + 1, x1 - x0 + 1)

@@ -141,7 +141,7 @@ def switch_spans(rows: DataFrame, by: list[str], level: str, flip: str | None =
     keys = by if chunk is None else ["_at"]
     inside = Window.partitionBy(*keys).orderBy(*order)
     rows = _maps(rows, keys, order)
-    before, later, past = F.lit(0), F.lit(None).cast("long"), F.lit(0)
+    before, later, past = F.lit(0), None, F.lit(0)
     if chunk is not None:
         on = {f"_on{s}": _after(F.lit(s)) for s in (0, 1)}
         both = rows.withColumns(on).withColumns({f"_was{s}": F.coalesce(F.lag(f"_on{s}").over(inside), F.lit(s)) for s in (0, 1)})
@@ -151,10 +151,33 @@ def switch_spans(rows: DataFrame, by: list[str], level: str, flip: str | None =
         pick = lambda n: F.when(F.col("_before") == 0, F.col(f"_{n}0")).otherwise(F.col(f"_{n}1"))
         table = table.select("_at", "_before", pick("first").alias("_first"), pick("ups").alias("_ups"))
         chunks = Window.partitionBy(*[F.col("_at")[c] for c in by])
-        table = table.select("_at", "_before", F.last("_first", ignorenulls=True).over(chunks.orderBy(F.desc("_at._chunk")).rowsBetween(UP, -1))["_t"].alias("_later"), F.coalesce(F.sum("_ups").over(chunks.orderBy("_at._chunk").rowsBetween(UP, -1)), F.lit(0)).alias("_past"))
+        table = table.select("_at", "_before", F.last("_first", ignorenulls=True).over(chunks.orderBy(F.desc("_at._chunk")).rowsBetween(UP, -1)).alias("_later"), F.coalesce(F.sum("_ups").over(chunks.orderBy("_at._chunk").rowsBetween(UP, -1)), F.lit(0)).alias("_past"))
         rows = both.drop("_on0", "_on1", "_was0", "_was1").join(table, "_at")
         before, later, past = F.col("_before"), F.col("_later"), F.col("_past")
     rows = rows.withColumn("_state", _after(before))
     changes = rows.withColumn("_old", F.coalesce(F.lag("_state").over(inside), before)).where("_state != _old")
-    ended = changes.withColumn("_end", F.coalesce(F.lead("_t").over(inside), later)).where("_state = 1")
+    after = F.lead(F.struct(*order)).over(inside)  # a struct, as the change itself may have a null time
+    ended = changes.withColumn("_end", (after if later is None else F.coalesce(after, later))["_t"]).where("_state = 1")
     return ended.select(*by, F.col("_seq").alias(seq), (F.row_number().over(inside) + past).alias("n"), F.col("_t").alias("start_us"), F.col("_end").alias("end_us"))
+
+
+def automaton(rows: DataFrame, by: list[str], symbol: str, table: list[list[int]], name: str, time: str = "t_us", seq: str = "seq", chunk: int = 3_600_000_000) -> DataFrame:
+    """The state of an automaton before (name_before) and after (name) each row, from state 0; table: the next state by symbol and state. A null symbol leaves the state.
+
+    A chunk's rows are one array, and the map of all states that they make is the composition of their rows of the table. The chunks' maps, as many as the
+    key has chunks, give each chunk the state that it begins with. Columns must be sortable.
+    """
+    states = F.array(*[F.array(*map(F.lit, row)) for row in [*table, list(range(len(table[0])))]])
+    rest = [c for c in rows.columns if c not in (time, seq)]
+    known = F.coalesce(F.col(symbol).cast("int"), F.lit(len(table)))
+    runs = rows.withColumn("_at", F.struct(*by, F.floor(F.col(time) / chunk).alias("_chunk"))).groupBy("_at").agg(F.array_sort(F.collect_list(F.struct(time, seq, known.alias("_symbol"), F.struct(*rest).alias("_row")))).alias("_rows"))
+    step = lambda r, q: F.get(F.get(states, r["_symbol"]), q)
+    maps = runs.select("_at", F.aggregate("_rows", F.array(*map(F.lit, range(len(table[0])))), lambda m, r: F.transform(m, lambda q: step(r, q))).alias("_map"))
+    last = lambda acc: F.element_at(acc, -1)
+    chunks = maps.groupBy(*[F.col("_at")[c].alias(c) for c in by]).agg(F.array_sort(F.collect_list(F.struct(F.col("_at._chunk").alias("chunk"), "_map", "_at"))).alias("_chunks"))
+    begin = F.aggregate("_chunks", F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.get(x["_map"], last(acc)))))
+    begun = chunks.select(F.explode(F.arrays_zip(F.col("_chunks._at").alias("at"), begin.alias("q"))).alias("x")).where("x.at is not null").select(F.col("x.at").alias("_at"), F.col("x.q").alias("_q"))
+    passed = runs.join(begun, "_at").withColumn("_states", F.aggregate("_rows", F.array("_q"), lambda acc, r: F.concat(acc, F.array(step(r, last(acc))))))
+    each = F.zip_with("_rows", F.slice("_states", F.lit(2), F.size("_rows")), lambda r, q: F.struct(r.alias("r"), q.alias("q")))
+    both = F.zip_with(each, F.slice("_states", F.lit(1), F.size("_rows")), lambda x, q: F.struct(x["r"].alias("r"), x["q"].alias("q"), q.alias("p")))
+    return passed.select(F.explode(both).alias("x")).select(*[F.col(f"x.r.{c}") if c in (time, seq) else F.col(f"x.r._row.{c}") for c in rows.columns], F.col("x.p").alias(f"{name}_before"), F.col("x.q").alias(name))

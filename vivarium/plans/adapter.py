@@ -26,6 +26,13 @@ RULES = (
     ("home", True, '{"AFRICA":"AFRICA","AMERICA":"AFRICA","ASIA":"MIDDLE EAST"}'),
 )
 
+#: Rules of two steps, in which states lead through the default state.
+TWO_STEP = (
+    ("any", '{"AFRICA":["DefaultState"],"AMERICA":["DefaultState","ASIA"],"ASIA":["DefaultState"],"DefaultState":["AFRICA","AMERICA"]}'),
+    ("loop", '{"AFRICA":["AMERICA"],"AMERICA":["DefaultState"],"DefaultState":["AFRICA","EUROPE"],"EUROPE":["ASIA"]}'),
+    ("stuck", '{"AFRICA":["DefaultState"],"AMERICA":["ASIA"],"ASIA":["AMERICA"]}'),
+)
+
 
 @functools.lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +79,10 @@ def rule_rows(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, *r) for i, r in enumerate(RULES)], "rule int, rule_alias string, sample_with_replacement boolean, transitions string")
 
 
+def two_step_rows(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(TWO_STEP)], "rule int, rule_alias string, transitions string")
+
+
 #: SQL of the same views, and of the operators that others build on.
 HARP = """
 h AS (
@@ -121,3 +132,10 @@ rr(rule, rule_alias, from_state, place, to_state) AS (VALUES
   (1, 'bag', 'EUROPE', 0, 'MIDDLE EAST'), (1, 'bag', 'EUROPE', 1, 'AFRICA'), (1, 'bag', 'MIDDLE EAST', 0, 'EUROPE'),
   (2, 'home', 'AFRICA', 0, 'AFRICA'), (2, 'home', 'AMERICA', 0, 'AFRICA'), (2, 'home', 'ASIA', 0, 'MIDDLE EAST')
 )"""
+#: The rules of two steps as rows.
+TWO_STEP_ROWS = """
+tr(rule, from_state, to_state) AS (VALUES
+  (0, 'AFRICA', 'DefaultState'), (0, 'AMERICA', 'DefaultState'), (0, 'AMERICA', 'ASIA'), (0, 'ASIA', 'DefaultState'), (0, 'DefaultState', 'AFRICA'), (0, 'DefaultState', 'AMERICA'),
+  (1, 'AFRICA', 'AMERICA'), (1, 'AMERICA', 'DefaultState'), (1, 'DefaultState', 'AFRICA'), (1, 'DefaultState', 'EUROPE'), (1, 'EUROPE', 'ASIA'),
+  (2, 'AFRICA', 'DefaultState'), (2, 'AMERICA', 'ASIA'), (2, 'ASIA', 'AMERICA')
+)"""

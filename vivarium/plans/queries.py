@@ -13,7 +13,7 @@ from ..operators import rig, scans, timeops
 from ..operators.rig import S
 from ..operators.timeops import HOUR
 from . import adapter as A
-from .adapter import BEAM, HARP, RULE_ROWS, SESSION_LINES, VALVES, harp, line_map, odor_map, session_lines, table
+from .adapter import BEAM, HARP, RULE_ROWS, SESSION_LINES, TWO_STEP_ROWS, VALVES, harp, line_map, odor_map, session_lines, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,7 +25,7 @@ def query(sql: str | None, *parts: str):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            SQL[f.__name__] = "WITH " + ",".join((HARP, *parts)) + sql
+            SQL[f.__name__] = "WITH RECURSIVE " + ",".join((HARP, *parts)) + sql
         return f
 
     return add
@@ -617,6 +617,32 @@ def switch_audit(spark, d):
     return rig.switch_audit(changes, {"port 0>odor 0": 10 * HOUR, "odor 0>odor 1": 20 * HOUR, "odor 1>port 1": 5 * HOUR, "odor 0>vacuum 1": 20 * HOUR}, 5 * HOUR, role)
 
 
+_STEP_SQL = """
+  CASE WHEN q = 1 AND y = 'odor 0' THEN 2 WHEN q = 2 AND y = 'odor 1' THEN 8 WHEN q = 2 AND y = 'vacuum 1' THEN 3 WHEN q = 3 AND y = 'port 1' THEN 4 WHEN q = 4 AND y = 'port 0' THEN 6 WHEN q = 4 AND y = 'odor 1' THEN 5
+    WHEN q = 5 AND y = 'port 0' THEN 7 WHEN q = 6 AND y = 'odor 1' THEN 7 WHEN q = 7 AND y = 'vacuum 0' THEN 9
+    WHEN q = 1 AND y IN ('odor 1', 'vacuum 1') OR q = 3 AND y IN ('port 0', 'odor 1', 'vacuum 0') OR q IN (4, 5, 6) AND y = 'vacuum 0' THEN 10
+    WHEN y = 'port 0' THEN 1 WHEN q IN (0, 8, 9, 10, 11) THEN q ELSE 11 END"""
+
+
+@query(
+    f""", l AS (SELECT *, {_ROLE} || ' ' || state AS y, row_number() OVER (PARTITION BY session_id ORDER BY t_us, seq) AS i, t_us - lag(t_us) OVER (PARTITION BY session_id ORDER BY t_us, seq) AS gap FROM changes WHERE line IN (0, 2) OR line >= 5),
+run AS (
+  SELECT session_id, i, t_us, seq, y, gap, 0 AS p, CASE WHEN y = 'port 0' THEN 1 ELSE 0 END AS q FROM l WHERE i = 1
+  UNION ALL SELECT l.session_id, l.i, l.t_us, l.seq, l.y, l.gap, r.q, (SELECT {_STEP_SQL} FROM (SELECT r.q AS q, l.y AS y) z) FROM run r JOIN l ON l.session_id = r.session_id AND l.i = r.i + 1
+), n AS (SELECT *, sum(CASE WHEN y = 'port 0' AND q = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY i) AS switch_no, q <> p AND q BETWEEN 2 AND 9 AS moved,
+  CASE q WHEN 2 THEN 36000000000 WHEN 8 THEN 72000000000 WHEN 3 THEN 72000000000 WHEN 4 THEN 90000000000 WHEN 6 THEN 90000000000 WHEN 5 THEN 90000000000 WHEN 7 THEN 0 WHEN 9 THEN 252000000000 END AS due FROM run),
+g AS (SELECT session_id, switch_no, min(t_us) AS start_us, count(*) FILTER (moved) AS steps, count(*) FILTER (moved AND abs(gap - due) > 360000000000) AS late, max_by(q, i) AS q, bool_or(q IN (3, 4, 5, 6, 7, 9)) AS vac, bool_or(q = 8) AS norm FROM n WHERE switch_no > 0 GROUP BY 1, 2)
+SELECT session_id, switch_no::BIGINT AS switch_no, start_us, CASE WHEN vac THEN 'vacuum' WHEN norm THEN 'normal' END AS mode, steps,
+  CASE WHEN q IN (8, 9) AND late > 0 THEN 'late' WHEN q IN (8, 9) THEN 'complete' WHEN q = 10 THEN 'step missing' WHEN q = 11 THEN 'out of order' ELSE 'unfinished' END AS verdict FROM g""",
+    VALVES,
+)
+def switch_patterns(spark, d):
+    changes = rig.line_changes(rig.line_states(harp(spark, d)))
+    role = F.when(F.col("line") == A.PORT, "port").when(F.col("line") == A.VACUUM, "vacuum").when(F.col("line") >= 5, "odor")
+    expected = {rig.ODOR_CLOSED: 10, rig.NORMAL_DONE: 20, rig.VACUUM_OPEN: 20, rig.FLUSHING: 25, rig.FLUSHED: 25, rig.ODOR_FIRST: 25, rig.CHARGING: 0, rig.VACUUM_DONE: 70}
+    return rig.switch_patterns(changes, role, {k: v * HOUR for k, v in expected.items()}, 100 * HOUR, A.CHUNK)
+
+
 @query(
     """ SELECT session_id, seq, 'poke' AS kind, end_us - start_us AS length_us FROM breaks WHERE end_us - start_us > 72000000000
 UNION ALL SELECT session_id, seq, 'delivery', end_us - start_us FROM deliv WHERE end_us - start_us > 54000000000
@@ -673,6 +699,37 @@ def rule_conformance_specified(spark, d):
     return rig.rule_conformance(rig.transitions(sequence(spark, d)), rule_names(spark, d).select("session_id", "t_us", "seq", "rule", "rule_alias"), "as_specified", rule_maps(spark))
 
 
+@query(
+    """ SELECT n.session_id, n.seq, n.t_us, n.line, n.to_line, n.to_t_us, CASE r.rule WHEN 0 THEN 'any' WHEN 1 THEN 'loop' WHEN 2 THEN 'stuck' END AS rule_alias,
+  CASE WHEN r.rule IS NULL THEN 'no rule' WHEN EXISTS (SELECT 1 FROM tr WHERE tr.rule = r.rule AND tr.from_state = n.from_name AND tr.to_state = n.to_name) THEN 'ok'
+    WHEN (EXISTS (SELECT 1 FROM tr WHERE tr.rule = r.rule AND tr.from_state = n.from_name AND tr.to_state = 'DefaultState') OR NOT EXISTS (SELECT 1 FROM tr WHERE tr.rule = r.rule AND tr.from_state = n.from_name))
+      AND EXISTS (SELECT 1 FROM tr WHERE tr.rule = r.rule AND tr.from_state = 'DefaultState' AND tr.to_state = n.to_name) THEN 'ok' ELSE 'violation' END AS verdict
+FROM nsteps n ASOF LEFT JOIN rules r ON r.session_id = n.session_id AND n.t_us >= r.t_us""",
+    VALVES,
+    REGION_STEPS,
+    TWO_STEP_ROWS,
+)
+def rule_conformance_default(spark, d):
+    """Rules that lead through the default state."""
+    rules = A.two_step_rows(spark)
+    names = rig.register(harp(spark, d), model.PWM_RISE).select("session_id", "t_us", "seq", F.expr("k % 3").cast("int").alias("rule")).join(F.broadcast(rules.drop("transitions")), "rule")
+    return rig.rule_conformance(rig.transitions(sequence(spark, d)), names, maps=rig.rule_map(rig.rule_rows(rules), ["rule"]))
+
+
+@query(
+    """, ct AS (
+  SELECT rule, from_state, to_state FROM tr WHERE from_state <> 'DefaultState' AND to_state <> 'DefaultState'
+  UNION SELECT a.rule, a.from_state, b.to_state FROM tr a JOIN tr b ON b.rule = a.rule AND b.from_state = 'DefaultState' WHERE a.to_state = 'DefaultState' AND a.from_state <> 'DefaultState'
+) SELECT r.session_id, r.seq, ct.from_state, ct.to_state FROM rules r JOIN ct ON ct.rule = r.rule""",
+    TWO_STEP_ROWS,
+)
+def contracted_rules(spark, d):
+    """The rule in force from each change on, from odor to odor."""
+    rows = rig.contracted(rig.rule_rows(A.two_step_rows(spark)), ("rule",))
+    changes = rig.register(harp(spark, d), model.PWM_RISE).select("session_id", "seq", F.expr("k % 3").cast("int").alias("rule"))
+    return changes.join(F.broadcast(rows), "rule").select("session_id", "seq", "from_state", "to_state")
+
+
 @query(
     """, dr AS (SELECT n.session_id, n.seq, n.t_us, r.t_us AS epoch, r.rule, n.from_name, n.to_name FROM nsteps n ASOF JOIN rules r ON r.session_id = n.session_id AND n.t_us >= r.t_us WHERE r.rule = 1),
 sz AS (SELECT from_state, count(*) AS n FROM rr WHERE rule = 1 GROUP BY 1),
