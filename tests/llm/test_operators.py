@@ -388,11 +388,63 @@ def test_many_url_patterns(spark):
     assert 0 < sum(v == "block" for v in got.values()) < len(urls)
 
 
+def random_pattern(r, depth=0):
+    bit = lambda: r.choice(["foo", "bar", "x1", "promo", "a", "/", "-", "\\.", "/foo/", "-bar-", "/x1\\.", "[a-z]", "[-/]", "\\w", "\\b", "[^/]*", "o?", "a+", "/?", "."])
+    out = ""
+    for _ in range(r.randrange(1, 5)):
+        k = r.random()
+        if k < 0.7 or depth > 2:
+            out += bit()
+        elif k < 0.85:
+            out += "(" + random_pattern(r, depth + 1) + ")" + r.choice(["", "", "?", "*", "+"])
+        else:
+            out += "(" + random_pattern(r, depth + 1) + "|" + random_pattern(r, depth + 1) + ")" + r.choice(["", "?"])
+    return out + ("|" + random_pattern(r, depth + 1) if depth == 0 and r.random() < 0.3 else "")
+
+
+def test_url_tokens_of_random_patterns():
+    """Every match of a pattern is in a url that holds a token of one of its alternatives."""
+    r = random.Random(11)
+    urls = ["http://h/" + "".join(r.choice(["foo", "bar", "x1", "promo", "a", "/", "-", ".", "o", "FOO", "z9"]) for _ in range(r.randrange(1, 9))) for _ in range(300)]
+    indexed = 0
+    for _ in range(1500):
+        p = random_pattern(r)
+        ways = url_filter.literal_tokens(p)
+        if not ways or not all(ways):
+            continue
+        indexed += 1
+        for u in urls:
+            if re.search(p, u):
+                held = set(re.split("[^a-z0-9]+", u.lower()))
+                assert any(w <= held for w in ways), (p, u, ways)
+    assert indexed > 100
+    assert url_filter.literal_tokens("/foo/|/bar/") == [{"foo"}, {"bar"}] and url_filter.literal_tokens("/(a(b|c)-promo-)?x/") == [{"x"}]
+    assert "casino" in url_filter.literal_tokens(url_filter.PATTERNS[0])[0]
+
+
+def test_urls_of_alternatives_and_patterns_without_tokens(spark):
+    pages = spark.createDataFrame([(i, f"http://h/{x}") for i, x in enumerate(("foo/", "bar/", "x/", "ab-promo-x/", "q/zz9", "y"))], "page_id long, url string")
+    for patterns, want in ((("/foo/|/bar/",), {0, 1}), (("/(a(b|c)-promo-)?x/",), {2, 3}), (("z+[0-9]",), {4}), (("/foo/|/bar/", "z+[0-9]", "/y$"), {0, 1, 4, 5}), ((), set())):
+        got = url_filter.judge_urls(pages, (), patterns).where("verdict = 'block'")
+        assert {x.page_id for x in got.collect()} == want
+
+
+def test_many_host_rules(spark):
+    r = random.Random(3)
+    names = ["a", "b", "c.a", "b.a", "x.b.a", "d"]
+    rules = tuple((h, p, r.choice(["block", "allow"])) for h in names for p in ("/", "/p/", "/p/q") if r.random() < 0.6) + (("a", "/zz", "block"), ("b.a", "/", "allow"))
+    urls = [(i, f"http://{r.choice(['', 'w.'])}{r.choice(names)}/{r.choice(['', 'p/', 'p/q', 'zz'])}", "h", "p", "r", "v", "a") for i in range(200)]
+    pages = spark.createDataFrame(urls, "page_id long, url string, host string, path string, rule string, verdict string, action string")
+    for x in url_filter.judge_urls(pages, rules, ()).collect():
+        fit = sorted(((-len(h + p), h, p, a) for h, p, a in rules if (x.host == h or x.host.endswith("." + h)) and x.path.startswith(p)))
+        assert (x.rule, x.verdict) == ((fit[0][1] + fit[0][2], fit[0][3]) if fit else (None, "allow"))
+
+
 def test_url_index_equals_all_patterns(spark):
     d = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
     got = {r.url for r in url_filter.blocked_urls(d).collect()}
     assert got == {r.url for r in d.collect() if any(re.search(p, r.url) for p in url_filter.PATTERNS)} and got
-    assert url_filter.literal_tokens(r"://([^/?#]*\.)?ads-track\.") == ["ads", "track"]
+    assert url_filter.literal_tokens(r"://([^/?#]*\.)?ads-track\.") == [{"ads", "track"}]
 
 
 # 8
@@ -560,6 +612,15 @@ def test_pseudonyms_beside_digits(spark):
     assert got[12].text == cases[12][0] and re.fullmatch("TOKEN [0-9A-F]{40}", got[9].text)
 
 
+def test_pseudonyms_leave_longer_numbers(spark):
+    """A value isn't replaced inside of a longer number that is none."""
+    texts = ["54111111111111111 4111111111111111", "991112020-05-06 77 2020-05-06 14:00", "1 078-05-1120 9078-05-1120 1"]
+    got = [x.text for x in pseudonyms.pseudonymised(docs(spark, texts), "k").orderBy("doc_id").collect()]
+    assert got[0].startswith("54111111111111111 ") and not got[0].endswith(" 4111111111111111")
+    assert got[1].startswith("991112020-05-06 77 ") and "77 2020-05-06" not in got[1]
+    assert got[2].endswith(" 9078-05-1120 1") and " 078-05-1120 " not in got[2]
+
+
 def test_pseudonyms_very_long(spark):
     """Texts of up to 100 000 labels, digits or letters: no pattern recurses."""
     texts = ["x@" + "a." * 100_000 + "com", "1." * 100_000, "4" * 100_000, "a" * 20_000 + "@b.c", "12-" * 10_000, "AB12 " * 5_000]
