@@ -7,6 +7,9 @@ separators, and equal values (whatever their separators) become equal in every d
 IBANs keep the country and get new check digits; SSNs walk the permutation until the result is valid; dates are permuted
 inside 1900-01-01 .. 2099-12-31; e-mail addresses keep their domain.
 
+Not looked for: phones without country code that are written in one piece or with spaces, dates with the year first and slashes or with hyphens and the year last,
+IBANs in lower case, IPv6 addresses, names and postal addresses.
+
 Edge cases: a null text stays null with no finds; texts without finds are unchanged. A very long text is searched whole; no pattern
 recurses. Repeated rows are treated alike. An empty table gives an empty table. Other columns are ignored.
 """
@@ -180,6 +183,12 @@ def values_in(m: Column) -> Column:
     return F.when(whole, F.array(m)).otherwise(F.filter(F.array_distinct(inside), lambda v: kind_of(v).isNotNull()))
 
 
+def _standing(v: Column) -> Column:
+    """A pattern of a value (digits, spaces, hyphens) where it stands alone, and is no part of a longer number."""
+    beside = F.when(v.rlike(f"^(?:{SSN}|{NATIONAL})$"), "[0-9-]").otherwise("[0-9]")
+    return F.concat(F.lit("(?<!"), beside, F.lit(")"), v, F.lit("(?!"), beside, F.lit(")"))
+
+
 def _mark(i: Column) -> Column:
     return F.concat(F.lit("<"), F.translate(i.cast("string"), "0123456789", "abcdefghij"), F.lit(">"))
 
@@ -189,7 +198,7 @@ def treated(m: Column, key: str) -> Column:
     kind = kind_of(m)
     one = F.struct(F.when(kind.isNull(), F.array().cast("array<string>")).otherwise(F.array(kind)).alias("kinds"), F.when(kind.isNull(), m).otherwise(pseudonym(m, kind, key)).alias("new"))
     # Values are marked first, so that none is replaced twice.
-    seen = F.transform(F.array(values_in(m)), lambda v: F.struct(v.alias("v"), F.aggregate(F.sequence(F.lit(0), F.size(v)), m, lambda s, i: F.when(i < F.size(v), F.replace(s, F.get(v, i), _mark(i))).otherwise(s)).alias("s")))
+    seen = F.transform(F.array(values_in(m)), lambda v: F.struct(v.alias("v"), F.aggregate(F.sequence(F.lit(0), F.size(v)), m, lambda s, i: F.when(i < F.size(v), F.regexp_replace(s, _standing(F.get(v, i)), _mark(i))).otherwise(s)).alias("s")))
     split = F.transform(seen, lambda x: F.struct(x["v"].alias("v"), x["s"].alias("s"), F.regexp_extract_all(x["s"], F.lit("<[a-j]+>"), 0).alias("marks")))
 
     def put(x: Column) -> Column:
