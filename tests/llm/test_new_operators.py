@@ -34,13 +34,14 @@ def brute_secrets(text):
     found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     weak = [(m.start(), 3, m.end()) for m in re.finditer(r"""(?:access|account|client|tenant|user)[_-]?(?:id|name|key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]+)""", text, re.I | re.A) if len(m[1]) >= 3]
-    weak += [(m.start(), 4, m.end()) for m in re.finditer(r"(?:https?|ftp|mongodb|postgres|postgresql|mysql|redis|amqp|s3)://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+", text, re.I | re.A)]
-    weak += [(m.start(), 5, m.end()) for m in re.finditer("[A-Za-z0-9+/_=-]+", text) if len(m[0]) >= 16 and re.search("[0-9]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[a-z]", m[0])]
-    around = [x for x in found + weak if x[1] in (0, 3, 4)]
-    inner = {x for x in found + weak if x[1] in (2, 5) and any(y < x and y[2] > x[0] for y in around)}
+    weak += [(m.start(), 4, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z0-9]", text)]
+    weak += [(m.start(), 5, m.end()) for m in re.finditer(r"(?:https?|ftp|mongodb|postgres|postgresql|mysql|redis|amqp|s3)://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+", text, re.I | re.A)]
+    weak += [(m.start(), 6, m.end()) for m in re.finditer("[A-Za-z0-9+/_=-]+", text) if len(m[0]) >= 16 and re.search("[0-9]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[a-z]", m[0])]
+    around = [x for x in found + weak if x[1] in (0, 3, 4, 5)]
+    inner = {x for x in found + weak if x[1] in (2, 6) and any(y < x and y[2] > x[0] for y in around)}
     gaps = [m.end() for m in re.finditer(r"\n[\x20\t\r]*\n", text)]
     scope = lambda x: bisect.bisect_right(gaps, x[0])
-    every = [x for x in found + weak if not (x[1] == 5 and x in inner)]
+    every = [x for x in found + weak if not (x[1] == 6 and x in inner)]
 
     def near(x, kinds):
         for y in every:
@@ -48,8 +49,8 @@ def brute_secrets(text):
                 return True
         return False
 
-    told = [x for x in weak if x in every and {3: lambda: near(x, (0, 2, 5)), 5: lambda: near(x, (1, 3)), 4: lambda: near(x, (1, 3)) and near(x, (0, 2, 5))}[x[1]]()]
-    say = lambda spans: ",".join(f"{('assign', 'access', 'hex', 'identifier', 'endpoint', 'value')[k]}:{s}:{e}" for s, k, e in sorted(spans))
+    told = [x for x in weak if x in every and {3: lambda: near(x, (0, 2, 6)), 4: lambda: near(x, (0, 2, 6)), 6: lambda: near(x, (1, 3, 4)), 5: lambda: near(x, (1, 3, 4)) and near(x, (0, 2, 6))}[x[1]]()]
+    say = lambda spans: ",".join(f"{('assign', 'access', 'hex', 'identifier', 'account', 'endpoint', 'value')[k]}:{s}:{e}" for s, k, e in sorted(spans))
     return [sum(k == n for _, k, _ in found) for n in range(3)], hashlib.sha256(say(found).encode()).hexdigest(), say(found + told)
 
 
@@ -59,7 +60,7 @@ def random_secrets(seed):
     mixed = lambda n: "".join(r.choice("abcXYZ0123456789+/") for _ in range(n))
     bits = [
         lambda: "word " * r.randrange(1, 90), lambda: "\n\n", lambda: "\n \t\n", lambda: "\n", lambda: f'token = "{h(40)}" ', lambda: f"PassWord:{mixed(r.randrange(3, 9))} ", lambda: "token=token:abcdefgh ", lambda: f"AKIA{h(r.randrange(8, 24)).upper()} ",
-        lambda: h(r.randrange(20, 30)) + " ", lambda: f"client_id={mixed(r.randrange(1, 30))} ", lambda: f'User-Name: "bob{r.randrange(99)}" ', lambda: f"https://api.example.com/v1?k={mixed(20)} ", lambda: f"postgres://u:p@h:5432/{h(24)} ", lambda: mixed(r.randrange(10, 40)) + " ", lambda: "é🤷 ſecret=abcdefgh toKen = 'q' ",
+        lambda: h(r.randrange(20, 30)) + " ", lambda: f"client_id={mixed(r.randrange(1, 30))} ", lambda: f'User-Name: "bob{r.randrange(99)}" ', lambda: f"https://api.example.com/v1?k={mixed(20)} ", lambda: f"postgres://u:p@h:5432/{h(24)} ", lambda: mixed(r.randrange(10, 40)) + " ", lambda: f"{mixed(4)}bob.{h(9)}@mail.example.com_x@b.c ", lambda: "é🤷 ſecret=abcdefgh toKen = 'q' ",
     ]
     return "".join(r.choice(bits)() for _ in range(r.randrange(2, 25)))
 

@@ -1,15 +1,15 @@
 r"""Secrets in texts, and multipart credentials linked by position, in Spark expressions only.
 
 Parts of a text are intervals of code points. Three kinds stand for themselves and are always reported: assignments to names of secrets
-(assign), access identifiers (access) and long runs of hexadecimal digits (hex). Three are weak: names of accounts with a value
-(identifier), addresses of services (endpoint), and unlabelled runs of mixed characters (value). A weak part is
+(assign), access identifiers (access) and long runs of hexadecimal digits (hex). Four are weak: names of accounts with a value
+(identifier), e-mail addresses (account), addresses of services (endpoint), and unlabelled runs of mixed characters (value). A weak part is
 reported only with what completes it to a credential, in the same scope, which is a paragraph, and at most REACH code points away: an
-identifier with a secret (assign, hex, value), a value with an identifier (access, identifier), an endpoint with both.
+identifier or account with a secret (assign, hex, value), a value with an identifier (access, identifier, account), an endpoint with both.
 
 The join of the intervals: parts of texts that may hold a credential are dealt by text and sorted; scopes are counted there, and two passes
 over the sorted parts, up and down, carry the nearest end and start of identifiers and of secrets. A part has a complement within
 reach exactly if the nearest one is, so no pairs are made, however many parts a text has. Values, and hex digits, inside an assignment,
-identifier or endpoint are its own value, and are no part beside it.
+identifier, account or endpoint are its own value, and are no part beside it.
 
 Edge cases: a null text counts as empty. A very long text is searched whole; patterns repeat single characters only, so none recurses. Repeated
 rows give repeated rows (their text is linked once). A null doc_id is kept. Texts without parts give empty spans. An empty table gives an
@@ -36,7 +36,7 @@ def _names(*words: str) -> str:
 
 
 _IS = r"[\"']?\x20*[:=]\x20*[\"']?"
-KINDS = ("assign", "access", "hex", "identifier", "endpoint", "value")
+KINDS = ("assign", "access", "hex", "identifier", "account", "endpoint", "value")
 #: A pattern for each kind. A run of hexadecimal digits, or of an access identifier, that is long enough is matched at the place where the shorter pattern
 #: of any length would match it, as such runs end at the same character. assign and identifier: group 1 is the value.
 PATTERNS = (
@@ -44,13 +44,16 @@ PATTERNS = (
     r"AKIA[A-Z0-9]{16,}",
     r"[0-9a-f]{24,}",
     _names("access", "account", "client", "tenant", "user") + "[_-]?" + _names("id", "name", "key_?id") + _IS + r"([A-Za-z0-9@._-]+)",
+    r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z0-9]",
     _names("https?", "ftp", "mongodb", "postgres", "postgresql", "mysql", "redis", "amqp", "s3") + r"://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+",
     r"[A-Za-z0-9+/_=-]{16,}",
 )
 #: Without effect on what is matched, but on the time: what stands before each pattern, so that a run isn't tried again from within and only first letters are looked at;
 #: and strings of which a text that has matches holds one.
-AHEAD = ("(?=[PpSsTtAa])", "", "(?<![0-9a-f])", "(?=[AaCcTtUu])", "(?=[HhFfMmPpRrAaSs])", "(?<![A-Za-z0-9+/_=-])")
-HELD = ((":", "="), ("AKIA",), (), (":", "="), ("://",), ())
+AHEAD = ("(?=[PpSsTtAa])", "", "(?<![0-9a-f])", "(?=[AaCcTtUu])", "", "(?=[HhFfMmPpRrAaSs])", "(?<![A-Za-z0-9+/_=-])")
+HELD = ((":", "="), ("AKIA",), (), (":", "="), ("@",), ("://",), ())
+#: Which kinds, by number, are identifiers, secrets, and what may hold a value or hex digits of its own.
+_IDS, _SECRETS, _AROUND = (1, 3, 4), (0, 2, 6), (0, 3, 4, 5)
 #: Code points of the value that an assignment and an identifier have at least.
 ASSIGNED, NAMED = 6, 3
 #: Between paragraphs.
@@ -104,15 +107,15 @@ def _mixed(m: Column) -> Column:
 def parts(docs: DataFrame) -> DataFrame:
     """doc_id; base and weak (arrays of s, k, e); and, for texts that may hold a credential, key (of id and text) and gaps (where paragraphs begin), staged."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    keep = {0: lambda m: F.length(F.regexp_extract(m, PATTERNS[0], 1)) >= ASSIGNED, 3: lambda m: F.length(F.regexp_extract(m, PATTERNS[3], 1)) >= NAMED, 5: _mixed}
+    keep = {0: lambda m: F.length(F.regexp_extract(m, PATTERNS[0], 1)) >= ASSIGNED, 3: lambda m: F.length(F.regexp_extract(m, PATTERNS[3], 1)) >= NAMED, 6: _mixed}
     for k, pattern in enumerate(PATTERNS):
         rows = _spans(rows, KINDS[k], AHEAD[k] + pattern, k, keep.get(k), HELD[k])
     some = lambda *kinds: F.greatest(*[F.size(x) for x in kinds]) > 0
-    may = some("access", "identifier") & some("assign", "hex", "value") & some("identifier", "endpoint", "value")
+    may = some("access", "identifier", "account") & some("assign", "hex", "value") & some(*KINDS[3:])
     rows = rows.withColumn("key", F.when(may, F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text")))))
     rows = _spans(rows.withColumn("text", F.when(may, F.col("text")).otherwise("")), "gaps", GAP, -1)
     gaps = F.transform("gaps", lambda x: F.struct(x["e"].alias("s"), x["k"].alias("k"), x["e"].alias("e")))
-    return common.staged(rows.select("doc_id", "key", F.concat("assign", "access", "hex").alias("base"), F.concat("identifier", "endpoint", "value").alias("weak"), gaps.alias("gaps")), "parts")
+    return common.staged(rows.select("doc_id", "key", F.concat("assign", "access", "hex").alias("base"), F.concat(*KINDS[3:]).alias("weak"), gaps.alias("gaps")), "parts")
 
 
 def linked(found: DataFrame, reach: int = REACH) -> DataFrame:
@@ -120,10 +123,10 @@ def linked(found: DataFrame, reach: int = REACH) -> DataFrame:
     rows = found.select("key", F.explode(F.concat("base", "weak", "gaps")).alias("x")).select("key", "x.*")
     up = Window.partitionBy("key").orderBy("s", "k", "e")
     so_far = up.rowsBetween(Window.unboundedPreceding, -1)
-    around = F.max(F.when(F.col("k").isin(0, 3, 4), F.col("e"))).over(so_far)
-    rows = rows.withColumns({"inner": F.col("k").isin(2, 5) & F.coalesce(around > F.col("s"), F.lit(False)), "scope": F.sum(F.when(F.col("k") < 0, 1).otherwise(0)).over(up.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
-    rows = rows.where("k >= 0 and not (k = 5 and inner)")
-    is_id, is_secret = F.col("k").isin(1, 3), F.col("k").isin(0, 2, 5) & ~F.col("inner")
+    around = F.max(F.when(F.col("k").isin(*_AROUND), F.col("e"))).over(so_far)
+    rows = rows.withColumns({"inner": F.col("k").isin(2, 6) & F.coalesce(around > F.col("s"), F.lit(False)), "scope": F.sum(F.when(F.col("k") < 0, 1).otherwise(0)).over(up.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+    rows = rows.where("k >= 0 and not (k = 6 and inner)")
+    is_id, is_secret = F.col("k").isin(*_IDS), F.col("k").isin(*_SECRETS) & ~F.col("inner")
     before = Window.partitionBy("key", "scope").orderBy("s", "k", "e").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("key", "scope").orderBy(F.desc("s"), F.desc("k"), F.desc("e")).rowsBetween(Window.unboundedPreceding, -1)
     near = {}
@@ -132,7 +135,7 @@ def linked(found: DataFrame, reach: int = REACH) -> DataFrame:
         near[f"{name}_after"] = F.min(F.when(kind, F.col("s"))).over(after)
     rows = rows.withColumns(near)
     has = lambda name: F.coalesce(F.col("s") - F.col(f"{name}_before") <= reach, F.lit(False)) | F.coalesce(F.col(f"{name}_after") - F.col("e") <= reach, F.lit(False))
-    told = F.when(F.col("k") == 3, has("secret")).when(F.col("k") == 5, has("id")).when(F.col("k") == 4, has("id") & has("secret")).otherwise(False)
+    told = F.when(F.col("k").isin(3, 4), has("secret")).when(F.col("k") == 6, has("id")).when(F.col("k") == 5, has("id") & has("secret")).otherwise(False)
     return rows.where(told).groupBy("key").agg(F.collect_list(F.struct("s", "k", "e")).alias("spans"))
 
 
@@ -160,21 +163,21 @@ def _sql() -> str:
     kinds = "[" + ", ".join(f"'{x}'" for x in KINDS) + "]"
     joined = lambda cond: f"coalesce(string_agg({kinds}[k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k, e) FILTER ({cond}), '')"
     has = lambda c: f"(coalesce(s - {c}_before <= {REACH}, false) OR coalesce({c}_after - e <= {REACH}, false))"
-    near = ", ".join(f"max(CASE WHEN {cond} THEN e END) OVER lower AS {n}_before, min(CASE WHEN {cond} THEN s END) OVER upper AS {n}_after" for n, cond in (("id", "k IN (1, 3)"), ("secret", "k IN (0, 2, 5) AND NOT inside")))
+    near = ", ".join(f"max(CASE WHEN {cond} THEN e END) OVER lower AS {n}_before, min(CASE WHEN {cond} THEN s END) OVER upper AS {n}_after" for n, cond in (("id", f"k IN {_IDS}"), ("secret", f"k IN {_SECRETS} AND NOT inside")))
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 r AS ({raw}),
 x AS (SELECT doc_id, k, m[i] AS m, (sum(length(g[i]) + length(m[i])) OVER (PARTITION BY doc_id, k ORDER BY i))::BIGINT AS e FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM r)),
 p AS (
   SELECT doc_id, CASE WHEN k < 0 THEN e ELSE e - length(m) END AS s, k, e FROM x WHERE CASE k WHEN 0 THEN length(regexp_extract(m, {q(PATTERNS[0])}, 1)) >= {ASSIGNED}
-    WHEN 3 THEN length(regexp_extract(m, {q(PATTERNS[3])}, 1)) >= {NAMED} WHEN 5 THEN regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') ELSE true END
+    WHEN 3 THEN length(regexp_extract(m, {q(PATTERNS[3])}, 1)) >= {NAMED} WHEN 6 THEN regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') ELSE true END
 ), i AS (
-  SELECT *, k IN (2, 5) AND coalesce(max(CASE WHEN k IN (0, 3, 4) THEN e END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > s, false) AS inside,
+  SELECT *, k IN (2, 6) AND coalesce(max(CASE WHEN k IN {_AROUND} THEN e END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > s, false) AS inside,
     sum(CASE WHEN k < 0 THEN 1 ELSE 0 END) OVER (w ROWS UNBOUNDED PRECEDING) AS scope FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY s, k, e)
 ), n AS (
-  SELECT *, {near} FROM i WHERE k >= 0 AND NOT (k = 5 AND inside)
+  SELECT *, {near} FROM i WHERE k >= 0 AND NOT (k = 6 AND inside)
   WINDOW lower AS (PARTITION BY doc_id, scope ORDER BY s, k, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), upper AS (PARTITION BY doc_id, scope ORDER BY s, k, e ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
-), o AS (SELECT doc_id, s, k, e, k < 3 OR CASE k WHEN 3 THEN {has('secret')} WHEN 5 THEN {has('id')} ELSE {has('id')} AND {has('secret')} END AS told FROM n)
+), o AS (SELECT doc_id, s, k, e, k < 3 OR CASE k WHEN 3 THEN {has('secret')} WHEN 4 THEN {has('secret')} WHEN 6 THEN {has('id')} ELSE {has('id')} AND {has('secret')} END AS told FROM n)
 SELECT d.doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex, sha256({joined('k < 3')}) AS base_sha256, {joined('told')} AS spans
 FROM d LEFT JOIN o USING (doc_id) GROUP BY d.doc_id"""
 
