@@ -1,5 +1,7 @@
 """Small golden cases; times are seconds, held as microseconds."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,7 +95,41 @@ def test_combine_and_zip(spark):
 def test_interval_join_over_buckets(spark):
     spans = spark.createDataFrame([("s", 5, 100)], "session_id string, a long, b long")
     points = spark.createDataFrame([("s", x) for x in (4, 5, 50, 99, 100)], "session_id string, t_us long")
-    assert sorted(r.t_us for r in timeops.interval_join(points, spans, S, "a", "b", bucket=10).collect()) == [5, 50, 99]
+    assert sorted(r.t_us for r in timeops.interval_join(points, spans, S, "a", "b", unit=10).collect()) == [5, 50, 99]
+
+
+@pytest.mark.parametrize("unit,levels", [(1, 24), (7, 3), (1000, 2)])
+def test_interval_join_of_overlapping_spans(spark, unit, levels):
+    r = random.Random(unit)
+    spans = [(r.choice("ab"), i, (a := r.randrange(-200, 3000)), r.choice([None, a, a - 5, a + 1, a + r.randrange(1, 3000)])) for i in range(60)] + [("a", 90, None, 5), (None, 91, 1, 900)]
+    points = [(r.choice("ab"), r.randrange(-300, 3500)) for _ in range(150)] + [("a", None), (None, 5)]
+    want = sorted((k, t, i) for k, t in points for s, i, a, b in spans if k and k == s and t is not None and a is not None and a <= t and (b is None or t < b))
+    p = spark.createDataFrame(points, "session_id string, t_us long")
+    x = spark.createDataFrame(spans, "session_id string, i int, a long, b long")
+    got = timeops.interval_join(p, x, S, "a", "b", unit=unit, levels=levels)
+    assert sorted((y.session_id, y.t_us, y.i) for y in got.collect()) == want
+    assert timeops.interval_join(p.limit(0), x, S, "a", "b").count() == 0 and timeops.interval_join(p, x.limit(0), S, "a", "b").count() == 0
+
+
+def test_pieces_grow_with_the_logarithm(spark):
+    for a, b in [(0, 1), (5, 6), (3, 1_000_003), (1, 1 << 20), (7, 7 + (1 << 23))]:
+        got = one(spark, timeops.pieces(F.lit(a), F.lit(b), 24))
+        assert len(got) <= 2 * 24 and sorted(y for x in got for y in (x.k << x.level, (x.k + 1) << x.level)) == sorted([a, b] + [y for y in (x.k << x.level for x in got) if y != a] * 2)
+
+
+def test_region_sums(spark):
+    r = random.Random(2)
+    strips = [("s", t, y, [r.randrange(120) for _ in range(r.choice([20, 30]))]) for t in (1, 2) for y in range(12)] + [("s", 1, 3, [1] * 5), ("s", 2, 4, None), ("s", 2, 5, [])]
+    regions = [(i, x, x + r.randrange(25), y, y + r.randrange(8)) for i in range(80) for x, y in [(r.randrange(25), r.randrange(12))]]
+    want = {}
+    for s, t, y, pixels in strips:
+        for i, x0, x1, y0, y1 in regions:
+            if pixels is not None and y0 <= y <= y1:
+                want[t, i] = want.get((t, i), 0) + sum(255 for v in pixels[x0 : x1 + 1] if v <= 59)
+    df = spark.createDataFrame(strips, "session_id string, t_us long, y int, pixels array<int>")
+    got = rig.region_sums(df, spark.createDataFrame(regions, "region int, x0 int, x1 int, y0 int, y1 int"))
+    assert {(x.t_us, x.region): x.activity for x in got.collect()} == want
+    assert rig.roi_sum(df, 2, 9, 1, 4).count() == 2
 
 
 def test_collections(spark):

@@ -1,6 +1,7 @@
 """Streams give what the batch operators give."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,13 +54,40 @@ def test_sustained(spark, tmp_path, files):
 
 
 def test_latest(spark, tmp_path):
-    folder = str(tmp_path / "in")
+    folder, out, check = (str(tmp_path / x) for x in ("in", "out", "check"))
     schema = "session_id string, seq long, t timestamp, address int, value long"
-    for k in range(3):
-        spark.createDataFrame([("a", k, T0 + dt.timedelta(seconds=k), 32 + k % 2, k)], schema).coalesce(1).write.mode("append").parquet(folder)
+    table = lambda: sorted((r.session_id, r.address, r.value) for r in streams.latest_table(spark, out).collect())
+
+    def land(*rows):
+        for s, k, address in rows:
+            spark.createDataFrame([(s, k, T0 + dt.timedelta(seconds=k), address, k)], schema).coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        streams.latest_values(source, out, check).awaitTermination()
+
+    land(("a", 0, 32), ("a", 1, 33), ("b", 2, 32))
+    assert table() == [("a", 32, 0), ("a", 33, 1), ("b", 32, 2)]
+    assert [spark.read.parquet(f"{out}/deltas/{n:012d}").count() for n in range(3)] == [1, 1, 1]  # a batch writes its own keys only
+    streams.compact_latest(spark, out)
+    streams.compact_latest(spark, out)
+    assert table() == [("a", 32, 0), ("a", 33, 1), ("b", 32, 2)] and len(os.listdir(f"{out}/deltas")) == 3
+    land(("a", 5, 32), ("b", 6, 88))
+    assert table() == [("a", 32, 5), ("a", 33, 1), ("b", 32, 2), ("b", 88, 6)]
+    os.makedirs(f"{out}/deltas/{99:012d}")  # a batch that broke off
+    streams.compact_latest(spark, out, drop_ended=True)
+    assert table() == [("a", 32, 5), ("a", 33, 1)] and f"{0:012d}" not in os.listdir(f"{out}/deltas")
+
+
+def test_sessions_without_end_leave_the_state(spark, tmp_path):
+    folder, check = str(tmp_path / "in"), str(tmp_path / "check")
+    schema = "session_id string, seq long, t timestamp, address int, value long, rule string"
+    for rows in ([("a", 0, 32), ("b", 5, 32)], [("a", 50, 32)], [("z", 90, 32)], [("z", 200, 32)], [("z", 400, 32)]):
+        spark.createDataFrame([(s, k, T0 + dt.timedelta(seconds=k), address, 1, None) for s, k, address in rows], schema).coalesce(1).write.mode("append").parquet(folder)
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    streams.latest_values(source, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
-    assert sorted((r.address, r.value) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(32, 2), (33, 1)]
+    q = streams.current_values(source, 0, (5,), live_s=60, delay="1 second").writeStream.format("memory").queryName("lives").outputMode("update").option("checkpointLocation", check).trigger(availableNow=True).start()
+    q.awaitTermination()
+    ended = sorted((r.session_id, (r.t - T0).total_seconds(), r.pokes) for r in spark.table("lives").where("ended").collect())
+    assert [x for x in ended if x[0] != "z"] == [("a", 50, 2), ("b", 5, 1)]
+    assert {r.session_id for r in streams.held_values(spark, check).collect()} == {"z"}
 
 
 def test_session_end_settles_pokes(spark, tmp_path):

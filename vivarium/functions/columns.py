@@ -60,6 +60,20 @@ def bag_remove(bag: Column, item: Column, original: Column) -> Column:
     return F.when(F.size(rest) == 0, original).otherwise(rest)
 
 
+def running_sums(numbers: Column, chunk: int = 32) -> Column:
+    """0 and the sums of an array's first 1, 2, ... numbers; nulls count as 0. Sums are put behind arrays, which copies them, so they are made in chunks, and over the chunks."""
+    zero = F.lit(0).cast("long")
+    put = lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.coalesce(x, zero)))
+    runs = F.transform(F.sequence(F.lit(0), F.floor(F.size(numbers) / chunk).cast("int")), lambda c: F.aggregate(F.slice(numbers, c * chunk + 1, F.lit(chunk)), F.array(zero), put))
+
+    def joined(parts: Column) -> Column:
+        before = F.aggregate(parts, F.array(zero), lambda acc, run: put(acc, F.element_at(run, -1)))
+        moved = F.zip_with(parts, before, lambda run, base: F.transform(F.slice(run, F.lit(2), F.size(run)), lambda x: x + base))
+        return F.concat(F.array(zero), F.flatten(F.filter(moved, lambda run: run.isNotNull())))
+
+    return F.get(F.transform(F.array(runs), joined), F.lit(0))  # the runs are worked out once
+
+
 def uniform_draw(items: Column, key: Column, seed: int = 0) -> Column:
     """An item of a list; each place has the same chance, and equal keys and seeds give the same draw."""
     order = F.transform(items, lambda x, i: F.struct(F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed)), i.cast("string"))).alias("h"), x.alias("x")))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import has_line, mask_lines
+from ..functions.columns import has_line, mask_lines, running_sums
 from ..model import AUX_IN, DEFAULT_STATE, OUT_CLEAR, OUT_SET, OUT_STATE, OUT_TOGGLE, PWM_RISE, SESSION_END
 from .scans import automaton, filled, neighbours, numbered, summed, switch_spans, switched
 from .timeops import HOUR, asof, merged_windows, next_after
@@ -352,6 +352,22 @@ def roi_sum(strips: DataFrame, x0: int, x1: int, y0: int, y1: int, threshold: in
     return strips.where(F.col("y").between(y0, y1)).withColumn("_a", total).groupBy("session_id", "t_us").agg(F.sum("_a").alias("activity"))
 
 
+def region_sums(strips: DataFrame, regions: DataFrame, threshold: int = 59, high: int = 255) -> DataFrame:
+    """Activity (as in roi_sum) of many regions (region, x0, x1, y0, y1, bounds included) of each frame: session_id, t_us, region, activity.
+
+    Running sums along a strip, made once, make any region's part of it two look-ups, whatever its width; parts are added by frame and region before the shuffle. Pixels are
+    never spread to rows. Regions are a parameter (hundreds) and are broadcast; columns beyond a strip count as nothing, and regions that no strip meets have no row.
+    """
+    value = F.transform("pixels", lambda v: F.when(v > threshold, 0).otherwise(high).cast("long"))
+    along = strips.select("session_id", "t_us", "y", value.alias("_v")).where("_v is not null").withColumn("_n", F.size("_v"))
+    table = regions.agg(F.array_sort(F.collect_list(F.struct("region", "x0", "x1", "y0", "y1"))).alias("_regions")).withColumn("_one", F.lit(1))
+    rows = along.withColumn("_one", F.lit(1)).join(F.broadcast(table), "_one")
+    rows = rows.withColumn("_sums", running_sums(F.col("_v")))
+    at = lambda i: F.get("_sums", F.greatest(F.least(i, F.col("_n")), F.lit(0)))
+    part = F.transform(F.filter("_regions", lambda r: F.col("y").between(r["y0"], r["y1"])), lambda r: F.struct(r["region"].alias("region"), (at(r["x1"] + 1) - at(r["x0"])).alias("a")))
+    return rows.select("session_id", "t_us", F.explode(part).alias("p")).groupBy("session_id", "t_us", F.col("p.region").alias("region")).agg(F.sum("p.a").alias("activity"))
+
+
 def poke_table(events: DataFrame, line_map: DataFrame, rules: DataFrame, port: int, vacuum: int, odors: tuple[int, ...], chunk: int | None = None) -> DataFrame:
     """One row per beam break with its rule, the delivery inside, and the odor line open then.
 

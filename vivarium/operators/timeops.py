@@ -76,10 +76,46 @@ def after_first(source: DataFrame, trigger: DataFrame, by: list[str], time: str
     return after.unionByName(last.select(*[(F.col("_first") if c == time else F.col(f"_x.{c}")).alias(c) for c in source.columns]))
 
 
-def interval_join(points: DataFrame, spans: DataFrame, by: list[str], start: str, end: str, time: str = "t_us", bucket: int = HOUR) -> DataFrame:
-    """Points inside spans [start, end). Spans are spread over the buckets they touch, so the join has an equality on keys and bucket."""
-    spread = spans.where(F.col(end) > F.col(start)).withColumn("_b", F.explode(F.sequence(F.floor(F.col(start) / bucket), F.floor((F.col(end) - 1) / bucket))))
-    return points.withColumn("_b", F.floor(F.col(time) / bucket)).join(spread, [*by, "_b"]).where((F.col(time) >= F.col(start)) & (F.col(time) < F.col(end))).drop("_b")
+def pieces(start: Column, end: Column, levels: int) -> Column:
+    """The dyadic pieces of [start, end), in units, as an array of (level, k): piece k of a level is [k << level, (k + 1) << level). At most two a level; the top level takes what is left, one by one."""
+    one = F.lit(1).cast("long")
+    left = lambda x: F.struct(F.ceil(x["a"] / 2).cast("long").alias("a"), F.floor(x["b"] / 2).cast("long").alias("b"))
+
+    def step(acc: Column, level: Column) -> Column:
+        odd_a, odd_b = F.pmod(acc["a"], F.lit(2)) == 1, F.pmod(acc["b"], F.lit(2)) == 1
+        some = acc["a"] < acc["b"]
+        take = lambda cond, k: F.when(some & cond, F.array(F.struct(level.cast("int").alias("level"), k.alias("k")))).otherwise(F.array().cast("array<struct<level: int, k: bigint>>"))
+        # Of a run of one, its odd start and its odd end can't both be taken: an odd start leaves none.
+        rest = F.struct((acc["a"] + F.when(odd_a, one).otherwise(0)).alias("a"), (acc["b"] - F.when(odd_b, one).otherwise(0)).alias("b"))
+        half = left(rest)
+        return F.struct(F.when(some, half["a"]).otherwise(acc["a"]).alias("a"), F.when(some, half["b"]).otherwise(acc["b"]).alias("b"), F.concat(acc["out"], take(odd_a, acc["a"]), take(odd_b & (acc["a"] + F.when(odd_a, one).otherwise(0) < acc["b"]), acc["b"] - 1)).alias("out"))
+
+    begin = F.struct(start.cast("long").alias("a"), end.cast("long").alias("b"), F.array().cast("array<struct<level: int, k: bigint>>").alias("out"))
+    top = F.lit(levels)
+    rest = lambda acc: F.when(acc["a"] < acc["b"], F.transform(F.sequence(acc["a"], acc["b"] - 1), lambda k: F.struct(top.alias("level"), k.alias("k")))).otherwise(F.array().cast("array<struct<level: int, k: bigint>>"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(levels - 1)), begin, step, lambda acc: F.concat(acc["out"], rest(acc)))
+
+
+#: Levels of dyadic pieces: with a second as the unit, the largest piece is 194 days.
+LEVELS = 24
+
+
+def interval_join(points: DataFrame, spans: DataFrame, by: list[str], start: str, end: str, time: str = "t_us", unit: int = 1_000_000, levels: int = LEVELS) -> DataFrame:
+    """Points inside spans [start, end), which may overlap and last for days; a span without end lasts on.
+
+    A span is cut into dyadic pieces of whole units, at most two of each size, and a point asks for the piece of each size that it is in, so the
+    join has an equality on keys, size and piece, and a span's pieces grow with the logarithm of its length. Only sizes that occur are asked for. A span that
+    lasts is held to the end of the largest piece that the last point is in. Rows whose key, time or start is null are in no pair.
+    """
+    known = spans.where(F.col(start).isNotNull() & F.coalesce(F.col(end) > F.col(start), F.lit(True)))
+    bounds = points.agg(F.max(time).alias("_last")).withColumn("_one", F.lit(1))
+    held = known.withColumn("_one", F.lit(1)).join(F.broadcast(bounds), "_one").withColumn("_end", F.coalesce(F.col(end), F.greatest("_last", start) + 1)).drop("_one", "_last")
+    spread = held.withColumn("_p", F.explode(pieces(F.floor(F.col(start) / unit), F.floor((F.col("_end") - 1) / unit) + 1, levels))).drop("_end").select("*", F.col("_p.level").alias("_level"), F.col("_p.k").alias("_k")).drop("_p")
+    sizes = spread.agg(F.array_sort(F.collect_set("_level")).alias("_sizes")).withColumn("_one", F.lit(1))  # of at most so many levels
+    asked = points.withColumn("_one", F.lit(1)).join(F.broadcast(sizes), "_one").drop("_one").withColumn("_level", F.explode("_sizes")).drop("_sizes")
+    asked = asked.withColumn("_k", F.floor(F.col(time) / unit).cast("long")).withColumn("_k", F.expr("shiftright(_k, _level)"))
+    inside = (F.col(time) >= F.col(start)) & (F.col(end).isNull() | (F.col(time) < F.col(end)))
+    return asked.join(spread, [*by, "_level", "_k"]).where(inside).drop("_level", "_k")
 
 
 def current_value(df: DataFrame, by: list[str], value: Column, name: str, time: str = "t_us", seq: str = "seq", chunk: int | None = None) -> DataFrame:

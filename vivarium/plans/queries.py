@@ -345,6 +345,21 @@ def frames_in_windows(spark, d):
     return rig.frames_in_windows(frames, rig.video_windows(beam(spark, d), A.PRE, A.POST), A.CHUNK).select("session_id", "seq", "window_no", "frame_us")
 
 
+@query(
+    """, sp AS (SELECT session_id, line, seq AS span_seq, start_us, end_us FROM valves UNION ALL SELECT session_id, -1, window_no, start_us, end_us FROM win)
+SELECT b.session_id, b.seq, s.line::INT AS line, s.span_seq::BIGINT AS span_seq, b.t_us - s.start_us AS since_us FROM beam b JOIN sp s ON s.session_id = b.session_id AND b.t_us >= s.start_us AND (s.end_us IS NULL OR b.t_us < s.end_us)""",
+    BEAM,
+    VALVES,
+    WINDOWS,
+)
+def spans_at_messages(spark, d):
+    """Every valve that is open, and every recording window, at each message of the beam: spans that overlap, some for months."""
+    open_valves = valves(spark, d).select("session_id", "line", F.col("seq").alias("span_seq"), "start_us", "end_us")
+    windows = rig.video_windows(beam(spark, d), A.PRE, A.POST).select("session_id", F.lit(-1).alias("line"), F.col("window_no").cast("long").alias("span_seq"), "start_us", "end_us")
+    rows = timeops.interval_join(beam(spark, d).select("session_id", "seq", "t_us"), open_valves.unionByName(windows), S, "start_us", "end_us", unit=HOUR, levels=12)
+    return rows.select("session_id", "seq", "line", "span_seq", (F.col("t_us") - F.col("start_us")).alias("since_us"))
+
+
 @query(" SELECT session_id, break_no, start_us FROM breaks b WHERE NOT EXISTS (SELECT 1 FROM ports p WHERE p.session_id = b.session_id AND p.start_us >= b.start_us AND p.start_us < b.end_us)", BEAM, VALVES)
 def undelivered_breaks(spark, d):
     breaks = rig.beam_breaks(beam(spark, d))
@@ -423,6 +438,18 @@ def roi_sum(spark, d):
     return rig.roi_sum(strips, 2, 11, 2, 9, threshold=0).select(F.col("t_us").alias("frame"), "activity")
 
 
+@query(
+    """, px AS (SELECT label % 10 AS frame, vec_id, vec_id % 16 AS y, i AS x, CASE WHEN embedding[i + 1] > 0 THEN 0 ELSE 255 END AS a FROM embeddings, range(0, 64) r(i)),
+rg AS (SELECT n AS region, (n * 7) % 50 AS x0, (n * 7) % 50 + n % 14 AS x1, n % 9 AS y0, n % 9 + n % 7 AS y1 FROM range(0, 120) r(n))
+SELECT frame, region::INT AS region, sum(a)::BIGINT AS activity FROM px JOIN rg ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 GROUP BY 1, 2"""
+)
+def region_sums(spark, d):
+    """120 regions of each frame in one pass; strips as in roi_sum."""
+    strips = table(spark, d, "embeddings").select(F.lit("s").alias("session_id"), F.expr("label % 10").alias("t_us"), F.expr("cast(vec_id % 16 as int)").alias("y"), F.col("embedding").alias("pixels"))
+    regions = spark.range(120).select(F.col("id").cast("int").alias("region"), *[F.expr(f"cast({e} as int)").alias(n) for n, e in (("x0", "id * 7 % 50"), ("x1", "id * 7 % 50 + id % 14"), ("y0", "id % 9"), ("y1", "id % 9 + id % 7"))])
+    return rig.region_sums(strips, regions, threshold=0).select(F.col("t_us").alias("frame"), "region", "activity")
+
+
 REGION_STEPS = """
 seqn AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY start_us, seq) AS state_no FROM odor),
 steps AS (

@@ -5,10 +5,11 @@ Rows later than the watermark are dropped; the delay is a parameter.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -92,13 +93,14 @@ class CurrentValues(StatefulProcessor):
     """The current values of each running session, emitted when a batch has rows of it; the end marker emits the last ones and drops the state.
 
     Input: session_id, t, seq, address, value, and rule (null but for changes of the rule). pokes counts onset messages, stimuli openings of
-    the port; rule and state (the odor line opened last) are the latest.
+    the port; rule and state (the odor line opened last) are the latest. With a time to live, a session without rows for that long has ended too.
     """
 
-    def __init__(self, port: int, odors: tuple[int, ...], aux_line: int = 0):
-        self.port, self.odors, self.aux_line = port, odors, aux_line
+    def __init__(self, port: int, odors: tuple[int, ...], aux_line: int = 0, live_s: float | None = None):
+        self.port, self.odors, self.aux_line, self.live_s = port, odors, aux_line, live_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.values = handle.getValueState("values", "pokes long, stimuli long, rule string, state int, t timestamp")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -117,38 +119,101 @@ class CurrentValues(StatefulProcessor):
             self.values.clear()
         else:
             self.values.update((pokes, stimuli, rule, state, last))
-        yield pd.DataFrame({"session_id": [key[0]], "t": [last], "pokes": [pokes], "stimuli": [stimuli], "rule": pd.Series([rule], dtype=object), "state": pd.Series([state], dtype="Int32"), "ended": [ended]})
+            if self.live_s is not None:
+                self.handle.registerTimer(self._dies_ms(last))
+        yield self._out(key, (pokes, stimuli, rule, state, last), ended)
+
+    def _dies_ms(self, last) -> int:
+        return math.ceil((pd.Timestamp(last).timestamp() + self.live_s) * 1000)
+
+    def _out(self, key, values: tuple, ended: bool) -> pd.DataFrame:
+        pokes, stimuli, rule, state, last = values
+        return pd.DataFrame({"session_id": [key[0]], "t": [last], "pokes": [pokes], "stimuli": [stimuli], "rule": pd.Series([rule], dtype=object), "state": pd.Series([state], dtype="Int32"), "ended": [ended]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Rows that have come since a timer was set keep the session; the timer of the last one ends it."""
+        if not self.values.exists():
+            return
+        values = tuple(self.values.get())
+        if self._dies_ms(values[4]) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.values.clear()
+            yield self._out(key, values, True)
 
     def close(self) -> None:
         pass
 
 
-def current_values(events: DataFrame, port: int, odors: tuple[int, ...], aux_line: int = 0) -> DataFrame:
-    """session_id, t, pokes, stimuli, rule, state, ended of each session that a batch has rows of, in update mode. Needs the RocksDB state store."""
+def current_values(events: DataFrame, port: int, odors: tuple[int, ...], aux_line: int = 0, live_s: float | None = None, delay: str = DELAY) -> DataFrame:
+    """session_id, t, pokes, stimuli, rule, state, ended of each session that a batch has rows of, in update mode. Needs the RocksDB state store.
+
+    live_s: seconds of the events' time, after which a session without rows leaves the state; delay: how late rows may be then.
+    """
     kind = events.schema["session_id"].dataType.simpleString()
-    return events.groupBy("session_id").transformWithStateInPandas(CurrentValues(port, odors, aux_line), f"session_id {kind}, t timestamp, pokes long, stimuli long, rule string, state int, ended boolean", "Update", "None")
+    rows = events if live_s is None else events.withWatermark("t", delay)
+    return rows.groupBy("session_id").transformWithStateInPandas(CurrentValues(port, odors, aux_line, live_s), f"session_id {kind}, t timestamp, pokes long, stimuli long, rule string, state int, ended boolean", "Update", "None" if live_s is None else "EventTime")
+
 
+def held_values(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The sessions that are in the state of current_values, by its checkpoint, through Spark's state data source: session_id, pokes, stimuli, rule, state, t."""
+    rows = spark.read.format("statestore").option("stateVarName", "values").load(checkpoint)
+    return rows.select("key.session_id", "value.*")
 
-#: Parts of the table of latest values; a batch rewrites those that it has rows of.
-PARTS = 64
+
+def _last(df: DataFrame) -> DataFrame:
+    return df.groupBy("session_id", "address").agg(F.max_by(F.struct("t", "seq", "value"), F.struct("t", "seq")).alias("x")).select("session_id", "address", "x.t", "x.seq", "x.value")
 
 
 def latest_values(events: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keeps a table of each session's and register's last value, in parts by session: a batch is merged into the parts that it touches.
+    """Logs each session's and register's last value: a batch writes those of its own rows to a folder of its own, which a batch that runs again replaces. Nothing else is rewritten.
+
+    latest_table reads the log, compact_latest shortens it. trigger: as of DataStreamWriter.trigger, such as processingTime="5 seconds"; once over what is there by default.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        _last(batch).write.mode("overwrite").parquet(f"{path}/deltas/{number:012d}")
+
+    return events.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def _whole(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers of the folders below that are written to the end, in order."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(folder)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(place)] if fs.exists(place) else []
+    return sorted(int(n) for n in names if n.isdigit() and fs.exists(hadoop.Path(f"{folder}/{n}/_SUCCESS")))
+
+
+def _log(spark: SparkSession, path: str) -> tuple[list[str], int]:
+    """The folders that make up the table, and the number of the last batch in them (-1: none)."""
+    bases, deltas = _whole(spark, f"{path}/base"), _whole(spark, f"{path}/deltas")
+    upto = bases[-1] if bases else -1
+    later = [n for n in deltas if n > upto]
+    return [f"{path}/base/{n:012d}" for n in bases[-1:]] + [f"{path}/deltas/{n:012d}" for n in later], max([upto, *later])
+
+
+def latest_table(spark: SparkSession, path: str) -> DataFrame:
+    """session_id, address, t, seq, value: the last ones, from the last compaction and the batches since."""
+    folders, _ = _log(spark, path)
+    return _last(spark.read.parquet(*folders))
+
+
+def compact_latest(spark: SparkSession, path: str, drop_ended: bool = False) -> None:
+    """Writes the table up to the last batch as one folder, beside what is there; what the compaction before has replaced is deleted, so that whoever reads now can end.
 
-    trigger: as of DataStreamWriter.trigger, such as processingTime="5 seconds" for a table that stays current; once over what is there by default.
+    drop_ended: sessions whose end marker is their last row leave the table.
     """
-    keys, last = ["part", "session_id", "address"], F.max_by(F.struct("t", "seq", "value"), F.struct("t", "seq")).alias("x")
-    latest = lambda df: df.groupBy(*keys).agg(last).select("session_id", "address", "x.t", "x.seq", "x.value", "part")
-
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = latest(batch.withColumn("part", F.pmod(F.xxhash64("session_id"), F.lit(PARTS)).cast("int"))).persist()
-        parts = [r[0] for r in new.select("part").distinct().collect()]  # at most PARTS
-        rows = new
-        if parts and number:
-            rows = latest(new.unionByName(spark.read.schema(new.schema).parquet(path).where(F.col("part").isin(parts))))
-        rows.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
-        new.unpersist()
-
-    return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    folders, upto = _log(spark, path)
+    bases = _whole(spark, f"{path}/base")
+    if not folders or bases[-1:] == [upto]:
+        return
+    rows = _last(spark.read.parquet(*folders))
+    if drop_ended:
+        ends = rows.groupBy("session_id").agg(F.max_by("address", F.struct("t", "seq")).alias("_last")).where(F.col("_last") == SESSION_END).select("session_id")
+        rows = rows.join(ends, "session_id", "left_anti")
+    rows.write.mode("overwrite").parquet(f"{path}/base/{upto:012d}")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    old = [f"{path}/base/{n:012d}" for n in bases[:-1]] + ([f"{path}/deltas/{n:012d}" for n in _whole(spark, f"{path}/deltas") if n <= bases[-1]] if bases else [])
+    for folder in old:
+        place = hadoop.Path(folder)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
