@@ -262,6 +262,23 @@ def test_page_text(spark):
     assert far == {k: r.text for k, r in got.items()}
 
 
+def test_text_of_articles_stays_whatever_its_class():
+    inside = '<p class="side-note">one</p><p class="lead promo">two</p><section class="search-results"><p>three</p></section><h2 class="banner">four</h2><ul><li class="menu">five</li></ul><blockquote class="notice-x">six</blockquote>'
+    beside = '<div class="comment-list"><p>no</p></div><div class="ad-slot">no</div><div class="promo">no</div><div id="share-buttons">no</div><article class="reply comment">no</article><aside>no</aside><form>no</form><div role="search">no</div>'
+    assert html_text.Page(f"<body><div class='side-note'>no</div><article>{inside}{beside}</article></body>").text(set()).split("\n\n") == ["one", "two", "three", "four", "five", "six"]
+
+
+def test_article_text_of_a_site_doesn_t_depend_on_the_lists(spark, monkeypatch):
+    """On a host with many pages, templates alone give the same text as lists and templates."""
+    menu, foot = "<div class=nav><ul><li>Home<li>News</ul></div>", "<div class=footer><div>About us</div></div>"
+    page = lambda i: f"<html><body>{menu}<div class=text><h1>Title {i}</h1><p>{words(i, 50)}</p></div>{foot}</body></html>"
+    pages = spark.createDataFrame([(i, f"http://h.example/{i}", page(i)) for i in range(8)], "page_id long, url string, html string")
+    want = sorted((r.page_id, r.text) for r in html_text.page_texts(pages).collect())
+    assert want[3][1] == f"Title 3\n\n{words(3, 50)}"
+    monkeypatch.setattr(html_text, "_drops", lambda tag, attributes, inside: False)
+    assert sorted((r.page_id, r.text) for r in html_text.page_texts(pages).collect()) == want
+
+
 def _without_broadcast(module, pages):
     held, module.BROADCAST_HASHES = module.BROADCAST_HASHES, -1
     try:

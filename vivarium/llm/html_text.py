@@ -6,7 +6,7 @@ host each hash occurs, and which share of their text shapes hold; subtrees whose
 deleted. A shape is only template outside of articles, where no paragraph or heading is inside, and if it holds little of its
 pages' text: menus, footers, adverts and notices differ in words from page to page, but not in form. What is no article by tag, role, class or id
 (menus, headers, footers, sidebars, notices, adverts, forms, comments) goes too, for hosts with few pages. If a page has an article or main
-element, only text inside is kept, and paragraphs, headings and list items inside are never deleted for recurring: articles may quote each other.
+element, only text inside is kept, and paragraphs, headings and list items inside are never deleted for recurring, as articles may quote each other, nor for their class or id.
 
 The hashes of recurring subtrees are broadcast only up to BROADCAST_HASHES; beyond it the pages are joined with them by
 a shuffle. Pages are parsed twice, so that no text is staged.
@@ -53,6 +53,8 @@ _NAMES = frozenset(
     "advertising sponsor sponsored promo promotion comment comments commentlist disqus reply replies respond share sharing social related recommended newsletter subscribe subscription signup login "
     "breadcrumb breadcrumbs pagination pager widget form search copyright".split()
 )
+#: Names that tell what is no article also as a piece of a longer name inside of one, as in comment-list.
+_ALWAYS = frozenset("comment comments commentlist disqus ad ads adv advert adverts advertisement advertising sponsor sponsored newsletter subscribe share sharing social related recommended cookie cookies gdpr breadcrumb breadcrumbs pagination".split())
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
@@ -63,8 +65,14 @@ def _drops(tag: str, attributes: str, inside: bool) -> bool:
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in _ROLES or name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id") and tag not in ("body", "html", "main") and (tag != "article" or inside) and not _NAMES.isdisjoint(re.split("[^a-z0-9]+", value)):
-            return True
+        if name in ("class", "id") and tag not in ("body", "html", "main") and (tag != "article" or inside):
+            pieces = re.split("[^a-z0-9]+", value)
+            if not inside:
+                if not _NAMES.isdisjoint(pieces):
+                    return True
+            # Inside an article, its own paragraphs, headings and lists stay whatever they are called, and other elements go by whole names or by what is always beside it.
+            elif (tag not in _TEXT or tag == "article") and not (_NAMES.isdisjoint(value.split()) and _ALWAYS.isdisjoint(pieces)):
+                return True
     return False
 
 
