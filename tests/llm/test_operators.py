@@ -139,6 +139,44 @@ def test_jaccard_large_groups(spark, monkeypatch, most):
     assert got == want and len({c for _, _, c in want}) > 20
 
 
+def test_jaccard_pairs_of_near_sets_that_aren_t_similar(spark, monkeypatch):
+    """Copies of a text that isn't there itself, each with two changed words of 104: pairs that become rows grow with the copies, not with their square."""
+    r, made = random.Random(5), []
+    base = [f"b{k}" for k in range(104)]
+
+    def copies(n):
+        out = []
+        for i in range(n):
+            w = list(base)
+            for k, at in enumerate(r.sample(range(5, 99), 2)):
+                w[at] = f"x{i}y{k}"
+            out.append(" ".join(w))
+        return out
+
+    cross = jaccard_join.cross_pairs
+
+    def counted(*a):
+        pairs = cross(*a)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "cross_pairs", counted)
+    for n in (80, 160):
+        texts = copies(n)
+        got = sorted((x.doc_id, x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(docs(spark, texts)).collect())
+        assert got == brute_components(texts)
+    assert made[1] <= 8 * 160 and made[1] <= 3 * max(made[0], 80)
+
+
+def test_parity_sketches_bound_what_is_not_shared():
+    r = np.random.default_rng(3)
+    for _ in range(200):
+        a = np.unique(r.integers(0, 1 << 62, r.integers(1, 400)).astype(np.uint64))
+        b = np.unique(np.concatenate((a[: r.integers(0, len(a) + 1)], r.integers(0, 1 << 62, r.integers(0, 60)).astype(np.uint64))))
+        differ = int(np.bitwise_count((jaccard_join.parity_sketch(a) ^ jaccard_join.parity_sketch(b)).view(np.uint64)).sum())
+        assert differ <= len(np.setxor1d(a, b)) and jaccard_join.parity_sketch(a).shape == (jaccard_join.SKETCH,)
+
+
 def test_jaccard_ids_with_two_texts(spark):
     d = docs(spark, ["a b c d e f", "a b c d e f", "q r s t u v w"])
     both = d.unionByName(d.withColumn("doc_id", d.doc_id * 0).withColumn("text", d.text.substr(3, 99)))

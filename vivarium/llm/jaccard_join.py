@@ -16,6 +16,10 @@ What is still open after that are pairs of different components; their answers a
 shared leader where its distances decide (Jaccard distance is a metric), and only the others are verified. So a group of n near copies
 costs some multiple of n comparisons, and no link between different components is lost.
 
+Groups of sets that are near each other but not similar (copies of a text, changed too much) have many components and no answers to derive from. Before such a
+pair becomes a row, its sets' parity sketches are compared: each shingle turns one of SKETCH bits, so that the bits that differ are at most as many as the shingles
+that aren't shared, and too many of them rule out a link.
+
 Edge cases: a null or empty text has the empty set and is linked with nothing; texts of one to four words have one shingle, the whole
 sequence. Rows that repeat a doc_id get a row each; if their texts differ, the set of least digest stands for the id in links. A row without
 doc_id is linked with nothing and has no component. A very long text is one set, whole. Empty tables give empty tables. Other columns are ignored.
@@ -24,6 +28,7 @@ doc_id is linked with nothing and has no component. A very long text is one set,
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +52,8 @@ TASK_POSTINGS = 500_000
 RANGE_CHARS, BATCH = 20_000_000, 2 << 20
 #: Set sizes within a factor of so much are joined together.
 SIZE_STEP = 1.04
+#: 64-bit words of a set's parity sketch.
+SKETCH = 8
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -125,15 +132,21 @@ def frequent_shingles(docs: DataFrame, over: int = FREQUENT, most: int = MAX_FRE
     return h[order], np.log2(n[order]).astype(np.uint8)
 
 
+def parity_sketch(s: np.ndarray) -> np.ndarray:
+    """Which of 64 * SKETCH bits an odd number of the set's shingles turn, as int64 words."""
+    odd = np.bincount((s & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, n, digest (null for the empty set), prefix, hot: how many at its end are frequent."""
+    """doc_id, n, digest (null for the empty set), prefix, hot: how many at its end are frequent, sketch (null without frequent ones)."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def make(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told, level = shared.value
         for t in common.batches(parts, size=BATCH):
             h, at = shingle_hashes(common.column(t, "text"))
-            n, digest, prefix, hots = [], [], [], []
+            n, digest, prefix, hots, sketch = [], [], [], [], []
             for d in range(len(t)):
                 s = np.unique(h[at[d] : at[d + 1]])
                 n.append(len(s))
@@ -146,10 +159,11 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFr
                 hot = s[is_hot][np.argsort(level[f[is_hot]], kind="stable")][: p - len(cold)]
                 prefix.append(np.concatenate((cold, hot)).view(np.int64))
                 hots.append(len(hot))
+                sketch.append(parity_sketch(s).tobytes() if len(hot) else None)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int32)), pa.array(np.concatenate(prefix) if prefix else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([common.column(t, "doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), lists, pa.array(hots, pa.int32())], names=["doc_id", "n", "digest", "prefix", "hot"])
+            yield pa.RecordBatch.from_arrays([common.column(t, "doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), lists, pa.array(hots, pa.int32()), pa.array(sketch, pa.binary())], names=["doc_id", "n", "digest", "prefix", "hot", "sketch"])
 
-    return common.staged(common.mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, "doc_id long, n long, digest binary, prefix array<long>, hot int"), "prefixes")
+    return common.staged(common.mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, "doc_id long, n long, digest binary, prefix array<long>, hot int, sketch binary"), "prefixes")
 
 
 def _list_pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,18 +319,28 @@ def _step(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / float(np.log(SIZE_STEP))).cast("int")
 
 
-def cross_pairs(hot: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs of different components that may first meet in a long list: each set outside of a list's main component with the block of sets whose sizes and positions fit."""
+def words_of(sketches: DataFrame) -> DataFrame:
+    """doc and the words w0, w1, ... of its sketch, as numbers: the two's complement of 16 hexadecimal digits each."""
+    digits = F.hex("sketch")
+    word = lambda k: F.conv(F.substring(digits, 16 * k + 1, 16), 16, -10).cast("long").alias(f"w{k}")
+    return sketches.where("sketch is not null").select(F.col("doc_id").alias("doc"), *[word(k) for k in range(SKETCH)])
+
+
+def cross_pairs(hot: DataFrame, parts: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs of different components that may first meet in a long list: each set outside of a list's main component with the block of sets whose sizes, positions and sketches fit."""
     rows = common.staged(hot.join(parts.select(F.col("node").alias("doc"), "component"), "doc", "left").select("h", "doc", "n", "pos", F.coalesce("component", "doc").alias("component")), "hot")
     sizes = rows.groupBy("h", "component").agg(F.count(F.lit(1)).alias("k"))
     main = small(sizes.groupBy("h").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("h", "main"), "main")
-    mixed = rows.join(main, "h")
+    # A set without a sketch (its long lists weren't told) is ruled out by none.
+    mixed = common.staged(rows.join(main, "h").join(words_of(sketches), "doc", "left"), "mixed")
     # The positions bound the partner's size: 4 (n + m) <= 9 (n - pos).
     n, most = F.col("n"), F.floor((F.col("n") - F.col("pos")) * 9 / 4).cast("long") - F.col("n")
     outside = mixed.where("component != main").withColumns({"low": F.ceil(n * 4 / 5).cast("long"), "high": F.least(F.floor(n * 5 / 4).cast("long"), most)}).where("low <= high")
-    outside = small(outside.select("h", F.explode(F.sequence(_step(F.col("low")), _step(F.col("high")))).alias("step"), F.col("doc").alias("e"), F.col("n").alias("m"), F.col("pos").alias("q"), F.col("component").alias("c")), "outside")
-    block = mixed.select("h", _step(n).alias("step"), "doc", "n", "pos", "component")
-    met = block.join(outside, ["h", "step"]).where((F.col("component") != F.col("c")) & fits(n, F.col("m")) & ahead(n, F.col("pos"), F.col("m"), F.col("q")))
+    outside = small(outside.select("h", F.explode(F.sequence(_step(F.col("low")), _step(F.col("high")))).alias("step"), F.col("doc").alias("e"), F.col("n").alias("m"), F.col("pos").alias("q"), F.col("component").alias("c"), *[F.col(f"w{k}").alias(f"v{k}") for k in range(SKETCH)]), "outside")
+    block = mixed.select("h", _step(n).alias("step"), "doc", "n", "pos", "component", *[f"w{k}" for k in range(SKETCH)])
+    differ = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"w{k}").bitwiseXOR(F.col(f"v{k}"))) for k in range(SKETCH)])
+    # Sets of n and m shingles are linked if at most (n + m) / 9 aren't shared.
+    met = block.join(outside, ["h", "step"]).where((F.col("component") != F.col("c")) & fits(n, F.col("m")) & ahead(n, F.col("pos"), F.col("m"), F.col("q")) & F.coalesce(9 * differ <= n + F.col("m"), F.lit(True)))
     return met.select(F.least("doc", "e").alias("a"), F.greatest("doc", "e").alias("b")).distinct()
 
 
@@ -344,7 +368,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links = done.where("linked").select("a", "b")
     parts = components(links)
     for more in (candidates, None):
-        pairs = open_pairs(cross_pairs(hot, parts) if more is None else more, parts, done)
+        pairs = open_pairs(cross_pairs(hot, parts, single.select("doc_id", "sketch")) if more is None else more, parts, done)
         linked, undecided = derived(pairs, answers)
         seen = verified(undecided, sets)
         links = links.unionByName(linked).unionByName(seen.where("linked").select("a", "b"))
