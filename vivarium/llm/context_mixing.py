@@ -16,7 +16,7 @@ the tokens for the unigram base score. The slots are a table of fixed size, so i
 counts are not: those of the HEAVY most frequent tokens are broadcast, and the others are joined.
 
 Edge cases: a null or empty text has one token, its end. A null doc_id counts as an empty string in the split into training and held-out
-rows. Repeated rows are counted and scored one by one. Without training rows every count is 0 and decisions have odds of about 1.
+rows. Repeated rows are counted and scored one by one. A very long text is scored whole. Without training rows every count is 0 and decisions have odds of about 1.
 An empty table gives an empty table. Other columns are ignored.
 """
 

@@ -10,7 +10,7 @@ are merged by the text's digest. The driver and the workers hold one block at a
 
 Edge cases: a null or empty text has no words and no hits, and a null or empty item has no window. Repeated rows of
 documents are judged row by row; item ids are compared as strings, and rows that repeat an item_id count as one item. A
-null item_id is left out. Empty tables work on either side. Other columns are ignored.
+null item_id is left out. A very long text is searched whole. Empty tables work on either side. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ shuffled. The remaining digests use an ordinary shuffle.
 
 Edge cases: a null text counts as empty, and all empty texts are equal. Rows that repeat a doc_id with the same
 original text are each marked kept if their id stays; with texts of several lengths only the longest is. A
-null doc_id comes after all others. An empty table gives an empty table. Other columns are not carried.
+null doc_id comes after all others. A very long text is hashed whole. An empty table gives an empty table. Other columns are not carried.
 """
 
 from __future__ import annotations

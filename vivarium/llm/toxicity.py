@@ -15,7 +15,7 @@ is one map over all documents, without shuffles.
 
 Edge cases: a null or empty text has no chunk and gets the lowest score of the model. Labels that are null are left out; if labels for one
 doc_id differ, the highest counts. Chunks of over 24 characters are scored in overlapping windows. Without labels of both classes
-all scores are the smoothed share of toxic labels. Repeated rows are scored one by one. Empty tables give empty tables.
+all scores are the smoothed share of toxic labels. Repeated rows are scored one by one. All chunks of a very long text are scored. Empty tables give empty tables.
 """
 
 from __future__ import annotations
