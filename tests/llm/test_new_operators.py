@@ -246,3 +246,12 @@ def test_kept_pieces_don_t_change_results(paths, monkeypatch):
         part = pa.array(texts[k : k + 40], pa.string())
         assert token_alignment.aligned(part, held, writer, 32_000)["groups_sha256"] == token_alignment.aligned(part, token_alignment.Encoder(a, b), writer, 32_000)["groups_sha256"]
     assert len(held.known) == 500
+
+
+def test_very_long_texts(spark, paths):
+    long = "client_id=abc token=abcdefgh " + "lorem ipsum dolor " * 60_000 + "AKIA" + "Q" * 16
+    d = docs(spark, [long, "x"])
+    row = secret_links.secret_spans(d).where("doc_id = 0").first()
+    assert (row.n_assign, row.n_access) == (1, 1) and row.spans.endswith(f"access:{len(long) - 20}:{len(long)}") and row.spans.startswith("identifier:0:13")
+    row = token_alignment.token_alignment(d, *paths).where("doc_id = 0").first()
+    assert row.n_links >= max(row.n_a, row.n_b) > 180_000 and len(row.groups_sha256) == 64
