@@ -19,13 +19,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None, *parts: str):
+def query(sql: str | None, *parts: str, recursive: bool = False):
     """Registers a function under its name; parts: the views that its SQL builds on."""
 
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            SQL[f.__name__] = "WITH RECURSIVE " + ",".join((HARP, *parts)) + sql
+            SQL[f.__name__] = ("WITH RECURSIVE " if recursive else "WITH ") + ",".join((HARP, *parts)) + sql
         return f
 
     return add
@@ -662,6 +662,7 @@ g AS (SELECT session_id, switch_no, min(t_us) AS start_us, count(*) FILTER (move
 SELECT session_id, switch_no::BIGINT AS switch_no, start_us, CASE WHEN vac THEN 'vacuum' WHEN norm THEN 'normal' END AS mode, steps,
   CASE WHEN q IN (8, 9) AND late > 0 THEN 'late' WHEN q IN (8, 9) THEN 'complete' WHEN q = 10 THEN 'step missing' WHEN q = 11 THEN 'out of order' ELSE 'unfinished' END AS verdict FROM g""",
     VALVES,
+    recursive=True,
 )
 def switch_patterns(spark, d):
     changes = rig.line_changes(rig.line_states(harp(spark, d)))
